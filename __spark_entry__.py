@@ -20,7 +20,12 @@ from farelane.functions import calendar as cal
 from farelane.functions.labels import company_label
 from farelane.operators import context as ctx
 from farelane.operators import demand
+from farelane.functions import rates
+from farelane.operators import features as feat
+from farelane.schemas import TRANSIT_DROPPED, TRANSIT_RENAMES, WEATHER_CSV_COLUMNS, YELLOW_COLUMNS
+from farelane.session import scratch_path
 from farelane.sources import adapters as ad
+from farelane.sources import readers as rd
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
@@ -231,6 +236,173 @@ def q_company_labels(spark, sf):
     return _out(c.withColumn("company", company_label("hvfhs_license_num")))
 
 
+# --- rates, context joins, CSV round trips, correlation -------------------
+
+def q_unit_rates(spark, sf):
+    t = rates.with_unit_rates(_ev(spark, sf))
+    return _out(t.select("trip_id", "speed", "trip_meters", "trip_km"), None)
+
+
+def _ev_context(spark, sf):
+    c = _ev_cal(spark, sf)
+    h = demand.hourly_stats(c, exact=True)
+    d = demand.daily_stats(c, exact=True)
+    return h.join(d, ["pickupdate", "pickupyear", "pickupmonth"])
+
+
+def q_fare_rates(spark, sf):
+    r = rates.with_fare_rates(_ev_context(spark, sf))
+    return _out(r.select("pickupdate", "pickuphour", "d_base_fare_per_mile", "d_base_fare_per_min",
+                         "h_base_fare_per_mile", "h_base_fare_per_min"), None)
+
+
+def q_temp_extremity(spark, sf):
+    w = ad.weather(spark, sf)
+    return _out(w.select("d", rates.temp_extremity("tmax_f").alias("TMAXExtremity"),
+                         rates.temp_extremity("tmin_f").alias("TMINExtremity")), None)
+
+
+def q_transit_taxi_ratio(spark, sf):
+    dc = demand.daily_count(_li_cal(spark, sf))
+    j = ctx.join_transit(dc, ad.transit(spark, sf))
+    return _out(j.select("pickupdate", "daily_numTrips",
+                         rates.transit_taxi_ratio(ad.TRANSIT_MODES).alias("pt_taxi_ratio")), None)
+
+
+def _yellow_raw(spark, sf):
+    """Yellow-taxi shaped columns from events: dropoff = pickup + trip_time seconds."""
+    e = _ev(spark, sf)
+    return e.select("trip_id",
+                    F.col("pickup_datetime").alias("tpep_pickup_datetime"),
+                    (F.col("pickup_datetime") + F.make_interval(secs=F.col("trip_time").cast("int")))
+                    .alias("tpep_dropoff_datetime"),
+                    F.col("trip_miles").alias("trip_distance"),
+                    F.col("base_passenger_fare").alias("fare_amount"))
+
+
+def q_trip_duration(spark, sf):
+    y = _yellow_raw(spark, sf)
+    return _out(y.select("trip_id", rates.trip_duration("tpep_dropoff_datetime", "tpep_pickup_datetime")
+                         .alias("duration_s")), None)
+
+
+def q_yellow_adapter(spark, sf):
+    y = feat.adapt(_yellow_raw(spark, sf), [("trip_id", "trip_id", "bigint")] + YELLOW_COLUMNS)
+    return _out(feat.yellow_features(y, keep=("trip_id",)), None)
+
+
+def q_parse_dates(spark, sf):
+    o = ad.table(spark, sf, "orders").select("o_orderkey", "o_orderdate")
+    bad = F.col("o_orderkey") % 97 == 0
+    raw = o.select("o_orderkey",
+                   F.when(bad, F.lit("n/a")).otherwise(F.date_format("o_orderdate", "dd-MM-yyyy")).alias("a"),
+                   F.date_format("o_orderdate", "MM/dd/yyyy").alias("b"))
+    return _out(raw.select("o_orderkey", cal.parse_date("a", "dd-MM-yyyy").alias("d_dmy"),
+                           cal.parse_date("b", "MM/dd/yyyy").alias("d_mdy")))
+
+
+def _write_read_csv(spark, df, name):
+    path = scratch_path(spark, name)
+    rd.write_table(df, path, "csv")
+    return rd.read_csv_strings(spark, path)
+
+
+def q_weather_normalise(spark, sf):
+    w = ad.weather(spark, sf)
+    inch = 25.4
+    raw = w.select(F.date_format("d", "dd-MM-yyyy").alias(WEATHER_CSV_COLUMNS[0]),
+                   F.col("tmax_f").cast("string").alias(WEATHER_CSV_COLUMNS[1]),
+                   F.col("tmin_f").cast("string").alias(WEATHER_CSV_COLUMNS[2]),
+                   F.col("prcp_mm").cast("string").alias(WEATHER_CSV_COLUMNS[3]),
+                   F.lit("0").alias(WEATHER_CSV_COLUMNS[4]),
+                   F.lit("abc").alias(WEATHER_CSV_COLUMNS[5]),
+                   (F.col("prcp_mm") / inch).cast("string").alias(WEATHER_CSV_COLUMNS[6]),
+                   F.lit("0").alias(WEATHER_CSV_COLUMNS[7]),
+                   F.lit("0").alias(WEATHER_CSV_COLUMNS[8]))
+    back = _write_read_csv(spark, raw, "weather_csv")
+    return _out(ctx.normalise_weather(back), None)
+
+
+def q_transit_normalise(spark, sf):
+    t = ad.transit(spark, sf)
+    long = {v.lower(): k for k, v in TRANSIT_RENAMES.items()}
+    cols = [F.date_format("d", "MM/dd/yyyy").alias("Date")]
+    cols += [F.format_number(F.col(m), 0).alias(long[m]) if m == "subways_daily"
+             else F.col(m).cast("string").alias(long[m]) for m in ad.TRANSIT_MODES]
+    cols += [F.lit("50%").alias(c) for c in TRANSIT_DROPPED]
+    back = _write_read_csv(spark, t.select(*cols), "transit_csv")
+    return _out(ctx.normalise_transit(back))
+
+
+def q_csv_roundtrip_dim(spark, sf):
+    back = _write_read_csv(spark, ad.zones(spark, sf), "zones_csv")
+    return _out(ctx.zone_dim(back, "PU"))
+
+
+def q_join_weather(spark, sf):
+    j = ctx.join_weather(_li_cal(spark, sf), ad.weather(spark, sf))
+    return _out(j.select("trip_id", "pickupdate", "tmax_f", "tmin_f", "prcp_mm", "TMAXExtremity",
+                         "TMINExtremity"), None)
+
+
+def q_join_transit(spark, sf):
+    j = ctx.join_transit(_li_cal(spark, sf), ad.transit(spark, sf))
+    return _out(j.select("trip_id", "pickupdate", *ad.TRANSIT_MODES))
+
+
+def q_attach_hourly(spark, sf):
+    j = ctx.attach_hourly(_ev_cal(spark, sf), exact=True)
+    return _out(j.select("trip_id", "pickuphour", "hourly_numTrips", "hourly_total_time",
+                         "hourly_total_base_fare", "hourly_mean_speed"),
+                exact=("hourly_total_base_fare",))
+
+
+def q_attach_daily(spark, sf):
+    j = ctx.attach_daily(_li_cal(spark, sf), exact=True)
+    return _out(j.select("trip_id", "pickupdate", "daily_numTrips", "daily_total_miles",
+                         "daily_total_base_fare", "daily_mean_speed"),
+                exact=("daily_total_miles", "daily_total_base_fare"))
+
+
+def q_daily_count_join(spark, sf):
+    j = ctx.with_daily_count(_li_cal(spark, sf))
+    return _out(j.select("trip_id", "pickupdate", "daily_numTrips"))
+
+
+CONTEXT_COLS = ["pickupdate", "pickuphour", "hourly_numTrips", "daily_numTrips", "isWeekend", "isOvernight",
+                "isRushhour", "d_base_fare_per_mile", "d_base_fare_per_min", "h_base_fare_per_mile",
+                "h_base_fare_per_min", "hourly_mean_speed", "tmax_f", "tmin_f", "prcp_mm", "TMAXExtremity",
+                "TMINExtremity", *ad.TRANSIT_MODES, "pt_taxi_ratio"]
+CONTEXT_EXACT = tuple(c for c in CONTEXT_COLS if c != "hourly_mean_speed")
+
+
+def q_context_features(spark, sf):
+    c = _li_cal(spark, sf)
+    t = ctx.context_table(c, ad.weather(spark, sf), ad.transit(spark, sf), ad.TRANSIT_MODES, exact=True)
+    return _out(t.select(*CONTEXT_COLS), exact=CONTEXT_EXACT)
+
+
+def q_attach_context(spark, sf):
+    c = _li_cal(spark, sf)
+    t = ctx.context_table(c, ad.weather(spark, sf), ad.transit(spark, sf), ad.TRANSIT_MODES, exact=True)
+    j = ctx.attach_context(c, t.select("pickupdate", "pickuphour", "pt_taxi_ratio", "TMAXExtremity",
+                                       "isWeekend", "isRushhour", "daily_numTrips"))
+    return _out(j.select("trip_id", "pickupdate", "pt_taxi_ratio", "TMAXExtremity", "isWeekend",
+                         "isRushhour", "daily_numTrips"), None)
+
+
+CORR_COLS = ["trip_miles", "trip_time", "base_passenger_fare", "daily_numTrips", "tmax_f", "tmin_f",
+             "prcp_mm", "TMINExtremity", "pt_taxi_ratio", "isWeekend"]
+
+
+def q_correlation_matrix(spark, sf):
+    c = _li_cal(spark, sf)
+    t = ctx.context_table(c, ad.weather(spark, sf), ad.transit(spark, sf), ad.TRANSIT_MODES, exact=True)
+    j = ctx.attach_context(c, t.select("pickupdate", "pickuphour", "daily_numTrips", "tmax_f", "tmin_f",
+                                       "prcp_mm", "TMINExtremity", "pt_taxi_ratio", "isWeekend"))
+    return _out(feat.correlation_long(j, CORR_COLS), 6)
+
+
 # ---------------------------------------------------------------------------
 # DuckDB oracle SQL
 # ---------------------------------------------------------------------------
@@ -457,6 +629,130 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 
+def _h_sql() -> str:
+    return (f"h AS (SELECT pickupdate, pickupyear, pickupmonth, pickuphour, count(*) AS hourly_numTrips, "
+            f"{_xsum('trip_miles')} AS hourly_total_miles, CAST(sum(trip_time) AS BIGINT) AS hourly_total_time, "
+            f"{_xsum('base_passenger_fare')} AS hourly_total_base_fare, "
+            f"avg(trip_miles / nullif(trip_time, 0) * 3600) AS hourly_mean_speed FROM c GROUP BY ALL)")
+
+
+def _d_sql() -> str:
+    return (f"d AS (SELECT pickupdate, pickupyear, pickupmonth, pickupdayofyear, count(*) AS daily_numTrips, "
+            f"{_xsum('trip_miles')} AS daily_total_miles, CAST(sum(trip_time) AS BIGINT) AS daily_total_time, "
+            f"{_xsum('base_passenger_fare')} AS daily_total_base_fare, "
+            f"avg(trip_miles / nullif(trip_time, 0) * 3600) AS daily_mean_speed FROM c GROUP BY ALL)")
+
+
+def _div(n: str, d: str) -> str:
+    return f"({n}) / nullif({d}, 0)"
+
+
+_RATES_SQL = (f"{_div('daily_total_base_fare', 'daily_total_miles')} AS d_base_fare_per_mile, "
+              f"{_div('daily_total_base_fare', 'daily_total_time')} * 60 AS d_base_fare_per_min, "
+              f"{_div('hourly_total_base_fare', 'hourly_total_miles')} AS h_base_fare_per_mile, "
+              f"{_div('hourly_total_base_fare', 'hourly_total_time')} * 60 AS h_base_fare_per_min")
+
+_MODES_SUM = " + ".join(ad.TRANSIT_MODES)
+
+# context table at (date, hour) grain: hourly + daily + flags + rates + weather + transit
+LI_CTX = (f"{LI_CAL}, {_h_sql()}, {_d_sql()}, {TRANSIT}, {WEATHER}, "
+          f"ctx AS (SELECT h.pickupdate, h.pickuphour, h.hourly_numTrips, d.daily_numTrips, "
+          f"{_flags_sql('h.pickupdate', 'h.pickuphour')}, {_RATES_SQL}, h.hourly_mean_speed, "
+          f"w.tmax_f, w.tmin_f, w.prcp_mm, abs(w.tmax_f - 68) AS TMAXExtremity, abs(w.tmin_f - 68) AS TMINExtremity, "
+          f"{', '.join('t.' + m for m in ad.TRANSIT_MODES)}, "
+          f"{_div(_MODES_SUM, 'd.daily_numTrips')} AS pt_taxi_ratio "
+          f"FROM h JOIN d ON h.pickupdate = d.pickupdate AND h.pickupyear = d.pickupyear "
+          f"AND h.pickupmonth = d.pickupmonth JOIN weather w ON w.d = h.pickupdate "
+          f"JOIN transit t ON t.d = h.pickupdate)")
+
+
+def _corr_sql(cols: list[str], src: str) -> str:
+    parts = []
+    for a in cols:
+        for b in cols:
+            if a == b:
+                r = f"CASE WHEN stddev_pop({a}) > 0 THEN 1.0 END"
+            else:
+                r = f"covar_pop({a}, {b}) / nullif(stddev_pop({a}) * stddev_pop({b}), 0)"
+            parts.append(f"SELECT '{a}' AS col_a, '{b}' AS col_b, round({r}, 6) AS r FROM cc")
+    complete = " AND ".join(f"{c} IS NOT NULL AND NOT isnan(CAST({c} AS DOUBLE))" for c in cols)
+    return f"{src}, cc AS (SELECT {', '.join(cols)} FROM jj WHERE {complete}) " + " UNION ALL ".join(parts)
+
+
+ORACLE.update({
+    "unit_rates": f"WITH {TRIPS_EV} SELECT trip_id, trip_miles / nullif(trip_time, 0) * 3600 AS speed, "
+                  f"trip_miles * 1609.35 AS trip_meters, trip_miles * 0.621371 AS trip_km FROM trips_ev",
+    "fare_rates": f"{EV_CAL}, {_h_sql()}, {_d_sql()} SELECT h.pickupdate, h.pickuphour, {_RATES_SQL} "
+                  f"FROM h JOIN d ON h.pickupdate = d.pickupdate AND h.pickupyear = d.pickupyear "
+                  f"AND h.pickupmonth = d.pickupmonth",
+    "temp_extremity": f"WITH {WEATHER} SELECT d, abs(tmax_f - 68) AS TMAXExtremity, abs(tmin_f - 68) AS TMINExtremity "
+                      f"FROM weather",
+    "transit_taxi_ratio": f"{LI_CAL}, {TRANSIT}, dc AS (SELECT pickupdate, count(*) AS daily_numTrips FROM c "
+                          f"GROUP BY pickupdate) SELECT dc.pickupdate, dc.daily_numTrips, "
+                          f"{_div(_MODES_SUM, 'dc.daily_numTrips')} AS pt_taxi_ratio FROM dc "
+                          f"JOIN transit t ON t.d = dc.pickupdate",
+    "trip_duration": f"WITH {TRIPS_EV} SELECT trip_id, "
+                     f"(epoch_ms(pickup_datetime + to_seconds(trip_time)) // 1000) - (epoch_ms(pickup_datetime) // 1000) "
+                     f"AS duration_s FROM trips_ev",
+    "yellow_adapter": f"WITH {TRIPS_EV} SELECT trip_id, trip_miles * 0.621371 AS trip_km, "
+                      f"(epoch_ms(pickup_datetime + to_seconds(trip_time)) // 1000) - (epoch_ms(pickup_datetime) // 1000) "
+                      f"AS trip_time, base_passenger_fare FROM trips_ev",
+    "parse_dates": "SELECT o_orderkey, CASE WHEN o_orderkey % 97 = 0 THEN NULL ELSE CAST(o_orderdate AS DATE) END "
+                   "AS d_dmy, CAST(o_orderdate AS DATE) AS d_mdy FROM orders",
+    "weather_normalise": f"WITH {WEATHER} SELECT d, tmax_f, tmin_f, prcp_mm, CAST(0 AS DOUBLE) AS snow_mm, "
+                         f"CAST(NULL AS DOUBLE) AS snwd_mm FROM weather",
+    "transit_normalise": f"WITH {TRANSIT} SELECT d, CASE WHEN subways_daily < 1000 THEN subways_daily END AS subways_daily, "
+                         f"buses_daily, lirr_daily AS LIRR_daily, metro_north_daily, access_a_ride_daily FROM transit",
+    "csv_roundtrip_dim": f"WITH {ZONES} SELECT TRY_CAST(LocationID AS BIGINT) AS PULocationID, Borough AS PUBorough, "
+                         f"Zone AS PUZone FROM zones",
+    "join_weather": f"{LI_CAL}, {WEATHER} SELECT c.trip_id, c.pickupdate, w.tmax_f, w.tmin_f, w.prcp_mm, "
+                    f"abs(w.tmax_f - 68) AS TMAXExtremity, abs(w.tmin_f - 68) AS TMINExtremity "
+                    f"FROM c JOIN weather w ON w.d = c.pickupdate",
+    "join_transit": f"{LI_CAL}, {TRANSIT} SELECT c.trip_id, c.pickupdate, {', '.join('t.' + m for m in ad.TRANSIT_MODES)} "
+                    f"FROM c JOIN transit t ON t.d = c.pickupdate",
+    "attach_hourly": f"{EV_CAL}, {_h_sql()} SELECT c.trip_id, c.pickuphour, h.hourly_numTrips, h.hourly_total_time, "
+                     f"h.hourly_total_base_fare, round(h.hourly_mean_speed, 4) AS hourly_mean_speed FROM c "
+                     f"JOIN h ON c.pickupdate = h.pickupdate AND c.pickuphour = h.pickuphour "
+                     f"AND c.pickupyear = h.pickupyear AND c.pickupmonth = h.pickupmonth",
+    "attach_daily": f"{LI_CAL}, {_d_sql()} SELECT c.trip_id, c.pickupdate, d.daily_numTrips, d.daily_total_miles, "
+                    f"d.daily_total_base_fare, round(d.daily_mean_speed, 4) AS daily_mean_speed FROM c "
+                    f"JOIN d ON c.pickupdate = d.pickupdate AND c.pickupdayofyear = d.pickupdayofyear",
+    "daily_count_join": f"{LI_CAL}, dc AS (SELECT pickupdate, count(*) AS daily_numTrips FROM c GROUP BY pickupdate) "
+                        f"SELECT c.trip_id, c.pickupdate, dc.daily_numTrips FROM c JOIN dc USING (pickupdate)",
+    "context_features": f"{LI_CTX} SELECT * REPLACE (round(hourly_mean_speed, 4) AS hourly_mean_speed) FROM ctx",
+    "attach_context": f"{LI_CTX} SELECT c.trip_id, c.pickupdate, x.pt_taxi_ratio, x.TMAXExtremity, x.isWeekend, "
+                      f"x.isRushhour, x.daily_numTrips FROM c JOIN ctx x ON c.pickupdate = x.pickupdate "
+                      f"AND c.pickuphour = x.pickuphour",
+    "correlation_matrix": _corr_sql(CORR_COLS, f"{LI_CTX}, jj AS (SELECT c.trip_miles, c.trip_time, "
+                                               f"c.base_passenger_fare, x.daily_numTrips, x.tmax_f, x.tmin_f, "
+                                               f"x.prcp_mm, x.TMINExtremity, x.pt_taxi_ratio, x.isWeekend FROM c "
+                                               f"JOIN ctx x ON c.pickupdate = x.pickupdate AND c.pickuphour = x.pickuphour)"),
+})
+
+QUERIES_B = {
+    "unit_rates": q_unit_rates,
+    "fare_rates": q_fare_rates,
+    "temp_extremity": q_temp_extremity,
+    "transit_taxi_ratio": q_transit_taxi_ratio,
+    "trip_duration": q_trip_duration,
+    "yellow_adapter": q_yellow_adapter,
+    "parse_dates": q_parse_dates,
+    "weather_normalise": q_weather_normalise,
+    "transit_normalise": q_transit_normalise,
+    "csv_roundtrip_dim": q_csv_roundtrip_dim,
+    "join_weather": q_join_weather,
+    "join_transit": q_join_transit,
+    "attach_hourly": q_attach_hourly,
+    "attach_daily": q_attach_daily,
+    "daily_count_join": q_daily_count_join,
+    "context_features": q_context_features,
+    "attach_context": q_attach_context,
+    "correlation_matrix": q_correlation_matrix,
+}
+
+QUERIES.update(QUERIES_B)
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: hourly demand stats (count, miles, time, fare, speed) at sf0.001."""
     return q_hourly_stats(spark, SMOKE_DIR)

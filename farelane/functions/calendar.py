@@ -65,7 +65,7 @@ def with_calendar(df: DataFrame, ts: str = "pickup_datetime",
 
 def parse_date(c, fmt: str) -> Column:
     """Text to date; malformed text gives null instead of failing under ANSI."""
-    return F.try_to_date(_c(c), F.lit(fmt))
+    return F.try_to_date(_c(c), fmt)
 
 
 # --------------------------------------------------------------------------

@@ -50,15 +50,15 @@ def _attach(df: DataFrame, agg: DataFrame, keys: list[str], how: str = "inner")
     return join_small(df, materialize(agg), keys, how)
 
 
-def attach_hourly(trips_cal: DataFrame) -> DataFrame:
+def attach_hourly(trips_cal: DataFrame, exact: bool = False) -> DataFrame:
     """Each trip with its hour's count, totals and mean speed."""
-    return _attach(trips_cal, hourly_stats(trips_cal), HOUR_KEYS)
+    return _attach(trips_cal, hourly_stats(trips_cal, exact), HOUR_KEYS)
 
 
-def attach_daily(df: DataFrame, trips_cal: DataFrame | None = None) -> DataFrame:
+def attach_daily(df: DataFrame, trips_cal: DataFrame | None = None, exact: bool = False) -> DataFrame:
     """Each row with its day's count, totals and mean speed."""
     src = trips_cal if trips_cal is not None else df
-    return _attach(df, daily_stats(src), DAY_KEYS)
+    return _attach(df, daily_stats(src, exact), DAY_KEYS)
 
 
 def with_daily_count(trips_cal: DataFrame, date_col: str = "pickupdate") -> DataFrame:
@@ -91,14 +91,15 @@ def join_transit(df: DataFrame, transit: DataFrame, date_col: str = "pickupdate"
 
 
 def context_table(trips_cal: DataFrame, weather: DataFrame, transit: DataFrame,
-                  transit_modes: list[str], holidays: DataFrame | None = None) -> DataFrame:
+                  transit_modes: list[str], holidays: DataFrame | None = None,
+                  exact: bool = False) -> DataFrame:
     """One row per (date, hour): hourly and daily stats, flags, rates, weather, transit.
 
     Built entirely from aggregates (hours x days rows), never from trips
     joined to trips.
     """
-    h = hourly_stats(trips_cal)
-    d = daily_stats(trips_cal)
+    h = hourly_stats(trips_cal, exact)
+    d = daily_stats(trips_cal, exact)
     ctx = join_small(materialize(h), materialize(d), ["pickupdate", "pickupyear", "pickupmonth"])
     ctx = with_demand_flags(ctx, "pickupdate", "pickuphour", holidays)
     ctx = with_fare_rates(ctx)
