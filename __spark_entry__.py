@@ -23,6 +23,11 @@ from farelane.operators import demand
 from farelane.functions import rates
 from farelane.operators import features as feat
 from farelane.schemas import TRANSIT_DROPPED, TRANSIT_RENAMES, WEATHER_CSV_COLUMNS, YELLOW_COLUMNS
+from farelane.plans import experiments as ex
+from farelane.plans import forecast as fc
+from farelane.plans import global_models as gm
+from farelane.plans import local_models as lm
+from farelane.schemas import LOG_CSV_SCHEMA
 from farelane.session import scratch_path
 from farelane.sources import adapters as ad
 from farelane.sources import readers as rd
@@ -403,6 +408,268 @@ def q_correlation_matrix(spark, sf):
     return _out(feat.correlation_long(j, CORR_COLS), 6)
 
 
+# --- sources: conformance, drifting union, drift audit, logs, export -------
+
+def _drifting_part(ev, typed: bool):
+    """Trips with the columns whose types drift between monthly files."""
+    if typed:  # older files: ints everywhere
+        return ev.select("trip_id", F.col("PULocationID").cast("int").alias("PULocationID"),
+                         (F.col("trip_id") % 4).cast("int").alias("airport_fee"),
+                         F.when(F.col("trip_id") % 3 == 0, 1).otherwise(0).alias("wav_match_flag"))
+    return ev.select("trip_id", F.col("PULocationID").cast("string").alias("PULocationID"),
+                     F.col("base_passenger_fare").alias("airport_fee"),
+                     F.when(F.col("trip_id") % 3 == 0, "Y").otherwise("N").alias("wav_match_flag"))
+
+
+def q_conform_types(spark, sf):
+    e = _ev(spark, sf)
+    raw = e.select("trip_id",
+                   F.when(F.col("trip_id") % 50 == 0, F.lit("abc"))
+                   .otherwise(F.col("PULocationID").cast("string")).alias("PULocationID"),
+                   F.col("DOLocationID").cast("int").alias("DOLocationID"),
+                   (F.col("trip_id") % 3).cast("int").alias("airport_fee"),
+                   (F.col("trip_id") % 2).cast("int").alias("wav_match_flag"))
+    return _out(rd.conform(raw), None)
+
+
+def _write_drifting(spark, sf, n_new=1):
+    e = _ev(spark, sf)
+    paths = [scratch_path(spark, "month_old")]
+    _drifting_part(e.where(F.col("trip_id") % 2 == 0), True).write.parquet(paths[0])
+    for i in range(n_new):
+        p = scratch_path(spark, f"month_new{i}")
+        _drifting_part(e.where(F.col("trip_id") % 2 == 1), False).write.parquet(p)
+        paths.append(p)
+    return paths
+
+
+def q_scan_conformed_union(spark, sf):
+    paths = _write_drifting(spark, sf)
+    u = rd.read_trips_drifting(spark, paths, columns=["trip_id", "PULocationID", "airport_fee", "wav_match_flag"])
+    return _out(u.groupBy("wav_match_flag").agg(
+        F.count("*").alias("n"), rates.measure_sum("airport_fee", True).alias("airport_fee_sum"),
+        F.sum("PULocationID").alias("pu_sum")), None)
+
+
+def q_schema_drift(spark, sf):
+    paths = _write_drifting(spark, sf, n_new=2)
+    return _out(rd.schema_drift(spark, paths).drop("file"))
+
+
+def q_empty_union_identity(spark, sf):
+    e = rd.conform(_ev(spark, sf))
+    u = rd.empty_trips(spark).unionByName(e.drop("trip_id"), allowMissingColumns=True)
+    return _out(u.groupBy("hvfhs_license_num").agg(
+        F.count("*").alias("n"), F.count_if(F.col("dispatching_base_num").isNull()).alias("n_null_base")))
+
+
+def q_log_append_roundtrip(spark, sf):
+    log = ad.experiment_log(spark, sf)
+    parts = []
+    for model in ("lr", "dt"):
+        path = scratch_path(spark, f"log_{model}")
+        m = log.where(F.col("model") == model).drop("model")
+        rd.append_log(m.where(F.col("pct") <= 20), path)
+        rd.append_log(m.where(F.col("pct") > 20), path)
+        parts.append(rd.read_experiment_log(spark, path, model))
+    back = parts[0].unionByName(parts[1])
+    return _out(back.groupBy("model", "cores", "pct").agg(
+        F.count("*").alias("n"), rates.measure_sum("runtime", True).alias("runtime_sum")), None)
+
+
+def q_export_roundtrip(spark, sf):
+    heat = q_zone_heat_table(spark, sf)
+    path = scratch_path(spark, "heat_csv")
+    rd.write_table(heat, path, "csv")
+    schema = "zone string, pu_count bigint, do_count bigint, overnight_count bigint, rushhour_count bigint, " \
+             "weekend_count bigint"
+    return _out(rd.read_csv_typed(spark, path, T._parse_datatype_string(schema)))
+
+
+# --- feature tables, split, sample, buckets -------------------------------
+
+def q_complete_features(spark, sf):
+    t = rates.with_unit_rates(_ev(spark, sf))
+    return _out(feat.complete_features(t, ["speed", "trip_meters"]).select("trip_id", "speed", "trip_meters"), None)
+
+
+def _ev_fare(spark, sf, calendar="day"):
+    return feat.fare_features(_ev(spark, sf), calendar)
+
+
+def q_fare_features(spark, sf):
+    return _out(_ev_fare(spark, sf), None)
+
+
+def q_assembled_rows(spark, sf):
+    from pyspark.ml.functions import vector_to_array
+    a = feat.assemble(_ev_fare(spark, sf), feat.GLOBAL_FEATURES)
+    arr = vector_to_array("features")
+    return _out(a.select("trip_id", *[arr[i].alias(f"f{i}") for i in range(len(feat.GLOBAL_FEATURES))]), None)
+
+
+def q_train_test_split(spark, sf):
+    tr, te = feat.train_test_split(_li(spark, sf))
+    side = lambda d, n: d.agg(F.lit(n).alias("side"), F.count("*").alias("n_rows"),
+                              rates.measure_sum("base_passenger_fare", True).alias("fare_sum"))
+    return _out(side(tr, "train").unionByName(side(te, "test")), None)
+
+
+def q_sample_by_key(spark, sf):
+    return _out(feat.sample_sizes(_li(spark, sf), [p / 100 for p in ex.SIZES]))
+
+
+def q_bucket_sizes(spark, sf):
+    tr, _ = feat.train_test_split(_li(spark, sf))
+    return _out(feat.bucket_sizes(tr, 16))
+
+
+# --- models -----------------------------------------------------------------
+
+LR2 = ["trip_meters", "trip_time"]
+
+
+def _ev_split(spark, sf, calendar="day"):
+    return feat.train_test_split(_ev_fare(spark, sf, calendar))
+
+
+def q_ols_single(spark, sf):
+    tr, _ = _ev_split(spark, sf)
+    o = gm.ols_single(tr, "trip_meters")
+    return _out(o.select(F.round("slope", 10).alias("slope"), F.round("intercept", 8).alias("intercept"), "n"),
+                None)
+
+
+def q_rmse(spark, sf):
+    tr, te = _ev_split(spark, sf)
+    o = gm.ols_single(tr, "trip_meters").first()
+    p = te.withColumn("prediction", gm.predict_linear({"trip_meters": o["slope"]}, o["intercept"]))
+    return _out(gm.rmse(p), 6)
+
+
+def q_local_lr_models(spark, sf):
+    tr, _ = _ev_split(spark, sf)
+    return _out(lm.fit_local_lr(tr, LR2, feat.LABEL, 16), 6)
+
+
+def q_local_lr_predictions(spark, sf):
+    tr, te = _ev_split(spark, sf)
+    models = lm.fit_local_lr(tr, LR2, feat.LABEL, 16)
+    return _out(gm.rmse(lm.score_lr_ensemble(models, te)), 6)
+
+
+def _global(kind):
+    def q(spark, sf):
+        tr, te = _ev_split(spark, sf)
+        return _out(gm.global_rmse(tr, te, feat.GLOBAL_FEATURES, kind).drop("seconds"), 6)
+    return q
+
+
+def q_local_tree_models(spark, sf):
+    tr, _ = _ev_split(spark, sf, "hour")
+    m = lm.fit_local_trees(tr, feat.LOCAL_FEATURES, feat.LABEL, 16, 5)
+    return _out(m.nodes.select("bucket", "node", "level", "n", "value", "feature_name", "threshold", "gain"), 6)
+
+
+def q_local_tree_predictions(spark, sf):
+    tr, te = _ev_split(spark, sf, "hour")
+    m = lm.fit_local_trees(tr, feat.LOCAL_FEATURES, feat.LABEL, 16, 5)
+    return _out(gm.rmse(lm.score_tree_ensemble(m, te)), 6)
+
+
+def q_tree_root_split(spark, sf):
+    """Level-0 split of a single tree over all training rows (SQL-checkable)."""
+    tr, _ = _ev_split(spark, sf, "hour")
+    one = tr.withColumn("bucket", F.lit(0))
+    m = lm.fit_trees(one, ["trip_time", "trip_meters", "hour"], feat.LABEL, 1, 32)
+    return _out(m.nodes.where("level = 0").select("feature_name", "threshold", "n", "gain"), 4)
+
+
+def q_sweep_local(spark, sf):
+    tr, te = _ev_split(spark, sf, "hour")
+    return ex.sweep_buckets(tr, te, feat.LOCAL_FEATURES, ex.PARTITIONS, "dt")
+
+
+def q_sweep_global(spark, sf):
+    tr, te = _ev_split(spark, sf)
+    return ex.sweep_global(tr, te, feat.GLOBAL_FEATURES, ex.PARTITIONS, "gbt")
+
+
+def q_sweep_depth(spark, sf):
+    tr, te = _ev_split(spark, sf, "hour")
+    return ex.sweep_depth(tr, te, feat.LOCAL_FEATURES, 16, ex.DEPTHS)
+
+
+def _yellow_ev(spark, sf):
+    y = feat.adapt(_yellow_raw(spark, sf), [("trip_id", "trip_id", "bigint")] + YELLOW_COLUMNS)
+    return feat.yellow_features(y, keep=("trip_id",))
+
+
+def q_sweep_size(spark, sf):
+    y = _yellow_ev(spark, sf)
+    lr = ex.sweep_size(y, ["trip_km", "trip_time"], "lr", 8)
+    dt = ex.sweep_size(y, ["trip_km", "trip_time"], "dt", 8)
+    return lr.unionByName(dt)
+
+
+def q_sweep_parallelism(spark, sf):
+    y = _yellow_ev(spark, sf)
+    return ex.sweep_parallelism(y, ["trip_km", "trip_time"], "lr")
+
+
+VOTE_FEATURES = ["pickupyear", "pickupmonth", "pickupdayofyear", "PULocationID", "DOLocationID", "trip_time",
+                 "trip_meters", "week", "daily_numTrips", "isWeekend", "prcp_mm", "TMAXExtremity",
+                 "TMINExtremity", "pt_taxi_ratio"]
+
+
+def q_feature_votes(spark, sf):
+    c = _li_cal(spark, sf).withColumn("trip_meters", rates.trip_meters())
+    t = ctx.context_table(c, ad.weather(spark, sf), ad.transit(spark, sf), ad.TRANSIT_MODES)
+    j = ctx.attach_context(c, t.select("pickupdate", "pickuphour", "daily_numTrips", "isWeekend", "prcp_mm",
+                                       "TMAXExtremity", "TMINExtremity", "pt_taxi_ratio"))
+    sel = lm.select_features(j, VOTE_FEATURES, feat.LABEL, n_buckets=24, n_trees=100, depth=5)
+    return _out(lm.feature_votes(sel, VOTE_FEATURES))
+
+
+# --- weekly series and forecasts -------------------------------------------
+
+def _li_lags(spark, sf):
+    return fc.weekly_lags(fc.weekly_counts(_li(spark, sf), "PULocationID"))
+
+
+def q_weekly_lags(spark, sf):
+    return _out(_li_lags(spark, sf))
+
+
+def _forecast(model):
+    def q(spark, sf):
+        f = fc.forecast(_li_lags(spark, sf)).where(F.col("model") == model)
+        return _out(f, 4)
+    return q
+
+
+# --- experiment metrics -----------------------------------------------------
+
+def q_metrics_mean_runtime(spark, sf):
+    return _out(ex.mean_runtimes(ad.experiment_log(spark, sf), ["pct"]), 6)
+
+
+def q_metrics_size_up(spark, sf):
+    return _out(ex.size_up(ad.experiment_log(spark, sf)), 6)
+
+
+def q_metrics_speed_up(spark, sf):
+    return _out(ex.speed_up(ad.experiment_log(spark, sf)), 6)
+
+
+def q_metrics_scale_up(spark, sf):
+    return _out(ex.scale_up(ad.experiment_log(spark, sf)), 6)
+
+
+def q_metrics_compare(spark, sf):
+    return _out(ex.compare_models(ad.experiment_log(spark, sf)), 6)
+
+
 # ---------------------------------------------------------------------------
 # DuckDB oracle SQL
 # ---------------------------------------------------------------------------
@@ -750,7 +1017,215 @@ QUERIES_B = {
     "correlation_matrix": q_correlation_matrix,
 }
 
+
+# --- oracle SQL: sources, features, models, forecasts, metrics --------------
+
+SPLIT_SQL = "((trip_id % 1000) * 761) % 1000"
+SAMPLE_SQL = "((trip_id % 1000003) * 2654435761) % 1000"
+
+
+def _bucket_sql(n: int) -> str:
+    return f"((trip_id % 1000003) * 2654435761) % {n}"
+
+
+EV_FARE = (f"{EV_FLAGS}, ff AS (SELECT trip_id, trip_time, dayofyear(pickup_datetime) AS day, "
+           f"hour(pickup_datetime) AS hour, isWeekend, isOvernight, isRushhour, trip_miles * 1609.35 AS trip_meters, "
+           f"base_passenger_fare FROM f), tr AS (SELECT * FROM ff WHERE {SPLIT_SQL} < 700), "
+           f"te AS (SELECT * FROM ff WHERE {SPLIT_SQL} >= 700)")
+
+_LR_COEF = (f"bm AS (SELECT {_bucket_sql(16)} AS bucket, avg(trip_meters) AS m1, avg(trip_time) AS m2, "
+            f"avg(base_passenger_fare) AS my, var_pop(trip_meters) AS v11, var_pop(trip_time) AS v22, "
+            f"covar_pop(trip_meters, trip_time) AS c12, covar_pop(trip_meters, base_passenger_fare) AS c1y, "
+            f"covar_pop(trip_time, base_passenger_fare) AS c2y FROM tr GROUP BY 1), "
+            f"bc AS (SELECT bucket, m1, m2, my, (v22 * c1y - c12 * c2y) / (v11 * v22 - c12 * c12) AS b1, "
+            f"(v11 * c2y - c12 * c1y) / (v11 * v22 - c12 * c12) AS b2 FROM bm), "
+            f"coef AS (SELECT bucket, my - b1 * m1 - b2 * m2 AS b0, b1, b2 FROM bc)")
+
+_ROOT_FEATS = ["trip_time", "trip_meters", "hour"]
+_ROOT_SQL = (f"{EV_FARE}, mm AS (SELECT "
+             + ", ".join(f"CAST(min({c}) AS DOUBLE) AS lo{i}, CAST(max({c}) AS DOUBLE) AS hi{i}"
+                         for i, c in enumerate(_ROOT_FEATS))
+             + " FROM tr), b AS ("
+             + " UNION ALL ".join(
+                 f"SELECT {i} AS feature, '{c}' AS fname, lo{i} AS lo, (hi{i} - lo{i}) / 32 AS w, "
+                 f"LEAST(31, GREATEST(0, CAST(floor((CAST({c} AS DOUBLE) - lo{i}) / ((hi{i} - lo{i}) / 32)) AS BIGINT))) "
+                 f"AS bin, base_passenger_fare AS y FROM tr, mm" for i, c in enumerate(_ROOT_FEATS))
+             + "), h AS (SELECT feature, fname, lo, w, bin, count(*) AS hn, sum(y) AS hs FROM b GROUP BY ALL), "
+               "c2 AS (SELECT *, sum(hn) OVER (PARTITION BY feature ORDER BY bin) AS nl, "
+               "sum(hs) OVER (PARTITION BY feature ORDER BY bin) AS sl, sum(hn) OVER (PARTITION BY feature) AS n, "
+               "sum(hs) OVER (PARTITION BY feature) AS s FROM h), "
+               "g AS (SELECT *, sl * sl / nl + (s - sl) * (s - sl) / (n - nl) - s * s / n AS gain FROM c2 "
+               "WHERE nl > 0 AND n - nl > 0) "
+               "SELECT fname AS feature_name, round(lo + (bin + 1) * w, 4) AS threshold, CAST(n AS DOUBLE) AS n, "
+               "round(gain, 4) AS gain FROM g ORDER BY gain DESC, feature, bin LIMIT 1")
+
+LI_LAGS = (f"WITH {TRIPS_LI}, wc AS (SELECT PULocationID AS series, CAST(date_trunc('week', pickup_datetime) AS DATE) "
+           f"AS week, count(*) AS n FROM trips_li GROUP BY ALL), "
+           f"span AS (SELECT series, min(week) AS w0, max(week) AS w1 FROM wc GROUP BY series), "
+           f"spine AS (SELECT series, CAST(g.generate_series AS DATE) AS week FROM span, "
+           f"generate_series(CAST(w0 AS TIMESTAMP), CAST(w1 AS TIMESTAMP), INTERVAL 7 DAY) AS g), "
+           f"filled AS (SELECT s.series, s.week, coalesce(wc.n, 0) AS n FROM spine s LEFT JOIN wc "
+           f"ON s.series = wc.series AND s.week = wc.week), "
+           f"lg AS (SELECT series, week, n, row_number() OVER w AS t, lag(n, 1) OVER w AS lag_1, "
+           f"lag(n, 52) OVER w AS lag_52 FROM filled WINDOW w AS (PARTITION BY series ORDER BY week))")
+
+_PAIR = "FILTER (WHERE d IS NOT NULL AND d_prev IS NOT NULL)"
+FORECAST = (f"{LI_LAGS}, s1 AS (SELECT *, CASE WHEN max(t) OVER (PARTITION BY series) >= 60 THEN 52 ELSE 1 END AS s "
+            f"FROM lg), s2 AS (SELECT *, CASE WHEN s = 52 THEN lag_52 ELSE lag_1 END AS y_s FROM s1), "
+            f"s3 AS (SELECT *, n - y_s AS d FROM s2), "
+            f"s4 AS (SELECT *, lag(d, 1) OVER (PARTITION BY series ORDER BY week) AS d_prev, "
+            f"CASE WHEN s = 52 THEN lag(n, 51) OVER (PARTITION BY series ORDER BY week) ELSE n END AS y_next_s FROM s3), "
+            f"fit AS (SELECT series, covar_pop(d, d_prev) {_PAIR} / nullif(var_pop(d_prev) {_PAIR}, 0) AS b, "
+            f"avg(d) {_PAIR} AS md, avg(d_prev) {_PAIR} AS mdp, max(t) AS t_last FROM s4 GROUP BY series), "
+            f"fit2 AS (SELECT series, b, md - b * mdp AS a, t_last FROM fit), "
+            f"lst AS (SELECT s4.series, s4.d AS d_last, s4.y_next_s FROM s4 JOIN fit2 "
+            f"ON s4.series = fit2.series AND s4.t = fit2.t_last), "
+            f"sc AS (SELECT s4.series, d, d - (a + b * d_prev) AS e_ar FROM s4 JOIN fit2 ON s4.series = fit2.series "
+            f"WHERE d_prev IS NOT NULL AND y_s IS NOT NULL), "
+            f"st AS (SELECT series, count(*) AS n_obs, sum(d * d) AS rss_naive, sum(e_ar * e_ar) AS rss_ar FROM sc "
+            f"GROUP BY series), o AS (SELECT * FROM st JOIN fit2 USING (series) JOIN lst USING (series)), "
+            f"bo AS (SELECT series, 'seasonal_naive' AS model, n_obs, CAST(rss_naive AS DOUBLE) AS rss, "
+            f"CASE WHEN rss_naive > 0 THEN n_obs * ln(rss_naive / n_obs) END AS aic, CAST(y_next_s AS DOUBLE) AS yhat_next "
+            f"FROM o UNION ALL SELECT series, 'ar1_seasonal_diff' AS model, n_obs, rss_ar AS rss, "
+            f"CASE WHEN rss_ar > 0 THEN n_obs * ln(rss_ar / n_obs) + 4 END AS aic, y_next_s + a + b * d_last AS yhat_next "
+            f"FROM o), best AS (SELECT series, first(model ORDER BY aic IS NULL, aic, model) AS best_model FROM bo "
+            f"GROUP BY series) SELECT bo.series, bo.model, bo.n_obs, round(bo.rss, 4) AS rss, round(bo.aic, 4) AS aic, "
+            f"round(bo.yhat_next, 4) AS yhat_next, bo.model = best.best_model AS best FROM bo JOIN best USING (series)")
+
+EXPLOG = "explog AS (SELECT " + ", ".join(ad.EXPLOG_EXPRS) + " FROM orders)"
+
+
+def _means_sql(keys: str) -> str:
+    return (f"m AS (SELECT model, {keys}, avg(runtime) AS runtime, avg(runtime_no_overhead) AS runtime_no_overhead, "
+            f"avg(runtime) - avg(runtime_no_overhead) AS overhead FROM explog GROUP BY model, {keys})")
+
+
+def _r6(c: str, alias: str | None = None) -> str:
+    return f"round({c}, 6) AS {alias or c}"
+
+
+_MEANS_COLS = f"{_r6('runtime')}, {_r6('runtime_no_overhead')}, {_r6('overhead')}"
+
+ORACLE.update({
+    "conform_types": f"WITH {TRIPS_EV} SELECT trip_id, CASE WHEN trip_id % 50 = 0 THEN NULL ELSE PULocationID END "
+                     f"AS PULocationID, DOLocationID, CAST(trip_id % 3 AS DOUBLE) AS airport_fee, "
+                     f"CAST(trip_id % 2 AS VARCHAR) AS wav_match_flag FROM trips_ev",
+    "scan_conformed_union": f"WITH {TRIPS_EV}, u AS (SELECT CASE WHEN trip_id % 3 = 0 THEN '1' ELSE '0' END AS wav_match_flag, "
+                            f"CAST(trip_id % 4 AS DOUBLE) AS airport_fee, PULocationID FROM trips_ev WHERE trip_id % 2 = 0 "
+                            f"UNION ALL SELECT CASE WHEN trip_id % 3 = 0 THEN 'Y' ELSE 'N' END, base_passenger_fare, "
+                            f"PULocationID FROM trips_ev WHERE trip_id % 2 = 1) SELECT wav_match_flag, count(*) AS n, "
+                            f"{_xsum('airport_fee')} AS airport_fee_sum, CAST(sum(PULocationID) AS BIGINT) AS pu_sum "
+                            f"FROM u GROUP BY wav_match_flag",
+    "schema_drift": "SELECT * FROM (VALUES (1, 'PULocationID', 'int', 'string'), (1, 'airport_fee', 'int', 'double'), "
+                    "(1, 'wav_match_flag', 'int', 'string')) AS v(file_index, \"column\", prev_type, type) "
+                    "WHERE (SELECT count(*) FROM events) > 0",
+    "empty_union_identity": f"WITH {TRIPS_EV} SELECT hvfhs_license_num, count(*) AS n, count(*) AS n_null_base "
+                            f"FROM trips_ev GROUP BY hvfhs_license_num",
+    "log_append_roundtrip": f"WITH {EXPLOG} SELECT model, CAST(cores AS BIGINT) AS cores, CAST(pct AS BIGINT) AS pct, "
+                            f"count(*) AS n, {_xsum('runtime')} AS runtime_sum FROM explog GROUP BY ALL",
+    "export_roundtrip": None,  # filled below (same text as zone_heat_table)
+    "complete_features": f"WITH {TRIPS_EV} SELECT trip_id, trip_miles / nullif(trip_time, 0) * 3600 AS speed, "
+                         f"trip_miles * 1609.35 AS trip_meters FROM trips_ev WHERE trip_time <> 0",
+    "fare_features": f"{EV_FARE} SELECT trip_id, trip_time, day, isWeekend, isOvernight, isRushhour, trip_meters, "
+                     f"base_passenger_fare FROM ff",
+    "assembled_rows": f"{EV_FARE} SELECT trip_id, CAST(trip_time AS DOUBLE) AS f0, CAST(day AS DOUBLE) AS f1, "
+                      f"CAST(isWeekend AS DOUBLE) AS f2, CAST(isOvernight AS DOUBLE) AS f3, "
+                      f"CAST(isRushhour AS DOUBLE) AS f4, trip_meters AS f5 FROM ff",
+    "train_test_split": f"WITH {TRIPS_LI} SELECT 'train' AS side, count(*) AS n_rows, {_xsum('base_passenger_fare')} "
+                        f"AS fare_sum FROM trips_li WHERE {SPLIT_SQL} < 700 UNION ALL SELECT 'test', count(*), "
+                        f"{_xsum('base_passenger_fare')} FROM trips_li WHERE {SPLIT_SQL} >= 700",
+    "sample_by_key": f"WITH {TRIPS_LI} " + " UNION ALL ".join(
+        f"SELECT CAST({p} AS BIGINT) AS pct, count(*) FILTER (WHERE {SAMPLE_SQL} < {p * 10}) AS n_rows FROM trips_li"
+        for p in [10, 20, 40, 80, 100]),
+    "bucket_sizes": f"WITH {TRIPS_LI} SELECT CAST({_bucket_sql(16)} AS BIGINT) AS bucket, count(*) AS n_rows "
+                    f"FROM trips_li WHERE {SPLIT_SQL} < 700 GROUP BY 1",
+    "ols_single": f"{EV_FARE} SELECT round(regr_slope(base_passenger_fare, trip_meters), 10) AS slope, "
+                  f"round(regr_intercept(base_passenger_fare, trip_meters), 8) AS intercept, "
+                  f"CAST(regr_count(base_passenger_fare, trip_meters) AS BIGINT) AS n FROM tr",
+    "rmse": f"{EV_FARE}, o AS (SELECT regr_slope(base_passenger_fare, trip_meters) AS b, "
+            f"regr_intercept(base_passenger_fare, trip_meters) AS a FROM tr) SELECT count(*) AS n, "
+            f"round(sqrt(avg(pow(base_passenger_fare - (a + b * trip_meters), 2))), 6) AS rmse FROM te, o",
+    "local_lr_models": f"{EV_FARE}, {_LR_COEF} SELECT CAST(bucket AS BIGINT) AS bucket, 'intercept' AS term, "
+                       f"round(b0, 6) AS coef FROM coef UNION ALL SELECT bucket, 'trip_meters', round(b1, 6) FROM coef "
+                       f"UNION ALL SELECT bucket, 'trip_time', round(b2, 6) FROM coef",
+    "local_lr_predictions": f"{EV_FARE}, {_LR_COEF}, mc AS (SELECT avg(b0) AS b0, avg(b1) AS b1, avg(b2) AS b2 FROM coef) "
+                            f"SELECT count(*) AS n, round(sqrt(avg(pow(base_passenger_fare - (b0 + trip_meters * b1 "
+                            f"+ trip_time * b2), 2))), 6) AS rmse FROM te, mc",
+    "tree_root_split": _ROOT_SQL,
+    "weekly_lags": f"{LI_LAGS} SELECT * FROM lg",
+    "forecast_naive": f"SELECT * FROM ({FORECAST}) WHERE model = 'seasonal_naive'",
+    "forecast_ar": f"SELECT * FROM ({FORECAST}) WHERE model = 'ar1_seasonal_diff'",
+    "metrics_mean_runtime": f"WITH {EXPLOG}, {_means_sql('pct')} SELECT model, CAST(pct AS BIGINT) AS pct, "
+                            f"{_MEANS_COLS} FROM m",
+    "metrics_size_up": f"WITH {EXPLOG}, {_means_sql('pct')} SELECT model, CAST(pct AS BIGINT) AS pct, {_MEANS_COLS}, "
+                       f"{_r6('runtime / first_value(runtime) OVER w', 'size_up')}, "
+                       f"{_r6('runtime_no_overhead / first_value(runtime_no_overhead) OVER w', 'size_up_no_overhead')}, "
+                       f"{_r6('pct / first_value(pct) OVER w', 'ideal')} FROM m "
+                       f"WINDOW w AS (PARTITION BY model ORDER BY pct)",
+    "metrics_speed_up": f"WITH {EXPLOG}, {_means_sql('cores')} SELECT model, CAST(cores AS BIGINT) AS cores, "
+                        f"{_MEANS_COLS}, {_r6('first_value(runtime) OVER w / runtime', 'speed_up')}, "
+                        f"{_r6('first_value(runtime_no_overhead) OVER w / runtime_no_overhead', 'speed_up_no_overhead')}, "
+                        f"{_r6('cores / first_value(cores) OVER w', 'ideal')} FROM m "
+                        f"WINDOW w AS (PARTITION BY model ORDER BY cores)",
+    "metrics_scale_up": f"WITH {EXPLOG}, {_means_sql('cores, pct')} SELECT model, CAST(cores AS BIGINT) AS cores, "
+                        f"CAST(pct AS BIGINT) AS pct, {_MEANS_COLS}, "
+                        f"{_r6('first_value(runtime) OVER w / runtime', 'scale_up')}, "
+                        f"{_r6('first_value(runtime_no_overhead) OVER w / runtime_no_overhead', 'scale_up_no_overhead')}, "
+                        f"1.0 AS ideal FROM m WINDOW w AS (PARTITION BY model ORDER BY cores, pct)",
+    "metrics_compare": f"WITH {EXPLOG}, {_means_sql('cores, pct')}, "
+                       f"m2 AS (SELECT *, first_value(runtime) OVER w / runtime AS scale_up, "
+                       f"first_value(runtime_no_overhead) OVER w / runtime_no_overhead AS scale_up_no_overhead FROM m "
+                       f"WINDOW w AS (PARTITION BY model ORDER BY cores, pct)) "
+                       f"SELECT CAST(a.cores AS BIGINT) AS cores, CAST(a.pct AS BIGINT) AS pct, "
+                       + ", ".join(f"round({x}.{v}, 6) AS {v}_{x}" for x in ("lr", "dt")
+                                   for v in ("runtime", "runtime_no_overhead", "overhead", "scale_up",
+                                             "scale_up_no_overhead")).replace("lr.", "a.").replace("dt.", "b.")
+                       + " FROM m2 a JOIN m2 b ON a.cores = b.cores AND a.pct = b.pct "
+                         "WHERE a.model = 'lr' AND b.model = 'dt'",
+})
+ORACLE["export_roundtrip"] = ORACLE["zone_heat_table"]
+
+QUERIES_C = {
+    "conform_types": q_conform_types,
+    "scan_conformed_union": q_scan_conformed_union,
+    "schema_drift": q_schema_drift,
+    "empty_union_identity": q_empty_union_identity,
+    "log_append_roundtrip": q_log_append_roundtrip,
+    "export_roundtrip": q_export_roundtrip,
+    "complete_features": q_complete_features,
+    "fare_features": q_fare_features,
+    "assembled_rows": q_assembled_rows,
+    "train_test_split": q_train_test_split,
+    "sample_by_key": q_sample_by_key,
+    "bucket_sizes": q_bucket_sizes,
+    "ols_single": q_ols_single,
+    "rmse": q_rmse,
+    "local_lr_models": q_local_lr_models,
+    "local_lr_predictions": q_local_lr_predictions,
+    "global_lr_rmse": _global("lr"),
+    "global_dt_rmse": _global("dt"),
+    "global_gbt_rmse": _global("gbt"),
+    "local_tree_models": q_local_tree_models,
+    "local_tree_predictions": q_local_tree_predictions,
+    "tree_root_split": q_tree_root_split,
+    "sweep_local": q_sweep_local,
+    "sweep_global": q_sweep_global,
+    "sweep_depth": q_sweep_depth,
+    "sweep_size": q_sweep_size,
+    "sweep_parallelism": q_sweep_parallelism,
+    "feature_votes": q_feature_votes,
+    "weekly_lags": q_weekly_lags,
+    "forecast_naive": _forecast("seasonal_naive"),
+    "forecast_ar": _forecast("ar1_seasonal_diff"),
+    "metrics_mean_runtime": q_metrics_mean_runtime,
+    "metrics_size_up": q_metrics_size_up,
+    "metrics_speed_up": q_metrics_speed_up,
+    "metrics_scale_up": q_metrics_scale_up,
+    "metrics_compare": q_metrics_compare,
+}
+
 QUERIES.update(QUERIES_B)
+QUERIES.update(QUERIES_C)
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -763,4 +1238,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {k: v for k, v in ORACLE.items() if k in QUERIES}
+    return {k: v for k, v in ORACLE.items() if k in QUERIES and v}

@@ -65,6 +65,15 @@ def sample_by_key(df: DataFrame, fraction: float, key: str = "trip_id") -> DataF
     return df.where(sample_hash(key) < int(round(fraction * SPLIT_MOD)))
 
 
+def sample_sizes(df: DataFrame, fractions, key: str = "trip_id") -> DataFrame:
+    """Rows kept by ``sample_by_key`` for each fraction, in one pass: (pct, n_rows)."""
+    h = sample_hash(key)
+    cuts = [(int(round(f * 100)), int(round(f * SPLIT_MOD))) for f in fractions]
+    row = df.agg(*[F.count_if(h < c).alias(f"n{p}") for p, c in cuts])
+    return row.select(F.inline(F.array(*[F.struct(F.lit(p).alias("pct"), F.col(f"n{p}").alias("n_rows"))
+                                         for p, _ in cuts])))
+
+
 def sample_seeded(df: DataFrame, fraction: float, seed: int = 555) -> DataFrame:
     return df.sample(fraction=fraction, seed=seed)
 

@@ -95,3 +95,17 @@ def weather(spark: SparkSession, sf_dir: str) -> DataFrame:
             .agg((F.lit(20) + s % 80).cast("double").alias("tmax_f"),
                  (s % 60).cast("double").alias("tmin_f"),
                  F.count("*").cast("double").alias("prcp_mm")))
+
+
+# Experiment-log stand-in from orders: (model, cores, pct, runtime, runtime_no_overhead).
+EXPLOG_EXPRS = [
+    "CASE WHEN o_orderkey % 2 = 0 THEN 'lr' ELSE 'dt' END AS model",
+    "CAST(CASE o_custkey % 5 WHEN 0 THEN 1 WHEN 1 THEN 2 WHEN 2 THEN 4 WHEN 3 THEN 8 ELSE 10 END AS INT) AS cores",
+    "CAST(CASE o_orderkey % 5 WHEN 0 THEN 10 WHEN 1 THEN 20 WHEN 2 THEN 40 WHEN 3 THEN 80 ELSE 100 END AS INT) AS pct",
+    "o_totalprice / 1000 AS runtime",
+    "o_totalprice / 1250 AS runtime_no_overhead",
+]
+
+
+def experiment_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "orders").selectExpr(*EXPLOG_EXPRS)
