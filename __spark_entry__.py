@@ -1021,11 +1021,11 @@ QUERIES_B = {
 # --- oracle SQL: sources, features, models, forecasts, metrics --------------
 
 SPLIT_SQL = "((trip_id % 1000) * 761) % 1000"
-SAMPLE_SQL = "((trip_id % 1000003) * 2654435761) % 1000"
+SAMPLE_SQL = "(((trip_id % 999983) * 2246822519) % 999983) % 1000"
 
 
 def _bucket_sql(n: int) -> str:
-    return f"((trip_id % 1000003) * 2654435761) % {n}"
+    return f"(((trip_id % 1000003) * 2654435761) % 1000003) % {n}"
 
 
 EV_FARE = (f"{EV_FLAGS}, ff AS (SELECT trip_id, trip_time, dayofyear(pickup_datetime) AS day, "

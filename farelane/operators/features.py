@@ -16,10 +16,12 @@ from pyspark.sql import functions as F
 from ..functions.calendar import with_demand_flags
 from ..functions.rates import trip_duration, trip_km, trip_meters
 
-# Multiplicative hash constant and its reduction moduli.
+# Multiplicative hash constants and their reduction moduli.
 HASH_MULT = 2654435761
 SPLIT_MOD = 1000
 BUCKET_PRIME = 1000003
+SAMPLE_MULT = 2246822519
+SAMPLE_PRIME = 999983
 
 GLOBAL_FEATURES = ["trip_time", "day", "isWeekend", "isOvernight", "isRushhour", "trip_meters"]
 LOCAL_FEATURES = ["trip_time", "trip_meters", "hour", "isWeekend", "isOvernight", "isRushhour"]
@@ -38,14 +40,20 @@ def split_hash(key) -> Column:
     return F.pmod(F.pmod(_c(key), F.lit(SPLIT_MOD)) * F.lit(HASH_MULT % SPLIT_MOD), F.lit(SPLIT_MOD))
 
 
+def _mix(key, mult: int, prime: int) -> Column:
+    # A permutation of key mod prime; products stay below 2^63.
+    return F.pmod(F.pmod(_c(key), F.lit(prime)) * F.lit(mult), F.lit(prime))
+
+
 def bucket_of(key, n: int) -> Column:
-    """Bucket in [0, n): ((key mod 1000003) * 2654435761) mod n (no overflow)."""
-    return F.pmod(F.pmod(_c(key), F.lit(BUCKET_PRIME)) * F.lit(HASH_MULT), F.lit(n)).cast("int")
+    """Bucket in [0, n): (((key mod 1000003) * 2654435761) mod 1000003) mod n."""
+    return F.pmod(_mix(key, HASH_MULT, BUCKET_PRIME), F.lit(n)).cast("int")
 
 
 def sample_hash(key) -> Column:
-    """A second hash in [0, 1000) for sampling, independent of ``split_hash``."""
-    return F.pmod(F.pmod(_c(key), F.lit(BUCKET_PRIME)) * F.lit(HASH_MULT), F.lit(SPLIT_MOD))
+    """Hash in [0, 1000) for sampling, decorrelated from ``split_hash`` and buckets:
+    (((key mod 999983) * 2246822519) mod 999983) mod 1000."""
+    return F.pmod(_mix(key, SAMPLE_MULT, SAMPLE_PRIME), F.lit(SPLIT_MOD))
 
 
 def train_test_split(df: DataFrame, key: str = "trip_id", train_fraction: float = 0.7):
