@@ -184,9 +184,9 @@ def fit_trees(df: DataFrame, features: list[str], label: str, depth: int = 5, n_
     routed = base.withColumn("node", F.lit(1).cast("long"))
     node_tables = []
     for level in range(depth + 1):
-        stats = (routed.groupBy(group, "node")
-                 .agg(F.sum("_w").alias("n"), F.sum(F.col("_w") * F.col("_y")).alias("s")))
         if level == depth:
+            stats = (routed.groupBy(group, "node")
+                     .agg(F.sum("_w").alias("n"), F.sum(F.col("_w") * F.col("_y")).alias("s")))
             node_tables.append(stats.select(group, "node", F.lit(level).alias("level"), "n", "s",
                                             F.lit(None).cast("int").alias("feature"),
                                             F.lit(None).cast("int").alias("bin"),
@@ -195,6 +195,10 @@ def fit_trees(df: DataFrame, features: list[str], label: str, depth: int = 5, n_
         hist = (routed.select(group, "node", "_y", "_w", F.posexplode("_b").alias("feature", "bin"))
                 .groupBy(group, "node", "feature", "bin")
                 .agg(F.sum("_w").alias("hn"), F.sum(F.col("_w") * F.col("_y")).alias("hs")))
+        # Node totals from one feature's bins: the histogram's shuffle is reused,
+        # so a level reads the training rows once.
+        stats = (hist.where(F.col("feature") == 0).groupBy(group, "node")
+                 .agg(F.sum("hn").alias("n"), F.sum("hs").alias("s")))
         part = Window.partitionBy(group, "node", "feature")
         cum = part.orderBy("bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
         h = hist.select(group, "node", "feature", "bin",

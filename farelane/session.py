@@ -91,14 +91,28 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+_BOUND_CACHE: dict = {}
+
+
 def bounded_rows(df: DataFrame, max_rows: int) -> int | None:
     """Row count of ``df`` if it is at most ``max_rows``, else ``None``.
 
     ``limit`` stops the scan early for plain tables; aggregates should be
-    materialised first so the count does not recompute them.
+    materialised first so the count does not recompute them. The answer is
+    remembered per (plan, bound) for the session's lifetime, so a dimension
+    read by many queries is counted once.
     """
+    try:
+        key = (id(df.sparkSession), df.semanticHash(), max_rows)
+    except Exception:  # noqa: BLE001 - plans without a semantic hash
+        key = None
+    if key is not None and key in _BOUND_CACHE:
+        return _BOUND_CACHE[key]
     n = df.limit(max_rows + 1).count()
-    return n if n <= max_rows else None
+    out = n if n <= max_rows else None
+    if key is not None:
+        _BOUND_CACHE[key] = out
+    return out
 
 
 def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
