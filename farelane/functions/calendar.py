@@ -166,9 +166,12 @@ def with_demand_flags(df: DataFrame, date_col: str = "pickupdate",
     """
     if holidays is None:
         holidays = holiday_dim(df.sparkSession)
+    from ..session import join_small
+
     hd = holiday_dates(holidays).withColumn("_is_holiday", F.lit(True))
     hd = hd.withColumnRenamed("holiday_date", "_hdate")
-    joined = df.join(F.broadcast(hd), F.col(date_col) == F.col("_hdate"), "left")
+    # A few rows per year; a caller's own holiday table is still size-checked.
+    joined = join_small(df, hd, F.col(date_col) == F.col("_hdate"), "left", max_rows=100_000)
     weekend = F.col("_is_holiday").isNotNull() | F.dayofweek(F.col(date_col)).isin(WEEKEND_DAYS)
     out = joined.withColumns({
         "isWeekend": F.when(weekend, 1).otherwise(0),
