@@ -16,7 +16,8 @@ from ..functions.calendar import parse_date, with_demand_flags
 from ..functions.rates import safe_div, temp_extremity, transit_taxi_ratio, with_fare_rates
 from ..schemas import TRANSIT_DROPPED, TRANSIT_RENAMES
 from ..session import join_small, materialize
-from .demand import DAY_KEYS, HOUR_KEYS, daily_count, daily_stats, hourly_stats
+from .demand import (DAY_KEYS, HOUR_KEYS, daily_count, daily_stats, daily_stats_from_hourly, hourly_stats,
+                     hourly_stats_rollable)
 
 WEATHER_COLUMNS = {
     "TMAX (Degrees Fahrenheit)": "tmax_f",
@@ -98,9 +99,11 @@ def context_table(trips_cal: DataFrame, weather: DataFrame, transit: DataFrame,
     Built entirely from aggregates (hours x days rows), never from trips
     joined to trips.
     """
-    h = hourly_stats(trips_cal, exact)
-    d = daily_stats(trips_cal, exact)
-    ctx = join_small(materialize(h), materialize(d), ["pickupdate", "pickupyear", "pickupmonth"])
+    # One pass over the trips: hourly stats are written once, the daily ones
+    # are rolled up from them (hours x days rows, never the trips again).
+    h = materialize(hourly_stats_rollable(trips_cal, exact))
+    d = daily_stats_from_hourly(h)
+    ctx = join_small(h.drop("_speed_sum", "_speed_n"), d, ["pickupdate", "pickupyear", "pickupmonth"])
     ctx = with_demand_flags(ctx, "pickupdate", "pickuphour", holidays)
     ctx = with_fare_rates(ctx)
     ctx = join_weather(ctx, weather)

@@ -37,15 +37,32 @@ def daily_stats(trips_cal: DataFrame, exact: bool = False) -> DataFrame:
     return _grain_stats(trips_cal, DAY_KEYS, "daily", exact)
 
 
-def daily_stats_from_hourly(hourly: DataFrame, trips_cal: DataFrame) -> DataFrame:
-    """Daily totals rolled up from the hourly table (mean speed needs the trips)."""
-    day = hourly.groupBy("pickupdate", "pickupyear", "pickupmonth").agg(
+def hourly_stats_rollable(trips_cal: DataFrame, exact: bool = False) -> DataFrame:
+    """Hourly stats plus the speed sum and count a daily roll-up needs."""
+    speed = F.col("speed") if "speed" in trips_cal.columns else speed_mph()
+    return trips_cal.groupBy(*HOUR_KEYS).agg(
+        F.count("*").alias("hourly_numTrips"),
+        measure_sum("trip_miles", exact).alias("hourly_total_miles"),
+        F.sum("trip_time").alias("hourly_total_time"),
+        measure_sum("base_passenger_fare", exact).alias("hourly_total_base_fare"),
+        F.avg(speed).alias("hourly_mean_speed"),
+        F.sum(speed).alias("_speed_sum"),
+        F.count(speed).alias("_speed_n"))
+
+
+def daily_stats_from_hourly(hourly: DataFrame) -> DataFrame:
+    """Daily stats rolled up from ``hourly_stats_rollable`` (no second pass over trips).
+
+    Counts and sums add up exactly (decimal sums stay exact); the daily mean
+    speed is the summed speed over the summed count of defined speeds.
+    """
+    return (hourly.groupBy("pickupdate", "pickupyear", "pickupmonth").agg(
         F.sum("hourly_numTrips").alias("daily_numTrips"),
         F.sum("hourly_total_miles").alias("daily_total_miles"),
         F.sum("hourly_total_time").alias("daily_total_time"),
-        F.sum("hourly_total_base_fare").alias("daily_total_base_fare"))
-    speed = trips_cal.groupBy("pickupdate").agg(F.avg(speed_mph()).alias("daily_mean_speed"))
-    return day.join(speed, "pickupdate").withColumn("pickupdayofyear", F.dayofyear("pickupdate"))
+        F.sum("hourly_total_base_fare").alias("daily_total_base_fare"),
+        F.try_divide(F.sum("_speed_sum"), F.sum("_speed_n")).alias("daily_mean_speed"))
+        .withColumn("pickupdayofyear", F.dayofyear("pickupdate")))
 
 
 def daily_count(trips_cal: DataFrame, date_col: str = "pickupdate") -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions.calendar import week_start
+from ..session import materialize
 
 SEASON = 52
 MIN_SEASONAL_WEEKS = 60
@@ -55,6 +56,8 @@ def forecast(lags: DataFrame) -> DataFrame:
     # the value one season before next week: lag s-1 at the last row
     df = df.withColumn("y_next_s", F.when(F.col("s") == SEASON, F.lag("n", SEASON - 1).over(w))
                        .otherwise(F.col("n")))
+    # series x weeks rows, read three times below: write once, re-read.
+    df = materialize(df)
     fit = df.groupBy("series").agg(
         F.regr_slope("d", "d_prev").alias("b"),
         F.regr_intercept("d", "d_prev").alias("a"),

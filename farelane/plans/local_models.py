@@ -195,23 +195,23 @@ def fit_trees(df: DataFrame, features: list[str], label: str, depth: int = 5, n_
         hist = (routed.select(group, "node", "_y", "_w", F.posexplode("_b").alias("feature", "bin"))
                 .groupBy(group, "node", "feature", "bin")
                 .agg(F.sum("_w").alias("hn"), F.sum(F.col("_w") * F.col("_y")).alias("hs")))
-        # Node totals from one feature's bins: the histogram's shuffle is reused,
-        # so a level reads the training rows once.
-        stats = (hist.where(F.col("feature") == 0).groupBy(group, "node")
-                 .agg(F.sum("hn").alias("n"), F.sum("hs").alias("s")))
         part = Window.partitionBy(group, "node", "feature")
         cum = part.orderBy("bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
         h = hist.select(group, "node", "feature", "bin",
                         F.sum("hn").over(cum).alias("nl"), F.sum("hs").over(cum).alias("sl"),
                         F.sum("hn").over(part).alias("n"), F.sum("hs").over(part).alias("s"))
         nr, sr = F.col("n") - F.col("nl"), F.col("s") - F.col("sl")
-        gain = (F.col("sl") * F.col("sl") / F.col("nl") + sr * sr / nr - F.col("s") * F.col("s") / F.col("n"))
-        cand = h.where((F.col("nl") > 0) & (nr > 0)).withColumn("gain", gain)
-        best_w = Window.partitionBy(group, "node").orderBy(F.desc("gain"), "feature", "bin")
-        best = (cand.withColumn("_rk", F.row_number().over(best_w)).where("_rk = 1")
-                .where(F.col("gain") > min_gain).select(group, "node", "feature", "bin", "gain"))
-        level_nodes = stats.join(best, [group, "node"], "left").select(
-            group, "node", F.lit(level).alias("level"), "n", "s", "feature", "bin", "gain")
+        gain = F.when((F.col("nl") > 0) & (nr > 0),
+                      F.col("sl") * F.col("sl") / F.col("nl") + sr * sr / nr - F.col("s") * F.col("s") / F.col("n"))
+        # One row per node: its totals (n, s are node totals on every row) and
+        # its best split, if any beats ``min_gain`` (ties: lower feature, bin).
+        best_w = Window.partitionBy(group, "node").orderBy(F.desc_nulls_last("gain"), "feature", "bin")
+        top = (h.withColumn("gain", gain).withColumn("_rk", F.row_number().over(best_w)).where("_rk = 1"))
+        ok = F.col("gain") > min_gain
+        level_nodes = top.select(group, "node", F.lit(level).alias("level"), "n", "s",
+                                 F.when(ok, F.col("feature")).alias("feature"),
+                                 F.when(ok, F.col("bin")).alias("bin"),
+                                 F.when(ok, F.col("gain")).alias("gain"))
         level_nodes = materialize(level_nodes)
         node_tables.append(level_nodes)
         splits = level_nodes.where(F.col("feature").isNotNull()).select(
