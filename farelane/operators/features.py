@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.calendar import with_demand_flags
 from ..functions.rates import trip_duration, trip_km, trip_meters
+from ..session import spread
 
 # Multiplicative hash constants and their reduction moduli.
 HASH_MULT = 2654435761
@@ -140,6 +141,8 @@ def correlation_long(df: DataFrame, cols: list[str], complete: bool = True) -> D
     constant column gives a null r instead of a division error.
     """
     src = complete_features(df.select(*cols), cols) if complete else df.select(*cols)
+    # Many aggregate buffers per row: make sure every core shares the pass.
+    src = spread(src)
     aggs = [F.stddev_pop(c).alias(f"s{i}") for i, c in enumerate(cols)]
     aggs += [F.covar_pop(a, b).alias(f"c{i}_{j}") for (i, a), (j, b) in combinations(enumerate(cols), 2)]
     stats = src.agg(*aggs)

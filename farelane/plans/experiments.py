@@ -138,7 +138,7 @@ def sweep_global(train: DataFrame, test: DataFrame, features: list[str], partiti
     rows = []
     for n in partitions:
         t0 = time.time()
-        model = gm.fit_global(train.repartition(n), features, kind)
+        model = gm.fit_global(train.repartition(n), features, kind, spread_input=False)
         r = gm.rmse_value(gm.score(model, test))
         rows.append((int(n), float(r), float(time.time() - t0)))
     return _log(train.sparkSession, rows, SWEEP_SCHEMA)

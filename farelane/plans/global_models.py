@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.features import LABEL
+from ..session import spread
 
 
 def rmse(df: DataFrame, label: str = LABEL, pred: str = "prediction") -> DataFrame:
@@ -34,10 +35,15 @@ def estimator(kind: str, label: str = LABEL, depth: int = 5, seed: int = 42):
 
 
 def fit_global(train: DataFrame, features: list[str], kind: str = "gbt", label: str = LABEL,
-               depth: int = 5) -> PipelineModel:
-    """Pipeline of a skip-invalid assembler and one regressor over all rows."""
+               depth: int = 5, spread_input: bool = True) -> PipelineModel:
+    """Pipeline of a skip-invalid assembler and one regressor over all rows.
+
+    Fitting rescans the rows every iteration, so a frame with fewer partitions
+    than cores is spread first; a partition sweep passes ``spread_input=False``
+    to keep the partitioning it is measuring.
+    """
     asm = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="skip")
-    return Pipeline(stages=[asm, estimator(kind, label, depth)]).fit(train)
+    return Pipeline(stages=[asm, estimator(kind, label, depth)]).fit(spread(train) if spread_input else train)
 
 
 def score(model: PipelineModel, df: DataFrame) -> DataFrame:

@@ -23,7 +23,7 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 from pyspark.sql.window import Window
 
 from ..operators.features import with_bucket
-from ..session import materialize
+from ..session import materialize, spread
 
 NODE_EPS = 1e-9
 
@@ -180,7 +180,7 @@ def fit_trees(df: DataFrame, features: list[str], label: str, depth: int = 5, n_
     base = df.select(F.col(group), F.col(label).cast("double").alias("_y"), w.alias("_w"),
                      F.array(*[_bin_col(f, lo, hi, n_bins) for f, (lo, hi) in zip(features, edges)])
                      .alias("_b"))
-    base = materialize(base.where(F.col("_w") > 0))
+    base = materialize(spread(base.where(F.col("_w") > 0)))
     routed = base.withColumn("node", F.lit(1).cast("long"))
     node_tables = []
     for level in range(depth + 1):
@@ -306,7 +306,8 @@ def select_features(df: DataFrame, features: list[str], label: str, n_buckets: i
 
     Output (bucket, feature, importance) of the selected features.
     """
-    b = with_bucket(df, n_buckets, key)
+    # Spread the input first: the explode below multiplies rows by n_trees.
+    b = with_bucket(spread(df, max(1, n_trees // 8)), n_buckets, key)
     # Each row appears once per tree of its own bucket with a Poisson(1)
     # weight (0 drops it): rows x trees, the cost of bagging, never row pairs.
     rep = (b.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(n_trees - 1))))

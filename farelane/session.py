@@ -85,6 +85,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, "tables", f"{name}-{uuid.uuid4().hex[:12]}")
 
 
+def spread(df: DataFrame, factor: int = 1) -> DataFrame:
+    """Round-robin repartition when ``df`` has fewer partitions than cores x factor.
+
+    For iterative work (a tree level, a boosting round) that rescans the same
+    rows many times, or before an explode that multiplies rows: a single large
+    input split would otherwise keep every pass on one core. Large inputs
+    already have many splits and are returned unchanged (no extra shuffle).
+    """
+    want = df.sparkSession.sparkContext.defaultParallelism * max(1, factor)
+    return df.repartition(want) if df.rdd.getNumPartitions() < want else df
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and return the re-read plan."""
     ensure_checkpoint_dir(df.sparkSession)
