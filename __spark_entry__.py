@@ -10,8 +10,15 @@ sides; sums of doubles are rounded the same way on both sides.
 from __future__ import annotations
 
 import datetime as _dt
+import os as _os
+import sys as _sys
 from collections.abc import Callable
 
+# Importable from any working directory: the package sits next to this file.
+_ROOT = _os.path.dirname(_os.path.abspath(__file__))
+if _ROOT not in _sys.path:
+    _sys.path.insert(0, _ROOT)
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,7 +35,7 @@ from farelane.plans import forecast as fc
 from farelane.plans import global_models as gm
 from farelane.plans import local_models as lm
 from farelane.schemas import LOG_CSV_SCHEMA
-from farelane.session import scratch_path
+from farelane.session import join_small, scratch_path
 from farelane.sources import adapters as ad
 from farelane.sources import readers as rd
 
@@ -133,7 +140,7 @@ def q_holiday_dim(spark, sf):
 def q_holiday_trips(spark, sf):
     f = _ev_cal(spark, sf)
     hd = cal.holiday_dates(cal.holiday_dim(spark))
-    j = f.join(F.broadcast(hd), f.pickupdate == hd.holiday_date, "left_semi")
+    j = join_small(f, hd, f.pickupdate == hd.holiday_date, "left_semi")
     return _out(j.groupBy("pickupdate").agg(F.count("*").alias("trip_count")))
 
 

@@ -31,6 +31,15 @@ SCALE_CONF = {
 }
 
 
+def shuffle_partitions_for(input_bytes: int, target_bytes: int = 256 << 20, min_partitions: int = 8) -> int:
+    """Shuffle partitions so one partition of a full-width shuffle holds ~``target_bytes``.
+
+    For 100 TB of trips and 256 MB targets this gives ~400k; AQE then
+    coalesces the small shuffles that follow aggregation.
+    """
+    return max(min_partitions, -(-int(input_bytes) // int(target_bytes)))
+
+
 def get_session(master: str | None = None, app: str = "farelane",
                 shuffle_partitions: int | None = None,
                 extra: dict | None = None) -> SparkSession:

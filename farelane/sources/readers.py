@@ -101,6 +101,37 @@ def write_table(df: DataFrame, path: str, fmt: str = "csv", partition_by=None,
     return path
 
 
+def write_trips_partitioned(df: DataFrame, path: str, ts: str = "pickup_datetime",
+                            mode: str = "overwrite") -> str:
+    """Write trips as Parquet in pickup_year=/pickup_month= folders.
+
+    A later filter on the timestamp range, or on the two partition columns,
+    then skips whole folders (partition pruning) before any footer is read.
+    Rows are clustered by (year, month) with a ``rebalance`` hint: AQE splits
+    an oversized month (one month may hold a third of the trips) over several
+    tasks instead of sending it to one.
+    """
+    out = df.withColumns({"pickup_year": F.year(ts), "pickup_month": F.month(ts)})
+    (out.hint("rebalance", "pickup_year", "pickup_month").write.mode(mode)
+     .partitionBy("pickup_year", "pickup_month").parquet(path))
+    return path
+
+
+def read_trips_partitioned(spark: SparkSession, path: str, first_day=None, end_day=None,
+                           ts: str = "pickup_datetime") -> DataFrame:
+    """Read a partitioned trip folder, pruning folders outside [first_day, end_day)."""
+    df = spark.read.parquet(path)
+    if first_day is not None:
+        d0 = F.lit(str(first_day)).cast("date")
+        df = df.where((F.col("pickup_year") * 100 + F.col("pickup_month") >= F.year(d0) * 100 + F.month(d0))
+                      & (F.col(ts) >= d0.cast("timestamp_ntz")))
+    if end_day is not None:
+        d1 = F.lit(str(end_day)).cast("date")
+        df = df.where((F.col("pickup_year") * 100 + F.col("pickup_month") <= F.year(d1) * 100 + F.month(d1))
+                      & (F.col(ts) < d1.cast("timestamp_ntz")))
+    return df
+
+
 def append_log(df: DataFrame, path: str, fmt: str = "csv") -> str:
     """Append rows to a log table (header-less CSV or Parquet)."""
     w = df.write.mode("append")

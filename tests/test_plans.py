@@ -41,3 +41,23 @@ def test_no_python_in_sql_checked_queries(spark, sf, key):
     p = _formatted(E.queries()[key](spark, sf))
     assert "ArrowEvalPython" not in p and "BatchEvalPython" not in p and "MapInPandas" not in p
     assert "CartesianProduct" not in p
+
+
+def test_partitioned_trips_prune_folders(spark, sf, tmpdir_path):
+    from farelane.sources import adapters as ad
+    from farelane.sources import readers as rd
+
+    path = rd.write_trips_partitioned(ad.trips_li(spark, sf), f"{tmpdir_path}/trips")
+    df = rd.read_trips_partitioned(spark, path, "1998-01-01", "1998-03-01")
+    p = _formatted(df)
+    assert "PartitionFilters" in p and "pickup_year" in p
+    full = ad.trips_li(spark, sf)
+    want = full.where("pickup_datetime >= '1998-01-01' AND pickup_datetime < '1998-03-01'").count()
+    assert df.count() == want
+
+
+def test_shuffle_partitions_sizing():
+    from farelane.session import shuffle_partitions_for
+
+    assert shuffle_partitions_for(100 * 10**12) > 300_000
+    assert shuffle_partitions_for(10) == 8
