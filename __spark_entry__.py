@@ -620,6 +620,11 @@ def q_sweep_size(spark, sf):
     return lr.unionByName(dt)
 
 
+def q_sweep_scale(spark, sf):
+    y = _yellow_ev(spark, sf)
+    return ex.sweep_scale(y, ["trip_km", "trip_time"], "lr")
+
+
 def q_sweep_parallelism(spark, sf):
     y = _yellow_ev(spark, sf)
     return ex.sweep_parallelism(y, ["trip_km", "trip_time"], "lr")
@@ -1221,6 +1226,7 @@ QUERIES_C = {
     "sweep_depth": q_sweep_depth,
     "sweep_size": q_sweep_size,
     "sweep_parallelism": q_sweep_parallelism,
+    "sweep_scale": q_sweep_scale,
     "feature_votes": q_feature_votes,
     "weekly_lags": q_weekly_lags,
     "forecast_naive": _forecast("seasonal_naive"),
@@ -1235,7 +1241,7 @@ QUERIES_C = {
 QUERIES.update(QUERIES_B)
 QUERIES.update(QUERIES_C)
 # The timing sweeps and the forest votes fit many models: run them last.
-SLOW = ["sweep_parallelism", "sweep_size", "sweep_depth", "sweep_local", "feature_votes", "sweep_global"]
+SLOW = ["sweep_parallelism", "sweep_scale", "sweep_size", "sweep_depth", "sweep_local", "feature_votes", "sweep_global"]
 QUERIES = {**{k: v for k, v in QUERIES.items() if k not in SLOW}, **{k: QUERIES[k] for k in SLOW}}
 
 
