@@ -1129,7 +1129,8 @@ ORACLE.update({
                             f"PULocationID FROM trips_ev WHERE trip_id % 2 = 1) SELECT wav_match_flag, count(*) AS n, "
                             f"{_xsum('airport_fee')} AS airport_fee_sum, CAST(sum(PULocationID) AS BIGINT) AS pu_sum "
                             f"FROM u GROUP BY wav_match_flag",
-    "schema_drift": "SELECT * FROM (VALUES (1, 'PULocationID', 'int', 'string'), (1, 'airport_fee', 'int', 'double'), "
+    "schema_drift": "SELECT CAST(file_index AS BIGINT) AS file_index, \"column\", prev_type, type FROM "
+                    "(VALUES (1, 'PULocationID', 'int', 'string'), (1, 'airport_fee', 'int', 'double'), "
                     "(1, 'wav_match_flag', 'int', 'string')) AS v(file_index, \"column\", prev_type, type) "
                     "WHERE (SELECT count(*) FROM events) > 0",
     "empty_union_identity": f"WITH {TRIPS_EV} SELECT hvfhs_license_num, count(*) AS n, count(*) AS n_null_base "
@@ -1184,7 +1185,7 @@ ORACLE.update({
                         f"CAST(pct AS BIGINT) AS pct, {_MEANS_COLS}, "
                         f"{_r6('first_value(runtime) OVER w / runtime', 'scale_up')}, "
                         f"{_r6('first_value(runtime_no_overhead) OVER w / runtime_no_overhead', 'scale_up_no_overhead')}, "
-                        f"1.0 AS ideal FROM m WINDOW w AS (PARTITION BY model ORDER BY cores, pct)",
+                        f"CAST(1.0 AS DOUBLE) AS ideal FROM m WINDOW w AS (PARTITION BY model ORDER BY cores, pct)",
     "metrics_compare": f"WITH {EXPLOG}, {_means_sql('cores, pct')}, "
                        f"m2 AS (SELECT *, first_value(runtime) OVER w / runtime AS scale_up, "
                        f"first_value(runtime_no_overhead) OVER w / runtime_no_overhead AS scale_up_no_overhead FROM m "

@@ -40,6 +40,34 @@ def _norm(v):
     return ("s", str(v))
 
 
+def _spark_class(t: str) -> str:
+    t = t.lower()
+    if t in ("tinyint", "smallint", "int", "bigint"):
+        return "int" if t != "bigint" else "bigint"
+    if t in ("float", "double"):
+        return "double"
+    if t.startswith("decimal"):
+        return "decimal"
+    if t == "timestamp_ntz" or t == "timestamp":
+        return "timestamp"
+    return {"string": "string", "date": "date", "boolean": "bool"}.get(t, t)
+
+
+def _duck_class(t: str) -> str:
+    t = t.upper()
+    if t in ("TINYINT", "SMALLINT", "INTEGER", "UTINYINT", "USMALLINT", "UINTEGER"):
+        return "int"
+    if t in ("BIGINT", "UBIGINT", "HUGEINT"):
+        return "bigint" if t == "BIGINT" else t.lower()
+    if t in ("DOUBLE", "FLOAT"):
+        return "double"
+    if t.startswith("DECIMAL"):
+        return "decimal"
+    if t.startswith("TIMESTAMP"):
+        return "timestamp"
+    return {"VARCHAR": "string", "DATE": "date", "BOOLEAN": "bool"}.get(t, t.lower())
+
+
 def duck(sf_dir: str):
     con = duckdb.connect()
     for t in TABLES:
@@ -63,7 +91,12 @@ def compare(spark, con, key: str, sf_dir: str) -> dict:
         return res
     cur = con.execute(sql)
     d_cols = [c[0] for c in cur.description]
+    d_types = {c[0]: _duck_class(str(c[1])) for c in cur.description}
     d_rows = cur.fetchall()
+    s_types = {f.name: _spark_class(f.dataType.simpleString()) for f in sdf.schema.fields}
+    bad_types = {c: (s_types[c], d_types.get(c)) for c in s_types if s_types[c] != d_types.get(c)}
+    if bad_types:
+        res["types"] = str(bad_types)[:400]
     res["oracle_rows"] = len(d_rows)
     if sorted(s_cols) != sorted(d_cols):
         res["status"] = f"COLUMNS {sorted(s_cols)} vs {sorted(d_cols)}"
@@ -79,7 +112,7 @@ def compare(spark, con, key: str, sf_dir: str) -> dict:
         res["status"] = "VALUES"
         res["diff"] = str(diff)[:600]
     else:
-        res["status"] = "ok"
+        res["status"] = "ok" if "types" not in res else "TYPES"
     return res
 
 
