@@ -819,7 +819,8 @@ ORACLE: dict[str, str] = {
                                        for k, v in {"HV0002": "Juno", "HV0003": "Uber", "HV0004": "Via",
                                                     "HV0005": "Lyft"}.items())
                            + " FROM c GROUP BY pickupmonth",
-    "pivot_month_weekday": f"{LI_CAL} SELECT pickupmonth, "
+    "pivot_month_weekday": f"{LI_CAL} SELECT pickupmonth, monthname(make_date(2000, CAST(pickupmonth AS INTEGER), 1)) "
+                           f"AS month_name, "
                            + ", ".join(f"count(*) FILTER (WHERE pickupdayofweek = {i + 1}) AS {d}"
                                        for i, d in enumerate(["Sun", "Mon", "Tue", "Wed", "Thu", "Fri", "Sat"]))
                            + " FROM c GROUP BY pickupmonth",

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.labels import COMPANY_LABELS, WEEKDAY_NAMES
+from ..functions.labels import COMPANY_LABELS, WEEKDAY_NAMES, month_name
 from ..functions.rates import measure_sum, speed_mph
 
 HOUR_KEYS = ["pickupdate", "pickupyear", "pickupmonth", "pickuphour"]
@@ -97,11 +97,12 @@ def pivot_company_month(trips_cal: DataFrame, labelled: bool = True) -> DataFram
 
 
 def pivot_month_weekday(trips_cal: DataFrame) -> DataFrame:
-    """Months down, weekdays across, labelled Sun..Sat by value."""
+    """Months down (number and name), weekdays across, labelled Sun..Sat by value."""
     days = list(range(1, 8))
     p = (trips_cal.groupBy("pickupmonth").pivot("pickupdayofweek", days).count()
          .fillna(0, subset=[str(d) for d in days]))
-    return p.withColumnsRenamed({str(d): WEEKDAY_NAMES[d - 1] for d in days}).orderBy("pickupmonth")
+    p = p.withColumnsRenamed({str(d): WEEKDAY_NAMES[d - 1] for d in days})
+    return p.withColumn("month_name", month_name("pickupmonth")).orderBy("pickupmonth")
 
 
 def weekly_series(trips_cal: DataFrame, week_col: str = "week", by: list[str] | None = None) -> DataFrame:
