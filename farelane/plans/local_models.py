@@ -23,7 +23,7 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 from pyspark.sql.window import Window
 
 from ..operators.features import with_bucket
-from ..session import materialize, spread
+from ..session import join_small, materialize, spread
 
 NODE_EPS = 1e-9
 
@@ -216,8 +216,9 @@ def fit_trees(df: DataFrame, features: list[str], label: str, depth: int = 5, n_
         node_tables.append(level_nodes)
         splits = level_nodes.where(F.col("feature").isNotNull()).select(
             group, "node", F.col("feature").alias("_sf"), F.col("bin").alias("_sb"))
-        # Split table: at most groups x 2^level rows, a bound set by parameters.
-        routed = (routed.join(F.broadcast(splits), [group, "node"], "inner")
+        # Split table: at most groups x 2^level rows (a bound set by parameters),
+        # still counted before it is broadcast.
+        routed = (join_small(routed, splits, [group, "node"], "inner")
                   .withColumn("node", F.col("node") * 2
                               + (F.element_at("_b", F.col("_sf") + 1) > F.col("_sb")).cast("long"))
                   .drop("_sf", "_sb"))
