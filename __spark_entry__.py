@@ -201,12 +201,9 @@ def q_join_zone(spark, sf):
 def q_zone_heat_table(spark, sf):
     z = ad.zones(spark, sf)
     names = z.select(F.col("Zone").alias("zone"))
-    ev = _ev_flags(spark, sf)
-    pu = demand.zone_counts(ctx.join_zone(ev, z, "PU"), "PU")
-    do = demand.zone_counts(ctx.join_zone(ev, z, "DO"), "DO")
-    # Flag counts only for weekday trips: zones without any get 0 via the left join.
-    fl = demand.zone_flag_counts(ctx.join_zone(ev.where("pickupdayofweek NOT IN (1, 7)"), z, "PU"))
-    return _out(ctx.zone_heat_table(names, pu, do, fl))
+    # One pass: pickup, dropoff and (weekday-only) flag counts per zone.
+    act = ctx.zone_activity(_ev_flags(spark, sf), z, F.dayofweek("pickupdate").isin(2, 3, 4, 5, 6))
+    return _out(ctx.zone_heat_table(names, act))
 
 
 def q_top_zones(spark, sf):

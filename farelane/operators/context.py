@@ -131,10 +131,39 @@ def join_zone(trips: DataFrame, zones_raw: DataFrame, role: str = "PU", how: str
     return join_small(trips, zone_dim(zones_raw, role), [f"{role}LocationID"], how)
 
 
-def zone_heat_table(zone_names: DataFrame, pu: DataFrame, do: DataFrame, flags: DataFrame) -> DataFrame:
-    """Zone table left-joined with pickup, dropoff and flag counts; misses become 0."""
+def zone_activity(trips_flagged: DataFrame, zones_raw: DataFrame, flag_where=None) -> DataFrame:
+    """Pickup, dropoff and pickup-flag counts per zone name in one pass over the trips.
+
+    Each trip becomes a pickup-role and a dropoff-role row; one zone join and
+    one grouped aggregate (map-side partial) give (zone, pu_count, do_count,
+    overnight_count, rushhour_count, weekend_count). ``flag_where`` limits the
+    trips whose flags are counted (pickup role only, as the flag table does).
+    """
+    keep = F.lit(True) if flag_where is None else flag_where
+    roles = trips_flagged.select(F.inline(F.array(
+        F.struct(F.lit("PU").alias("role"), F.col("PULocationID").alias("loc"),
+                 *[F.when(keep, F.col(c)).otherwise(0).alias(c) for c in ("isOvernight", "isRushhour", "isWeekend")]),
+        F.struct(F.lit("DO").alias("role"), F.col("DOLocationID").alias("loc"),
+                 *[F.lit(0).alias(c) for c in ("isOvernight", "isRushhour", "isWeekend")]))))
+    z = zone_dim(zones_raw, "X").withColumnRenamed("XLocationID", "loc")
+    j = join_small(roles, z, ["loc"])
+    pu = F.col("role") == "PU"
+    return j.groupBy(F.col("XZone").alias("zone")).agg(
+        F.count_if(pu).alias("pu_count"),
+        F.count_if(~pu).alias("do_count"),
+        F.sum("isOvernight").alias("overnight_count"),
+        F.sum("isRushhour").alias("rushhour_count"),
+        F.sum("isWeekend").alias("weekend_count"))
+
+
+def zone_heat_table(zone_names: DataFrame, *counts: DataFrame) -> DataFrame:
+    """Zone table left-joined with count tables keyed by ``zone``; misses become 0.
+
+    The count tables may be separate (pickup, dropoff, flags) or the single
+    table of ``zone_activity``.
+    """
     out = zone_names
-    for side in (pu, do, flags):
+    for side in counts:
         out = join_small(out, side, ["zone"], "left")
     counts = [c for c in out.columns if c.endswith("_count")]
     return out.fillna(0, subset=counts).withColumns({c: F.col(c).cast("int") for c in counts})
