@@ -249,7 +249,12 @@ def score_tree_ensemble(models: TreeModels, df: DataFrame, out: str = "predictio
     """
     depth = models.depth if depth is None else depth
     groups, feat, sbin, val = models.arrays(depth)
-    bc = df.sparkSession.sparkContext.broadcast((feat, sbin, val))
+    try:
+        bc = df.sparkSession.sparkContext.broadcast((feat, sbin, val))
+    except Exception:  # noqa: BLE001 - no SparkContext (Connect): ship with the closure
+        class _Held:
+            value = (feat, sbin, val)
+        bc = _Held()
     features, edges, n_bins = models.features, models.edges, models.n_bins
     schema = StructType(list(df.schema.fields) + [StructField(out, DoubleType(), True)])
 

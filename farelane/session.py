@@ -70,7 +70,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     master is local (tests); a cluster without the setting is an error,
     because a machine-local folder would be lost with its executor.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - a Connect session: the server's setting applies
+        return spark.conf.get("spark.checkpoint.dir", None) or ""
     current = sc.getCheckpointDir()
     if current:
         return current
@@ -91,6 +94,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint folder for written tables."""
     base = ensure_checkpoint_dir(spark)
+    if not base:
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder")
     return os.path.join(base, "tables", f"{name}-{uuid.uuid4().hex[:12]}")
 
 
@@ -102,8 +107,12 @@ def spread(df: DataFrame, factor: int = 1) -> DataFrame:
     input split would otherwise keep every pass on one core. Large inputs
     already have many splits and are returned unchanged (no extra shuffle).
     """
-    want = df.sparkSession.sparkContext.defaultParallelism * max(1, factor)
-    return df.repartition(want) if df.rdd.getNumPartitions() < want else df
+    try:
+        want = df.sparkSession.sparkContext.defaultParallelism * max(1, factor)
+        have = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD view (e.g. a Connect session): leave as is
+        return df
+    return df.repartition(want) if have < want else df
 
 
 def materialize(df: DataFrame) -> DataFrame:
