@@ -23,7 +23,7 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 from pyspark.sql.window import Window
 
 from ..operators.features import with_bucket
-from ..session import join_small, materialize, spread
+from ..session import BROADCAST_MAX_ROWS, join_small, materialize, spread
 
 NODE_EPS = 1e-9
 
@@ -214,11 +214,17 @@ def fit_trees(df: DataFrame, features: list[str], label: str, depth: int = 5, n_
                                  F.when(ok, F.col("gain")).alias("gain"))
         level_nodes = materialize(level_nodes)
         node_tables.append(level_nodes)
+        if level == 0:
+            n_groups = level_nodes.count()  # one root per group
         splits = level_nodes.where(F.col("feature").isNotNull()).select(
             group, "node", F.col("feature").alias("_sf"), F.col("bin").alias("_sb"))
-        # Split table: at most groups x 2^level rows (a bound set by parameters),
-        # still counted before it is broadcast.
-        routed = (join_small(routed, splits, [group, "node"], "inner")
+        # The split table has at most groups x 2^level rows: broadcast it under
+        # that proven bound, else let join_small count it.
+        if n_groups * 2 ** level <= BROADCAST_MAX_ROWS:
+            joined = routed.join(F.broadcast(splits), [group, "node"], "inner")
+        else:
+            joined = join_small(routed, splits, [group, "node"], "inner")
+        routed = (joined
                   .withColumn("node", F.col("node") * 2
                               + (F.element_at("_b", F.col("_sf") + 1) > F.col("_sb")).cast("long"))
                   .drop("_sf", "_sb"))
