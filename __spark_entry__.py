@@ -405,6 +405,21 @@ CORR_COLS = ["trip_miles", "trip_time", "base_passenger_fare", "daily_numTrips",
              "prcp_mm", "TMINExtremity", "pt_taxi_ratio", "isWeekend"]
 
 
+WIDE_CTX = ["hourly_numTrips", "daily_numTrips", "isWeekend", "isOvernight", "isRushhour",
+            "d_base_fare_per_mile", "d_base_fare_per_min", "h_base_fare_per_mile", "h_base_fare_per_min",
+            "tmax_f", "tmin_f", "prcp_mm", "TMAXExtremity", "TMINExtremity", *ad.TRANSIT_MODES, "pt_taxi_ratio"]
+WIDE_TRIP = ["trip_miles", "trip_time", "base_passenger_fare", "PULocationID", "DOLocationID", "pickupyear",
+             "pickupmonth", "pickupdayofyear", "pickuphour", "week"]
+
+
+def q_correlation_matrix_wide(spark, sf):
+    """All numeric columns of trips with their (date, hour) context (the last, widest stage)."""
+    c = _li_cal(spark, sf)
+    t = ctx.context_table(c, ad.weather(spark, sf), ad.transit(spark, sf), ad.TRANSIT_MODES, exact=True)
+    j = ctx.attach_context(c, t.select("pickupdate", "pickuphour", *WIDE_CTX))
+    return _out(feat.correlation_long(j, WIDE_TRIP + WIDE_CTX), 6)
+
+
 def q_correlation_matrix(spark, sf):
     c = _li_cal(spark, sf)
     t = ctx.context_table(c, ad.weather(spark, sf), ad.transit(spark, sf), ad.TRANSIT_MODES, exact=True)
@@ -1001,6 +1016,11 @@ ORACLE.update({
     "attach_context": f"{LI_CTX} SELECT c.trip_id, c.pickupdate, x.pt_taxi_ratio, x.TMAXExtremity, x.isWeekend, "
                       f"x.isRushhour, x.daily_numTrips FROM c JOIN ctx x ON c.pickupdate = x.pickupdate "
                       f"AND c.pickuphour = x.pickuphour",
+    "correlation_matrix_wide": _corr_sql(WIDE_TRIP + WIDE_CTX, f"{LI_CTX}, jj AS (SELECT "
+                                         + ", ".join(f"c.{x}" for x in WIDE_TRIP) + ", "
+                                         + ", ".join(f"x.{x}" for x in WIDE_CTX)
+                                         + " FROM c JOIN ctx x ON c.pickupdate = x.pickupdate "
+                                           "AND c.pickuphour = x.pickuphour)"),
     "correlation_matrix": _corr_sql(CORR_COLS, f"{LI_CTX}, jj AS (SELECT c.trip_miles, c.trip_time, "
                                                f"c.base_passenger_fare, x.daily_numTrips, x.tmax_f, x.tmin_f, "
                                                f"x.prcp_mm, x.TMINExtremity, x.pt_taxi_ratio, x.isWeekend FROM c "
@@ -1026,6 +1046,7 @@ QUERIES_B = {
     "context_features": q_context_features,
     "attach_context": q_attach_context,
     "correlation_matrix": q_correlation_matrix,
+    "correlation_matrix_wide": q_correlation_matrix_wide,
 }
 
 

@@ -132,17 +132,24 @@ def adapt(df: DataFrame, spec) -> DataFrame:
     return df.select(*[F.col(o).try_cast(t).alias(n) for o, n, t in spec])
 
 
-def correlation_long(df: DataFrame, cols: list[str], complete: bool = True) -> DataFrame:
+WIDE_CORRELATION = 8
+
+
+def correlation_long(df: DataFrame, cols: list[str], complete: bool = True, method: str = "auto") -> DataFrame:
     """Pearson correlation of every pair of ``cols`` as (col_a, col_b, r).
 
-    One aggregation pass (partial aggregates per task, a single-row merge)
-    computes covar_pop and stddev_pop for all pairs; rows with a null/NaN in
-    any column are removed first (listwise, like the vector assembler). A
-    constant column gives a null r instead of a division error.
+    ``sql`` (default up to 8 columns): one aggregation pass (partial
+    aggregates per task, a single-row merge) computes covar_pop and
+    stddev_pop for all pairs. ``ml`` (wider tables): Spark ML's
+    ``Correlation.corr`` folds a k x k Gram matrix in one tree-aggregated
+    pass. Either way rows with a null/NaN in any column are removed first
+    (listwise, like the vector assembler) and a constant column gives a null r.
     """
     src = complete_features(df.select(*cols), cols) if complete else df.select(*cols)
     # Many aggregate buffers per row: make sure every core shares the pass.
     src = spread(src)
+    if method == "ml" or (method == "auto" and len(cols) > WIDE_CORRELATION):
+        return _correlation_ml(src, cols)
     aggs = [F.stddev_pop(c).alias(f"s{i}") for i, c in enumerate(cols)]
     aggs += [F.covar_pop(a, b).alias(f"c{i}_{j}") for (i, a), (j, b) in combinations(enumerate(cols), 2)]
     stats = src.agg(*aggs)
@@ -156,3 +163,22 @@ def correlation_long(df: DataFrame, cols: list[str], complete: bool = True) -> D
                 r = F.try_divide(F.col(f"c{lo}_{hi}"), F.col(f"s{lo}") * F.col(f"s{hi}"))
             entries.append(F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), r.alias("r")))
     return stats.select(F.inline(F.array(*entries)))
+
+
+def _correlation_ml(src: DataFrame, cols: list[str]) -> DataFrame:
+    from pyspark.ml.stat import Correlation
+
+    vec = VectorAssembler(inputCols=list(cols), outputCol="_v", handleInvalid="skip").transform(src)
+    m = Correlation.corr(vec, "_v").first()[0].toArray()  # k x k, k = len(cols)
+    k = len(cols)
+    # The diagonal is 1 even for a constant column; a column whose every
+    # off-diagonal is NaN may be constant: check its variance (null r if so).
+    amb = [i for i in range(k) if all(m[i, j] != m[i, j] for j in range(k) if j != i)]
+    if amb:
+        sd = src.agg(*[F.stddev_pop(cols[i]).alias(f"s{i}") for i in amb]).first()
+        for i in amb:
+            if not sd[f"s{i}"]:
+                m[i, i] = float("nan")
+    rows = [(a, b, None if m[i, j] != m[i, j] else float(m[i, j]))
+            for i, a in enumerate(cols) for j, b in enumerate(cols)]
+    return src.sparkSession.createDataFrame(rows, "col_a string, col_b string, r double")

@@ -145,3 +145,20 @@ def test_experiment_log_metrics_known_means(spark):
     assert abs(su[("lr", 10)].runtime - 1.5) < 1e-12 and su[("lr", 10)].size_up == 1.0
     assert abs(su[("dt", 100)].size_up - 10.5 / 2.5) < 1e-12
     assert abs(su[("lr", 40)].overhead - 0.5) < 1e-12 and su[("lr", 80)].ideal == 8.0
+
+
+def test_wide_correlation_methods_agree(spark, sf):
+    from farelane.functions import calendar as c
+    from farelane.sources import adapters as ad
+
+    t = c.with_calendar(ad.trips_li(spark, sf)).withColumn("const", F.lit(3.0))
+    cols = ["trip_miles", "trip_time", "base_passenger_fare", "PULocationID", "DOLocationID", "pickupyear",
+            "pickupmonth", "pickupdayofyear", "week", "const"]
+    a = {(r.col_a, r.col_b): r.r for r in feat.correlation_long(t, cols, method="sql").collect()}
+    b = {(r.col_a, r.col_b): r.r for r in feat.correlation_long(t, cols, method="ml").collect()}
+    assert a.keys() == b.keys()
+    for k in a:
+        if a[k] is None or b[k] is None:
+            assert "const" in k
+        else:
+            assert abs(a[k] - b[k]) < 1e-9, k
