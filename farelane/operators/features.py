@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.calendar import with_demand_flags
 from ..functions.rates import trip_duration, trip_km, trip_meters
-from ..session import spread
+from ..session import local_table, spread
 
 # Multiplicative hash constants and their reduction moduli.
 HASH_MULT = 2654435761
@@ -181,4 +181,4 @@ def _correlation_ml(src: DataFrame, cols: list[str]) -> DataFrame:
                 m[i, i] = float("nan")
     rows = [(a, b, None if m[i, j] != m[i, j] else float(m[i, j]))
             for i, a in enumerate(cols) for j, b in enumerate(cols)]
-    return src.sparkSession.createDataFrame(rows, "col_a string, col_b string, r double")
+    return local_table(src.sparkSession, rows, "col_a string, col_b string, r double")

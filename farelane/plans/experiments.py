@@ -15,6 +15,7 @@ from pyspark.sql.window import Window
 
 from ..operators.features import LABEL, sample_by_key, train_test_split, with_bucket
 from ..schemas import LOG_SCHEMA, SWEEP_SCHEMA
+from ..session import local_table
 from . import global_models as gm
 from . import local_models as lm
 
@@ -99,7 +100,9 @@ def compare_models(log: DataFrame, a: str = "lr", b: str = "dt", keys=("cores",
 # ---------------------------------------------------------------------------
 
 def _log(spark: SparkSession, rows, schema) -> DataFrame:
-    return spark.createDataFrame(rows, schema)
+    if not isinstance(schema, str):
+        schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema.fields)
+    return local_table(spark, rows, schema)
 
 
 def fit_and_score_local(train: DataFrame, test: DataFrame, features: list[str], n_buckets: int,

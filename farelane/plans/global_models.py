@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.features import LABEL
-from ..session import spread
+from ..session import local_table, spread
 
 
 def rmse(df: DataFrame, label: str = LABEL, pred: str = "prediction") -> DataFrame:
@@ -59,8 +59,8 @@ def global_rmse(train: DataFrame, test: DataFrame, features: list[str], kind: st
     secs = time.time() - t0
     spark = train.sparkSession
     n_train = train.count()
-    return spark.createDataFrame([(kind, int(n_train), int(r["n"]), float(r["rmse"]), float(secs))],
-                                 "model string, n_train long, n_test long, rmse double, seconds double")
+    return local_table(spark, [(kind, int(n_train), int(r["n"]), float(r["rmse"]), float(secs))],
+                       "model string, n_train bigint, n_test bigint, rmse double, seconds double")
 
 
 def ols_single(df: DataFrame, x: str, y: str = LABEL) -> DataFrame:

@@ -23,7 +23,7 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 from pyspark.sql.window import Window
 
 from ..operators.features import with_bucket
-from ..session import BROADCAST_MAX_ROWS, join_small, materialize, spread
+from ..session import BROADCAST_MAX_ROWS, join_small, local_table, materialize, spread
 
 NODE_EPS = 1e-9
 
@@ -339,6 +339,6 @@ def select_features(df: DataFrame, features: list[str], label: str, n_buckets: i
 def feature_votes(selected: DataFrame, domain: list[str]) -> DataFrame:
     """Votes per feature over buckets; features never selected get 0."""
     spark = selected.sparkSession
-    dom = spark.createDataFrame([(f,) for f in domain], "feature string")
+    dom = local_table(spark, [(f,) for f in domain], "feature string")
     cnt = selected.groupBy("feature").agg(F.count("*").alias("votes"))
     return dom.join(cnt, "feature", "left").fillna(0, subset=["votes"])

@@ -145,6 +145,34 @@ def bounded_rows(df: DataFrame, max_rows: int) -> int | None:
     return out
 
 
+def _sql_literal(v) -> str:
+    if v is None:
+        return "NULL"
+    if isinstance(v, bool):
+        return "'true'" if v else "'false'"
+    if isinstance(v, float):
+        return "'NaN'" if v != v else f"'{v!r}'"
+    return "'" + str(v).replace("'", "''") + "'"
+
+
+def local_table(spark: SparkSession, rows, schema: str) -> DataFrame:
+    """A small driver-side table (a few result or parameter rows) as one SQL VALUES relation.
+
+    ``schema`` is "name type, ...". Values travel as text literals cast to
+    their types, so floats round-trip exactly and no Python worker is needed.
+    """
+    fields = [f.strip().split() for f in schema.split(",")]
+    names = [f[0] for f in fields]
+    types = [" ".join(f[1:]) for f in fields]
+    rows = list(rows)
+    if not rows:
+        return spark.createDataFrame([], schema)
+    values = ", ".join("(" + ", ".join(_sql_literal(v) for v in r) + ")" for r in rows)
+    cols = ", ".join(f"CAST(c{i} AS {t}) AS `{n}`" for i, (n, t) in enumerate(zip(names, types)))
+    alias = ", ".join(f"c{i}" for i in range(len(names)))
+    return spark.sql(f"SELECT {cols} FROM VALUES {values} AS t({alias})")
+
+
 def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
                max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Join ``small`` onto ``big``, broadcasting it only under a checked bound.

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..schemas import DRIFT_TARGETS, LOG_CSV_SCHEMA, TRIP_SCHEMA
+from ..session import local_table
 
 
 def read_trips(spark: SparkSession, path, schema: StructType | None = None) -> DataFrame:
@@ -65,7 +66,7 @@ def schema_drift(spark: SparkSession, paths: list[str]) -> DataFrame:
     rows = [(i, p, f.name, f.dataType.simpleString())
             for i, (p, s) in enumerate(_footer_schemas(spark, list(paths)))
             for f in s.fields]
-    df = spark.createDataFrame(rows, "file_index int, file string, column string, type string")
+    df = local_table(spark, rows, "file_index int, file string, column string, type string")
     w = Window.partitionBy("column").orderBy("file_index")
     return (df.withColumn("prev_type", F.lag("type").over(w))
             .where(F.col("prev_type").isNotNull() & (F.col("prev_type") != F.col("type")))
