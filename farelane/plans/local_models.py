@@ -19,13 +19,15 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StructField, StructType
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 from pyspark.sql.window import Window
 
 from ..operators.features import with_bucket
 from ..session import BROADCAST_MAX_ROWS, join_small, local_table, materialize, spread
 
 NODE_EPS = 1e-9
+# Node rows of one tree level brought to the driver (groups x 2^level, ~100 bytes each).
+LEVEL_LOCAL_MAX_ROWS = 200_000
 
 
 # ---------------------------------------------------------------------------
@@ -139,18 +141,20 @@ def _bin_np(x: np.ndarray, lo: float, hi: float, n_bins: int) -> np.ndarray:
 class TreeModels:
     """Node table plus the binning it was grown on."""
 
-    def __init__(self, nodes: DataFrame, features: list[str], edges, n_bins: int, depth: int, group: str):
+    def __init__(self, nodes: DataFrame, features: list[str], edges, n_bins: int, depth: int, group: str,
+                 local: pd.DataFrame | None = None):
         self.nodes = nodes
         self.features = features
         self.edges = edges
         self.n_bins = n_bins
         self.depth = depth
         self.group = group
+        self._local = local  # driver copy when the fit already holds it (bounded node table)
 
     def arrays(self, depth: int | None = None):
         """Dense per-group arrays (bounded by groups x 2^(depth+1))."""
         depth = self.depth if depth is None else depth
-        pdf = self.nodes.toPandas()
+        pdf = self._local if self._local is not None else self.nodes.toPandas()
         groups = sorted(pdf[self.group].unique().tolist())
         gi = {g: i for i, g in enumerate(groups)}
         size = 2 ** (self.depth + 1)
@@ -166,6 +170,24 @@ class TreeModels:
         return groups, feat, sbin, val
 
 
+def _take_bounded(df: DataFrame, max_rows: int) -> pd.DataFrame | None:
+    """``df`` as pandas when it has at most ``max_rows`` rows, else ``None`` (one job)."""
+    pdf = df.limit(max_rows + 1).toPandas()
+    return pdf if len(pdf) <= max_rows else None
+
+
+def _from_local(spark, pdf: pd.DataFrame, schema: StructType) -> DataFrame:
+    return spark.createDataFrame(pdf, schema=schema)
+
+
+def _route(joined: DataFrame) -> DataFrame:
+    """One level down: left child (2n) when the row's bin <= split bin, else right (2n+1)."""
+    return (joined
+            .withColumn("node", F.col("node") * 2
+                        + (F.element_at("_b", F.col("_sf") + 1) > F.col("_sb")).cast("long"))
+            .drop("_sf", "_sb"))
+
+
 def fit_trees(df: DataFrame, features: list[str], label: str, depth: int = 5, n_bins: int = 32,
               group: str = "bucket", weight: str | None = None, min_gain: float = NODE_EPS) -> TreeModels:
     """Grow one regression tree per group, level by level, for all groups together.
@@ -181,41 +203,78 @@ def fit_trees(df: DataFrame, features: list[str], label: str, depth: int = 5, n_
                      F.array(*[_bin_col(f, lo, hi, n_bins) for f, (lo, hi) in zip(features, edges)])
                      .alias("_b"))
     base = materialize(spread(base.where(F.col("_w") > 0)))
+    spark = df.sparkSession
     routed = base.withColumn("node", F.lit(1).cast("long"))
+    # Each level's node table (one row per node: totals and best split) has at
+    # most groups x 2^level rows. Under LEVEL_LOCAL_MAX_ROWS it comes to the
+    # driver in the job that computes it, as Spark ML's tree learner does with
+    # its chosen splits, and returns as a broadcast relation; beyond that it is
+    # checkpointed to the shared folder and joined under ``join_small``.
+    local_levels: list[pd.DataFrame] | None = []
     node_tables = []
     for level in range(depth + 1):
         if level == depth:
             stats = (routed.groupBy(group, "node")
                      .agg(F.sum("_w").alias("n"), F.sum(F.col("_w") * F.col("_y")).alias("s")))
-            node_tables.append(stats.select(group, "node", F.lit(level).alias("level"), "n", "s",
-                                            F.lit(None).cast("int").alias("feature"),
-                                            F.lit(None).cast("int").alias("bin"),
-                                            F.lit(None).cast("double").alias("gain")))
-            break
-        hist = (routed.select(group, "node", "_y", "_w", F.posexplode("_b").alias("feature", "bin"))
-                .groupBy(group, "node", "feature", "bin")
-                .agg(F.sum("_w").alias("hn"), F.sum(F.col("_w") * F.col("_y")).alias("hs")))
-        part = Window.partitionBy(group, "node", "feature")
-        cum = part.orderBy("bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        h = hist.select(group, "node", "feature", "bin",
-                        F.sum("hn").over(cum).alias("nl"), F.sum("hs").over(cum).alias("sl"),
-                        F.sum("hn").over(part).alias("n"), F.sum("hs").over(part).alias("s"))
-        nr, sr = F.col("n") - F.col("nl"), F.col("s") - F.col("sl")
-        gain = F.when((F.col("nl") > 0) & (nr > 0),
-                      F.col("sl") * F.col("sl") / F.col("nl") + sr * sr / nr - F.col("s") * F.col("s") / F.col("n"))
-        # One row per node: its totals (n, s are node totals on every row) and
-        # its best split, if any beats ``min_gain`` (ties: lower feature, bin).
-        best_w = Window.partitionBy(group, "node").orderBy(F.desc_nulls_last("gain"), "feature", "bin")
-        top = (h.withColumn("gain", gain).withColumn("_rk", F.row_number().over(best_w)).where("_rk = 1"))
-        ok = F.col("gain") > min_gain
-        level_nodes = top.select(group, "node", F.lit(level).alias("level"), "n", "s",
-                                 F.when(ok, F.col("feature")).alias("feature"),
-                                 F.when(ok, F.col("bin")).alias("bin"),
-                                 F.when(ok, F.col("gain")).alias("gain"))
-        level_nodes = materialize(level_nodes)
+            level_nodes = stats.select(group, "node", F.lit(level).alias("level"), "n", "s",
+                                       F.lit(None).cast("int").alias("feature"),
+                                       F.lit(None).cast("int").alias("bin"),
+                                       F.lit(None).cast("double").alias("gain"))
+        else:
+            hist = (routed.select(group, "node", "_y", "_w", F.posexplode("_b").alias("feature", "bin"))
+                    .groupBy(group, "node", "feature", "bin")
+                    .agg(F.sum("_w").alias("hn"), F.sum(F.col("_w") * F.col("_y")).alias("hs")))
+            part = Window.partitionBy(group, "node", "feature")
+            cum = part.orderBy("bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+            h = hist.select(group, "node", "feature", "bin",
+                            F.sum("hn").over(cum).alias("nl"), F.sum("hs").over(cum).alias("sl"),
+                            F.sum("hn").over(part).alias("n"), F.sum("hs").over(part).alias("s"))
+            nr, sr = F.col("n") - F.col("nl"), F.col("s") - F.col("sl")
+            gain = F.when((F.col("nl") > 0) & (nr > 0),
+                          F.col("sl") * F.col("sl") / F.col("nl") + sr * sr / nr
+                          - F.col("s") * F.col("s") / F.col("n"))
+            # One row per node: its totals (n, s are node totals on every row) and
+            # its best split, if any beats ``min_gain`` (ties: lower feature, bin).
+            best_w = Window.partitionBy(group, "node").orderBy(F.desc_nulls_last("gain"), "feature", "bin")
+            top = (h.withColumn("gain", gain).withColumn("_rk", F.row_number().over(best_w)).where("_rk = 1"))
+            ok = F.col("gain") > min_gain
+            level_nodes = top.select(group, "node", F.lit(level).alias("level"), "n", "s",
+                                     F.when(ok, F.col("feature")).alias("feature"),
+                                     F.when(ok, F.col("bin")).alias("bin"),
+                                     F.when(ok, F.col("gain")).alias("gain"))
+        if local_levels is None:
+            pdf = None
+        elif level == 0:
+            pdf = _take_bounded(level_nodes, LEVEL_LOCAL_MAX_ROWS)
+        else:
+            # groups x 2^level rows at most, checked against the cap below
+            pdf = level_nodes.toPandas() if n_groups * 2 ** level <= LEVEL_LOCAL_MAX_ROWS else None
+        if pdf is not None:
+            local_levels.append(pdf)
+            level_nodes = _from_local(spark, pdf, level_nodes.schema)
+        else:
+            local_levels = None
+            level_nodes = materialize(level_nodes)
         node_tables.append(level_nodes)
+        if level == depth:
+            break
         if level == 0:
-            n_groups = level_nodes.count()  # one root per group
+            n_groups = len(pdf) if pdf is not None else level_nodes.count()  # one root per group
+        if local_levels is not None:
+            # All splits so far in one small relation (node ids are unique
+            # across levels), rebuilt per level: routing from the root joins it
+            # level+1 times and Spark reuses its one broadcast.
+            sp = pd.concat(local_levels, ignore_index=True)
+            sp = sp.loc[sp["feature"].notna(), [group, "node", "feature", "bin"]]
+            sp.columns = [group, "node", "_sf", "_sb"]
+            split_schema = StructType([level_nodes.schema[group], level_nodes.schema["node"],
+                                       StructField("_sf", level_nodes.schema["feature"].dataType, True),
+                                       StructField("_sb", level_nodes.schema["bin"].dataType, True)])
+            all_splits = F.broadcast(_from_local(spark, sp, split_schema))
+            routed = base.withColumn("node", F.lit(1).cast("long"))
+            for _ in range(level + 1):
+                routed = _route(routed.join(all_splits, [group, "node"], "inner"))
+            continue
         splits = level_nodes.where(F.col("feature").isNotNull()).select(
             group, "node", F.col("feature").alias("_sf"), F.col("bin").alias("_sb"))
         # The split table has at most groups x 2^level rows: broadcast it under
@@ -224,21 +283,35 @@ def fit_trees(df: DataFrame, features: list[str], label: str, depth: int = 5, n_
             joined = routed.join(F.broadcast(splits), [group, "node"], "inner")
         else:
             joined = join_small(routed, splits, [group, "node"], "inner")
-        routed = (joined
-                  .withColumn("node", F.col("node") * 2
-                              + (F.element_at("_b", F.col("_sf") + 1) > F.col("_sb")).cast("long"))
-                  .drop("_sf", "_sb"))
-    nodes = node_tables[0]
-    for t in node_tables[1:]:
-        nodes = nodes.unionByName(t)
-    nodes = nodes.withColumn("value", F.col("s") / F.col("n"))
+        routed = _route(joined)
     names = F.element_at(F.array(*[F.lit(f) for f in features]), F.col("feature") + 1)
     lo = F.element_at(F.array(*[F.lit(e[0]) for e in edges]), F.col("feature") + 1)
     wd = F.element_at(F.array(*[F.lit((e[1] - e[0]) / n_bins) for e in edges]), F.col("feature") + 1)
     has = F.col("feature").isNotNull()
-    nodes = nodes.withColumns({"feature_name": F.when(has, names),
-                               "threshold": F.when(has, lo + (F.col("bin") + 1) * wd)})
-    return TreeModels(materialize(nodes), features, edges, n_bins, depth, group)
+    derived = {"value": F.col("s") / F.col("n"), "feature_name": F.when(has, names),
+               "threshold": F.when(has, lo + (F.col("bin") + 1) * wd)}
+    if local_levels is not None:
+        # The whole node table is on the driver already: derive its columns
+        # there (same formulas) and hand Spark one small relation.
+        allp = pd.concat(local_levels, ignore_index=True)
+        allp["value"] = allp["s"] / allp["n"]
+        fi = allp["feature"]
+        has_p = fi.notna()
+        fidx = fi.fillna(0).astype(int)
+        allp["feature_name"] = np.where(has_p, np.array(features, dtype=object)[fidx], None)
+        los = np.array([e[0] for e in edges])[fidx]
+        wds = np.array([(e[1] - e[0]) / n_bins for e in edges])[fidx]
+        allp["threshold"] = np.where(has_p, los + (allp["bin"].fillna(0).to_numpy() + 1) * wds, np.nan)
+        schema = StructType(list(node_tables[0].schema.fields)
+                            + [StructField("value", DoubleType(), True),
+                               StructField("feature_name", StringType(), True),
+                               StructField("threshold", DoubleType(), True)])
+        nodes = _from_local(spark, allp, schema)
+        return TreeModels(nodes, features, edges, n_bins, depth, group, local=allp)
+    nodes = node_tables[0]
+    for t in node_tables[1:]:
+        nodes = nodes.unionByName(t)
+    return TreeModels(materialize(nodes.withColumns(derived)), features, edges, n_bins, depth, group)
 
 
 def fit_local_trees(train: DataFrame, features: list[str], label: str, n_buckets: int, depth: int = 5,
