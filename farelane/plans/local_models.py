@@ -189,20 +189,29 @@ def _route(joined: DataFrame) -> DataFrame:
 
 
 def fit_trees(df: DataFrame, features: list[str], label: str, depth: int = 5, n_bins: int = 32,
-              group: str = "bucket", weight: str | None = None, min_gain: float = NODE_EPS) -> TreeModels:
+              group: str = "bucket", weight: str | None = None, min_gain: float = NODE_EPS,
+              expand=None, keep: list[str] | None = None, spread_factor: int = 1) -> TreeModels:
     """Grow one regression tree per group, level by level, for all groups together.
 
     Node ids are heap-style (root 1, children 2n and 2n+1). A row goes left
     when its feature bin is <= the split bin. Splits maximise the SSE
     reduction sL^2/nL + sR^2/nR - S^2/N (ties: lower feature, lower bin).
+
+    ``expand`` (optional) maps the binned rows (``keep`` columns, ``_y``,
+    ``_w``, ``_b``) to (``group``, ``_y``, ``_w``, ``_b``) rows, e.g. one
+    weighted copy per bootstrap tree. It runs inside every level's pass over
+    the checkpointed rows, so copies are never written out.
     """
     features = list(features)
     edges = bin_edges(df, features)
     w = F.col(weight).cast("double") if weight else F.lit(1.0)
-    base = df.select(F.col(group), F.col(label).cast("double").alias("_y"), w.alias("_w"),
+    base = df.select(*[F.col(c) for c in (keep or [group])], F.col(label).cast("double").alias("_y"),
+                     w.alias("_w"),
                      F.array(*[_bin_col(f, lo, hi, n_bins) for f, (lo, hi) in zip(features, edges)])
                      .alias("_b"))
-    base = materialize(spread(base.where(F.col("_w") > 0)))
+    base = materialize(spread(base.where(F.col("_w") > 0), spread_factor))
+    if expand is not None:
+        base = expand(base)
     spark = df.sparkSession
     routed = base.withColumn("node", F.lit(1).cast("long"))
     # Each level's node table (one row per node: totals and best split) has at
@@ -391,14 +400,21 @@ def select_features(df: DataFrame, features: list[str], label: str, n_buckets: i
 
     Output (bucket, feature, importance) of the selected features.
     """
-    # Spread the input first: the explode below multiplies rows by n_trees.
-    b = with_bucket(spread(df, max(1, n_trees // 8)), n_buckets, key)
+    b = with_bucket(df, n_buckets, key)
+
     # Each row appears once per tree of its own bucket with a Poisson(1)
     # weight (0 drops it): rows x trees, the cost of bagging, never row pairs.
-    rep = (b.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(n_trees - 1))))
-           .withColumn("_w", poisson_weight(F.col(key), F.col("tree")))
-           .withColumn("_g", F.col("bucket") * n_trees + F.col("tree")))
-    models = fit_trees(rep, features, label, depth, n_bins, "_g", "_w")
+    # The copies are made inside each level's scan of the checkpointed rows
+    # (one row per trip), so only the trips themselves are ever written.
+    def bag(rows: DataFrame) -> DataFrame:
+        rep = (rows.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(n_trees - 1))))
+               .withColumn("_w", poisson_weight(F.col(key), F.col("tree")).cast("double")))
+        return rep.where(F.col("_w") > 0).select(
+            (F.col("bucket") * n_trees + F.col("tree")).alias("_g"), "_y", "_w", "_b")
+
+    # More, smaller tasks: every level's scan multiplies rows by n_trees.
+    models = fit_trees(b, features, label, depth, n_bins, "_g", expand=bag, keep=["bucket", key],
+                       spread_factor=max(1, n_trees // 8))
     imp = feature_importances(models)
     # forest importance = mean over its trees (features never used count 0)
     per_tree = imp.select((F.col("_g") / n_trees).cast("int").alias("bucket"), "_g", "feature_name", "importance")

@@ -59,3 +59,28 @@ def test_trees_match_bruteforce(spark, sf):
             gn, gs, gf, gb = mine[node]
             assert gn == n and abs(gs - s) < 1e-6 * max(1.0, abs(s))
             assert (gf, gb) == (f, bn), (b, node)
+
+
+def test_lazy_bagging_equals_eager_copies(spark, sf):
+    """Copies made inside each level's scan grow the same trees as copies written up front."""
+    tr, _ = feat.train_test_split(feat.fare_features(ad.trips_ev(spark, sf), "hour"))
+    # Whole-number labels keep every float sum exact, so summation order cannot matter.
+    tr = feat.with_bucket(tr.withColumn("y", F.round(feat.LABEL)), 2)
+    n_trees, depth, bins = 3, 3, 8
+    tree = F.explode(F.sequence(F.lit(0), F.lit(n_trees - 1)))
+    eager = (tr.withColumn("tree", tree)
+             .withColumn("w", lm.poisson_weight(F.col("trip_id"), F.col("tree")))
+             .withColumn("g", F.col("bucket") * n_trees + F.col("tree")))
+    want = lm.fit_trees(eager, FEATS, "y", depth, bins, "g", "w")
+
+    def bag(rows):
+        rep = (rows.withColumn("tree", tree)
+               .withColumn("_w", lm.poisson_weight(F.col("trip_id"), F.col("tree")).cast("double")))
+        return rep.where("_w > 0").select((F.col("bucket") * n_trees + F.col("tree")).alias("g"),
+                                          "_y", "_w", "_b")
+
+    got = lm.fit_trees(tr, FEATS, "y", depth, bins, "g", expand=bag, keep=["bucket", "trip_id"])
+    cols = ["g", "node", "level", "n", "s", "feature", "bin"]
+    a = sorted(tuple(r) for r in want.nodes.select(cols).collect())
+    b = sorted(tuple(r) for r in got.nodes.select(cols).collect())
+    assert len(a) > n_trees * 2 and a == b
