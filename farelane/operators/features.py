@@ -171,10 +171,15 @@ def _correlation_ml(src: DataFrame, cols: list[str]) -> DataFrame:
     vec = VectorAssembler(inputCols=list(cols), outputCol="_v", handleInvalid="skip").transform(src)
     m = Correlation.corr(vec, "_v").first()[0].toArray()  # k x k, k = len(cols)
     k = len(cols)
-    # The diagonal is 1 even for a constant column; a column whose every
-    # off-diagonal is NaN may be constant: check its variance (null r if so).
+    # The diagonal is 1 even for a constant column. A column whose every
+    # off-diagonal is NaN is constant when some other pair has a finite r
+    # (two varying columns would give it one); only if no pair does is its
+    # variance checked in another pass. Constant columns get a null diagonal.
     amb = [i for i in range(k) if all(m[i, j] != m[i, j] for j in range(k) if j != i)]
-    if amb:
+    if amb and any(m[i, j] == m[i, j] for i in range(k) for j in range(k) if i != j):
+        for i in amb:
+            m[i, i] = float("nan")
+    elif amb:
         sd = src.agg(*[F.stddev_pop(cols[i]).alias(f"s{i}") for i in amb]).first()
         for i in amb:
             if not sd[f"s{i}"]:

@@ -92,6 +92,18 @@ def test_constant_column_correlation_is_null(spark):
     assert r[("a", "b")] is None and r[("b", "b")] is None and r[("a", "a")] == 1.0
 
 
+def test_constant_column_correlation_is_null_ml(spark):
+    # one constant column next to a varying pair (no extra pass), and a
+    # single varying column next to constants (variance checked)
+    df = spark.createDataFrame([(1.0, 2.0, 4.0, 7.0), (2.0, 2.0, 3.0, 7.0), (3.0, 2.0, 5.0, 7.0)],
+                               "a double, b double, c double, d double")
+    r = {(x.col_a, x.col_b): x.r for x in feat.correlation_long(df, ["a", "b", "c"], method="ml").collect()}
+    assert r[("b", "b")] is None and r[("a", "b")] is None and r[("a", "a")] == 1.0
+    assert abs(r[("a", "c")] - 0.5) < 1e-12
+    r = {(x.col_a, x.col_b): x.r for x in feat.correlation_long(df, ["a", "b", "d"], method="ml").collect()}
+    assert r[("a", "a")] == 1.0 and r[("b", "b")] is None and r[("d", "d")] is None and r[("a", "d")] is None
+
+
 def test_unknown_zone_and_zone_without_trips(spark):
     zones = spark.createDataFrame([("1", "B1", "Z1"), ("2", "B2", "Z2"), ("x", "B3", "Z3")],
                                   "LocationID string, Borough string, Zone string")
