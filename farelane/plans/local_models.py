@@ -23,7 +23,7 @@ from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 from pyspark.sql.window import Window
 
 from ..operators.features import with_bucket
-from ..session import BROADCAST_MAX_ROWS, join_small, local_table, materialize, spread
+from ..session import broadcast_row_bound, join_small, local_table, materialize, spread
 
 NODE_EPS = 1e-9
 # Node rows of one tree level brought to the driver (groups x 2^level, ~100 bytes each).
@@ -288,7 +288,7 @@ def fit_trees(df: DataFrame, features: list[str], label: str, depth: int = 5, n_
             group, "node", F.col("feature").alias("_sf"), F.col("bin").alias("_sb"))
         # The split table has at most groups x 2^level rows: broadcast it under
         # that proven bound, else let join_small count it.
-        if n_groups * 2 ** level <= BROADCAST_MAX_ROWS:
+        if n_groups * 2 ** level <= broadcast_row_bound(splits):
             joined = routed.join(F.broadcast(splits), [group, "node"], "inner")
         else:
             joined = join_small(routed, splits, [group, "node"], "inner")

@@ -19,8 +19,11 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# A broadcast side is copied to every executor: keep it to a few MB.
+# A broadcast side is copied to every executor. Its row bound is the smaller
+# of a row cap and a byte budget over the schema's row width, so a wide
+# dimension is held to fewer rows than a narrow one.
 BROADCAST_MAX_ROWS = 2_000_000
+BROADCAST_MAX_BYTES = 256 << 20
 
 SCALE_CONF = {
     "spark.sql.adaptive.enabled": "true",
@@ -173,13 +176,45 @@ def local_table(spark: SparkSession, rows, schema: str) -> DataFrame:
     return spark.sql(f"SELECT {cols} FROM VALUES {values} AS t({alias})")
 
 
+# Bytes per value by type name (Spark's default sizes); others 100.
+TYPE_BYTES = {"boolean": 1, "byte": 1, "short": 2, "integer": 4, "long": 8, "float": 4, "double": 8,
+              "date": 4, "timestamp": 8, "timestamp_ntz": 8, "string": 20, "binary": 100}
+
+
+def _type_bytes(t) -> int:
+    from pyspark.sql.types import ArrayType, DecimalType, MapType, StructType
+
+    if isinstance(t, StructType):
+        return sum(_type_bytes(f.dataType) for f in t.fields)
+    if isinstance(t, ArrayType):
+        return 8 * _type_bytes(t.elementType)
+    if isinstance(t, MapType):
+        return 8 * (_type_bytes(t.keyType) + _type_bytes(t.valueType))
+    if isinstance(t, DecimalType):
+        return 8 if t.precision <= 18 else 16
+    return TYPE_BYTES.get(t.typeName(), 100)
+
+
+def row_bytes(df: DataFrame) -> int:
+    """Estimated bytes per row from the schema, plus a row header."""
+    return _type_bytes(df.schema) + 8
+
+
+def broadcast_row_bound(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
+                        max_bytes: int = BROADCAST_MAX_BYTES) -> int:
+    return max(1, min(max_rows, max_bytes // row_bytes(df)))
+
+
 def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
                max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Join ``small`` onto ``big``, broadcasting it only under a checked bound.
 
-    Beyond the bound the join is a shuffle join; with
-    ``spark.sql.adaptive.skewJoin.enabled`` AQE splits a hot key's partition.
+    The bound is ``max_rows`` or the byte budget over the row width, whichever
+    is smaller. Beyond it the join is a sort-merge join (hinted, so a low
+    size estimate cannot turn it into a broadcast): it spills rather than
+    holding a side in memory, and with ``spark.sql.adaptive.skewJoin.enabled``
+    AQE splits a hot key's partition.
     """
-    if bounded_rows(small, max_rows) is not None:
+    if bounded_rows(small, broadcast_row_bound(small, max_rows)) is not None:
         return big.join(F.broadcast(small), on, how)
-    return big.join(small, on, how)
+    return big.join(small.hint("merge"), on, how)

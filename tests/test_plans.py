@@ -61,3 +61,17 @@ def test_shuffle_partitions_sizing():
 
     assert shuffle_partitions_for(100 * 10**12) > 300_000
     assert shuffle_partitions_for(10) == 8
+
+
+def test_broadcast_bound_shrinks_with_row_width(spark):
+    from farelane.session import BROADCAST_MAX_BYTES, broadcast_row_bound, join_small, row_bytes
+
+    narrow = spark.range(10).selectExpr("id AS k")
+    wide = spark.range(10).selectExpr("id AS k", *[f"CAST(id AS double) AS c{i}" for i in range(60)])
+    assert row_bytes(wide) > row_bytes(narrow)
+    assert broadcast_row_bound(wide) == BROADCAST_MAX_BYTES // row_bytes(wide) < broadcast_row_bound(narrow)
+    big = spark.range(1000).selectExpr("id % 10 AS k")
+    assert "BroadcastHashJoin" in _formatted(join_small(big, wide, ["k"]))
+    # past the bound: a shuffle join, never a broadcast
+    p = _formatted(join_small(big, wide, ["k"], max_rows=5))
+    assert "SortMergeJoin" in p or "ShuffledHashJoin" in p
