@@ -233,6 +233,10 @@ def fit_trees(df: DataFrame, features: list[str], label: str, depth: int = 5, n_
             hist = (routed.select(group, "node", "_y", "_w", F.posexplode("_b").alias("feature", "bin"))
                     .groupBy(group, "node", "feature", "bin")
                     .agg(F.sum("_w").alias("hn"), F.sum(F.col("_w") * F.col("_y")).alias("hs")))
+            # The histogram is small (<= features x bins rows per node). Laid
+            # out by node, both windows below reuse that one exchange instead
+            # of adding two (at the root ``node`` is a literal: by group).
+            hist = hist.repartition(group) if level == 0 else hist.repartition(group, "node")
             part = Window.partitionBy(group, "node", "feature")
             cum = part.orderBy("bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
             h = hist.select(group, "node", "feature", "bin",
