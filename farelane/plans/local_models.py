@@ -203,13 +203,17 @@ def fit_trees(df: DataFrame, features: list[str], label: str, depth: int = 5, n_
     the checkpointed rows, so copies are never written out.
     """
     features = list(features)
-    edges = bin_edges(df, features)
     w = F.col(weight).cast("double") if weight else F.lit(1.0)
-    base = df.select(*[F.col(c) for c in (keep or [group])], F.col(label).cast("double").alias("_y"),
-                     w.alias("_w"),
-                     F.array(*[_bin_col(f, lo, hi, n_bins) for f, (lo, hi) in zip(features, edges)])
-                     .alias("_b"))
-    base = materialize(spread(base.where(F.col("_w") > 0), spread_factor))
+    # One read of the input: the raw rows are checkpointed, the bin edges
+    # come from that copy, and bins are computed in every level's scan.
+    raw = df.select(*[F.col(c) for c in (keep or [group])], F.col(label).cast("double").alias("_y"),
+                    w.alias("_w"), *[F.col(f).cast("double").alias(f"_x{i}") for i, f in enumerate(features)])
+    raw = materialize(spread(raw, spread_factor))
+    xs = [f"_x{i}" for i in range(len(features))]
+    edges = bin_edges(raw, xs)
+    base = raw.where(F.col("_w") > 0).select(
+        *[F.col(c) for c in (keep or [group])], "_y", "_w",
+        F.array(*[_bin_col(x, lo, hi, n_bins) for x, (lo, hi) in zip(xs, edges)]).alias("_b"))
     if expand is not None:
         base = expand(base)
     spark = df.sparkSession
