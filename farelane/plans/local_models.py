@@ -34,26 +34,20 @@ LEVEL_LOCAL_MAX_ROWS = 200_000
 # linear models
 # ---------------------------------------------------------------------------
 
-def _means(df: DataFrame, cols: list[str]) -> list[float]:
-    # One single-row aggregate (p+1 numbers) brought to the driver.
-    row = df.agg(*[F.avg(c).alias(c) for c in cols]).first()
-    return [float(row[c]) if row[c] is not None else 0.0 for c in cols]
-
-
 def lr_moments(df: DataFrame, features: list[str], label: str, group: str = "bucket") -> DataFrame:
-    """Per group: n, sums and cross-product sums of globally centred columns."""
+    """Per group, in one pass: n, means (m_i) and population co-moments (c_i_j, i <= j).
+
+    Columns are the features then the label. ``avg`` and ``covar_pop`` merge
+    partial results with the pairwise update formulas, so the co-moments are
+    numerically stable without a separate centring pass over the input.
+    """
     cols = list(features) + [label]
-    mu = _means(df, cols)
-    z = {c: F.col(c) - F.lit(m) for c, m in zip(cols, mu)}
     aggs = [F.count("*").alias("n")]
-    aggs += [F.sum(z[c]).alias(f"s_{i}") for i, c in enumerate(cols)]
+    aggs += [F.avg(c).alias(f"m_{i}") for i, c in enumerate(cols)]
     for i, a in enumerate(cols):
         for j in range(i, len(cols)):
-            aggs.append(F.sum(z[a] * z[cols[j]]).alias(f"p_{i}_{j}"))
-    out = df.groupBy(group).agg(*aggs)
-    for i, m in enumerate(mu):
-        out = out.withColumn(f"mu_{i}", F.lit(m))
-    return out
+            aggs.append(F.covar_pop(a, cols[j]).alias(f"c_{i}_{j}"))
+    return df.groupBy(group).agg(*aggs)
 
 
 def _solve_lr(features: list[str], group: str):
@@ -64,19 +58,14 @@ def _solve_lr(features: list[str], group: str):
             rows = []
             for r in pdf.itertuples(index=False):
                 r = r._asdict()
-                n = float(r["n"])
-                s = np.array([r[f"s_{i}"] for i in range(p + 1)], dtype=float)
-                P = np.zeros((p + 1, p + 1))
+                C = np.zeros((p + 1, p + 1))
                 for i in range(p + 1):
                     for j in range(i, p + 1):
-                        P[i, j] = P[j, i] = r[f"p_{i}_{j}"]
-                m = s / n  # bucket means of centred columns
-                C = P / n - np.outer(m, m)  # bucket covariances
+                        C[i, j] = C[j, i] = r[f"c_{i}_{j}"]
+                m = np.array([r[f"m_{i}"] for i in range(p + 1)], dtype=float)
                 Sxx, Sxy = C[:p, :p], C[:p, p]
                 beta = np.linalg.pinv(Sxx) @ Sxy  # least-norm when singular
-                mu = np.array([r[f"mu_{i}"] for i in range(p + 1)])
-                xbar, ybar = m[:p] + mu[:p], m[p] + mu[p]
-                intercept = ybar - float(beta @ xbar)
+                intercept = m[p] - float(beta @ m[:p])
                 rows.append((r[group], "intercept", float(intercept)))
                 rows += [(r[group], f, float(b)) for f, b in zip(features, beta)]
             yield pd.DataFrame(rows, columns=[group, "term", "coef"])

@@ -37,7 +37,7 @@ def test_hot_bucket_models_are_exact(spark, sf):
     mom = lm.lr_moments(feat.with_bucket(t, 4), ["trip_meters", "trip_time"], feat.LABEL)
     assert sorted((r.bucket, r.n) for r in mom.collect()) == sorted((r.bucket, r["count"]) for r in b)
     p = _plan(mom)
-    assert "partial_sum" in p and "partial_count" in p  # map-side combine before the shuffle
+    assert "partial_covar_pop" in p and "partial_count" in p  # map-side combine before the shuffle
     trees = lm.fit_local_trees(t, feat.LOCAL_FEATURES, feat.LABEL, 4, 3)
     roots = {r.bucket: r.n for r in trees.nodes.where("level = 0").collect()}
     assert roots == {r.bucket: float(r["count"]) for r in b}
