@@ -179,7 +179,8 @@ def _route(joined: DataFrame) -> DataFrame:
 
 def fit_trees(df: DataFrame, features: list[str], label: str, depth: int = 5, n_bins: int = 32,
               group: str = "bucket", weight: str | None = None, min_gain: float = NODE_EPS,
-              expand=None, keep: list[str] | None = None, spread_factor: int = 1) -> TreeModels:
+              expand=None, keep: list[str] | None = None, spread_factor: int = 1,
+              max_groups: int | None = None) -> TreeModels:
     """Grow one regression tree per group, level by level, for all groups together.
 
     Node ids are heap-style (root 1, children 2n and 2n+1). A row goes left
@@ -190,6 +191,10 @@ def fit_trees(df: DataFrame, features: list[str], label: str, depth: int = 5, n_
     ``_w``, ``_b``) to (``group``, ``_y``, ``_w``, ``_b``) rows, e.g. one
     weighted copy per bootstrap tree. It runs inside every level's pass over
     the checkpointed rows, so copies are never written out.
+
+    ``max_groups``, when the caller knows it from its parameters (buckets, or
+    buckets x trees), bounds the number of groups; otherwise the root level
+    is counted under the cap.
     """
     features = list(features)
     w = F.col(weight).cast("double") if weight else F.lit(1.0)
@@ -251,7 +256,8 @@ def fit_trees(df: DataFrame, features: list[str], label: str, depth: int = 5, n_
         if local_levels is None:
             pdf = None
         elif level == 0:
-            pdf = _take_bounded(level_nodes, LEVEL_LOCAL_MAX_ROWS)
+            pdf = (level_nodes.toPandas() if max_groups is not None and max_groups <= LEVEL_LOCAL_MAX_ROWS
+                   else _take_bounded(level_nodes, LEVEL_LOCAL_MAX_ROWS))
         else:
             # groups x 2^level rows at most, checked against the cap below
             pdf = level_nodes.toPandas() if n_groups * 2 ** level <= LEVEL_LOCAL_MAX_ROWS else None
@@ -322,7 +328,8 @@ def fit_trees(df: DataFrame, features: list[str], label: str, depth: int = 5, n_
 
 def fit_local_trees(train: DataFrame, features: list[str], label: str, n_buckets: int, depth: int = 5,
                     n_bins: int = 32, key: str = "trip_id") -> TreeModels:
-    return fit_trees(with_bucket(train, n_buckets, key), features, label, depth, n_bins, "bucket")
+    return fit_trees(with_bucket(train, n_buckets, key), features, label, depth, n_bins, "bucket",
+                     max_groups=n_buckets)
 
 
 def score_tree_ensemble(models: TreeModels, df: DataFrame, out: str = "prediction",
@@ -411,7 +418,7 @@ def select_features(df: DataFrame, features: list[str], label: str, n_buckets: i
 
     # More, smaller tasks: every level's scan multiplies rows by n_trees.
     models = fit_trees(b, features, label, depth, n_bins, "_g", expand=bag, keep=["bucket", key],
-                       spread_factor=max(1, n_trees // 8))
+                       spread_factor=max(1, n_trees // 8), max_groups=n_buckets * n_trees)
     imp = feature_importances(models)
     # forest importance = mean over its trees (features never used count 0)
     per_tree = imp.select((F.col("_g") / n_trees).cast("int").alias("bucket"), "_g", "feature_name", "importance")
