@@ -180,7 +180,7 @@ def _route(joined: DataFrame) -> DataFrame:
 def fit_trees(df: DataFrame, features: list[str], label: str, depth: int = 5, n_bins: int = 32,
               group: str = "bucket", weight: str | None = None, min_gain: float = NODE_EPS,
               expand=None, keep: list[str] | None = None, spread_factor: int = 1,
-              max_groups: int | None = None) -> TreeModels:
+              max_groups: int | None = None, cluster_by: list[str] | None = None) -> TreeModels:
     """Grow one regression tree per group, level by level, for all groups together.
 
     Node ids are heap-style (root 1, children 2n and 2n+1). A row goes left
@@ -195,6 +195,10 @@ def fit_trees(df: DataFrame, features: list[str], label: str, depth: int = 5, n_
     ``max_groups``, when the caller knows it from its parameters (buckets, or
     buckets x trees), bounds the number of groups; otherwise the root level
     is counted under the cap.
+
+    ``cluster_by`` range-partitions the checkpointed rows on those columns,
+    so each task holds few groups and its partial histogram stays small
+    (range bounds are sampled, so a hot group is split over several tasks).
     """
     features = list(features)
     w = F.col(weight).cast("double") if weight else F.lit(1.0)
@@ -202,7 +206,12 @@ def fit_trees(df: DataFrame, features: list[str], label: str, depth: int = 5, n_
     # come from that copy, and bins are computed in every level's scan.
     raw = df.select(*[F.col(c) for c in (keep or [group])], F.col(label).cast("double").alias("_y"),
                     w.alias("_w"), *[F.col(f).cast("double").alias(f"_x{i}") for i, f in enumerate(features)])
-    raw = materialize(spread(raw, spread_factor))
+    if cluster_by:
+        raw = raw.repartitionByRange(max(raw.sparkSession.sparkContext.defaultParallelism * spread_factor,
+                                         raw.rdd.getNumPartitions()), *cluster_by)
+    else:
+        raw = spread(raw, spread_factor)
+    raw = materialize(raw)
     xs = [f"_x{i}" for i in range(len(features))]
     edges = bin_edges(raw, xs)
     base = raw.where(F.col("_w") > 0).select(
@@ -416,9 +425,11 @@ def select_features(df: DataFrame, features: list[str], label: str, n_buckets: i
         return rep.where(F.col("_w") > 0).select(
             (F.col("bucket") * n_trees + F.col("tree")).alias("_g"), "_y", "_w", "_b")
 
-    # More, smaller tasks: every level's scan multiplies rows by n_trees.
+    # More, smaller tasks: every level's scan multiplies rows by n_trees; rows
+    # ranged by bucket, so a task's partial histogram covers ~one forest.
     models = fit_trees(b, features, label, depth, n_bins, "_g", expand=bag, keep=["bucket", key],
-                       spread_factor=max(1, n_trees // 8), max_groups=n_buckets * n_trees)
+                       spread_factor=max(1, n_trees // 8), max_groups=n_buckets * n_trees,
+                       cluster_by=["bucket", key])
     imp = feature_importances(models)
     # forest importance = mean over its trees (features never used count 0)
     per_tree = imp.select((F.col("_g") / n_trees).cast("int").alias("bucket"), "_g", "feature_name", "importance")

@@ -79,8 +79,10 @@ def test_lazy_bagging_equals_eager_copies(spark, sf):
         return rep.where("_w > 0").select((F.col("bucket") * n_trees + F.col("tree")).alias("g"),
                                           "_y", "_w", "_b")
 
-    got = lm.fit_trees(tr, FEATS, "y", depth, bins, "g", expand=bag, keep=["bucket", "trip_id"])
     cols = ["g", "node", "level", "n", "s", "feature", "bin"]
     a = sorted(tuple(r) for r in want.nodes.select(cols).collect())
-    b = sorted(tuple(r) for r in got.nodes.select(cols).collect())
-    assert len(a) > n_trees * 2 and a == b
+    assert len(a) > n_trees * 2
+    for cluster in (None, ["bucket", "trip_id"]):
+        got = lm.fit_trees(tr, FEATS, "y", depth, bins, "g", expand=bag, keep=["bucket", "trip_id"],
+                           max_groups=2 * n_trees, cluster_by=cluster)
+        assert sorted(tuple(r) for r in got.nodes.select(cols).collect()) == a
