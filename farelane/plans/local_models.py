@@ -28,6 +28,8 @@ from ..session import broadcast_row_bound, join_small, local_table, materialize,
 NODE_EPS = 1e-9
 # Node rows of one tree level brought to the driver (groups x 2^level, ~100 bytes each).
 LEVEL_LOCAL_MAX_ROWS = 200_000
+# Histogram keys per task above which tree rows are range-partitioned by bucket.
+CLUSTER_MIN_KEYS = 1_000_000
 
 
 # ---------------------------------------------------------------------------
@@ -337,8 +339,12 @@ def fit_trees(df: DataFrame, features: list[str], label: str, depth: int = 5, n_
 
 def fit_local_trees(train: DataFrame, features: list[str], label: str, n_buckets: int, depth: int = 5,
                     n_bins: int = 32, key: str = "trip_id") -> TreeModels:
+    # Histogram keys one task may hold at the deepest split level. Past the
+    # threshold rows are ranged by bucket so each task meets few buckets.
+    keys = n_buckets * 2 ** max(depth - 1, 0) * len(features) * n_bins
+    cluster = ["bucket", key] if keys > CLUSTER_MIN_KEYS else None
     return fit_trees(with_bucket(train, n_buckets, key), features, label, depth, n_bins, "bucket",
-                     max_groups=n_buckets)
+                     max_groups=n_buckets, cluster_by=cluster)
 
 
 def score_tree_ensemble(models: TreeModels, df: DataFrame, out: str = "prediction",
