@@ -347,22 +347,46 @@ def fit_local_trees(train: DataFrame, features: list[str], label: str, n_buckets
                      max_groups=n_buckets, cluster_by=cluster)
 
 
+# Split nodes in an ensemble scored as one JVM expression; larger ones use Arrow batches.
+EXPR_MAX_SPLITS = 2048
+
+
+def _tree_sql(feat, sbin, val, g: int, node: int, depth: int, bins: list[str]) -> str:
+    """One tree as nested CASE WHEN text (doubles in shortest round-trip form)."""
+    if depth == 0 or feat[g, node] < 0:
+        return f"{float(val[g, node])!r}D"
+    left = _tree_sql(feat, sbin, val, g, 2 * node, depth - 1, bins)
+    right = _tree_sql(feat, sbin, val, g, 2 * node + 1, depth - 1, bins)
+    return f"CASE WHEN {bins[feat[g, node]]} <= {int(sbin[g, node])} THEN {left} ELSE {right} END"
+
+
 def score_tree_ensemble(models: TreeModels, df: DataFrame, out: str = "prediction",
-                        depth: int | None = None) -> DataFrame:
+                        depth: int | None = None, method: str = "auto") -> DataFrame:
     """Mean over groups of each tree's leaf value; optionally truncated at ``depth``.
 
-    The model arrays (groups x 2^(depth+1), a bound set by parameters) are
-    shipped once per executor; rows stream through Arrow batches.
+    ``expr`` (default up to EXPR_MAX_SPLITS split nodes): every tree becomes
+    nested CASE WHEN bin <= split expressions, summed in group order and
+    divided by the number of groups, inside whole-stage codegen.
+    ``arrow`` (larger ensembles): the model arrays (groups x 2^(depth+1), a
+    bound set by parameters) are shipped once per executor and rows stream
+    through Arrow batches. Both give the same doubles.
     """
     depth = models.depth if depth is None else depth
     groups, feat, sbin, val = models.arrays(depth)
+    features, edges, n_bins = models.features, models.edges, models.n_bins
+    if method == "expr" or (method == "auto" and int((feat >= 0).sum()) <= EXPR_MAX_SPLITS):
+        bins = [f"_tb{i}" for i in range(len(features))]
+        binned = df.withColumns({b: _bin_col(f, lo, hi, n_bins) for b, f, (lo, hi) in zip(bins, features, edges)})
+        # One expression, handed to Spark as text in a single call.
+        terms = " + ".join(f"({_tree_sql(feat, sbin, val, g, 1, depth, bins)})" for g in range(len(groups)))
+        mean = F.expr(f"(0.0D + {terms}) / {float(max(len(groups), 1))!r}D")
+        return binned.withColumn(out, mean).drop(*bins)
     try:
         bc = df.sparkSession.sparkContext.broadcast((feat, sbin, val))
     except Exception:  # noqa: BLE001 - no SparkContext (Connect): ship with the closure
         class _Held:
             value = (feat, sbin, val)
         bc = _Held()
-    features, edges, n_bins = models.features, models.edges, models.n_bins
     schema = StructType(list(df.schema.fields) + [StructField(out, DoubleType(), True)])
 
     def score(batches):

@@ -86,3 +86,15 @@ def test_lazy_bagging_equals_eager_copies(spark, sf):
         got = lm.fit_trees(tr, FEATS, "y", depth, bins, "g", expand=bag, keep=["bucket", "trip_id"],
                            max_groups=2 * n_trees, cluster_by=cluster)
         assert sorted(tuple(r) for r in got.nodes.select(cols).collect()) == a
+
+
+def test_expression_scoring_equals_arrow_scoring(spark, sf):
+    tr, te = feat.train_test_split(feat.fare_features(ad.trips_ev(spark, sf), "hour"))
+    models = lm.fit_local_trees(tr, feat.LOCAL_FEATURES, feat.LABEL, 4, 4)
+    for depth in (None, 2):
+        a = lm.score_tree_ensemble(models, te, depth=depth, method="expr")
+        b = lm.score_tree_ensemble(models, te, depth=depth, method="arrow")
+        assert "MapInPandas" not in a._jdf.queryExecution().executedPlan().toString()
+        got = {r.trip_id: r.prediction for r in a.select("trip_id", "prediction").collect()}
+        want = {r.trip_id: r.prediction for r in b.select("trip_id", "prediction").collect()}
+        assert len(got) == te.count() and got == want
