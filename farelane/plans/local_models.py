@@ -8,7 +8,8 @@
   small histogram picks the best split per node, and a broadcast join of the
   chosen splits routes rows to the next level. No group is ever collected.
 * Ensemble scoring: linear models average their coefficients (mean of linear
-  = linear of mean); trees are walked for every bucket inside Arrow batches.
+  = linear of mean); trees become one CASE expression summed over buckets
+  (JVM-side), or, for large ensembles, are walked inside Arrow batches.
 * Feature votes: a random forest per bucket (Poisson bootstrap weights from a
   key hash, trees as extra groups), importance = summed SSE reduction.
 """
