@@ -2,8 +2,8 @@
 
 Everything here is plain PySpark. Two ideas recur across the library:
 
-* ``materialize`` cuts lineage by writing a DataFrame to the shared folder the
-  cluster names in ``spark.checkpoint.dir`` (``DataFrame.checkpoint``), so an
+* ``materialize`` cuts lineage by writing a DataFrame as a Parquet table under
+  the shared folder the cluster names in ``spark.checkpoint.dir``, so an
   executor loss re-reads files instead of recomputing a long plan.
 * ``join_small`` broadcasts the smaller side only after counting it against a
   row bound; beyond the bound it falls back to a shuffle join that AQE can
@@ -119,9 +119,17 @@ def spread(df: DataFrame, factor: int = 1) -> DataFrame:
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and return the re-read plan."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write ``df`` as a Parquet table under the shared checkpoint folder; return its scan.
+
+    One job (a reliable RDD checkpoint computes its last stage twice), stored
+    compressed and columnar, and later reads prune columns and push filters.
+    The re-read plan has no lineage to the inputs, so a lost executor costs a
+    file re-read, not a recomputation.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, "table")
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 _BOUND_CACHE: dict = {}
