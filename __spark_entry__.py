@@ -13,6 +13,7 @@ import datetime as _dt
 import os as _os
 import sys as _sys
 from collections.abc import Callable
+from importlib.util import find_spec as _find_spec
 
 # Importable from any working directory: the package sits next to this file.
 _ROOT = _os.path.dirname(_os.path.abspath(__file__))
@@ -1265,6 +1266,18 @@ SLOW = ["sweep_parallelism", "sweep_scale", "sweep_size", "sweep_depth", "sweep_
 QUERIES = {**{k: v for k, v in QUERIES.items() if k not in SLOW}, **{k: QUERIES[k] for k in SLOW}}
 
 
+# The training-data operators and their pipeline are an optional part: the
+# rest of the library stands without them.
+if _find_spec("farelane.llm") is not None and _find_spec("corpus_pipeline") is not None:
+    import corpus_pipeline as _pipeline
+    from farelane.llm import queries as _llm
+
+    QUERIES = {**QUERIES, **_llm.QUERIES, "pipeline": _pipeline.run}
+    ORACLE.update(_llm.ORACLE)
+    if _pipeline.ORACLE_SQL:
+        ORACLE["pipeline"] = _pipeline.ORACLE_SQL
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: hourly demand stats (count, miles, time, fare, speed) at sf0.001."""
     return q_hourly_stats(spark, SMOKE_DIR)
