@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from farelane.llm import line_quality, source_mix, warc_archive
+from farelane.llm import length_histogram, line_quality, source_mix, warc_archive, window_packing
 
 QUERIES = {
+    "op1_length_histogram": length_histogram.query,
+    "op4_differencing_windows": window_packing.query,
     "op5_content_addressed_warc": warc_archive.query,
     "op6_source_mix": source_mix.query,
     "op7_line_quality": line_quality.query,
