@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from farelane.llm import length_histogram, line_quality, simhash_golay, source_mix, warc_archive, window_packing
+from farelane.llm import length_histogram, line_quality, secret_scan, simhash_golay, source_mix, warc_archive, window_packing
 
 QUERIES = {
+    "op9_secret_scan": secret_scan.query,
     "op10_simhash_golay": simhash_golay.query,
     "op1_length_histogram": length_histogram.query,
     "op4_differencing_windows": window_packing.query,
