@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from farelane.llm import learned_partitions, length_histogram, line_quality, secret_scan, simhash_golay, source_mix, warc_archive, window_packing
+from farelane.llm import context_mixing, learned_partitions, length_histogram, line_quality, secret_scan, simhash_golay, source_mix, warc_archive, window_packing
 
 QUERIES = {
+    "op2_context_mixing": context_mixing.query,
     "op8_learned_partitions": learned_partitions.query,
     "op9_secret_scan": secret_scan.query,
     "op10_simhash_golay": simhash_golay.query,
