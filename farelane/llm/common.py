@@ -29,3 +29,12 @@ def whole_text(name: str = "text") -> Column:
 def pieces_for(amount: float, each: float, least: int = 1) -> int:
     """How many pieces of about ``each`` make ``amount``: grows with the data, no upper limit."""
     return max(least, math.ceil((amount or 0) / each))
+
+
+def once(c: Column) -> Column:
+    """``c`` as a column that the optimizer neither copies into filters above it nor computes twice for several readers.
+
+    Deterministic columns are inlined where a filter on them is pushed down; a
+    column that a lambda reads would then be computed again for each element.
+    """
+    return F.when(F.monotonically_increasing_id() >= 0, c)

@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from farelane.llm.common import SPACE_CLASS, WORD_PATTERN, col, table, whole_text
+from farelane.llm.common import SPACE_CLASS, WORD_PATTERN, col, once, table, whole_text
 
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
@@ -100,7 +100,7 @@ def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min
 
 def keep_good(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **rules) -> DataFrame:
     """The documents that ``quality`` keeps, cleaned of failed lines, with the columns of ``docs`` (``n_chars`` follows the text)."""
-    judged = quality(docs, id_col, text_col, carry=F.struct(*[col(c) for c in docs.columns]), **rules).where("kept")
+    judged = quality(docs, id_col, text_col, carry=F.struct(*[col(c) for c in docs.columns]), **rules).withColumn("stays", once(F.col("kept"))).where("stays")
     new = {text_col: F.col("clean_text")}
     if "n_chars" in docs.columns:
         new["n_chars"] = F.when(F.col("n_failed_lines") > 0, F.length("clean_text")).otherwise(

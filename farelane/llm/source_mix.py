@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from farelane.llm.common import WORD_PATTERN, col, pieces_for, table, whole_text
+from farelane.llm.common import WORD_PATTERN, col, once, pieces_for, table, whole_text
 from farelane.session import join_small, materialize
 
 WEIGHTS = (1, 2, 3)
@@ -110,7 +110,7 @@ def mixed_documents(docs: DataFrame, weights=WEIGHTS, max_epochs: int = MAX_EPOC
     """
     # the row travels as one struct, so that no column of the input can clash
     sized = docs.select(col(id_col).alias("doc_id"), col(source_col).cast("string").alias("source"),
-                        F.regexp_count(whole_text(text_col), F.lit(WORD_PATTERN)).cast("bigint").alias("size"),
+                        once(F.regexp_count(whole_text(text_col), F.lit(WORD_PATTERN)).cast("bigint")).alias("size"),
                         F.struct(*[col(c) for c in docs.columns]).alias("row"))
     mixed = mix_sources(sized, weights, max_epochs, seed).where("taken > 0 OR size = 0")
     mixed = mixed.withColumn("times", F.expr("CAST(IF(size > 0, taken DIV size, 1) AS INT)"))
