@@ -11,6 +11,7 @@ from __future__ import annotations
 import os
 from array import array
 from collections.abc import Iterator
+from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
@@ -18,8 +19,8 @@ import pyarrow.compute as pc
 
 #: Words of a batch whose ids are gathered at a time (bounds a task's memory).
 WORDS_AT_ONCE = 500_000
-#: Words that a Python worker remembers, about 150 bytes each.
-KNOWN_WORDS = 1_000_000
+#: Pieces of words that a Python worker remembers, about 150 bytes each.
+KNOWN_PIECES = 1_000_000
 _LOADED: dict = {}
 _KNOWN: dict = {}
 
@@ -31,13 +32,19 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
 
 
 def _tokenizer(path: str):
+    """(the tokenizer, the same model for lower-case letters alone, which of its ids end a word)."""
     if path not in _LOADED:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         t = Tokenizer.from_file(path)
         t.encode_special_tokens = True  # their strings in a text are ordinary text
-        _LOADED[path] = t
+        letters = Tokenizer(t.model)
+        letters.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        vocabulary = t.get_vocab()
+        ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        ends[[v for k, v in vocabulary.items() if k.endswith("</w>")]] = True
+        _LOADED[path] = t, letters, ends
     return _LOADED[path]
 
 
@@ -49,26 +56,77 @@ def words_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
     return starts, coded.indices.to_numpy(), coded.dictionary
 
 
+def _letters(core: str) -> str | None:
+    """A core of letters alone, lower-cased as the tokenizer would: composed, and without the one letter whose lower case depends on its neighbours."""
+    if core.isalpha() and (core.isascii() or (is_normalized("NFC", core) and "\u03a3" not in core)):
+        low = core.lower()
+        return low if low.isalpha() else None
+    return None
+
+
+def _learn(pieces: list[str], path: str, known: dict, ids: array) -> None:
+    """Encode new pieces. A known piece is its first id's place, whether it ends in a letter, and its length (under 2**24), in one number."""
+    whole, letters, ends = _tokenizer(path)
+    low = [_letters(p) for p in pieces]
+    plain = [(p, x) for p, x in zip(pieces, low) if x]
+    other = [p for p, x in zip(pieces, low) if not x]
+    for at in range(0, max(len(plain), len(other)), 1000):
+        for some, rows in ((plain[at:at + 1000], None), (other[at:at + 1000], "whole")):
+            if not some:
+                continue
+            if rows is None:
+                got = letters.encode(" ".join([x for _, x in some]), add_special_tokens=False).ids
+                cuts = (np.flatnonzero(ends[got]) + 1).tolist()
+                some = [p for p, _ in some]
+            else:
+                got, cuts = [], []
+                for e in whole.encode_batch_fast(some, add_special_tokens=False):
+                    got += e.ids
+                    cuts.append(len(got))
+            start = 0
+            for piece, cut in zip(some, cuts, strict=True):
+                known[piece] = (len(ids) + start) << 25 | piece[-1:].isalpha() << 24 | (cut - start)
+                start = cut
+            ids.extend(got)
+
+
+def gather(starts: np.ndarray, lengths: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Slices of ``values``, one after the other."""
+    ends = np.cumsum(lengths)
+    return values[np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(starts - (ends - lengths), lengths)]
+
+
 def encode_words(words: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(start, length, ids): the ids of word k are ``ids[start[k]:start[k] + length[k]]``.
 
-    A Python worker remembers the words it has encoded, up to ``KNOWN_WORDS``;
-    then it starts anew. That only saves time.
+    The tokenizer splits a full stop or comma from a letter before it, so such
+    a word is its core and the mark. A Python worker remembers the pieces it
+    has encoded, up to ``KNOWN_PIECES``; then it starts anew. That only saves
+    time.
     """
-    t = _tokenizer(path)
-    known, ids = _KNOWN.setdefault(path, ({}, array("I")))
-    if len(known) > KNOWN_WORDS:
-        known.clear()
-        del ids[:]
-    words = words.to_pylist()
-    new = [w for w in words if w not in known]
-    for at in range(0, len(new), 10_000):
-        some = new[at:at + 10_000]
-        for w, e in zip(some, t.encode_batch_fast(some, add_special_tokens=False)):
-            known[w] = (len(ids) << 24) | len(e.ids)  # a word has under 2**24 ids
-            ids.extend(e.ids)
-    at = np.fromiter(map(known.__getitem__, words), np.int64, len(words))
-    return at >> 24, at & 0xFFFFFF, np.array(ids, np.uint32)
+    if path not in _KNOWN or len(_KNOWN[path][0]) > KNOWN_PIECES:
+        _KNOWN[path] = {}, array("I")
+        _learn([".", ","], path, *_KNOWN[path])
+    known, ids = _KNOWN[path]
+
+    def look_up(pieces: pa.Array) -> np.ndarray:
+        coded = pieces.dictionary_encode()
+        pieces = coded.dictionary.to_pylist()
+        _learn([p for p in pieces if p not in known], path, known, ids)
+        return np.fromiter(map(known.__getitem__, pieces), np.int64, len(pieces))[coded.indices.to_numpy()]
+
+    core = pc.utf8_rtrim(words, ".,")
+    marked = pc.subtract(pc.binary_length(words), pc.binary_length(core)).to_numpy() == 1
+    first = look_up(pc.if_else(pa.array(marked), core, words))
+    wrong = np.flatnonzero(marked & (first >> 24 & 1 == 0))
+    first[wrong] = look_up(words.take(pa.array(wrong)))
+    marked[wrong] = False
+    rest = np.zeros(len(words), np.int64)
+    dot = pc.ends_with(words, ".").to_numpy(zero_copy_only=False)
+    rest[marked] = np.where(dot[marked], known["."], known[","])
+    both = np.stack([first, rest], axis=1).ravel()
+    lengths = (both & 0xFFFFFF).reshape(-1, 2).sum(axis=1)
+    return np.cumsum(lengths) - lengths, lengths, gather(both >> 25, both & 0xFFFFFF, np.array(ids, np.uint32))
 
 
 def token_counts(texts: pa.Array, path: str) -> np.ndarray:
@@ -88,10 +146,7 @@ def token_ids(texts: pa.Array, path: str, end_id: int | None = None) -> Iterator
     while first < len(texts):
         last = max(first + 1, int(np.searchsorted(starts, starts[first] + WORDS_AT_ONCE, "right")) - 1)
         some = numbers[starts[first]:starts[last]]
-        n = lengths[some]
-        ends = np.cumsum(n)
-        at = np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(offsets[some] - (ends - n), n)
-        flat, ends = ids[at], np.concatenate([[0], ends])
+        flat, ends = gather(offsets[some], lengths[some], ids), np.concatenate([[0], np.cumsum(lengths[some])])
         cuts = ends[starts[first:last + 1] - starts[first]]
         for i in range(first, last):
             yield i, np.concatenate([flat[cuts[i - first]:cuts[i - first + 1]], tail])
