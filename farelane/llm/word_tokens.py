@@ -48,9 +48,20 @@ def _tokenizer(path: str):
     return _LOADED[path]
 
 
+def large(texts: pa.Array) -> pa.Array:
+    """``texts`` with 64-bit offsets and null as empty.
+
+    A slice is copied first: casting one leaves offsets that do not start at
+    0, which some of Arrow's string functions (version 23) read wrongly.
+    """
+    if texts.offset:
+        texts = texts.take(pa.array(np.arange(len(texts))))
+    return pc.fill_null(texts, "").cast(pa.large_string())
+
+
 def words_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
     """(first word of each text and the end, word numbers, distinct words) of a string array; null texts have no words."""
-    split = pc.ascii_split_whitespace(pc.fill_null(texts.cast(pa.large_string()), ""))
+    split = pc.ascii_split_whitespace(large(texts))
     starts = split.offsets.to_numpy() - split.offsets[0].as_py()
     coded = split.flatten().dictionary_encode()
     return starts, coded.indices.to_numpy(), coded.dictionary
