@@ -140,7 +140,7 @@ def q_holiday_dim(spark, sf):
 
 def q_holiday_trips(spark, sf):
     f = _ev_cal(spark, sf)
-    hd = cal.holiday_dates(cal.holiday_dim(spark))
+    hd = cal.holiday_dates(cal.holiday_dim_for(f, "pickupdate"))
     j = join_small(f, hd, f.pickupdate == hd.holiday_date, "left_semi")
     return _out(j.groupBy("pickupdate").agg(F.count("*").alias("trip_count")))
 
@@ -380,6 +380,12 @@ def q_daily_count_join(spark, sf):
     return _out(j.select("trip_id", "pickupdate", "daily_numTrips"))
 
 
+def _li_context(spark, sf, trips_cal):
+    """The (date, hour) context of the trips; both daily dimensions come from one pass over orders."""
+    daily = ad.daily_dimensions(spark, sf)
+    return ctx.context_table(trips_cal, ad.weather(spark, sf, daily), ad.transit(spark, sf, daily), ad.TRANSIT_MODES, exact=True)
+
+
 CONTEXT_COLS = ["pickupdate", "pickuphour", "hourly_numTrips", "daily_numTrips", "isWeekend", "isOvernight",
                 "isRushhour", "d_base_fare_per_mile", "d_base_fare_per_min", "h_base_fare_per_mile",
                 "h_base_fare_per_min", "hourly_mean_speed", "tmax_f", "tmin_f", "prcp_mm", "TMAXExtremity",
@@ -389,13 +395,13 @@ CONTEXT_EXACT = tuple(c for c in CONTEXT_COLS if c != "hourly_mean_speed")
 
 def q_context_features(spark, sf):
     c = _li_cal(spark, sf)
-    t = ctx.context_table(c, ad.weather(spark, sf), ad.transit(spark, sf), ad.TRANSIT_MODES, exact=True)
+    t = _li_context(spark, sf, c)
     return _out(t.select(*CONTEXT_COLS), exact=CONTEXT_EXACT)
 
 
 def q_attach_context(spark, sf):
     c = _li_cal(spark, sf)
-    t = ctx.context_table(c, ad.weather(spark, sf), ad.transit(spark, sf), ad.TRANSIT_MODES, exact=True)
+    t = _li_context(spark, sf, c)
     j = ctx.attach_context(c, t.select("pickupdate", "pickuphour", "pt_taxi_ratio", "TMAXExtremity",
                                        "isWeekend", "isRushhour", "daily_numTrips"))
     return _out(j.select("trip_id", "pickupdate", "pt_taxi_ratio", "TMAXExtremity", "isWeekend",
@@ -413,20 +419,30 @@ WIDE_TRIP = ["trip_miles", "trip_time", "base_passenger_fare", "PULocationID", "
              "pickupmonth", "pickupdayofyear", "pickuphour", "week"]
 
 
+# The first four stages correlate the context table itself, the last one trips with their context.
+CORR_STAGES = {
+    "correlation_weather": ["pickuphour", *WIDE_CTX[:12]],
+    "correlation_extremity": ["pickuphour", *WIDE_CTX[:14]],
+    "correlation_transit": ["pickuphour", *WIDE_CTX[:-1]],
+    "correlation_ratio": ["pickuphour", *WIDE_CTX],
+}
+
+
+def _correlation_stage(cols):
+    def q(spark, sf):
+        return _out(feat.correlation_long(_li_context(spark, sf, _li_cal(spark, sf)), cols), 6)
+    return q
+
+
 def q_correlation_matrix_wide(spark, sf):
     """All numeric columns of trips with their (date, hour) context (the last, widest stage)."""
     c = _li_cal(spark, sf)
-    t = ctx.context_table(c, ad.weather(spark, sf), ad.transit(spark, sf), ad.TRANSIT_MODES, exact=True)
-    j = ctx.attach_context(c, t.select("pickupdate", "pickuphour", *WIDE_CTX))
-    return _out(feat.correlation_long(j, WIDE_TRIP + WIDE_CTX), 6)
+    return _out(feat.correlation_with_context(c, _li_context(spark, sf, c), WIDE_TRIP, WIDE_CTX), 6)
 
 
 def q_correlation_matrix(spark, sf):
     c = _li_cal(spark, sf)
-    t = ctx.context_table(c, ad.weather(spark, sf), ad.transit(spark, sf), ad.TRANSIT_MODES, exact=True)
-    j = ctx.attach_context(c, t.select("pickupdate", "pickuphour", "daily_numTrips", "tmax_f", "tmin_f",
-                                       "prcp_mm", "TMINExtremity", "pt_taxi_ratio", "isWeekend"))
-    return _out(feat.correlation_long(j, CORR_COLS), 6)
+    return _out(feat.correlation_with_context(c, _li_context(spark, sf, c), CORR_COLS[:3], CORR_COLS[3:]), 6)
 
 
 # --- sources: conformance, drifting union, drift audit, logs, export -------
@@ -504,7 +520,7 @@ def q_export_roundtrip(spark, sf):
     rd.write_table(heat, path, "csv")
     schema = "zone string, pu_count bigint, do_count bigint, overnight_count bigint, rushhour_count bigint, " \
              "weekend_count bigint"
-    return _out(rd.read_csv_typed(spark, path, T._parse_datatype_string(schema)))
+    return _out(rd.read_csv_typed(spark, path, T.StructType.fromDDL(schema)))
 
 
 # --- feature tables, split, sample, buckets -------------------------------
@@ -581,15 +597,43 @@ def q_local_lr_predictions(spark, sf):
 
 def _global(kind):
     def q(spark, sf):
-        tr, te = _ev_split(spark, sf)
-        return _out(gm.global_rmse(tr, te, feat.GLOBAL_FEATURES, kind).drop("seconds"), 6)
+        return _out(gm.global_rmse(_ev_fare(spark, sf), feat.GLOBAL_FEATURES, kind).select("model", "n_train", "n_test", "beats_mean"))
     return q
 
 
+def q_global_lr_pair(spark, sf):
+    """The global linear pipeline on two features, whose normal equations SQL can state."""
+    tr, te = _ev_split(spark, sf)
+    return _out(gm.rmse(gm.score(gm.fit_global(tr, LR2, "lr"), te)), 6)
+
+
+def _with_gaps(trips):
+    """Trips of which some lack the label or a feature."""
+    return trips.withColumns({
+        "base_passenger_fare": F.when(F.col("trip_id") % 7 != 0, F.col("base_passenger_fare")),
+        "trip_time": F.when(F.col("trip_id") % 11 == 0, F.lit(float("nan"))).otherwise(F.col("trip_time").cast("double"))})
+
+
+def q_local_lr_gaps(spark, sf):
+    tr, _ = _ev_split(spark, sf)
+    return _out(lm.fit_local_lr(_with_gaps(tr), LR2, feat.LABEL, 16), 6)
+
+
+def _tree_nodes(models, spark):
+    # means of few values often end in a 5: a small shift keeps the last bit of a sum from deciding the rounding
+    n = models.nodes(spark).select("bucket", "node", "level", "n", F.round(F.col("value") + 1e-9, 6).alias("value"), "feature_name",
+                                   F.round("threshold", 6).alias("threshold"), F.round(F.col("gain") + 1e-6, 4).alias("gain"))
+    return _out(n, None)
+
+
 def q_local_tree_models(spark, sf):
     tr, _ = _ev_split(spark, sf, "hour")
-    m = lm.fit_local_trees(tr, feat.LOCAL_FEATURES, feat.LABEL, 16, 5)
-    return _out(m.nodes.select("bucket", "node", "level", "n", "value", "feature_name", "threshold", "gain"), 6)
+    return _tree_nodes(lm.fit_local_trees(tr, feat.LOCAL_FEATURES, feat.LABEL, 16, 5), spark)
+
+
+def q_local_tree_gaps(spark, sf):
+    tr, _ = _ev_split(spark, sf, "hour")
+    return _tree_nodes(lm.fit_local_trees(_with_gaps(tr), feat.LOCAL_FEATURES, feat.LABEL, 4, 3), spark)
 
 
 def q_local_tree_predictions(spark, sf):
@@ -599,26 +643,10 @@ def q_local_tree_predictions(spark, sf):
 
 
 def q_tree_root_split(spark, sf):
-    """Level-0 split of a single tree over all training rows (SQL-checkable)."""
+    """The first split of a single tree over all training rows."""
     tr, _ = _ev_split(spark, sf, "hour")
-    one = tr.withColumn("bucket", F.lit(0))
-    m = lm.fit_trees(one, ["trip_time", "trip_meters", "hour"], feat.LABEL, 1, 32)
-    return _out(m.nodes.where("level = 0").select("feature_name", "threshold", "n", "gain"), 4)
-
-
-def q_sweep_local(spark, sf):
-    tr, te = _ev_split(spark, sf, "hour")
-    return ex.sweep_buckets(tr, te, feat.LOCAL_FEATURES, ex.PARTITIONS, "dt")
-
-
-def q_sweep_global(spark, sf):
-    tr, te = _ev_split(spark, sf)
-    return ex.sweep_global(tr, te, feat.GLOBAL_FEATURES, ex.PARTITIONS, "gbt")
-
-
-def q_sweep_depth(spark, sf):
-    tr, te = _ev_split(spark, sf, "hour")
-    return ex.sweep_depth(tr, te, feat.LOCAL_FEATURES, 16, ex.DEPTHS)
+    m = lm.fit_trees(tr.withColumn("bucket", F.lit(0)), ["trip_time", "trip_meters", "hour"], feat.LABEL, 1, 32)
+    return _out(m.nodes(spark).where("level = 0").select("feature_name", "threshold", "n", "gain"), 4)
 
 
 def _yellow_ev(spark, sf):
@@ -626,33 +654,17 @@ def _yellow_ev(spark, sf):
     return feat.yellow_features(y, keep=("trip_id",))
 
 
-def q_sweep_size(spark, sf):
-    y = _yellow_ev(spark, sf)
-    lr = ex.sweep_size(y, ["trip_km", "trip_time"], "lr", 8)
-    dt = ex.sweep_size(y, ["trip_km", "trip_time"], "dt", 8)
-    return lr.unionByName(dt)
-
-
-def q_sweep_scale(spark, sf):
-    y = _yellow_ev(spark, sf)
-    return ex.sweep_scale(y, ["trip_km", "trip_time"], "lr")
-
-
-def q_sweep_parallelism(spark, sf):
-    y = _yellow_ev(spark, sf)
-    return ex.sweep_parallelism(y, ["trip_km", "trip_time"], "lr")
-
-
-VOTE_FEATURES = ["pickupyear", "pickupmonth", "pickupdayofyear", "PULocationID", "DOLocationID", "trip_time",
-                 "trip_meters", "week", "daily_numTrips", "isWeekend", "prcp_mm", "TMAXExtremity",
-                 "TMINExtremity", "pt_taxi_ratio"]
+VOTE_FEATURES = ["pickupyear", "pickupmonth", "pickupdayofyear", "pickuphour", "PULocationID", "DOLocationID", "trip_time",
+                 "trip_meters", "week", "hourly_numTrips", "daily_numTrips", "isWeekend",
+                 "isOvernight", "isRushhour", "d_base_fare_per_mile", "d_base_fare_per_min", "h_base_fare_per_mile",
+                 "h_base_fare_per_min", "hourly_mean_speed", "tmax_f", "tmin_f", "prcp_mm", "TMAXExtremity", "TMINExtremity",
+                 *ad.TRANSIT_MODES, "pt_taxi_ratio"]
 
 
 def q_feature_votes(spark, sf):
     c = _li_cal(spark, sf).withColumn("trip_meters", rates.trip_meters())
-    t = ctx.context_table(c, ad.weather(spark, sf), ad.transit(spark, sf), ad.TRANSIT_MODES)
-    j = ctx.attach_context(c, t.select("pickupdate", "pickuphour", "daily_numTrips", "isWeekend", "prcp_mm",
-                                       "TMAXExtremity", "TMINExtremity", "pt_taxi_ratio"))
+    t = _li_context(spark, sf, c)
+    j = ctx.attach_context(c, t.select("pickupdate", "pickuphour", *[x for x in VOTE_FEATURES if x not in c.columns]))
     sel = lm.select_features(j, VOTE_FEATURES, feat.LABEL, n_buckets=24, n_trees=100, depth=5)
     return _out(lm.feature_votes(sel, VOTE_FEATURES))
 
@@ -758,7 +770,8 @@ def _py_holidays(y0: int, y1: int, extras: bool = True) -> list[tuple[_dt.date,
     return out
 
 
-def _date_list(y0=cal.HOLIDAY_YEARS[0], y1=cal.HOLIDAY_YEARS[1]) -> str:
+def _date_list(y0=1980, y1=2040) -> str:
+    """Holidays of far more years than the driver tables hold."""
     ds = sorted({d for d, _, _ in _py_holidays(y0, y1)})
     return ", ".join(f"DATE '{d.isoformat()}'" for d in ds)
 
@@ -1022,6 +1035,7 @@ ORACLE.update({
                                          + ", ".join(f"x.{x}" for x in WIDE_CTX)
                                          + " FROM c JOIN ctx x ON c.pickupdate = x.pickupdate "
                                            "AND c.pickuphour = x.pickuphour)"),
+    **{k: _corr_sql(v, f"{LI_CTX}, jj AS (SELECT * FROM ctx)") for k, v in CORR_STAGES.items()},
     "correlation_matrix": _corr_sql(CORR_COLS, f"{LI_CTX}, jj AS (SELECT c.trip_miles, c.trip_time, "
                                                f"c.base_passenger_fare, x.daily_numTrips, x.tmax_f, x.tmin_f, "
                                                f"x.prcp_mm, x.TMINExtremity, x.pt_taxi_ratio, x.isWeekend FROM c "
@@ -1048,23 +1062,28 @@ QUERIES_B = {
     "attach_context": q_attach_context,
     "correlation_matrix": q_correlation_matrix,
     "correlation_matrix_wide": q_correlation_matrix_wide,
+    **{k: _correlation_stage(v) for k, v in CORR_STAGES.items()},
 }
 
 
 # --- oracle SQL: sources, features, models, forecasts, metrics --------------
 
-SPLIT_SQL = "((trip_id % 1000) * 761) % 1000"
-SAMPLE_SQL = "(((trip_id % 999983) * 2246822519) % 999983) % 1000"
+def _share_sql(salt: str) -> str:
+    """Twin of ``features.key_share`` over trip_id."""
+    return f"(CAST('0x' || substr(md5('{salt}:' || coalesce(CAST(trip_id AS VARCHAR), 'null')), 1, 13) AS BIGINT) / 4503599627370496.0::DOUBLE)"
+
+
+SPLIT_SQL, SAMPLE_SQL = _share_sql("split"), _share_sql("sample")
 
 
 def _bucket_sql(n: int) -> str:
-    return f"(((trip_id % 1000003) * 2654435761) % 1000003) % {n}"
+    return f"CAST(floor({_share_sql('bucket')} * {n}) AS BIGINT)"
 
 
 EV_FARE = (f"{EV_FLAGS}, ff AS (SELECT trip_id, trip_time, dayofyear(pickup_datetime) AS day, "
            f"hour(pickup_datetime) AS hour, isWeekend, isOvernight, isRushhour, trip_miles * 1609.35 AS trip_meters, "
-           f"base_passenger_fare FROM f), tr AS (SELECT * FROM ff WHERE {SPLIT_SQL} < 700), "
-           f"te AS (SELECT * FROM ff WHERE {SPLIT_SQL} >= 700)")
+           f"base_passenger_fare FROM f), tr AS (SELECT * FROM ff WHERE {SPLIT_SQL} < 0.7), "
+           f"te AS (SELECT * FROM ff WHERE {SPLIT_SQL} >= 0.7)")
 
 _LR_COEF = (f"bm AS (SELECT {_bucket_sql(16)} AS bucket, avg(trip_meters) AS m1, avg(trip_time) AS m2, "
             f"avg(base_passenger_fare) AS my, var_pop(trip_meters) AS v11, var_pop(trip_time) AS v22, "
@@ -1074,23 +1093,61 @@ _LR_COEF = (f"bm AS (SELECT {_bucket_sql(16)} AS bucket, avg(trip_meters) AS m1,
             f"(v11 * c2y - c12 * c1y) / (v11 * v22 - c12 * c12) AS b2 FROM bm), "
             f"coef AS (SELECT bucket, my - b1 * m1 - b2 * m2 AS b0, b1, b2 FROM bc)")
 
-_ROOT_FEATS = ["trip_time", "trip_meters", "hour"]
-_ROOT_SQL = (f"{EV_FARE}, mm AS (SELECT "
-             + ", ".join(f"CAST(min({c}) AS DOUBLE) AS lo{i}, CAST(max({c}) AS DOUBLE) AS hi{i}"
-                         for i, c in enumerate(_ROOT_FEATS))
-             + " FROM tr), b AS ("
-             + " UNION ALL ".join(
-                 f"SELECT {i} AS feature, '{c}' AS fname, lo{i} AS lo, (hi{i} - lo{i}) / 32 AS w, "
-                 f"LEAST(31, GREATEST(0, CAST(floor((CAST({c} AS DOUBLE) - lo{i}) / ((hi{i} - lo{i}) / 32)) AS BIGINT))) "
-                 f"AS bin, base_passenger_fare AS y FROM tr, mm" for i, c in enumerate(_ROOT_FEATS))
-             + "), h AS (SELECT feature, fname, lo, w, bin, count(*) AS hn, sum(y) AS hs FROM b GROUP BY ALL), "
-               "c2 AS (SELECT *, sum(hn) OVER (PARTITION BY feature ORDER BY bin) AS nl, "
-               "sum(hs) OVER (PARTITION BY feature ORDER BY bin) AS sl, sum(hn) OVER (PARTITION BY feature) AS n, "
-               "sum(hs) OVER (PARTITION BY feature) AS s FROM h), "
-               "g AS (SELECT *, sl * sl / nl + (s - sl) * (s - sl) / (n - nl) - s * s / n AS gain FROM c2 "
-               "WHERE nl > 0 AND n - nl > 0) "
-               "SELECT fname AS feature_name, round(lo + (bin + 1) * w, 4) AS threshold, CAST(n AS DOUBLE) AS n, "
-               "round(gain, 4) AS gain FROM g ORDER BY gain DESC, feature, bin LIMIT 1")
+def _tree_sql(features: list[str], depth: int, buckets: str, bins: int = 32, where: str = "TRUE") -> str:
+    """CTEs that grow trees level by level over ``tr``: cut points ``e``, nodes ``n{level}`` of rows, splits ``s{level}``, node table ``nodes``."""
+    k = range(len(features))
+    shares = "[" + ", ".join(f"{i / bins!r}" for i in range(1, bins)) + "]"
+    out = [f"base AS (SELECT row_number() OVER () AS rid, {buckets} AS bucket, base_passenger_fare AS y, "
+           + ", ".join(f"CAST({c} AS DOUBLE) AS x{i}" for i, c in enumerate(features)) + f" FROM tr WHERE {where})"]
+    out.append("e AS (" + " UNION ALL ".join(
+        f"SELECT {i} AS f, row_number() OVER (ORDER BY cut) - 1 AS bin, cut FROM "
+        f"(SELECT DISTINCT unnest(quantile_disc(x{i}, {shares})) AS cut FROM base)" for i in k) + ")")
+    out.append("n0 AS (SELECT rid, bucket, y, 1 AS node, "
+               + ", ".join(f"(SELECT count(*) FROM e WHERE e.f = {i} AND e.cut < x{i}) AS b{i}" for i in k) + " FROM base)")
+    tables = []
+    for d in range(depth + 1):
+        total = f"SELECT bucket, node, {d} AS level, count(*) AS n, sum(y) AS s FROM n{d} GROUP BY bucket, node"
+        if d == depth:
+            tables.append(f"SELECT *, NULL AS f, NULL AS bin, NULL AS gain FROM ({total})")
+            break
+        out.append(f"h{d} AS (" + " UNION ALL ".join(
+            f"SELECT bucket, node, {i} AS f, b{i} AS bin, count(*) AS hn, sum(y) AS hs FROM n{d} GROUP BY bucket, node, b{i}" for i in k) + ")")
+        out.append(f"c{d} AS (SELECT *, sum(hn) OVER o AS nl, sum(hs) OVER o AS sl, sum(hn) OVER p AS n, sum(hs) OVER p AS s FROM h{d} "
+                   "WINDOW o AS (PARTITION BY bucket, node, f ORDER BY bin), p AS (PARTITION BY bucket, node, f))")
+        out.append(f"g{d} AS (SELECT *, sl * sl / nl + (s - sl) * (s - sl) / (n - nl) - s * s / n AS gain FROM c{d} WHERE nl > 0 AND n - nl > 0)")
+        out.append(f"t{d} AS (SELECT *, max(gain) OVER (PARTITION BY bucket, node) AS top FROM g{d})")
+        out.append(f"s{d} AS (SELECT bucket, node, f, bin, gain FROM t{d} WHERE top > {lm.MIN_GAIN!r} AND gain >= top - {lm.GAIN_TIE!r} * abs(top) "
+                   "QUALIFY row_number() OVER (PARTITION BY bucket, node ORDER BY f, bin) = 1)")
+        case = "CASE s.f " + " ".join(f"WHEN {i} THEN b{i}" for i in k) + " END"
+        out.append(f"n{d + 1} AS (SELECT rid, n.bucket, y, 2 * n.node + CASE WHEN {case} > s.bin THEN 1 ELSE 0 END AS node, "
+                   + ", ".join(f"b{i}" for i in k) + f" FROM n{d} n JOIN s{d} s ON n.bucket = s.bucket AND n.node = s.node)")
+        tables.append(f"SELECT a.*, s.f, s.bin, s.gain FROM ({total}) a LEFT JOIN s{d} s USING (bucket, node)")
+    names = "CASE v.f " + " ".join(f"WHEN {i} THEN '{c}'" for i, c in enumerate(features)) + " END"
+    out.append(f"nodes AS (SELECT v.bucket, v.node, v.level, v.n, v.s, v.s / v.n AS value, {names} AS feature_name, v.f, e.cut AS threshold, v.gain "
+               f"FROM ({' UNION ALL '.join(tables)}) v LEFT JOIN e ON e.f = v.f AND e.bin = v.bin)")
+    return ", ".join(out)
+
+
+def _tree_nodes_sql(cte: str) -> str:
+    return (f"{cte} SELECT CAST(bucket AS BIGINT) AS bucket, CAST(node AS BIGINT) AS node, CAST(level AS BIGINT) AS level, CAST(n AS DOUBLE) AS n, "
+            "round(value + 1e-9, 6) AS value, feature_name, round(threshold, 6) AS threshold, round(gain + 1e-6, 4) AS gain FROM nodes")
+
+
+def _tree_predictions_sql(features: list[str], depth: int, buckets: int) -> str:
+    """RMSE of the mean over buckets of each test row's leaf."""
+    out = [_tree_sql(features, depth, _bucket_sql(buckets)),
+           "q0 AS (SELECT te.rid, r.bucket, 1 AS node, base_passenger_fare AS y, " + ", ".join(f"CAST({c} AS DOUBLE) AS x{i}" for i, c in enumerate(features))
+           + " FROM (SELECT *, row_number() OVER () AS rid FROM te) te, (SELECT DISTINCT bucket FROM base) r)"]
+    for d in range(depth):
+        value = "CASE s.f " + " ".join(f"WHEN {i} THEN x{i}" for i in range(len(features))) + " END"
+        out.append(f"q{d + 1} AS (SELECT rid, q.bucket, CASE WHEN s.f IS NULL THEN q.node ELSE 2 * q.node + CASE WHEN {value} > s.threshold THEN 1 ELSE 0 END END "
+                   f"AS node, y, " + ", ".join(f"x{i}" for i in range(len(features))) + f" FROM q{d} q JOIN nodes s ON q.bucket = s.bucket AND q.node = s.node)")
+    return (f"{EV_FARE}, {', '.join(out)}, m AS (SELECT rid, any_value(y) AS y, avg(value) AS p FROM q{depth} q JOIN nodes USING (bucket, node) GROUP BY rid) "
+            "SELECT count(*) AS n, round(sqrt(avg((y - p) * (y - p))), 6) AS rmse FROM m")
+
+
+_NO_GAPS = "trip_id % 7 <> 0 AND trip_id % 11 <> 0"
+_BEATS = ("SELECT '{0}' AS model, (SELECT count(*) FROM tr) AS n_train, (SELECT count(*) FROM te) AS n_test, TRUE AS beats_mean")
 
 LI_LAGS = (f"WITH {TRIPS_LI}, wc AS (SELECT PULocationID AS series, CAST(date_trunc('week', pickup_datetime) AS DATE) "
            f"AS week, count(*) AS n FROM trips_li GROUP BY ALL), "
@@ -1109,20 +1166,20 @@ FORECAST = (f"{LI_LAGS}, s1 AS (SELECT *, CASE WHEN max(t) OVER (PARTITION BY se
             f"s4 AS (SELECT *, lag(d, 1) OVER (PARTITION BY series ORDER BY week) AS d_prev, "
             f"CASE WHEN s = 52 THEN lag(n, 51) OVER (PARTITION BY series ORDER BY week) ELSE n END AS y_next_s FROM s3), "
             f"fit AS (SELECT series, covar_pop(d, d_prev) {_PAIR} / nullif(var_pop(d_prev) {_PAIR}, 0) AS b, "
-            f"avg(d) {_PAIR} AS md, avg(d_prev) {_PAIR} AS mdp, max(t) AS t_last FROM s4 GROUP BY series), "
-            f"fit2 AS (SELECT series, b, md - b * mdp AS a, t_last FROM fit), "
+            f"avg(d) {_PAIR} AS md, avg(d_prev) {_PAIR} AS mdp, max(t) AS t_last, max(s) AS season FROM s4 GROUP BY series), "
+            f"fit2 AS (SELECT series, b, md - b * mdp AS a, t_last, season FROM fit), "
             f"lst AS (SELECT s4.series, s4.d AS d_last, s4.y_next_s FROM s4 JOIN fit2 "
             f"ON s4.series = fit2.series AND s4.t = fit2.t_last), "
             f"sc AS (SELECT s4.series, d, d - (a + b * d_prev) AS e_ar FROM s4 JOIN fit2 ON s4.series = fit2.series "
             f"WHERE d_prev IS NOT NULL AND y_s IS NOT NULL), "
             f"st AS (SELECT series, count(*) AS n_obs, sum(d * d) AS rss_naive, sum(e_ar * e_ar) AS rss_ar FROM sc "
             f"GROUP BY series), o AS (SELECT * FROM st JOIN fit2 USING (series) JOIN lst USING (series)), "
-            f"bo AS (SELECT series, 'seasonal_naive' AS model, n_obs, CAST(rss_naive AS DOUBLE) AS rss, "
+            f"bo AS (SELECT series, 'seasonal_naive' AS model, season, n_obs, CAST(rss_naive AS DOUBLE) AS rss, "
             f"CASE WHEN rss_naive > 0 THEN n_obs * ln(rss_naive / n_obs) END AS aic, CAST(y_next_s AS DOUBLE) AS yhat_next "
-            f"FROM o UNION ALL SELECT series, 'ar1_seasonal_diff' AS model, n_obs, rss_ar AS rss, "
+            f"FROM o UNION ALL SELECT series, 'ar1_seasonal_diff' AS model, season, n_obs, rss_ar AS rss, "
             f"CASE WHEN rss_ar > 0 THEN n_obs * ln(rss_ar / n_obs) + 4 END AS aic, y_next_s + a + b * d_last AS yhat_next "
             f"FROM o), best AS (SELECT series, first(model ORDER BY aic IS NULL, aic, model) AS best_model FROM bo "
-            f"GROUP BY series) SELECT bo.series, bo.model, bo.n_obs, round(bo.rss, 4) AS rss, round(bo.aic, 4) AS aic, "
+            f"GROUP BY series) SELECT bo.series, bo.model, CAST(bo.season AS BIGINT) AS season, bo.n_obs, round(bo.rss, 4) AS rss, round(bo.aic, 4) AS aic, "
             f"round(bo.yhat_next, 4) AS yhat_next, bo.model = best.best_model AS best FROM bo JOIN best USING (series)")
 
 EXPLOG = "explog AS (SELECT " + ", ".join(ad.EXPLOG_EXPRS) + " FROM orders)"
@@ -1166,13 +1223,13 @@ ORACLE.update({
                       f"CAST(isWeekend AS DOUBLE) AS f2, CAST(isOvernight AS DOUBLE) AS f3, "
                       f"CAST(isRushhour AS DOUBLE) AS f4, trip_meters AS f5 FROM ff",
     "train_test_split": f"WITH {TRIPS_LI} SELECT 'train' AS side, count(*) AS n_rows, {_xsum('base_passenger_fare')} "
-                        f"AS fare_sum FROM trips_li WHERE {SPLIT_SQL} < 700 UNION ALL SELECT 'test', count(*), "
-                        f"{_xsum('base_passenger_fare')} FROM trips_li WHERE {SPLIT_SQL} >= 700",
+                        f"AS fare_sum FROM trips_li WHERE {SPLIT_SQL} < 0.7 UNION ALL SELECT 'test', count(*), "
+                        f"{_xsum('base_passenger_fare')} FROM trips_li WHERE {SPLIT_SQL} >= 0.7",
     "sample_by_key": f"WITH {TRIPS_LI} " + " UNION ALL ".join(
-        f"SELECT CAST({p} AS BIGINT) AS pct, count(*) FILTER (WHERE {SAMPLE_SQL} < {p * 10}) AS n_rows FROM trips_li"
+        f"SELECT CAST({p} AS BIGINT) AS pct, count(*) FILTER (WHERE {SAMPLE_SQL} < {p / 100}) AS n_rows FROM trips_li"
         for p in [10, 20, 40, 80, 100]),
     "bucket_sizes": f"WITH {TRIPS_LI} SELECT CAST({_bucket_sql(16)} AS BIGINT) AS bucket, count(*) AS n_rows "
-                    f"FROM trips_li WHERE {SPLIT_SQL} < 700 GROUP BY 1",
+                    f"FROM trips_li WHERE {SPLIT_SQL} < 0.7 GROUP BY 1",
     "ols_single": f"{EV_FARE} SELECT round(regr_slope(base_passenger_fare, trip_meters), 10) AS slope, "
                   f"round(regr_intercept(base_passenger_fare, trip_meters), 8) AS intercept, "
                   f"CAST(regr_count(base_passenger_fare, trip_meters) AS BIGINT) AS n FROM tr",
@@ -1185,7 +1242,17 @@ ORACLE.update({
     "local_lr_predictions": f"{EV_FARE}, {_LR_COEF}, mc AS (SELECT avg(b0) AS b0, avg(b1) AS b1, avg(b2) AS b2 FROM coef) "
                             f"SELECT count(*) AS n, round(sqrt(avg(pow(base_passenger_fare - (b0 + trip_meters * b1 "
                             f"+ trip_time * b2), 2))), 6) AS rmse FROM te, mc",
-    "tree_root_split": _ROOT_SQL,
+    "tree_root_split": f"{EV_FARE}, {_tree_sql(['trip_time', 'trip_meters', 'hour'], 1, '0')} SELECT feature_name, round(threshold, 4) AS threshold, "
+                       "CAST(n AS DOUBLE) AS n, round(gain, 4) AS gain FROM nodes WHERE level = 0",
+    "local_tree_models": _tree_nodes_sql(f"{EV_FARE}, {_tree_sql(feat.LOCAL_FEATURES, 5, _bucket_sql(16))}"),
+    "local_tree_gaps": _tree_nodes_sql(f"{EV_FARE}, {_tree_sql(feat.LOCAL_FEATURES, 3, _bucket_sql(4), where=_NO_GAPS)}"),
+    "local_tree_predictions": _tree_predictions_sql(feat.LOCAL_FEATURES, 5, 16),
+    "local_lr_gaps": f"{EV_FARE}, {_LR_COEF.replace('FROM tr GROUP', f'FROM tr WHERE {_NO_GAPS} GROUP')} SELECT CAST(bucket AS BIGINT) AS bucket, "
+                     "'intercept' AS term, round(b0, 6) AS coef FROM coef UNION ALL SELECT bucket, 'trip_meters', round(b1, 6) FROM coef "
+                     "UNION ALL SELECT bucket, 'trip_time', round(b2, 6) FROM coef",
+    **{f"global_{k}_rmse": f"{EV_FARE} {_BEATS.format(k)}" for k in ("lr", "dt", "gbt")},
+    "global_lr_pair": f"{EV_FARE}, {_LR_COEF.replace(_bucket_sql(16), '0')} SELECT count(*) AS n, round(sqrt(avg(pow(base_passenger_fare - "
+                      "(b0 + trip_meters * b1 + trip_time * b2), 2))), 6) AS rmse FROM te, coef",
     "weekly_lags": f"{LI_LAGS} SELECT * FROM lg",
     "forecast_naive": f"SELECT * FROM ({FORECAST}) WHERE model = 'seasonal_naive'",
     "forecast_ar": f"SELECT * FROM ({FORECAST}) WHERE model = 'ar1_seasonal_diff'",
@@ -1242,12 +1309,9 @@ QUERIES_C = {
     "local_tree_models": q_local_tree_models,
     "local_tree_predictions": q_local_tree_predictions,
     "tree_root_split": q_tree_root_split,
-    "sweep_local": q_sweep_local,
-    "sweep_global": q_sweep_global,
-    "sweep_depth": q_sweep_depth,
-    "sweep_size": q_sweep_size,
-    "sweep_parallelism": q_sweep_parallelism,
-    "sweep_scale": q_sweep_scale,
+    "local_tree_gaps": q_local_tree_gaps,
+    "local_lr_gaps": q_local_lr_gaps,
+    "global_lr_pair": q_global_lr_pair,
     "feature_votes": q_feature_votes,
     "weekly_lags": q_weekly_lags,
     "forecast_naive": _forecast("seasonal_naive"),
@@ -1261,11 +1325,6 @@ QUERIES_C = {
 
 QUERIES.update(QUERIES_B)
 QUERIES.update(QUERIES_C)
-# The timing sweeps and the forest votes fit many models: run them last.
-SLOW = ["sweep_parallelism", "sweep_scale", "sweep_size", "sweep_depth", "sweep_local", "feature_votes", "sweep_global"]
-QUERIES = {**{k: v for k, v in QUERIES.items() if k not in SLOW}, **{k: QUERIES[k] for k in SLOW}}
-
-
 # The training-data operators and their pipeline are an optional part: the
 # rest of the library stands without them.
 if _find_spec("farelane.llm") is not None and _find_spec("corpus_pipeline") is not None:

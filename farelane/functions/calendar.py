@@ -14,8 +14,6 @@ OVERNIGHT_HOURS = [20, 21, 22, 23, 0, 1, 2, 3, 4, 5]
 RUSH_HOURS = [16, 17, 18, 19]
 # Spark dayofweek: 1 = Sunday, 7 = Saturday.
 WEEKEND_DAYS = [1, 7]
-# Year range of the holiday list used by the flags (end exclusive).
-HOLIDAY_YEARS = (2019, 2025)
 # Base year and offset of the linear week index.
 WEEK_BASE_YEAR = 2019
 WEEK_OFFSET = 4
@@ -86,26 +84,11 @@ def _fixed(year: Column, month: int, day: int) -> Column:
     return F.make_date(year, F.lit(month), F.lit(day))
 
 
-def holiday_dim(spark: SparkSession, first_year: int = HOLIDAY_YEARS[0],
-                end_year: int = HOLIDAY_YEARS[1], state_extras: bool = True,
-                years: DataFrame | None = None) -> DataFrame:
-    """US federal (and New York) holidays as (holiday_date, holiday_name, is_observed).
-
-    Rules (public calendar): 1 Jan; 3rd Mon Jan; 3rd Mon Feb; last Mon May;
-    19 Jun from 2021; 4 Jul; 1st Mon Sep; 2nd Mon Oct; 11 Nov; 4th Thu Nov;
-    25 Dec. New York extras: 12 Feb, 15 Feb, Election Day (Tuesday after the
-    first Monday of November) in even years. A fixed-date holiday on a Saturday
-    is also observed the Friday before, on a Sunday the Monday after.
-
-    ``years`` may be a one-column DataFrame of years (column ``year``) derived
-    from data; otherwise ``[first_year, end_year)`` is used.
-    """
-    if years is None:
-        years = spark.range(first_year, end_year).select(F.col("id").cast("int").alias("year"))
-    y = F.col("year")
+def _holiday_rules(y: Column, state_extras: bool) -> tuple[list, list]:
+    """(name, date) of the year's holidays: on fixed dates, and on weekdays."""
     fixed = [
         ("New Year's Day", _fixed(y, 1, 1)),
-        ("Juneteenth National Independence Day", _fixed(y, 6, 19)),
+        ("Juneteenth National Independence Day", F.when(y >= 2021, _fixed(y, 6, 19))),
         ("Independence Day", _fixed(y, 7, 4)),
         ("Veterans Day", _fixed(y, 11, 11)),
         ("Christmas Day", _fixed(y, 12, 25)),
@@ -123,6 +106,48 @@ def holiday_dim(spark: SparkSession, first_year: int = HOLIDAY_YEARS[0],
                   ("Susan B. Anthony Day", _fixed(y, 2, 15))]
         floating += [("Election Day",
                       F.when(y % 2 == 0, F.date_add(_nth_weekday(y, 11, "Mon", 1), 1)))]
+    return fixed, floating
+
+
+def is_holiday(date, state_extras: bool = True) -> Column:
+    """Whether a date is a holiday or its observed day, by the rules of its own year: no list, no join, any year.
+
+    A fixed holiday is also observed on the Friday before a Saturday and the
+    Monday after a Sunday; next year's New Year's Day may be observed on 31 December.
+    """
+    d = _c(date)
+    y = F.year(d)
+    fixed, floating = _holiday_rules(y, state_extras)
+    days = [x for _, x in fixed] + [x for _, x in floating]
+    dow = F.dayofweek(d)
+    # the neighbour on which a fixed holiday would fall that is observed on this Friday or Monday
+    neighbour = F.when(dow == 6, F.date_add(d, 1)).when(dow == 2, F.date_sub(d, 1))
+    around, _ = _holiday_rules(F.year(neighbour), state_extras)
+    hit = F.lit(False)
+    for x in days:
+        hit = hit | F.coalesce(d == x, F.lit(False))
+    for _, x in around:
+        hit = hit | F.coalesce(neighbour == x, F.lit(False))
+    return hit
+
+
+def holiday_dim(spark: SparkSession, first_year: int | None = None, end_year: int | None = None, state_extras: bool = True,
+                years: DataFrame | None = None) -> DataFrame:
+    """US federal (and New York) holidays as (holiday_date, holiday_name, is_observed).
+
+    Rules (public calendar): 1 Jan; 3rd Mon Jan; 3rd Mon Feb; last Mon May;
+    19 Jun from 2021; 4 Jul; 1st Mon Sep; 2nd Mon Oct; 11 Nov; 4th Thu Nov;
+    25 Dec. New York extras: 12 Feb, 15 Feb, Election Day (Tuesday after the
+    first Monday of November) in even years. A fixed-date holiday on a Saturday
+    is also observed the Friday before, on a Sunday the Monday after.
+
+    ``years`` is a one-column DataFrame of years (column ``year``), as
+    ``holiday_dim_for`` derives from data, or else give ``[first_year, end_year)``.
+    """
+    if years is None:
+        years = spark.range(first_year, end_year).select(F.col("id").cast("int").alias("year"))
+    y = F.col("year")
+    fixed, floating = _holiday_rules(y, state_extras)
 
     def entries(items, kind):
         return F.array(*[F.struct(F.lit(n).alias("holiday_name"), d.alias("holiday_date"),
@@ -130,8 +155,7 @@ def holiday_dim(spark: SparkSession, first_year: int = HOLIDAY_YEARS[0],
 
     base = (years
             .select(y, F.inline(F.array_union(entries(fixed, "fixed"), entries(floating, "floating"))))
-            .where(F.col("holiday_date").isNotNull())
-            .where((F.col("holiday_name") != "Juneteenth National Independence Day") | (y >= 2021)))
+            .where(F.col("holiday_date").isNotNull()))
     dow = F.dayofweek("holiday_date")
     observed = (base.where(F.col("kind") == "fixed")
                 .select(F.concat(F.col("holiday_name"), F.lit(" (observed)")).alias("holiday_name"),
@@ -162,21 +186,18 @@ def with_demand_flags(df: DataFrame, date_col: str = "pickupdate",
 
     isWeekend: holiday or Saturday/Sunday. isOvernight: hour in 20..23 or 0..5.
     isRushhour: hour in 16..19 **or** not isWeekend (every working-day trip).
-    The holiday set (a few rows per year) is broadcast and left-joined by date.
+    Holidays follow the rules of each date's own year; a ``holidays`` table of
+    the caller's own replaces them and is joined by date, size-checked.
     """
     if holidays is None:
-        holidays = holiday_dim(df.sparkSession)
-    from ..session import join_small
-
-    hd = holiday_dates(holidays).withColumn("_is_holiday", F.lit(True))
-    hd = hd.withColumnRenamed("holiday_date", "_hdate")
-    # A few rows per year; a caller's own holiday table is still size-checked.
-    joined = join_small(df, hd, F.col(date_col) == F.col("_hdate"), "left", max_rows=100_000)
-    weekend = F.col("_is_holiday").isNotNull() | F.dayofweek(F.col(date_col)).isin(WEEKEND_DAYS)
-    out = joined.withColumns({
-        "isWeekend": F.when(weekend, 1).otherwise(0),
-        "isOvernight": F.when(F.col(hour_col).isin(OVERNIGHT_HOURS), 1).otherwise(0),
-    }).withColumn(
-        "isRushhour",
-        F.when(F.col(hour_col).isin(RUSH_HOURS) | (F.col("isWeekend") == 0), 1).otherwise(0))
-    return out.drop("_hdate", "_is_holiday")
+        marked, holiday = df, is_holiday(F.col(date_col))
+    else:
+        from ..session import join_small
+
+        hd = holiday_dates(holidays).select(F.col("holiday_date").alias("_hdate"))
+        marked = join_small(df, hd, F.col(date_col) == F.col("_hdate"), "left", max_rows=100_000)
+        holiday = F.col("_hdate").isNotNull()
+    off = F.coalesce(holiday | F.dayofweek(F.col(date_col)).isin(WEEKEND_DAYS), F.lit(False))
+    hour = lambda hours: F.coalesce(F.col(hour_col).isin(hours), F.lit(False))
+    flags = {"isWeekend": off, "isOvernight": hour(OVERNIGHT_HOURS), "isRushhour": hour(RUSH_HOURS) | ~off}
+    return marked.withColumns({name: flag.cast("int") for name, flag in flags.items()}).drop("_hdate")

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.calendar import parse_date, with_demand_flags
-from ..functions.rates import safe_div, temp_extremity, transit_taxi_ratio, with_fare_rates
+from ..functions.rates import temp_extremity, transit_taxi_ratio, with_fare_rates
 from ..schemas import TRANSIT_DROPPED, TRANSIT_RENAMES
 from ..session import join_small, materialize
 from .demand import (DAY_KEYS, HOUR_KEYS, daily_count, daily_stats, daily_stats_from_hourly, hourly_stats,
@@ -168,10 +168,3 @@ def zone_heat_table(zone_names: DataFrame, *counts: DataFrame) -> DataFrame:
     counts = [c for c in out.columns if c.endswith("_count")]
     return out.fillna(0, subset=counts).withColumns({c: F.col(c).cast("int") for c in counts})
 
-
-def unit_rate_table(df: DataFrame) -> DataFrame:
-    """Per-row fare per mile and per minute, guarded against zero."""
-    return df.withColumns({
-        "fare_per_mile": safe_div("base_passenger_fare", "trip_miles"),
-        "fare_per_min": safe_div("base_passenger_fare", "trip_time") * 60,
-    })

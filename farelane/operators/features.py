@@ -7,22 +7,16 @@ partitioning, retry or cluster size.
 
 from __future__ import annotations
 
-from itertools import combinations
-
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.calendar import with_demand_flags
 from ..functions.rates import trip_duration, trip_km, trip_meters
-from ..session import local_table, spread
-
-# Multiplicative hash constants and their reduction moduli.
-HASH_MULT = 2654435761
-SPLIT_MOD = 1000
-BUCKET_PRIME = 1000003
-SAMPLE_MULT = 2246822519
-SAMPLE_PRIME = 999983
+from ..schemas import TRIP_SCHEMA
+from ..session import local_table, materialize
 
 GLOBAL_FEATURES = ["trip_time", "day", "isWeekend", "isOvernight", "isRushhour", "trip_meters"]
 LOCAL_FEATURES = ["trip_time", "trip_meters", "hour", "isWeekend", "isOvernight", "isRushhour"]
@@ -33,58 +27,53 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def split_hash(key) -> Column:
-    """(key * 2654435761) mod 1000, computed without 64-bit overflow.
-
-    For key >= 0 this equals ((key mod 1000) * (2654435761 mod 1000)) mod 1000.
-    """
-    return F.pmod(F.pmod(_c(key), F.lit(SPLIT_MOD)) * F.lit(HASH_MULT % SPLIT_MOD), F.lit(SPLIT_MOD))
+# Fixed rule: a share is the first 52 bits of an MD5 digest, which a double holds exactly.
+SHARE_DIGITS, SHARE_RANGE = 13, 2.0**52
 
 
-def _mix(key, mult: int, prime: int) -> Column:
-    # A permutation of key mod prime; products stay below 2^63.
-    return F.pmod(F.pmod(_c(key), F.lit(prime)) * F.lit(mult), F.lit(prime))
+def key_share(key, salt: str) -> Column:
+    """A uniform number in [0, 1) for a row key, independent for each salt.
 
+    It depends on all digits of the key, so keys in steps fall evenly too, and
+    it is the same in any engine that has MD5. Null keys share one number.
+    """
+    text = F.concat(F.lit(f"{salt}:"), F.coalesce(_c(key).cast("string"), F.lit("null")))
+    return F.conv(F.substring(F.md5(text), 1, SHARE_DIGITS), 16, 10).cast("double") / F.lit(SHARE_RANGE)
 
-def bucket_of(key, n: int) -> Column:
-    """Bucket in [0, n): (((key mod 1000003) * 2654435761) mod 1000003) mod n."""
-    return F.pmod(_mix(key, HASH_MULT, BUCKET_PRIME), F.lit(n)).cast("int")
 
+def with_trip_key(df: DataFrame, name: str = "trip_id", cols: list[str] | None = None) -> DataFrame:
+    """Add a row key from the columns that tell trips apart (all those of the trip schema that ``df`` has, or ``cols``).
 
-def sample_hash(key) -> Column:
-    """Hash in [0, 1000) for sampling, decorrelated from ``split_hash`` and buckets:
-    (((key mod 999983) * 2246822519) mod 999983) mod 1000."""
-    return F.pmod(_mix(key, SAMPLE_MULT, SAMPLE_PRIME), F.lit(SPLIT_MOD))
+    Repeated rows get one key: they are the same trip.
+    """
+    known = [f.name for f in TRIP_SCHEMA.fields]
+    cols = cols or [c for c in known if c in df.columns] or df.columns
+    parts = [F.coalesce(F.col(c).cast("string"), F.lit("null")) for c in cols]
+    return df.withColumn(name, F.xxhash64(F.concat_ws("|", *parts)))
 
 
-def train_test_split(df: DataFrame, key: str = "trip_id", train_fraction: float = 0.7):
-    """Deterministic split by key hash: train where hash < fraction * 1000."""
-    cut = int(round(train_fraction * SPLIT_MOD))
-    h = split_hash(key)
-    return df.where(h < cut), df.where(h >= cut)
+def bucket_of(key, n: int) -> Column:
+    """Bucket in [0, n)."""
+    return F.floor(key_share(key, "bucket") * n).cast("int")
 
 
-def random_split(df: DataFrame, weights=(0.7, 0.3), seed: int = 42):
-    """``randomSplit`` with a fixed seed (depends on partitioning; kept for parity)."""
-    return df.randomSplit(list(weights), seed=seed)
+def train_test_split(df: DataFrame, key: str = "trip_id", train_fraction: float = 0.7):
+    """Deterministic split by key hash: train where the key's share is under the fraction."""
+    share = key_share(key, "split")
+    return df.where(share < train_fraction), df.where(share >= train_fraction)
 
 
 def sample_by_key(df: DataFrame, fraction: float, key: str = "trip_id") -> DataFrame:
-    """Reproducible Bernoulli-like sample: rows whose key hash falls under the fraction."""
-    return df.where(sample_hash(key) < int(round(fraction * SPLIT_MOD)))
+    """Reproducible Bernoulli-like sample: rows whose key's share falls under the fraction."""
+    return df.where(key_share(key, "sample") < fraction)
 
 
 def sample_sizes(df: DataFrame, fractions, key: str = "trip_id") -> DataFrame:
     """Rows kept by ``sample_by_key`` for each fraction, in one pass: (pct, n_rows)."""
-    h = sample_hash(key)
-    cuts = [(int(round(f * 100)), int(round(f * SPLIT_MOD))) for f in fractions]
-    row = df.agg(*[F.count_if(h < c).alias(f"n{p}") for p, c in cuts])
-    return row.select(F.inline(F.array(*[F.struct(F.lit(p).alias("pct"), F.col(f"n{p}").alias("n_rows"))
-                                         for p, _ in cuts])))
-
-
-def sample_seeded(df: DataFrame, fraction: float, seed: int = 555) -> DataFrame:
-    return df.sample(fraction=fraction, seed=seed)
+    share = key_share(key, "sample")
+    row = df.agg(*[F.count_if(share < f).alias(f"n{round(f * 100)}") for f in fractions])
+    return row.select(F.inline(F.array(*[F.struct(F.lit(round(f * 100)).alias("pct"), F.col(f"n{round(f * 100)}").alias("n_rows"))
+                                         for f in fractions])))
 
 
 def with_bucket(df: DataFrame, n: int, key: str = "trip_id", name: str = "bucket") -> DataFrame:
@@ -132,58 +121,71 @@ def adapt(df: DataFrame, spec) -> DataFrame:
     return df.select(*[F.col(o).try_cast(t).alias(n) for o, n, t in spec])
 
 
-WIDE_CORRELATION = 8
+def _pooled(parts: DataFrame, cols: list[str]) -> DataFrame:
+    """(col_a, col_b, r) from moments of parts of the rows: n, means m, and w, the co-moments within a part of pairs i <= j in order.
 
+    All rows' co-moments are those within the parts plus those of the parts'
+    means, weighted. What reaches the driver is k means and k * k co-moments.
+    """
+    k = len(cols)
+    pairs = [(i, j) for i in range(k) for j in range(i, k)]
+    mean = {r.pos: r.a for r in parts.select("n", F.posexplode("m")).groupBy("pos").agg((F.sum(F.col("n") * F.col("col")) / F.sum("n")).alias("a")).collect()}
+    centred = parts.withColumn("m", F.zip_with("m", F.array(*[F.lit(float(mean.get(i, 0.0))) for i in range(k)]), lambda x, c: x - c))
+    first, second = (f"array({', '.join(str(p[x]) for p in pairs)})" for x in (0, 1))
+    products = F.expr(f"transform(w, (x, p) -> x + n * m[{first}[p]] * m[{second}[p]])")
+    total = {r.pos: r.c for r in centred.select(F.posexplode(products)).groupBy("pos").agg(F.sum("col").alias("c")).collect()}
+    c = {(i, j): total.get(at, 0.0) for at, (i, j) in enumerate(pairs)}
+
+    def r(i: int, j: int):
+        if not (c[i, i] > 0 and c[j, j] > 0):
+            return None  # a constant column
+        return 1.0 if i == j else c[min(i, j), max(i, j)] / (c[i, i] ** 0.5 * c[j, j] ** 0.5)
 
-def correlation_long(df: DataFrame, cols: list[str], complete: bool = True, method: str = "auto") -> DataFrame:
-    """Pearson correlation of every pair of ``cols`` as (col_a, col_b, r).
+    return local_table(parts.sparkSession, [(a, b, r(i, j)) for i, a in enumerate(cols) for j, b in enumerate(cols)], "col_a string, col_b string, r double")
 
-    ``sql`` (default up to 8 columns): one aggregation pass (partial
-    aggregates per task, a single-row merge) computes covar_pop and
-    stddev_pop for all pairs. ``ml`` (wider tables): Spark ML's
-    ``Correlation.corr`` folds a k x k Gram matrix in one tree-aggregated
-    pass. Either way rows with a null/NaN in any column are removed first
-    (listwise, like the vector assembler) and a constant column gives a null r.
+
+def correlation_long(df: DataFrame, cols: list[str], complete: bool = True) -> DataFrame:
+    """Pearson correlation of every pair of ``cols`` as (col_a, col_b, r), in one pass.
+
+    Rows with a null or NaN in any column are left out first (listwise). Each
+    task folds its rows into one set of moments, batch by batch.
     """
-    src = complete_features(df.select(*cols), cols) if complete else df.select(*cols)
-    # Many aggregate buffers per row: make sure every core shares the pass.
-    src = spread(src)
-    if method == "ml" or (method == "auto" and len(cols) > WIDE_CORRELATION):
-        return _correlation_ml(src, cols)
-    aggs = [F.stddev_pop(c).alias(f"s{i}") for i, c in enumerate(cols)]
-    aggs += [F.covar_pop(a, b).alias(f"c{i}_{j}") for (i, a), (j, b) in combinations(enumerate(cols), 2)]
-    stats = src.agg(*aggs)
-    entries = []
-    for i, a in enumerate(cols):
-        for j, b in enumerate(cols):
-            if i == j:
-                r = F.when(F.col(f"s{i}") > 0, F.lit(1.0))
-            else:
-                lo, hi = min(i, j), max(i, j)
-                r = F.try_divide(F.col(f"c{lo}_{hi}"), F.col(f"s{lo}") * F.col(f"s{hi}"))
-            entries.append(F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), r.alias("r")))
-    return stats.select(F.inline(F.array(*entries)))
-
-
-def _correlation_ml(src: DataFrame, cols: list[str]) -> DataFrame:
-    from pyspark.ml.stat import Correlation
-
-    vec = VectorAssembler(inputCols=list(cols), outputCol="_v", handleInvalid="skip").transform(src)
-    m = Correlation.corr(vec, "_v").first()[0].toArray()  # k x k, k = len(cols)
     k = len(cols)
-    # The diagonal is 1 even for a constant column. A column whose every
-    # off-diagonal is NaN is constant when some other pair has a finite r
-    # (two varying columns would give it one); only if no pair does is its
-    # variance checked in another pass. Constant columns get a null diagonal.
-    amb = [i for i in range(k) if all(m[i, j] != m[i, j] for j in range(k) if j != i)]
-    if amb and any(m[i, j] == m[i, j] for i in range(k) for j in range(k) if i != j):
-        for i in amb:
-            m[i, i] = float("nan")
-    elif amb:
-        sd = src.agg(*[F.stddev_pop(cols[i]).alias(f"s{i}") for i in amb]).first()
-        for i in amb:
-            if not sd[f"s{i}"]:
-                m[i, i] = float("nan")
-    rows = [(a, b, None if m[i, j] != m[i, j] else float(m[i, j]))
-            for i, a in enumerate(cols) for j, b in enumerate(cols)]
-    return local_table(src.sparkSession, rows, "col_a string, col_b string, r double")
+    upper = np.triu_indices(k)
+
+    def fold(batches):
+        n, mean, within = 0, np.zeros(k), np.zeros((k, k))
+        for b in batches:
+            x = np.stack([c.to_numpy(zero_copy_only=False) for c in b.columns], axis=1)
+            if not len(x):
+                continue
+            m = x.mean(axis=0)
+            d = x - m
+            gap = m - mean
+            within += d.T @ d + np.outer(gap, gap) * (n * len(x) / (n + len(x)))
+            n, mean = n + len(x), mean + gap * (len(x) / (n + len(x)))
+        if n:
+            yield pa.RecordBatch.from_pydict({"n": [n], "m": [mean.tolist()], "w": [within[upper].tolist()]})
+
+    src = complete_features(df.select(*cols), cols) if complete else df.select(*cols)
+    rows = src.select(*[F.col(c).cast("double").alias(c) for c in cols])
+    return _pooled(materialize(rows.mapInArrow(fold, "n bigint, m array<double>, w array<double>")), cols)
+
+
+def correlation_with_context(trips: DataFrame, context: DataFrame, trip_cols: list[str], context_cols: list[str],
+                             keys=("pickupdate", "pickuphour")) -> DataFrame:
+    """``correlation_long`` over trips with their N:1 context, without joining trips to it.
+
+    One pass folds the trips of each key into moments; context columns are
+    constant within a key, so their part of a key's moments is their value.
+    """
+    keys, k, both = list(keys), len(trip_cols), [*trip_cols, *context_cols]
+    pairs = [(i, j) for i in range(len(both)) for j in range(i, len(both))]
+    rows = complete_features(trips.select(*{*keys, *trip_cols}), trip_cols)
+    moments = rows.groupBy(*keys).agg(F.count("*").alias("n"), *[F.avg(c).alias(f"m{i}") for i, c in enumerate(trip_cols)],
+                                      *[(F.covar_pop(trip_cols[i], trip_cols[j]) * F.count("*")).alias(f"w{i}_{j}") for i, j in pairs if j < k])
+    side = complete_features(context.select(*keys, *context_cols), context_cols)
+    side = side.select(*keys, *[F.col(c).cast("double").alias(f"m{k + i}") for i, c in enumerate(context_cols)])
+    parts = moments.join(side, keys).select("n", F.array(*[f"m{i}" for i in range(len(both))]).alias("m"),
+                                            F.array(*[F.col(f"w{i}_{j}") if j < k else F.lit(0.0) for i, j in pairs]).alias("w"))
+    return _pooled(materialize(parts), both)

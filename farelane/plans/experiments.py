@@ -13,9 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..operators.features import LABEL, sample_by_key, train_test_split, with_bucket
+from ..operators.features import LABEL, sample_by_key, train_test_split
 from ..schemas import LOG_SCHEMA, SWEEP_SCHEMA
-from ..session import local_table
+from ..session import local_table, materialize
 from . import global_models as gm
 from . import local_models as lm
 
@@ -110,7 +110,7 @@ def fit_and_score_local(train: DataFrame, test: DataFrame, features: list[str],
     """Fit local models on ``n_buckets`` buckets, score the test rows; (rmse, fit_s, agg_s)."""
     t0 = time.time()
     if model == "lr":
-        models = lm.fit_local_lr(train, features, label, n_buckets, key).cache()
+        models = materialize(lm.fit_local_lr(train, features, label, n_buckets, key))
         t1 = time.time()
         models.count()
         agg_s = time.time() - t1
@@ -141,7 +141,7 @@ def sweep_global(train: DataFrame, test: DataFrame, features: list[str], partiti
     rows = []
     for n in partitions:
         t0 = time.time()
-        model = gm.fit_global(train.repartition(n), features, kind, spread_input=False)
+        model = gm.fit_global(train.repartition(n), features, kind)
         r = gm.rmse_value(gm.score(model, test))
         rows.append((int(n), float(r), float(time.time() - t0)))
     return _log(train.sparkSession, rows, SWEEP_SCHEMA)
@@ -163,7 +163,7 @@ def sweep_depth(train: DataFrame, test: DataFrame, features: list[str], n_bucket
 
 
 def sweep_size(df: DataFrame, features: list[str], model: str = "lr", buckets: int = 8,
-               sizes=SIZES, repeats: int = 1, key: str = "trip_id") -> DataFrame:
+               sizes=SIZES, repeats: int = 10, key: str = "trip_id") -> DataFrame:
     """Data-size sweep: key-hash sample of pct %, 70/30 split, local fit. Log rows."""
     rows = []
     for _ in range(repeats):
@@ -177,7 +177,7 @@ def sweep_size(df: DataFrame, features: list[str], model: str = "lr", buckets: i
 
 
 def sweep_parallelism(df: DataFrame, features: list[str], model: str = "lr", cores=SPEED_CORES,
-                      pct: int = 100, repeats: int = 1, key: str = "trip_id") -> DataFrame:
+                      pct: int = 100, repeats: int = 10, key: str = "trip_id") -> DataFrame:
     """Parallelism sweep: bucket count c over all rows (the partition count, not cores)."""
     rows = []
     train, test = train_test_split(sample_by_key(df, pct / 100.0, key), key)
@@ -190,7 +190,7 @@ def sweep_parallelism(df: DataFrame, features: list[str], model: str = "lr", cor
 
 
 def sweep_scale(df: DataFrame, features: list[str], model: str = "lr", cores=SCALE_CORES, sizes=SIZES,
-                repeats: int = 1, key: str = "trip_id") -> DataFrame:
+                repeats: int = 10, key: str = "trip_id") -> DataFrame:
     """Scale-up: (buckets, pct) grow together."""
     rows = []
     for _ in range(repeats):
@@ -201,6 +201,3 @@ def sweep_scale(df: DataFrame, features: list[str], model: str = "lr", cores=SCA
             rows.append((model, int(c), int(pct), float(time.time() - t0), float(agg_s)))
     return _log(df.sparkSession, rows, LOG_SCHEMA)
 
-
-def bucket_partition_sizes(df: DataFrame, n: int, key: str = "trip_id") -> DataFrame:
-    return with_bucket(df, n, key).groupBy("bucket").count()

@@ -15,6 +15,7 @@ from ..functions.calendar import week_start
 from ..session import materialize
 
 SEASON = 52
+#: Weeks a series needs for the season of 52; a shorter one is forecast with season 1.
 MIN_SEASONAL_WEEKS = 60
 
 
@@ -37,10 +38,10 @@ def weekly_lags(counts: DataFrame) -> DataFrame:
     })
 
 
-def forecast(lags: DataFrame) -> DataFrame:
+def forecast(lags: DataFrame, min_seasonal_weeks: int = MIN_SEASONAL_WEEKS) -> DataFrame:
     """Seasonal-naive and AR(1)-on-seasonal-differences forecasts, scored by AIC.
 
-    Season s = 52 weeks when a series has at least 60 weeks, else 1.
+    Season s = 52 weeks when a series has at least ``min_seasonal_weeks`` weeks, else 1; column ``season`` says which.
     d_t = y_t - y_{t-s}; AR: d_t = a + b d_{t-1}; one-step in-sample
     yhat_t = y_{t-s} (naive) or y_{t-s} + a + b d_{t-1} (AR), both scored on
     the rows where d_{t-1} exists. AIC = n ln(RSS/n) + 2k (k = 0 naive, 2 AR);
@@ -49,7 +50,7 @@ def forecast(lags: DataFrame) -> DataFrame:
     """
     w = Window.partitionBy("series").orderBy("week")
     nweeks = F.max("t").over(Window.partitionBy("series"))
-    df = lags.withColumn("s", F.when(nweeks >= MIN_SEASONAL_WEEKS, SEASON).otherwise(1))
+    df = lags.withColumn("s", F.when(nweeks >= min_seasonal_weeks, SEASON).otherwise(1))
     df = df.withColumn("y_s", F.when(F.col("s") == SEASON, F.col("lag_52")).otherwise(F.col("lag_1")))
     df = df.withColumn("d", F.col("n") - F.col("y_s"))
     df = df.withColumn("d_prev", F.lag("d", 1).over(w))
@@ -61,7 +62,7 @@ def forecast(lags: DataFrame) -> DataFrame:
     fit = df.groupBy("series").agg(
         F.regr_slope("d", "d_prev").alias("b"),
         F.regr_intercept("d", "d_prev").alias("a"),
-        F.max("t").alias("t_last"))
+        F.max("t").alias("t_last"), F.max("s").alias("season"))
     last = df.join(fit.select("series", "t_last"), "series").where(F.col("t") == F.col("t_last")) \
         .select("series", F.col("d").alias("d_last"), "y_next_s")
     scored = (df.where(F.col("d_prev").isNotNull() & F.col("y_s").isNotNull())
@@ -76,10 +77,10 @@ def forecast(lags: DataFrame) -> DataFrame:
     def aic(rss, k):
         return F.when(F.col(rss) > 0, F.col("n_obs") * F.log(F.col(rss) / F.col("n_obs")) + 2 * k)
 
-    naive = out.select("series", F.lit("seasonal_naive").alias("model"), "n_obs",
+    naive = out.select("series", F.lit("seasonal_naive").alias("model"), "season", "n_obs",
                        F.col("rss_naive").cast("double").alias("rss"), aic("rss_naive", 0).alias("aic"),
                        F.col("y_next_s").cast("double").alias("yhat_next"))
-    ar = out.select("series", F.lit("ar1_seasonal_diff").alias("model"), "n_obs",
+    ar = out.select("series", F.lit("ar1_seasonal_diff").alias("model"), "season", "n_obs",
                     F.col("rss_ar").alias("rss"), aic("rss_ar", 2).alias("aic"),
                     (F.col("y_next_s") + F.col("a") + F.col("b") * F.col("d_last")).alias("yhat_next"))
     both = naive.unionByName(ar)

@@ -2,16 +2,14 @@
 
 from __future__ import annotations
 
-import time
-
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, LinearRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.features import LABEL
-from ..session import local_table, spread
+from ..operators.features import LABEL, train_test_split
+from ..session import local_table, materialize
 
 
 def rmse(df: DataFrame, label: str = LABEL, pred: str = "prediction") -> DataFrame:
@@ -35,32 +33,35 @@ def estimator(kind: str, label: str = LABEL, depth: int = 5, seed: int = 42):
 
 
 def fit_global(train: DataFrame, features: list[str], kind: str = "gbt", label: str = LABEL,
-               depth: int = 5, spread_input: bool = True) -> PipelineModel:
-    """Pipeline of a skip-invalid assembler and one regressor over all rows.
-
-    Fitting rescans the rows every iteration, so a frame with fewer partitions
-    than cores is spread first; a partition sweep passes ``spread_input=False``
-    to keep the partitioning it is measuring.
-    """
+               depth: int = 5) -> PipelineModel:
+    """Pipeline of a skip-invalid assembler and one regressor over all rows."""
     asm = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="skip")
-    return Pipeline(stages=[asm, estimator(kind, label, depth)]).fit(spread(train) if spread_input else train)
+    return Pipeline(stages=[asm, estimator(kind, label, depth)]).fit(train)
 
 
 def score(model: PipelineModel, df: DataFrame) -> DataFrame:
     return model.transform(df)
 
 
-def global_rmse(train: DataFrame, test: DataFrame, features: list[str], kind: str = "gbt",
-                label: str = LABEL, depth: int = 5) -> DataFrame:
-    """Fit, score and evaluate; one row (model, n_train, n_test, rmse, seconds)."""
-    t0 = time.time()
+def global_rmse(rows: DataFrame, features: list[str], kind: str = "gbt", label: str = LABEL, depth: int = 5,
+                key: str = "trip_id") -> DataFrame:
+    """Split, fit, score and evaluate; one row (model, n_train, n_test, rmse, mean_rmse, beats_mean).
+
+    The feature rows are written once, over enough partitions for every core,
+    and read by the split, the fit's passes and the counts. ``mean_rmse`` is
+    the error of the training mean.
+    """
+    spark = rows.sparkSession
+    kept = rows.dropna(subset=[*features, label]).select(key, *features, label)
+    kept = materialize(kept.repartition(spark.sparkContext.defaultParallelism))
+    train, test = train_test_split(kept, key)
     model = fit_global(train, features, kind, label, depth)
-    r = rmse(score(model, test), label).first()
-    secs = time.time() - t0
-    spark = train.sparkSession
-    n_train = train.count()
-    return local_table(spark, [(kind, int(n_train), int(r["n"]), float(r["rmse"]), float(secs))],
-                       "model string, n_train bigint, n_test bigint, rmse double, seconds double")
+    base = train.agg(F.count("*").alias("n"), F.avg(label).alias("m")).first()
+    err = F.col(label) - F.lit(base.m)
+    r = score(model, test).agg(F.count("*").alias("n"), F.sqrt(F.avg((F.col(label) - F.col("prediction")) ** 2)).alias("rmse"),
+                               F.sqrt(F.avg(err * err)).alias("mean_rmse")).first()
+    return local_table(spark, [(kind, int(base.n), int(r.n), r.rmse, r.mean_rmse, bool(r.rmse is not None and r.rmse < r.mean_rmse))],
+                       "model string, n_train bigint, n_test bigint, rmse double, mean_rmse double, beats_mean boolean")
 
 
 def ols_single(df: DataFrame, x: str, y: str = LABEL) -> DataFrame:

@@ -1,36 +1,50 @@
-"""One model per bucket, fitted for all buckets at once from grouped aggregates.
+"""One model per bucket, fitted for all buckets at once.
+
+Rows with a null or NaN label or feature are left out of every fit (listwise).
 
 * Linear models: one ``groupBy(bucket)`` of cross-product sums (normal
   equations), solved per bucket on the already-aggregated rows.
-* Regression trees: level-wise. Features are binned once; each level is one
-  ``groupBy(group, node, feature, bin)`` histogram (partial aggregation keeps a
-  hot bucket's rows from meeting in one task), a cumulative window over the
-  small histogram picks the best split per node, and a broadcast join of the
-  chosen splits routes rows to the next level. No group is ever collected.
-* Ensemble scoring: linear models average their coefficients (mean of linear
-  = linear of mean); trees become one CASE expression summed over buckets
-  (JVM-side), or, for large ensembles, are walked inside Arrow batches.
-* Feature votes: a random forest per bucket (Poisson bootstrap weights from a
-  key hash, trees as extra groups), importance = summed SSE reduction.
+* Regression trees grow level by level, all buckets together. Features are cut
+  at quantiles. A level is one job: each task walks its rows down the splits
+  found so far (one array lookup per level) and adds them to histograms of the
+  nodes it meets; the histograms, not rows, are shuffled and summed per node,
+  and the best split of each node comes back, groups x 2^level rows at most.
+  A split tells its children's totals, so leaves need no pass of their own.
+* Forests weight a row's bootstrap copies inside the task, by a hash of row key
+  and tree; copies are never rows.
+* Scoring ships the splits (groups x 2^(depth+1), a bound set by parameters)
+  and walks rows in Arrow batches.
 """
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StringType, StructField, StructType
-from pyspark.sql.window import Window
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from ..operators.features import with_bucket
-from ..session import broadcast_row_bound, join_small, local_table, materialize, spread
+from ..session import local_table, materialize
+
+MIN_GAIN = 1e-9
+# Of splits whose gains differ by less than this share, the first feature and bin wins: sums in another order change nothing.
+GAIN_TIE = 1e-9
+QUANTILE_ACCURACY = 1_000_000
+# Cells of histograms that a task holds before it hands them on.
+HISTOGRAM_CELLS = 4_000_000
+NODES_A_GROUP = 256
 
-NODE_EPS = 1e-9
-# Node rows of one tree level brought to the driver (groups x 2^level, ~100 bytes each).
-LEVEL_LOCAL_MAX_ROWS = 200_000
-# Histogram keys per task above which tree rows are range-partitioned by bucket.
-CLUSTER_MIN_KEYS = 1_000_000
+
+def complete_rows(df: DataFrame, cols: list[str]) -> DataFrame:
+    """Rows without a null or NaN in ``cols``."""
+    keep = F.lit(True)
+    for c in cols:
+        keep = keep & F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double"))
+    return df.where(keep)
 
 
 # ---------------------------------------------------------------------------
@@ -38,7 +52,7 @@ CLUSTER_MIN_KEYS = 1_000_000
 # ---------------------------------------------------------------------------
 
 def lr_moments(df: DataFrame, features: list[str], label: str, group: str = "bucket") -> DataFrame:
-    """Per group, in one pass: n, means (m_i) and population co-moments (c_i_j, i <= j).
+    """Per group, in one pass over complete rows: n, means (m_i) and population co-moments (c_i_j, i <= j).
 
     Columns are the features then the label. ``avg`` and ``covar_pop`` merge
     partial results with the pairwise update formulas, so the co-moments are
@@ -50,7 +64,7 @@ def lr_moments(df: DataFrame, features: list[str], label: str, group: str = "buc
     for i, a in enumerate(cols):
         for j in range(i, len(cols)):
             aggs.append(F.covar_pop(a, cols[j]).alias(f"c_{i}_{j}"))
-    return df.groupBy(group).agg(*aggs)
+    return complete_rows(df, cols).groupBy(group).agg(*aggs)
 
 
 def _solve_lr(features: list[str], group: str):
@@ -101,374 +115,237 @@ def score_lr_ensemble(models: DataFrame, df: DataFrame, out: str = "prediction")
 
 
 # ---------------------------------------------------------------------------
-# level-wise regression trees
+# regression trees
 # ---------------------------------------------------------------------------
 
-def bin_edges(df: DataFrame, features: list[str]) -> list[tuple[float, float]]:
-    """(min, max) per feature in one aggregate pass (2p numbers)."""
-    row = df.agg(*[F.min(f).alias(f"lo{i}") for i, f in enumerate(features)],
-                 *[F.max(f).alias(f"hi{i}") for i, f in enumerate(features)]).first()
-    out = []
-    for i in range(len(features)):
-        lo, hi = row[f"lo{i}"], row[f"hi{i}"]
-        out.append((float(lo or 0.0), float(hi if hi is not None else 0.0)))
-    return out
+def quantile_edges(df: DataFrame, features: list[str], n_bins: int, accuracy: int = QUANTILE_ACCURACY) -> list[np.ndarray]:
+    """Up to ``n_bins - 1`` rising cut points per feature, values of the data at equal ranks, in one aggregate pass."""
+    shares = F.array(*[F.lit(k / n_bins) for k in range(1, n_bins)])
+    row = df.agg(*[F.percentile_approx(f, shares, accuracy).alias(f"e{i}") for i, f in enumerate(features)]).first()
+    return [np.unique(np.array(row[f"e{i}"] or [], dtype=float)) for i in range(len(features))]
 
 
-def _bin_col(c: str, lo: float, hi: float, n_bins: int):
-    if hi <= lo:
-        return F.lit(0)
-    w = (hi - lo) / n_bins
-    b = F.floor((F.col(c).cast("double") - F.lit(lo)) / F.lit(w)).cast("int")
-    return F.least(F.lit(n_bins - 1), F.greatest(F.lit(0), b))
+class TreeModels:
+    """Trees of all groups in arrays by (group, heap node): root 1, children 2n and 2n + 1.
 
+    A row goes left where its feature is at most the split's threshold.
+    """
 
-def _bin_np(x: np.ndarray, lo: float, hi: float, n_bins: int) -> np.ndarray:
-    if hi <= lo:
-        return np.zeros(len(x), dtype=np.int64)
-    w = (hi - lo) / n_bins
-    return np.clip(np.floor((x - lo) / w), 0, n_bins - 1).astype(np.int64)
+    def __init__(self, groups: list[int], features: list[str], edges: list[np.ndarray], depth: int, group: str):
+        size = (len(groups), 2 ** (depth + 1))
+        self.groups, self.features, self.edges, self.depth, self.group = groups, features, edges, depth, group
+        self.feature, self.bin = np.full(size, -1), np.zeros(size, np.int64)
+        self.n, self.s, self.gain = np.zeros(size), np.zeros(size), np.zeros(size)
 
+    def value(self) -> np.ndarray:
+        return self.s / np.maximum(self.n, 1e-300)
 
-class TreeModels:
-    """Node table plus the binning it was grown on."""
-
-    def __init__(self, nodes: DataFrame, features: list[str], edges, n_bins: int, depth: int, group: str,
-                 local: pd.DataFrame | None = None):
-        self.nodes = nodes
-        self.features = features
-        self.edges = edges
-        self.n_bins = n_bins
-        self.depth = depth
-        self.group = group
-        self._local = local  # driver copy when the fit already holds it (bounded node table)
-
-    def arrays(self, depth: int | None = None):
-        """Dense per-group arrays (bounded by groups x 2^(depth+1))."""
-        depth = self.depth if depth is None else depth
-        pdf = self._local if self._local is not None else self.nodes.toPandas()
-        groups = sorted(pdf[self.group].unique().tolist())
-        gi = {g: i for i, g in enumerate(groups)}
-        size = 2 ** (self.depth + 1)
-        feat = np.full((len(groups), size), -1, dtype=np.int64)
-        sbin = np.zeros((len(groups), size), dtype=np.int64)
-        val = np.zeros((len(groups), size))
-        for r in pdf.itertuples(index=False):
-            g, node = gi[getattr(r, self.group)], int(r.node)
-            val[g, node] = r.value
-            if r.feature is not None and not pd.isna(r.feature) and r.level < depth:
-                feat[g, node] = int(r.feature)
-                sbin[g, node] = int(r.bin)
-        return groups, feat, sbin, val
-
-
-def _take_bounded(df: DataFrame, max_rows: int) -> pd.DataFrame | None:
-    """``df`` as pandas when it has at most ``max_rows`` rows, else ``None`` (one job)."""
-    pdf = df.limit(max_rows + 1).toPandas()
-    return pdf if len(pdf) <= max_rows else None
-
-
-def _from_local(spark, pdf: pd.DataFrame, schema: StructType) -> DataFrame:
-    return spark.createDataFrame(pdf, schema=schema)
-
-
-def _route(joined: DataFrame) -> DataFrame:
-    """One level down: left child (2n) when the row's bin <= split bin, else right (2n+1)."""
-    return (joined
-            .withColumn("node", F.col("node") * 2
-                        + (F.element_at("_b", F.col("_sf") + 1) > F.col("_sb")).cast("long"))
-            .drop("_sf", "_sb"))
-
-
-def fit_trees(df: DataFrame, features: list[str], label: str, depth: int = 5, n_bins: int = 32,
-              group: str = "bucket", weight: str | None = None, min_gain: float = NODE_EPS,
-              expand=None, keep: list[str] | None = None, spread_factor: int = 1,
-              max_groups: int | None = None, cluster_by: list[str] | None = None) -> TreeModels:
-    """Grow one regression tree per group, level by level, for all groups together.
-
-    Node ids are heap-style (root 1, children 2n and 2n+1). A row goes left
-    when its feature bin is <= the split bin. Splits maximise the SSE
-    reduction sL^2/nL + sR^2/nR - S^2/N (ties: lower feature, lower bin).
-
-    ``expand`` (optional) maps the binned rows (``keep`` columns, ``_y``,
-    ``_w``, ``_b``) to (``group``, ``_y``, ``_w``, ``_b``) rows, e.g. one
-    weighted copy per bootstrap tree. It runs inside every level's pass over
-    the checkpointed rows, so copies are never written out.
-
-    ``max_groups``, when the caller knows it from its parameters (buckets, or
-    buckets x trees), bounds the number of groups; otherwise the root level
-    is counted under the cap.
-
-    ``cluster_by`` range-partitions the checkpointed rows on those columns,
-    so each task holds few groups and its partial histogram stays small
-    (range bounds are sampled, so a hot group is split over several tasks).
-    """
-    features = list(features)
-    w = F.col(weight).cast("double") if weight else F.lit(1.0)
-    # One read of the input: the raw rows are checkpointed, the bin edges
-    # come from that copy, and bins are computed in every level's scan.
-    raw = df.select(*[F.col(c) for c in (keep or [group])], F.col(label).cast("double").alias("_y"),
-                    w.alias("_w"), *[F.col(f).cast("double").alias(f"_x{i}") for i, f in enumerate(features)])
-    if cluster_by:
-        raw = raw.repartitionByRange(max(raw.sparkSession.sparkContext.defaultParallelism * spread_factor,
-                                         raw.rdd.getNumPartitions()), *cluster_by)
-    else:
-        raw = spread(raw, spread_factor)
-    raw = materialize(raw)
-    xs = [f"_x{i}" for i in range(len(features))]
-    edges = bin_edges(raw, xs)
-    base = raw.where(F.col("_w") > 0).select(
-        *[F.col(c) for c in (keep or [group])], "_y", "_w",
-        F.array(*[_bin_col(x, lo, hi, n_bins) for x, (lo, hi) in zip(xs, edges)]).alias("_b"))
-    if expand is not None:
-        base = expand(base)
-    spark = df.sparkSession
-    routed = base.withColumn("node", F.lit(1).cast("long"))
-    # Each level's node table (one row per node: totals and best split) has at
-    # most groups x 2^level rows. Under LEVEL_LOCAL_MAX_ROWS it comes to the
-    # driver in the job that computes it, as Spark ML's tree learner does with
-    # its chosen splits, and returns as a broadcast relation; beyond that it is
-    # checkpointed to the shared folder and joined under ``join_small``.
-    local_levels: list[pd.DataFrame] | None = []
-    node_tables = []
-    for level in range(depth + 1):
-        if level == depth:
-            stats = (routed.groupBy(group, "node")
-                     .agg(F.sum("_w").alias("n"), F.sum(F.col("_w") * F.col("_y")).alias("s")))
-            level_nodes = stats.select(group, "node", F.lit(level).alias("level"), "n", "s",
-                                       F.lit(None).cast("int").alias("feature"),
-                                       F.lit(None).cast("int").alias("bin"),
-                                       F.lit(None).cast("double").alias("gain"))
-        else:
-            hist = (routed.select(group, "node", "_y", "_w", F.posexplode("_b").alias("feature", "bin"))
-                    .groupBy(group, "node", "feature", "bin")
-                    .agg(F.sum("_w").alias("hn"), F.sum(F.col("_w") * F.col("_y")).alias("hs")))
-            # The histogram is small (<= features x bins rows per node). Laid
-            # out by node, both windows below reuse that one exchange instead
-            # of adding two (at the root ``node`` is a literal: by group).
-            hist = hist.repartition(group) if level == 0 else hist.repartition(group, "node")
-            part = Window.partitionBy(group, "node", "feature")
-            cum = part.orderBy("bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-            h = hist.select(group, "node", "feature", "bin",
-                            F.sum("hn").over(cum).alias("nl"), F.sum("hs").over(cum).alias("sl"),
-                            F.sum("hn").over(part).alias("n"), F.sum("hs").over(part).alias("s"))
-            nr, sr = F.col("n") - F.col("nl"), F.col("s") - F.col("sl")
-            gain = F.when((F.col("nl") > 0) & (nr > 0),
-                          F.col("sl") * F.col("sl") / F.col("nl") + sr * sr / nr
-                          - F.col("s") * F.col("s") / F.col("n"))
-            # One row per node: its totals (n, s are node totals on every row) and
-            # its best split, if any beats ``min_gain`` (ties: lower feature, bin).
-            best_w = Window.partitionBy(group, "node").orderBy(F.desc_nulls_last("gain"), "feature", "bin")
-            top = (h.withColumn("gain", gain).withColumn("_rk", F.row_number().over(best_w)).where("_rk = 1"))
-            ok = F.col("gain") > min_gain
-            level_nodes = top.select(group, "node", F.lit(level).alias("level"), "n", "s",
-                                     F.when(ok, F.col("feature")).alias("feature"),
-                                     F.when(ok, F.col("bin")).alias("bin"),
-                                     F.when(ok, F.col("gain")).alias("gain"))
-        if local_levels is None:
-            pdf = None
-        elif level == 0:
-            pdf = (level_nodes.toPandas() if max_groups is not None and max_groups <= LEVEL_LOCAL_MAX_ROWS
-                   else _take_bounded(level_nodes, LEVEL_LOCAL_MAX_ROWS))
-        else:
-            # groups x 2^level rows at most, checked against the cap below
-            pdf = level_nodes.toPandas() if n_groups * 2 ** level <= LEVEL_LOCAL_MAX_ROWS else None
-        if pdf is not None:
-            local_levels.append(pdf)
-            level_nodes = _from_local(spark, pdf, level_nodes.schema)
-        else:
-            local_levels = None
-            level_nodes = materialize(level_nodes)
-        node_tables.append(level_nodes)
-        if level == depth:
-            break
-        if level == 0:
-            n_groups = len(pdf) if pdf is not None else level_nodes.count()  # one root per group
-        if local_levels is not None:
-            # All splits so far in one small relation (node ids are unique
-            # across levels), rebuilt per level: routing from the root joins it
-            # level+1 times and Spark reuses its one broadcast.
-            sp = pd.concat(local_levels, ignore_index=True)
-            sp = sp.loc[sp["feature"].notna(), [group, "node", "feature", "bin"]]
-            sp.columns = [group, "node", "_sf", "_sb"]
-            split_schema = StructType([level_nodes.schema[group], level_nodes.schema["node"],
-                                       StructField("_sf", level_nodes.schema["feature"].dataType, True),
-                                       StructField("_sb", level_nodes.schema["bin"].dataType, True)])
-            all_splits = F.broadcast(_from_local(spark, sp, split_schema))
-            routed = base.withColumn("node", F.lit(1).cast("long"))
-            for _ in range(level + 1):
-                routed = _route(routed.join(all_splits, [group, "node"], "inner"))
-            continue
-        splits = level_nodes.where(F.col("feature").isNotNull()).select(
-            group, "node", F.col("feature").alias("_sf"), F.col("bin").alias("_sb"))
-        # The split table has at most groups x 2^level rows: broadcast it under
-        # that proven bound, else let join_small count it.
-        if n_groups * 2 ** level <= broadcast_row_bound(splits):
-            joined = routed.join(F.broadcast(splits), [group, "node"], "inner")
-        else:
-            joined = join_small(routed, splits, [group, "node"], "inner")
-        routed = _route(joined)
-    names = F.element_at(F.array(*[F.lit(f) for f in features]), F.col("feature") + 1)
-    lo = F.element_at(F.array(*[F.lit(e[0]) for e in edges]), F.col("feature") + 1)
-    wd = F.element_at(F.array(*[F.lit((e[1] - e[0]) / n_bins) for e in edges]), F.col("feature") + 1)
-    has = F.col("feature").isNotNull()
-    derived = {"value": F.col("s") / F.col("n"), "feature_name": F.when(has, names),
-               "threshold": F.when(has, lo + (F.col("bin") + 1) * wd)}
-    if local_levels is not None:
-        # The whole node table is on the driver already: derive its columns
-        # there (same formulas) and hand Spark one small relation.
-        allp = pd.concat(local_levels, ignore_index=True)
-        allp["value"] = allp["s"] / allp["n"]
-        fi = allp["feature"]
-        has_p = fi.notna()
-        fidx = fi.fillna(0).astype(int)
-        allp["feature_name"] = np.where(has_p, np.array(features, dtype=object)[fidx], None)
-        los = np.array([e[0] for e in edges])[fidx]
-        wds = np.array([(e[1] - e[0]) / n_bins for e in edges])[fidx]
-        allp["threshold"] = np.where(has_p, los + (allp["bin"].fillna(0).to_numpy() + 1) * wds, np.nan)
-        schema = StructType(list(node_tables[0].schema.fields)
-                            + [StructField("value", DoubleType(), True),
-                               StructField("feature_name", StringType(), True),
-                               StructField("threshold", DoubleType(), True)])
-        nodes = _from_local(spark, allp, schema)
-        return TreeModels(nodes, features, edges, n_bins, depth, group, local=allp)
-    nodes = node_tables[0]
-    for t in node_tables[1:]:
-        nodes = nodes.unionByName(t)
-    return TreeModels(materialize(nodes.withColumns(derived)), features, edges, n_bins, depth, group)
+    def nodes(self, spark: SparkSession) -> DataFrame:
+        """(group, node, level, n, s, feature, bin, gain, value, feature_name, threshold), one row per node."""
+        rows = []
+        for g, name in enumerate(self.groups):
+            for node in np.flatnonzero(self.n[g] > 0).tolist():
+                f = int(self.feature[g, node])
+                split = f >= 0
+                b = int(self.bin[g, node])
+                rows.append((int(name), node, node.bit_length() - 1, float(self.n[g, node]), float(self.s[g, node]), f if split else None,
+                             b if split else None, float(self.gain[g, node]) if split else None, float(self.s[g, node] / self.n[g, node]),
+                             self.features[f] if split else None, float(self.edges[f][b]) if split else None))
+        return spark.createDataFrame(rows, f"{self.group} int, node bigint, level int, n double, s double, feature int, bin int, gain double, "
+                                           "value double, feature_name string, threshold double")
 
 
-def fit_local_trees(train: DataFrame, features: list[str], label: str, n_buckets: int, depth: int = 5,
-                    n_bins: int = 32, key: str = "trip_id") -> TreeModels:
-    # Histogram keys one task may hold at the deepest split level. Past the
-    # threshold rows are ranged by bucket so each task meets few buckets.
-    keys = n_buckets * 2 ** max(depth - 1, 0) * len(features) * n_bins
-    cluster = ["bucket", key] if keys > CLUSTER_MIN_KEYS else None
-    return fit_trees(with_bucket(train, n_buckets, key), features, label, depth, n_bins, "bucket",
-                     max_groups=n_buckets, cluster_by=cluster)
+def _binned(columns: list[np.ndarray], edges: list[np.ndarray]) -> np.ndarray:
+    """Bins by row and feature: how many cut points lie below the value."""
+    return np.stack([np.searchsorted(e, x, "left") for x, e in zip(columns, edges)], axis=1)
 
 
-# Split nodes in an ensemble scored as one JVM expression; larger ones use Arrow batches.
-EXPR_MAX_SPLITS = 2048
+def _walk(bins: np.ndarray, tree: np.ndarray, feature: np.ndarray, split: np.ndarray, levels: int) -> np.ndarray:
+    """The node that each row reaches in its tree after so many levels; it stays at a leaf."""
+    node, rows = np.ones(len(bins), np.int64), np.arange(len(bins))
+    for _ in range(levels):
+        f = feature[tree, node]
+        go = bins[rows, np.maximum(f, 0)] > split[tree, node]
+        node = np.where(f >= 0, 2 * node + go, node)
+    return node
 
 
-def _tree_sql(feat, sbin, val, g: int, node: int, depth: int, bins: list[str]) -> str:
-    """One tree as nested CASE WHEN text (doubles in shortest round-trip form)."""
-    if depth == 0 or feat[g, node] < 0:
-        return f"{float(val[g, node])!r}D"
-    left = _tree_sql(feat, sbin, val, g, 2 * node, depth - 1, bins)
-    right = _tree_sql(feat, sbin, val, g, 2 * node + 1, depth - 1, bins)
-    return f"CASE WHEN {bins[feat[g, node]]} <= {int(sbin[g, node])} THEN {left} ELSE {right} END"
+# Fixed rule: Poisson(1) probabilities, summed until a double holds no more of them.
+POISSON1 = np.cumsum([math.exp(-1) / math.factorial(k) for k in range(19)])
 
 
-def score_tree_ensemble(models: TreeModels, df: DataFrame, out: str = "prediction",
-                        depth: int | None = None, method: str = "auto") -> DataFrame:
-    """Mean over groups of each tree's leaf value; optionally truncated at ``depth``.
+def poisson_weight(key: np.ndarray, tree: int) -> np.ndarray:
+    """Bootstrap copies of each row in a tree: Poisson(1), from a hash of key and tree."""
+    x = key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64((tree + 1) * 0xBF58476D1CE4E5B9 % 2**64)
+    for shift, mult in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        x = (x ^ (x >> np.uint64(shift))) * np.uint64(mult)
+    x ^= x >> np.uint64(31)
+    return np.searchsorted(POISSON1, (x >> np.uint64(11)).astype(float) / 2.0**53, "right")
 
-    ``expr`` (default up to EXPR_MAX_SPLITS split nodes): every tree becomes
-    nested CASE WHEN bin <= split expressions, summed in group order and
-    divided by the number of groups, inside whole-stage codegen.
-    ``arrow`` (larger ensembles): the model arrays (groups x 2^(depth+1), a
-    bound set by parameters) are shipped once per executor and rows stream
-    through Arrow batches. Both give the same doubles.
-    """
-    depth = models.depth if depth is None else depth
-    groups, feat, sbin, val = models.arrays(depth)
-    features, edges, n_bins = models.features, models.edges, models.n_bins
-    if method == "expr" or (method == "auto" and int((feat >= 0).sum()) <= EXPR_MAX_SPLITS):
-        bins = [f"_tb{i}" for i in range(len(features))]
-        binned = df.withColumns({b: _bin_col(f, lo, hi, n_bins) for b, f, (lo, hi) in zip(bins, features, edges)})
-        # One expression, handed to Spark as text in a single call.
-        terms = " + ".join(f"({_tree_sql(feat, sbin, val, g, 1, depth, bins)})" for g in range(len(groups)))
-        mean = F.expr(f"(0.0D + {terms}) / {float(max(len(groups), 1))!r}D")
-        return binned.withColumn(out, mean).drop(*bins)
-    try:
-        bc = df.sparkSession.sparkContext.broadcast((feat, sbin, val))
-    except Exception:  # noqa: BLE001 - no SparkContext (Connect): ship with the closure
-        class _Held:
-            value = (feat, sbin, val)
-        bc = _Held()
-    schema = StructType(list(df.schema.fields) + [StructField(out, DoubleType(), True)])
 
-    def score(batches):
-        f_, b_, v_ = bc.value
-        ng = f_.shape[0]
-        for pdf in batches:
-            X = np.column_stack([_bin_np(pdf[f].to_numpy(dtype=float), lo, hi, n_bins)
-                                 for f, (lo, hi) in zip(features, edges)]) if len(pdf) else \
-                np.zeros((0, len(features)), dtype=np.int64)
-            rows = np.arange(len(pdf))
-            acc = np.zeros(len(pdf))
-            for g in range(ng):
-                node = np.ones(len(pdf), dtype=np.int64)
-                for _ in range(depth):
-                    f = f_[g, node]
-                    split = f >= 0
-                    right = X[rows, np.where(split, f, 0)] > b_[g, node]
-                    node = np.where(split, 2 * node + right, node)
-                acc += v_[g, node]
-            yield pdf.assign(**{out: acc / max(ng, 1)})
-
-    return df.mapInPandas(score, schema)
+def _level_histograms(models: TreeModels, level: int, trees: int, cells: int):
+    """mapInArrow function over (group index, key, y, x0..): (slot, histogram) of the nodes at ``level``.
 
+    A slot is group index x 2^level + place in the level.
+    """
+    feature, split, edges = models.feature, models.bin, models.edges
+    n_features, n_bins = len(edges), max((len(e) for e in edges), default=0) + 1
+    width = n_features * n_bins
+    out = pa.schema([("slot", pa.int64()), ("histogram", pa.binary())])
+
+    def run(batches):
+        held: dict[int, np.ndarray] = {}
+
+        def hand_on():
+            slots = sorted(held)
+            rows = pa.record_batch([pa.array(slots, pa.int64()), pa.array([held[s].tobytes() for s in slots], pa.binary())], schema=out)
+            held.clear()
+            return rows
+
+        for b in batches:
+            group, key, y = (b.column(i).to_numpy() for i in range(3))
+            bins = _binned([b.column(3 + i).to_numpy() for i in range(n_features)], edges)
+            for t in range(max(trees, 1)):
+                tree = group.astype(np.int64) * max(trees, 1) + t
+                weight = poisson_weight(key, t).astype(float) if trees else np.ones(len(y))
+                node = _walk(bins, tree, feature, split, level)
+                here = (node >= 1 << level) & (weight > 0)
+                slot, at = np.unique((tree << level | (node - (1 << level)))[here], return_inverse=True)
+                if not len(slot):
+                    continue
+                w, wy, x = weight[here], (weight * y)[here], bins[here]
+                total = np.zeros((2, len(slot), n_features, n_bins))
+                for f in range(n_features):
+                    cell = at * n_bins + x[:, f]
+                    total[0, :, f] = np.bincount(cell, w, len(slot) * n_bins).reshape(-1, n_bins)
+                    total[1, :, f] = np.bincount(cell, wy, len(slot) * n_bins).reshape(-1, n_bins)
+                for i, s in enumerate(slot.tolist()):
+                    part = total[:, i]
+                    held[s] = held[s] + part if s in held else part.copy()
+                if len(held) * width * 2 > cells:
+                    yield hand_on()
+        if held:
+            yield hand_on()
+
+    return run
+
+
+def _best_splits(n_features: int, n_bins: int, min_gain: float):
+    """applyInArrow function: sum the histograms of each slot and choose its split."""
+
+    def run(table):
+        slots = table.column("slot").to_numpy()
+        data = table.column("histogram").to_pylist()
+        order = sorted(range(len(slots)), key=lambda i: (slots[i], data[i]))  # one order, so one sum
+        slots = slots[order]
+        h = np.stack([np.frombuffer(data[i]) for i in order]).reshape(len(order), 2, n_features, n_bins)
+        first = np.flatnonzero(np.concatenate([[True], slots[1:] != slots[:-1]]))
+        h, slots = np.add.reduceat(h, first, axis=0), slots[first]
+        left_n, left_s = np.cumsum(h[:, 0], axis=2), np.cumsum(h[:, 1], axis=2)
+        n, s = left_n[:, :1, -1:], left_s[:, :1, -1:]
+        with np.errstate(divide="ignore", invalid="ignore"):
+            gain = left_s**2 / left_n + (s - left_s) ** 2 / (n - left_n) - s**2 / n
+        gain = np.where((left_n > 0) & (n - left_n > 0), gain, -np.inf).reshape(len(slots), -1)
+        top = gain.max(axis=1)
+        best = (gain >= (top - GAIN_TIE * np.abs(top))[:, None]).argmax(axis=1)
+        rows, split = np.arange(len(slots)), top > min_gain
+        return pa.table([pa.array(slots), pa.array(n.ravel()), pa.array(s.ravel()), pa.array(np.where(split, best // n_bins, -1)), pa.array(best % n_bins),
+                         pa.array(np.where(split, gain[rows, best], 0.0)), pa.array(left_n.reshape(len(slots), -1)[rows, best]),
+                         pa.array(left_s.reshape(len(slots), -1)[rows, best])], ["slot", "n", "s", "feature", "bin", "gain", "ln", "ls"])
+
+    return run
+
+
+def fit_trees(df: DataFrame, features: list[str], label: str, depth: int = 5, n_bins: int = 32, group: str = "bucket", groups: int = 1,
+              min_gain: float = MIN_GAIN, trees: int = 0, key: str | None = None) -> TreeModels:
+    """Grow one regression tree per group 0..groups-1, or ``trees`` bagged ones (numbered group x trees + tree).
+
+    Splits maximise the drop of the squared error, sL^2/nL + sR^2/nR - S^2/N;
+    ties go to the lower feature, then bin. Rows are written once, ranged by
+    group and a hash so that a task meets few groups and a hot group is split
+    over several tasks; every level reads that copy.
+    """
+    features = list(features)
+    spark = df.sparkSession
+    row_key = F.xxhash64(F.col(key)) if key else F.lit(0).cast("bigint")
+    rows = complete_rows(df, [label, *features]).where(F.col(group).isNotNull()).select(
+        F.col(group).cast("int").alias("g"), row_key.alias("k"), F.col(label).cast("double").alias("y"),
+        *[F.col(f).cast("double").alias(f"x{i}") for i, f in enumerate(features)])
+    xs = [f"x{i}" for i in range(len(features))]
+    tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    rows = materialize(rows.repartitionByRange(tasks, "g", F.xxhash64("k", "y", *xs)))
+    edges = quantile_edges(rows, xs, n_bins)
+    models = TreeModels(list(range(groups * max(trees, 1))), features, edges, depth, group)
+    width = max((len(e) for e in edges), default=0) + 1
+    schema = "slot bigint, n double, s double, feature bigint, bin bigint, gain double, ln double, ls double"
+    for level in range(depth):
+        slots = len(models.groups) << level
+        part = F.pmod(F.col("slot"), F.lit(max(1, -(-slots // NODES_A_GROUP), min(tasks, slots))))
+        found = (rows.mapInArrow(_level_histograms(models, level, trees, HISTOGRAM_CELLS), "slot bigint, histogram binary")
+                 .groupBy(part.alias("p")).applyInArrow(_best_splits(len(features), width, min_gain), schema).collect())
+        for r in found:
+            g, node = r.slot >> level, (1 << level) + (r.slot & ((1 << level) - 1))
+            models.n[g, node], models.s[g, node] = r.n, r.s
+            if r.feature >= 0:
+                models.feature[g, node], models.bin[g, node], models.gain[g, node] = r.feature, r.bin, r.gain
+                models.n[g, 2 * node], models.s[g, 2 * node] = r.ln, r.ls
+                models.n[g, 2 * node + 1], models.s[g, 2 * node + 1] = r.n - r.ln, r.s - r.ls
+        if not any(r.feature >= 0 for r in found):
+            break
+    if depth == 0:
+        for r in rows.groupBy("g").agg(F.count("*").alias("n"), F.sum("y").alias("s")).collect():
+            models.n[r.g, 1], models.s[r.g, 1] = r.n, r.s
+    return models
 
-# ---------------------------------------------------------------------------
-# random forest feature votes
-# ---------------------------------------------------------------------------
 
-# Cumulative Poisson(1) probabilities for k = 0..6.
-POISSON1_CDF = [0.36787944, 0.73575888, 0.91969860, 0.98101184, 0.99634015, 0.99940582, 0.99991676]
+def fit_local_trees(train: DataFrame, features: list[str], label: str, n_buckets: int, depth: int = 5,
+                    n_bins: int = 32, key: str = "trip_id") -> TreeModels:
+    return fit_trees(with_bucket(train, n_buckets, key), features, label, depth, n_bins, "bucket", n_buckets)
 
 
-def poisson_weight(key, tree) -> F.Column:
-    """Deterministic Poisson(1) bootstrap weight from a hash of (row key, tree)."""
-    u = F.pmod(F.xxhash64(key, tree), F.lit(1 << 30)).cast("double") / float(1 << 30)
-    w = F.lit(len(POISSON1_CDF))
-    for k in range(len(POISSON1_CDF) - 1, -1, -1):
-        w = F.when(u < POISSON1_CDF[k], F.lit(k)).otherwise(w)
-    return w
+def score_tree_ensemble(models: TreeModels, df: DataFrame, out: str = "prediction", depth: int | None = None) -> DataFrame:
+    """Mean over the fitted groups of each tree's value for a row, optionally cut off at ``depth``; null where a feature is missing."""
+    depth = models.depth if depth is None else depth
+    fitted = np.flatnonzero(models.n[:, 1] > 0)
+    feature, split, value = models.feature[fitted], models.bin[fitted], models.value()[fitted]
+    features, edges = models.features, models.edges
+    schema = StructType(list(df.schema.fields) + [StructField(out, DoubleType(), True)])
+
+    def run(batches):
+        for b in batches:
+            x = [b.column(b.schema.get_field_index(f)).cast(pa.float64()).to_numpy(zero_copy_only=False) for f in features]
+            missing = np.zeros(b.num_rows, bool)
+            for c in x:
+                missing |= np.isnan(c)
+            bins, total = _binned(x, edges), np.zeros(b.num_rows)
+            for g in range(len(fitted)):
+                tree = np.full(b.num_rows, g)
+                total += value[tree, _walk(bins, tree, feature, split, depth)]
+            mean = pa.array(total / max(len(fitted), 1), mask=missing | (len(fitted) == 0))
+            yield pa.RecordBatch.from_arrays([*b.columns, mean], [*b.schema.names, out])
 
+    return df.mapInArrow(run, schema)
 
-def feature_importances(models: TreeModels, per: str | None = None) -> DataFrame:
-    """Per tree: summed SSE reduction of its splits per feature, normalised to 1."""
-    n = models.nodes.where(F.col("feature").isNotNull())
-    g = models.group
-    imp = n.groupBy(g, "feature_name").agg(F.sum("gain").alias("imp"))
-    tot = Window.partitionBy(g)
-    return imp.withColumn("importance", F.try_divide(F.col("imp"), F.sum("imp").over(tot)))
 
+# ---------------------------------------------------------------------------
+# random forest feature votes
+# ---------------------------------------------------------------------------
 
 def select_features(df: DataFrame, features: list[str], label: str, n_buckets: int = 24,
                     n_trees: int = 100, depth: int = 5, n_bins: int = 32, key: str = "trip_id") -> DataFrame:
     """Per bucket, a random forest; keep features whose importance >= the mean.
 
-    Output (bucket, feature, importance) of the selected features.
+    A tree's importances are its splits' error drops by feature, summing to 1;
+    a forest's are their mean. Output (bucket, feature, importance).
     """
-    b = with_bucket(df, n_buckets, key)
-
-    # Each row appears once per tree of its own bucket with a Poisson(1)
-    # weight (0 drops it): rows x trees, the cost of bagging, never row pairs.
-    # The copies are made inside each level's scan of the checkpointed rows
-    # (one row per trip), so only the trips themselves are ever written.
-    def bag(rows: DataFrame) -> DataFrame:
-        rep = (rows.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(n_trees - 1))))
-               .withColumn("_w", poisson_weight(F.col(key), F.col("tree")).cast("double")))
-        return rep.where(F.col("_w") > 0).select(
-            (F.col("bucket") * n_trees + F.col("tree")).alias("_g"), "_y", "_w", "_b")
-
-    # More, smaller tasks: every level's scan multiplies rows by n_trees; rows
-    # ranged by bucket, so a task's partial histogram covers ~one forest.
-    models = fit_trees(b, features, label, depth, n_bins, "_g", expand=bag, keep=["bucket", key],
-                       spread_factor=max(1, n_trees // 8), max_groups=n_buckets * n_trees,
-                       cluster_by=["bucket", key])
-    imp = feature_importances(models)
-    # forest importance = mean over its trees (features never used count 0)
-    per_tree = imp.select((F.col("_g") / n_trees).cast("int").alias("bucket"), "_g", "feature_name", "importance")
-    forest = (per_tree.groupBy("bucket", "feature_name")
-              .agg((F.sum("importance") / F.lit(n_trees)).alias("importance")))
-    thr = forest.groupBy("bucket").agg((F.sum("importance") / F.lit(len(features))).alias("thr"))
-    sel = forest.join(thr, "bucket").where(F.col("importance") >= F.col("thr"))
-    return sel.select("bucket", F.col("feature_name").alias("feature"), "importance")
+    models = fit_trees(with_bucket(df, n_buckets, key), features, label, depth, n_bins, "bucket", n_buckets, trees=n_trees, key=key)
+    # arrays of trees x nodes, summed by feature, then shared out inside each tree
+    drop = np.stack([np.where(models.feature == f, models.gain, 0).sum(axis=1) for f in range(len(features))], axis=1)
+    share = drop / np.maximum(drop.sum(axis=1, keepdims=True), 1e-300)
+    forest = share.reshape(n_buckets, n_trees, len(features)).mean(axis=1)
+    rows = [(b, features[f], float(forest[b, f])) for b in range(n_buckets) for f in range(len(features))
+            if forest[b].sum() > 0 and forest[b, f] >= forest[b].mean()]
+    return local_table(df.sparkSession, rows, "bucket int, feature string, importance double")
 
 
 def feature_votes(selected: DataFrame, domain: list[str]) -> DataFrame:

@@ -99,23 +99,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     base = ensure_checkpoint_dir(spark)
     if not base:
         raise RuntimeError("set spark.checkpoint.dir to a shared folder")
-    return os.path.join(base, "tables", f"{name}-{uuid.uuid4().hex[:12]}")
+    path = os.path.join(base, "tables", f"{name}-{uuid.uuid4().hex[:12]}")
+    _SCRATCH.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
 
 
-def spread(df: DataFrame, factor: int = 1) -> DataFrame:
-    """Round-robin repartition when ``df`` has fewer partitions than cores x factor.
-
-    For iterative work (a tree level, a boosting round) that rescans the same
-    rows many times, or before an explode that multiplies rows: a single large
-    input split would otherwise keep every pass on one core. Large inputs
-    already have many splits and are returned unchanged (no extra shuffle).
-    """
-    try:
-        want = df.sparkSession.sparkContext.defaultParallelism * max(1, factor)
-        have = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD view (e.g. a Connect session): leave as is
-        return df
-    return df.repartition(want) if have < want else df
+# Scratch tables written by this driver, by session; ``release`` deletes them.
+_SCRATCH: dict[str, list[str]] = {}
 
 
 def materialize(df: DataFrame) -> DataFrame:
@@ -132,28 +122,26 @@ def materialize(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-_BOUND_CACHE: dict = {}
+def release(spark: SparkSession) -> int:
+    """Delete the scratch tables this driver has written; call it when no frame that reads them is needed any more."""
+    paths = _SCRATCH.pop(spark.sparkContext.applicationId, [])
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for p in paths:
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        path.getFileSystem(conf).delete(path, True)
+    return len(paths)
 
 
 def bounded_rows(df: DataFrame, max_rows: int) -> int | None:
     """Row count of ``df`` if it is at most ``max_rows``, else ``None``.
 
     ``limit`` stops the scan early for plain tables; aggregates should be
-    materialised first so the count does not recompute them. The answer is
-    remembered per (plan, bound) for the session's lifetime, so a dimension
-    read by many queries is counted once.
+    materialised first so the count does not recompute them. Nothing is
+    remembered: a table may grow between two calls.
     """
-    try:
-        key = (id(df.sparkSession), df.semanticHash(), max_rows)
-    except Exception:  # noqa: BLE001 - plans without a semantic hash
-        key = None
-    if key is not None and key in _BOUND_CACHE:
-        return _BOUND_CACHE[key]
     n = df.limit(max_rows + 1).count()
-    out = n if n <= max_rows else None
-    if key is not None:
-        _BOUND_CACHE[key] = out
-    return out
+    return n if n <= max_rows else None
 
 
 def _sql_literal(v) -> str:

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import join_small
+from ..session import join_small, materialize
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
@@ -80,21 +80,23 @@ def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     return join_small(n, r, n.n_regionkey == r.r_regionkey).selectExpr(*ZONES_EXPRS)
 
 
-def transit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Daily ridership by mode: one row per order date."""
-    o = table(spark, sf_dir, "orders").select("o_orderdate", "o_orderpriority")
-    return (o.groupBy(F.to_date("o_orderdate").alias("d"))
-            .agg(*[F.count_if(F.col("o_orderpriority") == p).alias(m) for m, p in TRANSIT_AGGS]))
+def daily_dimensions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ridership by mode and the weather stand-in, one row per order date, from one pass over orders, written once."""
+    o = table(spark, sf_dir, "orders").select("o_orderdate", "o_orderpriority", "o_custkey")
+    s = F.sum("o_custkey")
+    return materialize(o.groupBy(F.to_date("o_orderdate").alias("d")).agg(
+        *[F.count_if(F.col("o_orderpriority") == p).alias(m) for m, p in TRANSIT_AGGS],
+        (F.lit(20) + s % 80).cast("double").alias("tmax_f"), (s % 60).cast("double").alias("tmin_f"), F.count("*").cast("double").alias("prcp_mm")))
 
 
-def weather(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Deterministic daily weather stand-in: one row per order date."""
-    o = table(spark, sf_dir, "orders").select("o_orderdate", "o_custkey")
-    s = F.sum("o_custkey")
-    return (o.groupBy(F.to_date("o_orderdate").alias("d"))
-            .agg((F.lit(20) + s % 80).cast("double").alias("tmax_f"),
-                 (s % 60).cast("double").alias("tmin_f"),
-                 F.count("*").cast("double").alias("prcp_mm")))
+def transit(spark: SparkSession, sf_dir: str, daily: DataFrame | None = None) -> DataFrame:
+    """Daily ridership by mode; ``daily`` is a ``daily_dimensions`` table at hand."""
+    return (daily if daily is not None else daily_dimensions(spark, sf_dir)).select("d", *TRANSIT_MODES)
+
+
+def weather(spark: SparkSession, sf_dir: str, daily: DataFrame | None = None) -> DataFrame:
+    """Deterministic daily weather stand-in."""
+    return (daily if daily is not None else daily_dimensions(spark, sf_dir)).select("d", "tmax_f", "tmin_f", "prcp_mm")
 
 
 # Experiment-log stand-in from orders: (model, cores, pct, runtime, runtime_no_overhead).

@@ -92,15 +92,15 @@ def test_constant_column_correlation_is_null(spark):
     assert r[("a", "b")] is None and r[("b", "b")] is None and r[("a", "a")] == 1.0
 
 
-def test_constant_column_correlation_is_null_ml(spark):
+def test_constant_columns_beside_varying_ones_are_null(spark):
     # one constant column next to a varying pair (no extra pass), and a
     # single varying column next to constants (variance checked)
     df = spark.createDataFrame([(1.0, 2.0, 4.0, 7.0), (2.0, 2.0, 3.0, 7.0), (3.0, 2.0, 5.0, 7.0)],
                                "a double, b double, c double, d double")
-    r = {(x.col_a, x.col_b): x.r for x in feat.correlation_long(df, ["a", "b", "c"], method="ml").collect()}
+    r = {(x.col_a, x.col_b): x.r for x in feat.correlation_long(df, ["a", "b", "c"]).collect()}
     assert r[("b", "b")] is None and r[("a", "b")] is None and r[("a", "a")] == 1.0
     assert abs(r[("a", "c")] - 0.5) < 1e-12
-    r = {(x.col_a, x.col_b): x.r for x in feat.correlation_long(df, ["a", "b", "d"], method="ml").collect()}
+    r = {(x.col_a, x.col_b): x.r for x in feat.correlation_long(df, ["a", "b", "d"]).collect()}
     assert r[("a", "a")] == 1.0 and r[("b", "b")] is None and r[("d", "d")] is None and r[("a", "d")] is None
 
 
@@ -159,18 +159,20 @@ def test_experiment_log_metrics_known_means(spark):
     assert abs(su[("lr", 40)].overhead - 0.5) < 1e-12 and su[("lr", 80)].ideal == 8.0
 
 
-def test_wide_correlation_methods_agree(spark, sf):
+def test_correlation_from_moments_equals_that_of_joined_rows(spark, sf):
     from farelane.functions import calendar as c
     from farelane.sources import adapters as ad
 
     t = c.with_calendar(ad.trips_li(spark, sf)).withColumn("const", F.lit(3.0))
-    cols = ["trip_miles", "trip_time", "base_passenger_fare", "PULocationID", "DOLocationID", "pickupyear",
-            "pickupmonth", "pickupdayofyear", "week", "const"]
-    a = {(r.col_a, r.col_b): r.r for r in feat.correlation_long(t, cols, method="sql").collect()}
-    b = {(r.col_a, r.col_b): r.r for r in feat.correlation_long(t, cols, method="ml").collect()}
-    assert a.keys() == b.keys()
+    context = t.groupBy("pickupdate", "pickuphour").agg(F.count("*").alias("n_trips"), F.max("trip_time").alias("longest")).where("n_trips > 1")
+    trip, side = ["trip_miles", "trip_time", "base_passenger_fare", "pickupyear", "week", "const"], ["n_trips", "longest"]
+    a = {(r.col_a, r.col_b): r.r for r in feat.correlation_with_context(t, context, trip, side).collect()}
+    b = {(r.col_a, r.col_b): r.r for r in feat.correlation_long(t.join(context, ["pickupdate", "pickuphour"]), trip + side).collect()}
+    assert a.keys() == b.keys() and len(a) == 64
     for k in a:
         if a[k] is None or b[k] is None:
             assert "const" in k
         else:
             assert abs(a[k] - b[k]) < 1e-9, k
+    empty = feat.correlation_with_context(t.where("false"), context, trip, side)
+    assert {r.r for r in empty.collect()} == {None}

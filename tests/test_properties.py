@@ -60,12 +60,12 @@ def test_tree_ensemble_beats_mean_and_depth_sweep_monotone(spark, sf):
 def test_tree_leaf_values_match_bucket_means(spark, sf):
     tr, _ = _split(spark, sf)
     trees = lm.fit_local_trees(tr, feat.LOCAL_FEATURES, feat.LABEL, 3, 2)
-    roots = {r.bucket: (r.n, r.value) for r in trees.nodes.where("level = 0").collect()}
+    roots = {r.bucket: (r.n, r.value) for r in trees.nodes(spark).where("level = 0").collect()}
     b = feat.with_bucket(tr, 3).groupBy("bucket").agg(F.count("*").alias("n"), F.avg(feat.LABEL).alias("m"))
     for r in b.collect():
         assert roots[r.bucket][0] == r.n and abs(roots[r.bucket][1] - r.m) < 1e-9
     # children partition their parent
-    nodes = trees.nodes.toPandas()
+    nodes = trees.nodes(spark).toPandas()
     for _, p in nodes[nodes.feature.notna()].iterrows():
         kids = nodes[(nodes.bucket == p.bucket) & (nodes.node.isin([2 * p.node, 2 * p.node + 1]))]
         assert abs(kids.n.sum() - p.n) < 1e-9
@@ -105,6 +105,6 @@ def test_size_up_first_row_is_one(spark, sf):
 
 def test_sweep_parallelism_logs(spark, sf):
     ev = ad.trips_ev(spark, sf).withColumn("trip_km", F.col("trip_miles") * 0.621371)
-    log = ex.sweep_parallelism(ev, ["trip_km", "trip_time"], "lr", cores=[1, 2])
+    log = ex.sweep_parallelism(ev, ["trip_km", "trip_time"], "lr", cores=[1, 2], repeats=1)
     rows = log.collect()
     assert [r.cores for r in rows] == [1, 2] and all(r.runtime >= r.runtime_no_overhead >= 0 for r in rows)

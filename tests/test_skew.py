@@ -39,9 +39,9 @@ def test_hot_bucket_models_are_exact(spark, sf):
     p = _plan(mom)
     assert "partial_covar_pop" in p and "partial_count" in p  # map-side combine before the shuffle
     trees = lm.fit_local_trees(t, feat.LOCAL_FEATURES, feat.LABEL, 4, 3)
-    roots = {r.bucket: r.n for r in trees.nodes.where("level = 0").collect()}
+    roots = {r.bucket: r.n for r in trees.nodes(spark).where("level = 0").collect()}
     assert roots == {r.bucket: float(r["count"]) for r in b}
-    total = trees.nodes.where("feature IS NULL").agg(F.sum("n")).first()[0]
+    total = trees.nodes(spark).where("feature IS NULL").agg(F.sum("n")).first()[0]
     assert total == n  # every row lands in exactly one leaf
 
 

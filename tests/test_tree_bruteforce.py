@@ -10,7 +10,7 @@ from farelane.sources import adapters as ad
 FEATS = ["trip_time", "trip_meters", "hour", "isWeekend"]
 
 
-def _brute(X, y, depth, min_gain=lm.NODE_EPS):
+def _brute(X, y, depth, min_gain=lm.MIN_GAIN):
     """Greedy SSE tree over pre-binned X: {node: (n, sum, feature, bin)} with heap ids."""
     out = {}
     frontier = {1: np.arange(len(y))}
@@ -40,19 +40,19 @@ def _brute(X, y, depth, min_gain=lm.NODE_EPS):
     return out
 
 
+def _bins(part, models):
+    return lm._binned([part[f].to_numpy(dtype=float) for f in models.features], models.edges)
+
+
 def test_trees_match_bruteforce(spark, sf):
     tr, _ = feat.train_test_split(feat.fare_features(ad.trips_ev(spark, sf), "hour"))
     depth, bins, nb = 3, 16, 2
     models = lm.fit_local_trees(tr, FEATS, feat.LABEL, nb, depth, bins)
     pdf = feat.with_bucket(tr, nb).toPandas()
-    edges = models.edges
-    got = {(r.bucket, r.node): (r.n, r.s, r.feature, r.bin) for r in models.nodes.collect()}
+    got = {(r.bucket, r.node): (r.n, r.s, r.feature, r.bin) for r in models.nodes(spark).collect()}
     for b in range(nb):
         part = pdf[pdf.bucket == b]
-        X = np.column_stack([lm._bin_np(part[f].to_numpy(dtype=float), lo, hi, bins)
-                             for f, (lo, hi) in zip(FEATS, edges)])
-        y = part[feat.LABEL].to_numpy(dtype=float)
-        want = _brute(X, y, depth)
+        want = _brute(_bins(part, models), part[feat.LABEL].to_numpy(dtype=float), depth)
         mine = {node: v for (bb, node), v in got.items() if bb == b}
         assert set(mine) == set(want), b
         for node, (n, s, f, bn) in want.items():
@@ -61,40 +61,74 @@ def test_trees_match_bruteforce(spark, sf):
             assert (gf, gb) == (f, bn), (b, node)
 
 
-def test_lazy_bagging_equals_eager_copies(spark, sf):
-    """Copies made inside each level's scan grow the same trees as copies written up front."""
+def test_bagged_trees_equal_trees_on_written_copies(spark, sf):
+    """Copies weighted inside the task grow the same trees as copies written as rows."""
     tr, _ = feat.train_test_split(feat.fare_features(ad.trips_ev(spark, sf), "hour"))
-    # Whole-number labels keep every float sum exact, so summation order cannot matter.
     tr = feat.with_bucket(tr.withColumn("y", F.round(feat.LABEL)), 2)
     n_trees, depth, bins = 3, 3, 8
-    tree = F.explode(F.sequence(F.lit(0), F.lit(n_trees - 1)))
-    eager = (tr.withColumn("tree", tree)
-             .withColumn("w", lm.poisson_weight(F.col("trip_id"), F.col("tree")))
-             .withColumn("g", F.col("bucket") * n_trees + F.col("tree")))
-    want = lm.fit_trees(eager, FEATS, "y", depth, bins, "g", "w")
-
-    def bag(rows):
-        rep = (rows.withColumn("tree", tree)
-               .withColumn("_w", lm.poisson_weight(F.col("trip_id"), F.col("tree")).cast("double")))
-        return rep.where("_w > 0").select((F.col("bucket") * n_trees + F.col("tree")).alias("g"),
-                                          "_y", "_w", "_b")
-
-    cols = ["g", "node", "level", "n", "s", "feature", "bin"]
-    a = sorted(tuple(r) for r in want.nodes.select(cols).collect())
-    assert len(a) > n_trees * 2
-    for cluster in (None, ["bucket", "trip_id"]):
-        got = lm.fit_trees(tr, FEATS, "y", depth, bins, "g", expand=bag, keep=["bucket", "trip_id"],
-                           max_groups=2 * n_trees, cluster_by=cluster)
-        assert sorted(tuple(r) for r in got.nodes.select(cols).collect()) == a
-
-
-def test_expression_scoring_equals_arrow_scoring(spark, sf):
-    tr, te = feat.train_test_split(feat.fare_features(ad.trips_ev(spark, sf), "hour"))
-    models = lm.fit_local_trees(tr, feat.LOCAL_FEATURES, feat.LABEL, 4, 4)
-    for depth in (None, 2):
-        a = lm.score_tree_ensemble(models, te, depth=depth, method="expr")
-        b = lm.score_tree_ensemble(models, te, depth=depth, method="arrow")
-        assert "MapInPandas" not in a._jdf.queryExecution().executedPlan().toString()
-        got = {r.trip_id: r.prediction for r in a.select("trip_id", "prediction").collect()}
-        want = {r.trip_id: r.prediction for r in b.select("trip_id", "prediction").collect()}
-        assert len(got) == te.count() and got == want
+    bagged = lm.fit_trees(tr, FEATS, "y", depth, bins, "bucket", 2, trees=n_trees, key="trip_id")
+    pdf = tr.withColumn("k", F.xxhash64("trip_id")).toPandas()
+    for b in range(2):
+        part = pdf[pdf.bucket == b]
+        X = _bins(part, bagged)
+        for t in range(n_trees):
+            w = lm.poisson_weight(part.k.to_numpy(), t)
+            want = _brute(np.repeat(X, w, axis=0), np.repeat(part.y.to_numpy(dtype=float), w), depth)
+            g = b * n_trees + t
+            mine = {node: (bagged.n[g, node], bagged.s[g, node]) for node in np.flatnonzero(bagged.n[g] > 0)}
+            assert mine == {node: (n, s) for node, (n, s, _, _) in want.items()}
+
+
+def test_poisson_weights_have_mean_and_variance_one():
+    w = np.concatenate([lm.poisson_weight(np.arange(20000) * 1000, t) for t in range(5)]).astype(float)
+    assert abs(w.mean() - 1) < 0.02 and abs(w.var() - 1) < 0.04 and w.max() >= 6
+
+
+def test_rows_with_null_or_nan_are_left_out(spark):
+    """Half the labels null, one feature NaN: fits see the complete rows alone."""
+    rows = [(i, float(i % 10), 2.0 * (i % 10) + 1 if i % 2 else None) for i in range(200)] + [(900, float("nan"), 7.0), (901, None, 7.0)]
+    df = spark.createDataFrame(rows, "trip_id long, x double, y double").withColumn("bucket", F.lit(0))
+    lr = {r.term: r.coef for r in lm.fit_local_lr(df, ["x"], "y").collect()}
+    assert abs(lr["x"] - 2) < 1e-9 and abs(lr["intercept"] - 1) < 1e-9
+    models = lm.fit_trees(df, ["x"], "y", 1, 8)
+    root = models.nodes(spark).where("node = 1").first()
+    assert root.n == 100 and root.feature_name == "x" and abs(root.value - np.mean([r[2] for r in rows[:200] if r[2] is not None])) < 1e-9
+    scored = {r.trip_id: r.prediction for r in lm.score_tree_ensemble(models, df).collect()}
+    assert scored[900] is None and scored[901] is None and scored[3] is not None
+
+
+def test_an_outlier_does_not_hide_a_split(spark):
+    rows = [(i, float(i % 100), 1.0 if i % 100 < 50 else 5.0) for i in range(1000)] + [(5000, 1e6, 5.0)]
+    df = spark.createDataFrame(rows, "trip_id long, x double, y double").withColumn("bucket", F.lit(0))
+    root = lm.fit_trees(df, ["x"], "y", 1, 32).nodes(spark).where("node = 1").first()
+    assert 45 <= root.threshold <= 54
+
+
+def test_many_buckets_equal_few_at_once(spark, sf):
+    """The same path serves 3 and 5,000 groups; a bucket's tree does not depend on the others."""
+    t = feat.fare_features(ad.trips_ev(spark, sf), "hour").withColumn("bucket", (F.col("trip_id") % 5000).cast("int"))
+    many = lm.fit_trees(t, FEATS, feat.LABEL, 2, 4, "bucket", 5000)
+    rows = {r.bucket: r.n for r in many.nodes(spark).where("node = 1").collect()}
+    assert rows == {r.bucket: r["count"] for r in t.groupBy("bucket").count().collect()}
+
+
+def test_steps_in_keys_fall_evenly(spark):
+    df = spark.range(0, 2_000_000, 1000).withColumnRenamed("id", "trip_id")
+    train, test = feat.train_test_split(df)
+    assert abs(train.count() / 2000 - 0.7) < 0.05 and train.count() + test.count() == 2000
+    sizes = [r.n_rows for r in feat.bucket_sizes(df, 8).collect()]
+    assert len(sizes) == 8 and max(sizes) < 1.4 * 250
+    keyed = feat.with_trip_key(spark.createDataFrame([("a", 1), ("a", 1), ("b", None)], "hvfhs_license_num string, PULocationID long"))
+    assert [r.trip_id for r in keyed.collect()][0] == [r.trip_id for r in keyed.collect()][1] and keyed.select("trip_id").distinct().count() == 2
+
+
+def test_holidays_follow_the_year_of_each_date(spark):
+    from farelane.functions import calendar as cal
+
+    df = spark.sql("SELECT date_add(DATE'1990-01-01', CAST(id AS INT)) AS d FROM range(18000)")
+    years = df.select(F.year("d").alias("year")).distinct()
+    want = {r.holiday_date for r in cal.holiday_dim(spark, years=spark.range(1989, 2042).select(F.col("id").cast("int").alias("year"))).collect()}
+    days = {r.d for r in df.collect()}
+    assert {r.d for r in df.where(cal.is_holiday("d")).collect()} == want & days and years.count() > 40
+    flags = cal.with_demand_flags(spark.sql("SELECT DATE'1996-12-25' AS pickupdate, 9 AS pickuphour")).first()
+    assert (flags.isWeekend, flags.isRushhour) == (1, 0)
