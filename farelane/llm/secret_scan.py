@@ -21,6 +21,7 @@ columns are ignored by ``scan`` and kept by ``redact``.
 from __future__ import annotations
 
 import math
+import re
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,7 +40,7 @@ HEX = r"(?<![0-9a-f])[0-9a-f]{24,}"
 RUN_CHARS = "A-Za-z0-9+/_="
 RUN = rf"(?<![{RUN_CHARS}-])[{RUN_CHARS}-]{{20,}}"
 ORDINARY = rf"(?<![{RUN_CHARS}-])[{RUN_CHARS}-]{{4,}}"
-ALPHABET = 67
+ALPHABET = 66
 TRAIN_DOCS = 2000
 #: Share of each model's mass that is uniform over the alphabet: random strings may use any character.
 UNIFORM_RANDOM, UNIFORM_ORDINARY = 0.5, 0.02
@@ -74,7 +75,7 @@ def _pairs(runs: str) -> str:
 
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", train_docs: int = TRAIN_DOCS) -> dict[int, float]:
-    """Log-likelihood ratio, random over ordinary, of each character pair (128 * first + second) seen in either model."""
+    """Log-likelihood ratio, random over ordinary, of each pair (128 * first + second) of run characters."""
     one_in = pieces_for(docs.count(), train_docs)
     text = whole_text(text_col)
     some = docs.where(F.pmod(F.xxhash64(col(id_col)), F.lit(one_in)) == 0).select(text.alias("text"))
@@ -93,11 +94,12 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", train
         learned = (counts.get((kind, pair), 0) + 1 / ALPHABET) / (n + 1)
         return (1 - uniform) * learned + uniform / ALPHABET
 
-    return {pair: math.log(p(1, pair, UNIFORM_RANDOM) / p(0, pair, UNIFORM_ORDINARY)) for pair in sorted({k for _, k in counts})}
+    codes = [c for c in range(128) if re.fullmatch(f"[{RUN_CHARS}-]", chr(c))]
+    return {128 * a + b: math.log(p(1, 128 * a + b, UNIFORM_RANDOM) / p(0, 128 * a + b, UNIFORM_ORDINARY)) for a in codes for b in codes}
 
 
 def _markov_spans(model: dict[int, float]) -> Column:
-    """Spans of long runs whose ratio says random; pairs that neither model saw count 0."""
+    """Spans of long runs whose ratio says random."""
     table_ = ",".join(f"{model.get(k, 0.0):.6g}" for k in range(16384))
     ratios = f"CAST(split('{table_}', ',') AS ARRAY<DOUBLE>)"  # a constant, folded once
     codes = "transform(split(m[i], ''), c -> least(ascii(c), 127))"
