@@ -92,6 +92,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         for b in batches:
             fp = np.array([fingerprint(x.as_buffer().to_pybytes(), shingle) for x in b.column(2)], np.uint64)
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(fp.view(np.int64))], ["doc_id", "text_hash", "fp"])
+            pa.default_memory_pool().release_unused()
 
     text = whole_text(text_col)
     rows = docs.select(col(id_col).cast("bigint").alias("doc_id"), F.xxhash64(text).alias("text_hash"), text.cast("binary").alias("text"))
