@@ -1,0 +1,69 @@
+"""Operator 9: base spans against Python's regular expressions, the model on held-out strings."""
+
+import random
+import re
+import string
+
+from tests.llm.helpers import SCHEMA, clashing, empty, odd_documents, words
+
+from farelane.llm import secret_scan as S
+
+ASSIGN = re.compile(r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
+
+
+def _base(t):
+    t = t or ""
+    out = [(m.start(), 0, m.end()) for m in ASSIGN.finditer(t) if len(m[2]) >= 6]
+    out += [(m.start(), 1, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", t) if len(m[0]) >= 20]
+    out += [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", t) if len(m[0]) >= 24]
+    return ",".join(f"{S.KINDS[k]}:{s}:{e}" for s, k, e in sorted(out))
+
+
+def _texts(seed=3):
+    rng = random.Random(seed)
+    out = []
+    for i in range(300):
+        parts = []
+        for _ in range(rng.randint(0, 5)):
+            parts.append(rng.choice([
+                words(rng, 6, string.ascii_lowercase + "é"), rng.choice(["token", "Secret", "API_KEY", "apikey", "PASSWD"]) + rng.choice(['"', "'", ""]) + " " * rng.randint(0, 2)
+                + rng.choice([":", "=", "=="]) + rng.choice([" '", ' "', "", " "]) + "".join(rng.choice(string.ascii_letters + "0123456789+/_.=-") for _ in range(rng.randint(1, 12))),
+                "AKIA" + "".join(rng.choice(string.ascii_uppercase + string.digits) for _ in range(rng.randint(10, 20))),
+                "".join(rng.choice("0123456789abcdef") for _ in range(rng.randint(18, 44))), "token=token:abcdefgh", "AKIAXAKIA" + "Q" * 15]))
+        out.append((i, rng.choice([" ", "", "\n"]).join(parts), "en", "a", 0))
+    return out
+
+
+def test_base_spans_equal_python(spark):
+    df = spark.createDataFrame(_texts(), SCHEMA).unionByName(odd_documents(spark).selectExpr("doc_id + 1000 AS doc_id", "text", "lang", "source", "n_chars"))
+    for r in S.scan(clashing(df, ["base", "spans", "hex", "markov"]), {}).select("text", "n_assign", "n_access", "n_hex", S._listed("base").alias("b"), S._listed("spans").alias("s")).collect():
+        assert r.b == _base(r.text) and (r.n_assign, r.n_access, r.n_hex) == tuple(r.b.count(k + ":") for k in S.KINDS[:3])
+    assert S.scan(empty(spark), {}).count() == 0
+
+
+def test_model_tells_random_strings_from_identifiers(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    model = S.train(docs)
+    assert model == S.train(docs.repartition(5))
+    rng = random.Random(5)
+    chars = string.ascii_letters + string.digits
+    random_ = ["".join(rng.choice(chars) for _ in range(32)) for _ in range(100)]
+    plain = [r.text for r in docs.limit(100).collect()] + ["my_long_identifier_name_here", "Donaudampfschifffahrtsgesellschaft", "internationalization_of_everything"]
+    rows = [(i, "see " + s + " there", "en", "a", 0) for i, s in enumerate(random_)] + [(1000 + i, t, "en", "a", 0) for i, t in enumerate(plain)]
+    found = {r.doc_id: r.spans for r in S.scan(spark.createDataFrame(rows, SCHEMA), model).select("doc_id", "spans").collect()}
+    hits = sum(any(s.k == 3 and (s.s, s.e) == (4, 36) for s in found[i]) for i in range(100))
+    wrong = sum(any(s.k == 3 for s in found[i]) for i in found if i >= 1000)
+    assert hits >= 90 and wrong <= 1
+
+
+def test_redaction_replaces_every_span(spark):
+    df = spark.createDataFrame([(1, "é token = abcdefgh, key 0123456789abcdef01234567!", "en", "a", 5), (2, None, "en", "a", 5), (3, "nothing here", "en", None, 12)], SCHEMA)
+    df = clashing(df, ["spans", "row", "clean"])
+    rows = {r.doc_id: r for r in S.redact(df).collect()}
+    assert rows[1].text == "é [SECRET], key [SECRET]!" and rows[1].n_chars == len(rows[1].text) and rows[2].text is None and rows[3].n_chars == 12
+    assert S.redact(df).columns == df.columns and S.redact(empty(spark)).count() == 0
+
+
+def test_no_python_in_the_plan(spark):
+    plan = S.scan(odd_documents(spark), {25700: 1.0})._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
