@@ -207,6 +207,17 @@ def q_zone_heat_table(spark, sf):
     return _out(ctx.zone_heat_table(names, act))
 
 
+def q_zone_heat_files(spark, sf):
+    """The heat table as users have it: a geometry file and three count files, joined by zone name."""
+    z = ad.zones(spark, sf)
+    act = ctx.zone_activity(_ev_flags(spark, sf), z, F.dayofweek("pickupdate").isin(2, 3, 4, 5, 6))
+    geom = z.select(F.col("Zone").alias("zone"), F.concat(F.lit("POINT ("), "LocationID", F.lit(" 1)")).alias("the_geom"))
+    tables = {"geometry": geom, "pu": act.select("zone", "pu_count"), "do": act.select("zone", "do_count"),
+              "flags": act.select("zone", "overnight_count", "rushhour_count", "weekend_count")}
+    paths = [rd.write_table(df, scratch_path(spark, f"zone_{name}"), "csv") for name, df in tables.items()]
+    return _out(ctx.zone_heat_table(*rd.read_zone_tables(spark, *paths)))
+
+
 def q_top_zones(spark, sf):
     pu = demand.zone_counts(_li_zoned(spark, sf, "PU"), "PU")
     return _out(demand.top_n(pu, [F.desc("pu_count"), F.asc("zone")], 5))
@@ -1285,6 +1296,8 @@ ORACLE.update({
                          "WHERE a.model = 'lr' AND b.model = 'dt'",
 })
 ORACLE["export_roundtrip"] = ORACLE["zone_heat_table"]
+ORACLE["zone_heat_files"] = (f"SELECT h.*, 'POINT (' || CAST(n_nationkey AS VARCHAR) || ' 1)' AS the_geom FROM ({ORACLE['zone_heat_table']}) h "
+                             "JOIN nation ON n_name = h.zone")
 
 QUERIES_C = {
     "conform_types": q_conform_types,
@@ -1293,6 +1306,7 @@ QUERIES_C = {
     "empty_union_identity": q_empty_union_identity,
     "log_append_roundtrip": q_log_append_roundtrip,
     "export_roundtrip": q_export_roundtrip,
+    "zone_heat_files": q_zone_heat_files,
     "complete_features": q_complete_features,
     "fare_features": q_fare_features,
     "assembled_rows": q_assembled_rows,

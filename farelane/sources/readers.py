@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections import OrderedDict
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,6 +14,10 @@ from ..schemas import DRIFT_TARGETS, LOG_CSV_SCHEMA, TRIP_SCHEMA
 from ..session import local_table
 
 
+#: Footers that the driver reads at a time.
+FOOTERS_AT_ONCE = 16
+
+
 def read_trips(spark: SparkSession, path, schema: StructType | None = None) -> DataFrame:
     """Parquet scan; schema from the footers unless one is declared."""
     reader = spark.read.schema(schema) if schema is not None else spark.read
@@ -31,9 +36,15 @@ def empty_trips(spark: SparkSession, schema: StructType = TRIP_SCHEMA) -> DataFr
     return spark.createDataFrame([], schema)
 
 
-def _footer_schemas(spark: SparkSession, paths: list[str]) -> list[tuple[str, StructType]]:
-    # Reads one footer per path on the driver; no rows are scanned.
-    return [(p, spark.read.parquet(p).schema) for p in paths]
+def _footer_schemas(spark: SparkSession, paths: list[str]) -> list[tuple[int, str, StructType]]:
+    """(index of the path, file, schema) of every file of every path, folders included; footers only, many at a time."""
+    def schema(file: str) -> StructType:
+        return spark.read.parquet(file).schema
+
+    with ThreadPoolExecutor(FOOTERS_AT_ONCE) as pool:
+        listed = list(pool.map(lambda p: sorted(spark.read.parquet(p).inputFiles()), paths))
+        files = [(i, f) for i, some in enumerate(listed) for f in some]
+        return [(i, f, s) for (i, f), s in zip(files, pool.map(schema, [f for _, f in files]))]
 
 
 def read_trips_drifting(spark: SparkSession, paths: list[str], targets: dict | None = None,
@@ -44,7 +55,7 @@ def read_trips_drifting(spark: SparkSession, paths: list[str], targets: dict | N
     file), so a thousand monthly files with three versions give three scans.
     """
     groups: OrderedDict = OrderedDict()
-    for p, s in _footer_schemas(spark, list(paths)):
+    for _, p, s in _footer_schemas(spark, list(paths)):
         groups.setdefault(s.simpleString(), []).append(p)
     parts = []
     for ps in groups.values():
@@ -56,23 +67,37 @@ def read_trips_drifting(spark: SparkSession, paths: list[str], targets: dict | N
 
 
 def schema_drift(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """Per file, the columns whose type differs from the previous file.
+    """Per file, the columns whose type differs from the previous file, inside folders too.
 
-    Output: (file_index, file, column, prev_type, type). Only footers are read;
-    the comparison with the previous file is a ``lag`` over the file order.
+    Output: (file_index, file, column, prev_type, type), with the index of the
+    path that holds the file. Only footers are read; the comparison with the
+    previous file is a ``lag`` over the file order.
     """
     from pyspark.sql.window import Window
 
-    rows = [(i, p, f.name, f.dataType.simpleString())
-            for i, (p, s) in enumerate(_footer_schemas(spark, list(paths)))
+    rows = [(at, i, p, f.name, f.dataType.simpleString())
+            for at, (i, p, s) in enumerate(_footer_schemas(spark, list(paths)))
             for f in s.fields]
-    df = local_table(spark, rows, "file_index int, file string, column string, type string")
-    w = Window.partitionBy("column").orderBy("file_index")
+    df = local_table(spark, rows, "at int, file_index int, file string, column string, type string")
+    w = Window.partitionBy("column").orderBy("at")
     return (df.withColumn("prev_type", F.lag("type").over(w))
             .where(F.col("prev_type").isNotNull() & (F.col("prev_type") != F.col("type")))
             .select("file_index", "file", "column", "prev_type", "type"))
 
 
+def read_zone_tables(spark: SparkSession, geometry: str, *counts: str) -> list[DataFrame]:
+    """The zone table (zone, the_geom) and the count tables that are joined to it, from CSV files with headers.
+
+    Geometry stays text; every other column of a count file is a number.
+    """
+    zones = read_csv_strings(spark, geometry).select("zone", "the_geom")
+    out = [zones]
+    for path in counts:
+        raw = read_csv_strings(spark, path)
+        out.append(raw.select("zone", *[F.col(c).try_cast("bigint").alias(c) for c in raw.columns if c != "zone"]))
+    return out
+
+
 def read_csv_strings(spark: SparkSession, path: str) -> DataFrame:
     """CSV with a header; every column stays a string (no inference pass)."""
     return spark.read.option("header", True).csv(path)

@@ -176,3 +176,13 @@ def test_correlation_from_moments_equals_that_of_joined_rows(spark, sf):
             assert abs(a[k] - b[k]) < 1e-9, k
     empty = feat.correlation_with_context(t.where("false"), context, trip, side)
     assert {r.r for r in empty.collect()} == {None}
+
+
+def test_drift_inside_a_folder_is_reported(spark, tmpdir_path):
+    path = f"{tmpdir_path}/folder"
+    spark.createDataFrame([(1, 1)], "trip_id long, airport_fee int").coalesce(1).write.parquet(f"{path}/a")
+    spark.createDataFrame([(2, 2.5)], "trip_id long, airport_fee double").coalesce(1).write.parquet(f"{path}/b")
+    got = rd.schema_drift(spark, [f"{path}/*"]).collect()
+    assert [(r.file_index, r["column"], r.prev_type, r.type) for r in got] == [(0, "airport_fee", "int", "double")]
+    both = rd.read_trips_drifting(spark, [f"{path}/*"], {"airport_fee": "double"})
+    assert sorted((r.trip_id, r.airport_fee) for r in both.collect()) == [(1, 1.0), (2, 2.5)]
