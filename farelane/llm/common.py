@@ -7,6 +7,8 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from farelane.session import scratch_path
+
 # White space separating words is space and \t \n \v \f \r.
 SPACE_CLASS = r"[\x20\x09-\x0D]"
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
@@ -31,6 +33,13 @@ def pieces_for(amount: float, each: float, least: int = 1) -> int:
     return max(least, math.ceil((amount or 0) / each))
 
 
+def keep(df: DataFrame, compression: str = "uncompressed") -> DataFrame:
+    """``materialize`` with a compression of its own: none for bytes that are packed already, zstd for much that is alike."""
+    path = scratch_path(df.sparkSession, "table")
+    df.write.option("compression", compression).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def once(c: Column) -> Column:
     """``c`` as a column that the optimizer neither copies into filters above it nor computes twice for several readers.
 

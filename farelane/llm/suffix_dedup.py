@@ -13,7 +13,7 @@ off at the depth that matters:
 * The initial buckets are those of ``GRAM`` bytes. Of the positions inside a
   window of LENGTH bytes only one stands for it, that with the least name;
   equal windows choose equal positions, so it is enough to look at these
-  anchors, about one position in 30.
+  anchors, about one position in 19.
 * Round 1 sorts anchors by bucket, then by the refined name of all bytes of
   the windows they stand for. An anchor alone in its bucket is settled: its
   windows are new. So is one that repeats an earlier anchor with all its
@@ -22,11 +22,12 @@ off at the depth that matters:
 * Round 2 sorts the windows of those by their full names: all but the first
   of each are old.
 
-Texts travel as compressed chunks. What crosses the shuffle for an anchor is
-packed to some 15 bytes, by chunk and range of names; inside a chunk, repeats
-of an anchor's windows are settled first, and a bucket with many kinds in one
-chunk goes to round 2 whole, so that a range of names never gathers more than
-a few entries of a bucket from each chunk however often it occurs.
+Texts are written once, as compressed chunks, which every round reads. What
+crosses the shuffle for an anchor is packed to some 15 bytes, by chunk and
+range of names; inside a chunk, repeats of an anchor's windows are settled
+first, and a bucket with many kinds in one chunk goes to round 2 whole, so
+that a range of names never gathers more than a few entries of a bucket from
+each chunk however often it occurs.
 
 Defined results: null and empty texts have no bytes; texts under LENGTH bytes
 are kept whole; null ids come after all others; repeated rows are separate
@@ -47,12 +48,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from farelane.llm.common import col, pieces_for, table, whole_text
-from farelane.session import materialize
+from farelane.llm.common import col, keep, pieces_for, table, whole_text
 
-LENGTH, GRAM = 100, 40
+LENGTH, GRAM = 100, 64
 SPAN = LENGTH - GRAM + 1
-CHUNK_BYTES, SLAB, RANGE_BYTES = 12 << 20, 1 << 17, 16 << 20
+CHUNK_BYTES, SLAB, RANGE_BYTES = 8 << 20, 1 << 17, 16 << 20
 #: Kinds of one bucket that a chunk sends to round 1; a bucket with more goes to round 2.
 KINDS = 4
 NEW, OLD, OPEN = 0, 1, 2
@@ -79,9 +79,8 @@ def names(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     while m < 64:
         name[2 * m] = _join(name[m][:-m], name[m][m:])
         m *= 2
-    gram = _join(name[32][:-8], name[8][32:])
     most = _join(name[64][:-32], name[32][64:])
-    return gram, _join(most[:-4], name[4][96:])
+    return name[64], _join(most[:-4], name[4][96:])
 
 
 def windows(data: np.ndarray, ends: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, int, np.ndarray]]:
@@ -115,9 +114,9 @@ def windows(data: np.ndarray, ends: np.ndarray) -> Iterator[tuple[np.ndarray, np
 
 # --- messages ---------------------------------------------------------------
 
-def pack(*arrays: np.ndarray) -> bytes:
+def pack(*arrays: np.ndarray, level: int = 1) -> bytes:
     head = ";".join(f"{a.dtype.str},{len(a)}" for a in arrays).encode()
-    return zstandard.compress(len(head).to_bytes(4, "little") + head + b"".join(a.tobytes() for a in arrays), 1)
+    return zstandard.compress(len(head).to_bytes(4, "little") + head + b"".join(a.tobytes() for a in arrays), level)
 
 
 def unpack(data: bytes) -> list[np.ndarray]:
@@ -145,7 +144,7 @@ def _runs(*keys: np.ndarray) -> np.ndarray:
     return new
 
 
-def _sent(chunk: int, which: np.ndarray, ranges: int, *columns: np.ndarray) -> Iterator[tuple[int, bytes]]:
+def _sent(which: np.ndarray, ranges: int, *columns: np.ndarray) -> Iterator[tuple[int, bytes]]:
     """Messages of one chunk: columns (the last two: ids and numbers, in rising order of numbers) by range."""
     order = np.argsort(which, kind="stable")
     cuts = np.searchsorted(which[order], np.arange(ranges + 1))
@@ -177,26 +176,38 @@ REPLIES = "of_chunk bigint, verdicts binary"
 
 # --- the rounds -------------------------------------------------------------
 
-MESSAGES = "kind string, chunk bigint, `range` int, message binary, doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
-_SCHEMA = pa.schema([("kind", pa.string()), ("chunk", pa.int64()), ("range", pa.int32()), ("message", pa.binary()), ("doc_id", pa.int64()),
-                     ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string())])
+MESSAGES = "chunk bigint, `range` int, message binary"
+_SCHEMA = pa.schema([("chunk", pa.int64()), ("range", pa.int32()), ("message", pa.binary())])
 
 
-def _table(rows: list[tuple]) -> pa.Table:
-    return pa.table([pa.array(x, f.type) for x, f in zip(zip(*rows), _SCHEMA)] if rows else [pa.array([], f.type) for f in _SCHEMA], schema=_SCHEMA)
+def chunk_texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(chunk, message): texts in a row, compressed."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chunk = TaskContext.get().partitionId() << 24
+        for b in batches:
+            sizes = np.cumsum(pc.binary_length(b.column(1)).to_numpy())
+            first = 0
+            while first < b.num_rows:
+                base = sizes[first - 1] if first else 0
+                last = max(first + 1, int(np.searchsorted(sizes, base + CHUNK_BYTES, "right")))
+                ids = pc.fill_null(b.column(0).slice(first, last - first), NULL_ID).to_numpy()
+                data = np.frombuffer(b"".join([x.as_buffer() for x in b.column(1).slice(first, last - first)]), np.uint8)
+                yield pa.RecordBatch.from_arrays([pa.array([chunk]), pa.array([pack(ids, sizes[first:last] - base, data, level=6)])], ["chunk", "message"])
+                chunk, first = chunk + 1, last
+            pa.default_memory_pool().release_unused()
 
-def _message(kind: str, chunk: int, range_: int | None, message: bytes) -> tuple:
-    return kind, chunk, range_, message, None, None, None, None, None
+    rows = docs.select(col(id_col).cast("bigint").alias("doc_id"), whole_text(text_col).cast("binary").alias("text"))
+    return rows.mapInArrow(run, "chunk bigint, message binary")
 
 
-def start(docs: DataFrame, ranges: int, id_col: str, text_col: str) -> DataFrame:
-    """Round 1's messages and the chunks of texts."""
+def anchors(texts: DataFrame, ranges: int) -> DataFrame:
+    """Round 1's messages (local false), and what each chunk settles by itself (local true), by range."""
 
     def chunk_rows(ids: np.ndarray, ends: np.ndarray, data: np.ndarray, chunk: int) -> list[tuple]:
         parts = [(ids[np.searchsorted(ends, lo, "right")], bucket, name) for lo, _, bucket, name, _, _ in windows(data, ends)]
         if not parts:
-            return [_message("texts", chunk, None, pack(ids, ends, data, np.zeros(0, np.uint8)))]
+            return []
         of, bucket, name = (np.concatenate(x) for x in zip(*parts))
         status = np.full(len(of), NEW, np.uint8)
         order = np.lexsort((np.arange(len(of)), of, name, bucket))
@@ -205,38 +216,38 @@ def start(docs: DataFrame, ranges: int, id_col: str, text_col: str) -> DataFrame
         status[order[~first]] = OLD
         # buckets of many kinds: all kinds go to round 2, one tells the others of the bucket
         group = np.cumsum(_runs(b)) - 1
-        kinds = np.bincount(group, first)
-        many = kinds[group] > KINDS
+        many = np.bincount(group, first)[group] > KINDS
         status[order[first & many]] = OPEN
-        send = first & (~many | _runs(b))
-        sent = np.sort(order[send])
+        sent = np.sort(order[first & (~many | _runs(b))])
         crowded = np.zeros(len(of), np.uint8)
         crowded[order[many]] = 1
         which = ((bucket[sent] & np.uint64(0xFFFFFFFF)) % np.uint64(ranges)).astype(np.int64)
-        out = [_message("anchors", chunk, r, m) for r, m in _sent(
-            chunk, which, ranges, (bucket[sent] >> np.uint64(32)).astype(np.uint32), name[sent], crowded[sent], of[sent], sent)]
-        return [*out, _message("texts", chunk, None, pack(ids, ends, data, status))]
+        rows = [(r, chunk, False, m) for r, m in _sent(which, ranges, (bucket[sent] >> np.uint64(32)).astype(np.uint32),
+                                                        name[sent].astype(np.uint32), (name[sent] >> np.uint64(48)).astype(np.uint16), crowded[sent], of[sent], sent)]
+        some = np.flatnonzero(status)
+        return rows + [(chunk % ranges, chunk, True, pack(_steps(some), status[some]))] if len(some) else rows
+
+    schema = pa.schema([("range", pa.int32()), ("chunk", pa.int64()), ("local", pa.bool_()), ("message", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        chunk = TaskContext.get().partitionId() << 24
         for b in batches:
-            sizes = np.cumsum(pc.binary_length(b.column(1)).to_numpy())
-            first = 0
-            while first < b.num_rows:
-                base = sizes[first - 1] if first else 0
-                last = max(first + 1, int(np.searchsorted(sizes, base + CHUNK_BYTES, "right")))
-                ids = pc.fill_null(b.column(0).slice(first, last - first), NULL_ID).to_numpy()
-                data = np.frombuffer(b"".join([x.as_buffer() for x in b.column(1).slice(first, last - first)]), np.uint8)
-                yield from _table(chunk_rows(ids, sizes[first:last] - base, data, chunk)).to_batches()
-                chunk, first = chunk + 1, last
+            for chunk, message in zip(b.column(0).to_pylist(), b.column(1)):
+                rows = chunk_rows(*unpack(message.as_py()), chunk)
+                if rows:
+                    yield pa.record_batch([pa.array(x, f.type) for x, f in zip(zip(*rows), schema)], schema=schema)
+                pa.default_memory_pool().release_unused()
 
-    rows = docs.select(col(id_col).cast("bigint").alias("doc_id"), whole_text(text_col).cast("binary").alias("text"))
-    return rows.mapInArrow(run, MESSAGES)
+    return texts.select("chunk", "message").mapInArrow(run, "`range` int, chunk bigint, local boolean, message binary")
 
 
 def _judge_anchors(t):
     """Round 1: OLD for all but the first of a kind, OPEN for the first of each kind in buckets of several kinds."""
-    bucket, name, crowded, ids, chunk, number = _received(t)
+    settled = t.filter(t.column("local")).select(["chunk", "message"]).rename_columns(["of_chunk", "verdicts"])
+    t = t.filter(pc.invert(t.column("local")))
+    if not t.num_rows:
+        return settled
+    bucket, low, high, crowded, ids, chunk, number = _received(t)
+    name = low.astype(np.uint64) | high.astype(np.uint64) << np.uint64(32)  # 48 bits: they only tell the kinds of a bucket apart
     order = np.lexsort((number, chunk, ids, name, bucket))
     b, x = bucket[order], name[order]
     first, group = _runs(b, x), np.cumsum(_runs(b)) - 1
@@ -244,7 +255,7 @@ def _judge_anchors(t):
     # a crowded entry stands for its bucket, not for its kind: it is open already
     verdict = np.where(crowded[order] > 0, NEW, np.where(~first, OLD, np.where(several[group], OPEN, NEW))).astype(np.uint8)
     some = verdict != NEW
-    return _replies(chunk[order][some], number[order][some], verdict[some])
+    return pa.concat_tables([settled, _replies(chunk[order][some], number[order][some], verdict[some])])
 
 
 def _judge_windows(t):
@@ -255,78 +266,74 @@ def _judge_windows(t):
     return _replies(chunk[old], number[old], np.full(len(old), OLD, np.uint8))
 
 
-def _finished(kind: str, doc_id: int, text: np.ndarray, removed: np.ndarray) -> tuple:
-    gone = int(removed.sum())
-    spans = int((np.diff(removed.astype(np.int8), prepend=0) == 1).sum())
-    return kind, None, None, None, None if doc_id == NULL_ID else doc_id, len(text), gone, spans, hashlib.sha256(text[~removed].tobytes()).hexdigest()
+def _verdicts(messages) -> tuple[np.ndarray, np.ndarray]:
+    got = [unpack(x) for x in messages]
+    return (np.concatenate([np.cumsum(n) for n, _ in got]), np.concatenate([v for _, v in got])) if got else (np.zeros(0, np.int64), np.zeros(0, np.uint8))
 
 
-def _verdicts(t) -> tuple[np.ndarray, np.ndarray]:
-    got = [unpack(x.as_py()) for x in t.column("verdicts")]
-    return (np.concatenate([np.cumsum(n) for n, _ in got]), np.concatenate([v for _, v in got])) if got else (np.zeros(0, np.int64), np.zeros(0, np.uint8))
+def _cover(steps: np.ndarray, starts: np.ndarray, last: np.ndarray | None = None) -> None:
+    """Count windows from ``starts`` (to ``last``) over their bytes, as steps up and down."""
+    np.add.at(steps, starts, 1)
+    np.add.at(steps, (starts if last is None else last) + LENGTH, -1)
 
 
 def _second(ranges: int):
     def run(key, texts, replies):
-        """Settle a chunk's anchors; send the windows of open ones; finish documents without any."""
-        rows = []
+        """Settle a chunk's anchors; send the windows of open ones, and (range null) the chunk's state for the end."""
+        chunk, rows = key[0].as_py(), []
         for message in texts.column("message"):
-            ids, ends, data, status = unpack(message.as_py())
-            chunk, status = key[0].as_py(), status.copy()
-            number, verdict = _verdicts(replies)
+            ids, ends, data = unpack(message.as_py())
+            number, verdict = _verdicts(replies.column("verdicts").to_pylist())
+            status = np.full(number.max(initial=-1) + 1, NEW, np.uint8)
             status[number] = verdict
-            removed = np.zeros(len(data) + 1, np.int32)  # steps of the number of old windows over each byte
+            steps = np.zeros(len(data) + 1, np.int32)
             starts, name, seen = [], [], 0
             for lo, hi, _, _, at, full in windows(data, ends):
-                s = status[seen:seen + len(lo)]
+                s = np.full(len(lo), NEW, np.uint8)  # anchors after the last verdict are new
+                told = status[seen:seen + len(lo)]
+                s[:len(told)] = told
                 seen += len(lo)
-                np.add.at(removed, lo[s == OLD], 1)
-                np.add.at(removed, hi[s == OLD] + LENGTH, -1)
+                _cover(steps, lo[s == OLD], hi[s == OLD])
                 a, n = lo[s == OPEN], (hi - lo + 1)[s == OPEN]
                 w = np.repeat(a - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
                 starts.append(w)
                 name.append(full[w - at])
             starts = np.concatenate(starts) if starts else np.zeros(0, np.int64)
             name = np.concatenate(name) if name else np.zeros(0, np.uint64)
-            doc = np.searchsorted(ends, starts, "right")
-            order = np.lexsort((np.arange(len(starts)), ids[doc], name))
+            of = ids[np.searchsorted(ends, starts, "right")]
+            order = np.lexsort((np.arange(len(starts)), of, name))
             first = _runs(name[order])
-            np.add.at(removed, starts[order[~first]], 1)
-            np.add.at(removed, starts[order[~first]] + LENGTH, -1)
-            mask = np.cumsum(removed[:-1], dtype=np.int32) > 0
-            keep = np.sort(order[first])
-            starts, name, doc = starts[keep], name[keep], doc[keep]
+            _cover(steps, starts[order[~first]])
+            sent = np.sort(order[first])
+            starts, name, of = starts[sent], name[sent], of[sent]
             which = ((name >> np.uint64(7)) % np.uint64(ranges)).astype(np.int64)
-            rows += [_message("windows", chunk, r, m) for r, m in _sent(chunk, which, ranges, name, ids[doc], np.arange(len(starts)))]
-            waits = np.zeros(len(ids), bool)
-            waits[doc] = True
-            begins = np.concatenate([[0], ends[:-1]])
-            for d in np.flatnonzero(~waits):
-                rows.append(_finished("done", int(ids[d]), data[begins[d]:ends[d]], mask[begins[d]:ends[d]]))
-            if waits.any():
-                sizes = (ends - begins)[waits]
-                left = np.repeat(waits, ends - begins)
-                moved = np.cumsum(sizes) - sizes - begins[waits]  # of each waiting text
-                rank = np.cumsum(waits) - 1
-                rows.append(_message("waiting", chunk, None, pack(ids[waits], np.cumsum(sizes), data[left], np.packbits(mask[left]), starts + moved[rank[doc]])))
-        return _table(rows)
+            rows += [(chunk, r, m) for r, m in _sent(which, ranges, name, of, np.arange(len(starts)))]
+            rows.append((chunk, None, pack(np.packbits(np.cumsum(steps[:-1], dtype=np.int32) > 0), _steps(starts))))
+        pa.default_memory_pool().release_unused()
+        return pa.table([pa.array(x, f.type) for x, f in zip(zip(*rows), _SCHEMA)], schema=_SCHEMA)
 
     return run
 
 
-def _last(key, waiting, replies):
-    """Remove what round 2 found old."""
-    rows = []
-    for message in waiting.column("message"):
-        ids, ends, data, mask, starts = unpack(message.as_py())
-        number, _ = _verdicts(replies)
+def _last(_, texts, rest):
+    """One row per document, without what either round found old."""
+    names_ = [c.split(" ")[0] for c in RESULT.split(", ")]
+    columns = [[] for _ in names_]
+    state = [x.as_py() for x, s in zip(rest.column("verdicts"), rest.column("state")) if s.as_py()]
+    number, _ = _verdicts([x.as_py() for x, s in zip(rest.column("verdicts"), rest.column("state")) if not s.as_py()])
+    for message, (bits, starts) in zip(texts.column("message"), map(unpack, state), strict=True):
+        ids, ends, data = unpack(message.as_py())
         steps = np.zeros(len(data) + 1, np.int32)
-        np.add.at(steps, starts[number], 1)
-        np.add.at(steps, starts[number] + LENGTH, -1)
-        removed = (np.cumsum(steps[:-1], dtype=np.int32) > 0) | np.unpackbits(mask, count=len(data)).astype(bool)
-        begins = np.concatenate([[0], ends[:-1]])
-        rows += [_finished("done", int(i), data[a:b], removed[a:b]) for i, a, b in zip(ids, begins, ends)]
-    return _table(rows).select(["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+        _cover(steps, np.cumsum(starts)[number])
+        removed = (np.cumsum(steps[:-1], dtype=np.int32) > 0) | np.unpackbits(bits, count=len(data)).astype(bool)
+        for doc_id, a, b in zip(ids.tolist(), [0, *ends[:-1]], ends):
+            gone = removed[a:b]
+            spans = int((np.diff(gone.astype(np.int8), prepend=0) == 1).sum())
+            row = (None if doc_id == NULL_ID else doc_id, int(b - a), int(gone.sum()), spans, hashlib.sha256(data[a:b][~gone].tobytes()).hexdigest())
+            for c, v in zip(columns, row):
+                c.append(v)
+    pa.default_memory_pool().release_unused()
+    return pa.table([pa.array(c, pa.string() if i == 4 else pa.int64()) for i, c in enumerate(columns)], names_)
 
 
 RESULT = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
@@ -336,15 +343,13 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """One row per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256."""
     size = docs.agg(F.sum(F.octet_length(whole_text(text_col)).cast("bigint")).alias("n")).first().n
     ranges = pieces_for(float(size or 0), RANGE_BYTES)
-    sent = materialize(start(docs, ranges, id_col, text_col))
-    settled = sent.where("kind = 'anchors'").select("range", "chunk", "message").groupBy("range").applyInArrow(_judge_anchors, REPLIES)
-    texts = sent.where("kind = 'texts'").select("chunk", "message")
-    second = materialize(texts.groupBy("chunk").cogroup(settled.groupBy("of_chunk")).applyInArrow(_second(ranges), MESSAGES))
-    names_ = [c.split(" ")[0] for c in RESULT.split(", ")]
-    done = second.where("kind = 'done'").select(*names_)
-    found = second.where("kind = 'windows'").select("range", "chunk", "message").groupBy("range").applyInArrow(_judge_windows, REPLIES)
-    waiting = second.where("kind = 'waiting'").select("chunk", "message")
-    return done.unionByName(waiting.groupBy("chunk").cogroup(found.groupBy("of_chunk")).applyInArrow(_last, RESULT))
+    texts = keep(chunk_texts(docs, id_col, text_col))
+    settled = anchors(texts, ranges).groupBy("range").applyInArrow(_judge_anchors, REPLIES)
+    second = keep(texts.groupBy("chunk").cogroup(settled.groupBy("of_chunk")).applyInArrow(_second(ranges), MESSAGES))
+    found = second.where("range IS NOT NULL").groupBy("range").applyInArrow(_judge_windows, REPLIES)
+    state = second.where("range IS NULL").select(F.col("chunk").alias("of_chunk"), F.col("message").alias("verdicts"), F.lit(True).alias("state"))
+    rest = state.unionByName(found.withColumn("state", F.lit(False)))
+    return texts.groupBy("chunk").cogroup(rest.groupBy("of_chunk")).applyInArrow(_last, RESULT)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
