@@ -36,7 +36,7 @@ from farelane.plans import forecast as fc
 from farelane.plans import global_models as gm
 from farelane.plans import local_models as lm
 from farelane.schemas import LOG_CSV_SCHEMA
-from farelane.session import join_small, scratch_path
+from farelane.session import join_small, materialize, scratch_path
 from farelane.sources import adapters as ad
 from farelane.sources import readers as rd
 
@@ -267,9 +267,9 @@ def q_unit_rates(spark, sf):
 
 def _ev_context(spark, sf):
     c = _ev_cal(spark, sf)
-    h = demand.hourly_stats(c, exact=True)
-    d = demand.daily_stats(c, exact=True)
-    return h.join(d, ["pickupdate", "pickupyear", "pickupmonth"])
+    # one pass over the trips: the days are rolled up from the hours
+    h = materialize(demand.hourly_stats_rollable(c, exact=True))
+    return join_small(h.drop("_speed_sum", "_speed_n"), demand.daily_stats_from_hourly(h), ["pickupdate", "pickupyear", "pickupmonth"])
 
 
 def q_fare_rates(spark, sf):
