@@ -112,13 +112,14 @@ def _markov_spans(model: dict[int, float]) -> Column:
 def scan(docs: DataFrame, model: dict[int, float], id_col: str = "doc_id", text_col: str = "text", carry: Column | None = None) -> DataFrame:
     """(doc_id, text, base, all): spans as arrays of (s, k, e), by start then kind; ``carry`` becomes column ``row``.
 
-    A markov span that overlaps one of the patterns is left out.
+    A markov span that lies within one of the patterns is left out; one that
+    reaches beyond it stays, so that ``redact`` covers the whole run.
     """
     extra, kept = ([], []) if carry is None else ([carry.alias("row")], ["row"])
     df = docs.select(col(id_col).alias("doc_id"), whole_text(text_col).alias("text"), *extra)
     df = df.withColumns(base_spans() | {"markov": _markov_spans(model)})
     df = df.withColumn("base", F.array_sort(F.concat("assign", "access", "hex")))
-    df = df.withColumn("markov", F.expr("filter(markov, c -> NOT exists(base, b -> b.s < c.e AND c.s < b.e))"))
+    df = df.withColumn("markov", F.expr("filter(markov, c -> NOT exists(base, b -> b.s <= c.s AND c.e <= b.e))"))
     return df.select("doc_id", *kept, "text", "base", F.size("assign").cast("bigint").alias("n_assign"), F.size("access").cast("bigint").alias("n_access"),
                      F.size("hex").cast("bigint").alias("n_hex"), F.array_sort(F.concat("base", "markov")).alias("spans"))
 
