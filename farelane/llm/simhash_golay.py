@@ -151,21 +151,21 @@ def link(fps: DataFrame) -> DataFrame:
 
 
 def near_duplicates(prints: DataFrame) -> DataFrame:
-    """(doc_id, text_hash, fp, component_id) of ``fingerprints`` rows."""
+    """(doc_id, text_hash, fp, root, component_id) of ``fingerprints`` rows; root is the component's smallest fingerprint."""
     prints = materialize(prints)
     distinct = materialize(prints.groupBy("fp").agg(F.min("doc_id").alias("least")))
     rooted = distinct.join(link(distinct).withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     rooted = materialize(rooted)
     ids = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    return prints.join(rooted.select("fp", "root").join(ids, "root").select("fp", "component_id"), "fp", "left")
+    return prints.join(rooted.select("fp", "root").join(ids, "root").select("fp", "root", "component_id"), "fp", "left")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
     """One document of each component, that with the smallest id, with the columns of ``docs``."""
     found = near_duplicates(fingerprints(docs, id_col, text_col, shingle))
     named = lambda c: F.coalesce(c.cast("string"), F.lit("null"))
-    # components of null ids only are told apart by a member's fingerprint
-    group = F.when(F.col("component_id").isNull(), F.col("fp"))
+    # components of null ids only are told apart by their root
+    group = F.when(F.col("component_id").isNull(), F.col("root"))
     first = found.groupBy("component_id", group.alias("g")).agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")).alias("first"))
     first = first.select(named(F.col("first.doc_id")).alias("keep_id"), F.col("first.text_hash").alias("keep_hash"))
     row = F.struct(*[col(c) for c in docs.columns]).alias("row")

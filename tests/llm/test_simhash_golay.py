@@ -97,3 +97,12 @@ def test_components_of_chains_and_stars(spark):
     got = {r.node: r.root for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {i: 0 for i in range(301)} | {i: 1000 for i in range(1000, 1300)}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_near_copies_without_ids_keep_one(spark, monkeypatch):
+    fp = {"a": 0b111, "b": 0b101, "c": 0b001, "d": 0xFFFF0000}
+    df = spark.createDataFrame([(None, t) for t in "abcda"], "doc_id long, text string")
+    prints = spark.createDataFrame([(None, t, fp[t]) for t in "abcda"], "doc_id long, text string, fp long")
+    monkeypatch.setattr(G, "fingerprints", lambda *_: prints.selectExpr("doc_id", "xxhash64(text) AS text_hash", "fp"))
+    kept = sorted(r.text for r in G.keep_one(df).collect())
+    assert len(kept) == 2 and kept[0] in "abc" and kept[1] == "d"
