@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from farelane.llm import context_mixing, learned_partitions, length_histogram, line_quality, secret_scan, simhash_golay, source_mix, suffix_dedup, warc_archive, window_packing
+from farelane.llm import context_mixing, embedding_whitening, learned_partitions, length_histogram, line_quality, secret_scan, simhash_golay, source_mix, suffix_dedup, warc_archive, window_packing
 
 QUERIES = {
     "op1_length_histogram": length_histogram.query,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_learned_partitions": learned_partitions.query,
     "op9_secret_scan": secret_scan.query,
     "op10_simhash_golay": simhash_golay.query,
+    "op13_cholesky_whitening": embedding_whitening.query,
 }
 
 ORACLE = {

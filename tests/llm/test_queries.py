@@ -15,6 +15,9 @@ COLUMNS = {
     "op8": "query_id rank vec_id score",
     "op9": "doc_id n_assign n_access n_hex base_sha256 spans",
     "op10": "doc_id fingerprint component_id",
+    "op11": "doc_id held_out lang_pred score",
+    "op12": "part filter_order step kept removed redundant unique_fails good_lost toxic_lost shapley",
+    "op13": "vec_id component n deviation whitened explained identity_error",
 }
 TABLE = {"op5": "pages"}
 
@@ -25,7 +28,7 @@ def test_contract_columns_and_rows(spark, sf, key):
     df = E.queries()[key](spark, sf)
     assert set(COLUMNS.get(op, "").split()) <= set(df.columns)
     n = df.count()
-    if op in ("op2", "op3", "op5", "op6", "op7", "op9", "op10"):
+    if op in ("op2", "op3", "op5", "op6", "op7", "op9", "op10", "op11"):
         assert n == spark.read.parquet(f"{sf}/{TABLE.get(op, 'documents')}.parquet").count()
     assert n > 0
 
