@@ -21,9 +21,8 @@ a part, so the audit of all orders costs the same whatever the input.
 Rows travel as masks and digests only. Repeated rows are added up inside each
 task before any shuffle; a text's smallest id joins back on digest and id, so a
 group of copies, however large, is spread by its ids. A shard holds at most
-``shard_bytes`` of text, or one longer text. Shards, dictionary and masks are
-written under the shared folder, so a lost executor costs a re-read, and
-numbers are given once.
+``shard_bytes`` of text, or one longer text. Shards and masks are written under
+the shared folder, so a lost executor costs a re-read.
 
 Defined results: null and empty texts have no words and are one text; a null
 lang is the part ``''``, as an empty lang is; a null id has no smaller one, is
@@ -60,7 +59,19 @@ SYMBOLS = b"#$%&*|"
 CONTINUATION = bytes(range(0x80, 0xC0))
 
 SHARD_SCHEMA = ("shard bigint, doc_id array<bigint>, part array<string>, flags array<int>, digest array<binary>, "
-                "starts array<int>, term array<int>, n array<int>, words array<binary>")
+                "starts binary, term binary, n binary, words array<binary>")
+CODEC = "zstd"
+
+
+def _packed(numbers: np.ndarray) -> bytes:
+    """Whole numbers under 2^31 as a compressed frame behind its length."""
+    raw = numbers.astype("<i4").tobytes()
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, CODEC, asbytes=True)
+
+
+def _unpacked(frame: pa.Scalar) -> np.ndarray:
+    data = frame.as_buffer()
+    return np.frombuffer(pa.decompress(data.slice(8), int.from_bytes(data.slice(0, 8).to_pybytes(), "little"), CODEC), "<i4")
 
 
 def _flags(text: bytes, max_capital_percent: int) -> int:
@@ -83,15 +94,17 @@ def _shard(number: int, ids: pa.Array, parts: pa.Array, texts: pa.Array, max_cap
     starts = np.concatenate([[0], np.cumsum(np.bincount(cell // width, minlength=len(texts)))])
     raw = [t.as_buffer().to_pybytes() for t in texts]
     one = lambda values, kind: pa.array([values], pa.list_(kind))
+    term = cell % width
     return pa.record_batch([
         pa.array([number]), one(ids, pa.int64()), one(parts, pa.string()), one([_flags(t, max_capital_percent) for t in raw], pa.int32()),
-        one([hashlib.sha256(t).digest() for t in raw], pa.binary()), one(starts, pa.int32()), one(cell % width, pa.int32()), one(n, pa.int32()),
-        one(coded.dictionary.cast(pa.binary()), pa.binary())], ["shard", "doc_id", "part", "flags", "digest", "starts", "term", "n", "words"])
+        one([hashlib.sha256(t).digest() for t in raw], pa.binary()), pa.array([_packed(starts)]), pa.array([_packed(np.diff(term, prepend=0))]),
+        pa.array([_packed(n)]), one(coded.dictionary.cast(pa.binary()), pa.binary())],
+        ["shard", "doc_id", "part", "flags", "digest", "starts", "term", "n", "words"])
 
 
 def local_shards(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", part_col: str = "lang", shard_bytes: int = SHARD_BYTES,
                  max_capital_percent: int = MAX_CAPITAL_PERCENT) -> DataFrame:
-    """One row per shard of documents, words numbered by the shard's own list."""
+    """One row per shard of documents, words numbered by the shard's own list; ``starts``, ``n`` and the steps of ``term`` are packed."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -112,40 +125,78 @@ def local_shards(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return rows.mapInArrow(run, SHARD_SCHEMA)
 
 
-def dictionary(shards: DataFrame) -> DataFrame:
-    """(word, id): every distinct word once, under a number of its own; written, so the numbers stay."""
-    words = shards.select(F.explode("words").alias("word")).distinct()
-    return keep(words.select("word", F.monotonically_increasing_id().alias("id")), "zstd")
+def numbered(shards: DataFrame) -> DataFrame:
+    """(word, shard, at, id): each shard's words and the global number of each.
 
+    Equal words meet in one partition, sorted, and a partition counts its
+    distinct words. Number of partitions, order and so the numbers are the same
+    in every run. A word has a row per shard at most.
+    """
 
-def csr_shards(shards: DataFrame, words: DataFrame) -> DataFrame:
-    """The shards with global column numbers: ``terms`` array<bigint> beside ``starts`` and ``n``.
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
 
-    What a shard receives is the numbers of its own words, bounded by its text.
-    """
-    entries = shards.select("shard", F.posexplode("words").alias("at", "word")).join(words, "word")
-    numbers = entries.groupBy("shard").agg(F.array_sort(F.collect_list(F.struct("at", "id"))).alias("numbers"))
-    known = shards.drop("words").join(numbers.select("shard", F.col("numbers.id").alias("ids")), "shard", "left")
-    return known.withColumn("terms", F.expr("transform(term, t -> ids[t])")).drop("term", "ids")
+        number, last = (TaskContext.get().partitionId() << 32) - 1, None
+        for b in batches:
+            if not b.num_rows:
+                continue
+            words = b.column(0)
+            new = np.ones(b.num_rows, bool)
+            new[0] = words[0].as_py() != last
+            new[1:] = pc.not_equal(words.slice(1), words.slice(0, b.num_rows - 1)).to_numpy(zero_copy_only=False)
+            ids = number + np.cumsum(new)
+            number, last = int(ids[-1]), words[-1].as_py()
+            yield pa.record_batch([*b.columns, pa.array(ids)], ["word", "shard", "at", "id"])
 
+    partitions = int(shards.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    entries = shards.select("shard", F.posexplode("words").alias("at", "word")).select("word", "shard", "at")
+    return entries.repartition(partitions, "word").sortWithinPartitions("word").mapInArrow(run, "word binary, shard bigint, at int, id bigint")
 
-def decide(shards: DataFrame, min_words: int = MIN_WORDS, min_distinct_percent: int = MIN_DISTINCT_PERCENT) -> DataFrame:
-    """(doc_id, part, digest, mask, n_words, n_distinct) of every document of CSR shards: A is bit 1 of the mask, B 2, C 4, D 8."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for i in range(b.num_rows):
-                ids, part, flags, digest, starts, n, terms = (b.column(k)[i].values for k in range(7))
-                starts = starts.to_numpy()
-                total = np.concatenate([[0], np.cumsum(n.to_numpy().astype(np.int64))])[starts]
-                row_sum, nonzero = np.diff(total), np.diff(starts).astype(np.int64)
-                assert starts[-1] == len(terms) and terms.null_count == 0, "a word without its number"
-                mask = flags.to_numpy() | 1 * (row_sum < min_words) | 2 * (100 * nonzero < min_distinct_percent * row_sum)
-                yield pa.record_batch([ids, part, digest, pa.array(mask, pa.int32()), pa.array(row_sum), pa.array(nonzero)],
-                                      ["doc_id", "part", "digest", "mask", "n_words", "n_distinct"])
+def dictionary(numbers: DataFrame) -> DataFrame:
+    """(word, id): every distinct word once."""
+    return numbers.groupBy("word").agg(F.first("id").alias("id"))
+
+
+def _csr(shard: pa.Table, numbers: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row starts, global column numbers and counts of a shard."""
+    ids = np.full(numbers.num_rows, -1)
+    ids[numbers.column("at").to_numpy()] = numbers.column("id").to_numpy()
+    assert (ids >= 0).all(), "a word without its number"
+    starts, step, n = (_unpacked(shard.column(c)[0]) for c in ("starts", "term", "n"))
+    return starts, ids[np.cumsum(step, dtype=np.int64)], n
+
+
+def _meet(shards: DataFrame, numbers: DataFrame, run, schema: str) -> DataFrame:
+    """Each shard with the numbers of its own words, which its text bounds."""
+    left = shards.drop("words").groupBy("shard")
+    return left.cogroup(numbers.select("shard", "at", "id").groupBy("shard")).applyInArrow(run, schema)
+
+
+def csr_shards(shards: DataFrame, numbers: DataFrame) -> DataFrame:
+    """(shard, doc_id, starts, terms, n): the matrix over the global dictionary, a row per shard."""
+
+    def run(_, shard: pa.Table, numbers: pa.Table) -> pa.Table:
+        starts, terms, n = _csr(shard, numbers)
+        return pa.table([shard.column("shard"), shard.column("doc_id"), pa.array([starts], pa.list_(pa.int32())), pa.array([terms], pa.list_(pa.int64())),
+                         pa.array([n], pa.list_(pa.int32()))], ["shard", "doc_id", "starts", "terms", "n"])
+
+    return _meet(shards, numbers, run, "shard bigint, doc_id array<bigint>, starts array<int>, terms array<bigint>, n array<int>")
+
+
+def decide(shards: DataFrame, numbers: DataFrame, min_words: int = MIN_WORDS, min_distinct_percent: int = MIN_DISTINCT_PERCENT) -> DataFrame:
+    """(doc_id, part, digest, mask, n_words, n_distinct) of every document, from its row of the matrix: A is bit 1 of the mask, B 2, C 4, D 8."""
+
+    def run(_, shard: pa.Table, numbers: pa.Table) -> pa.Table:
+        starts, terms, n = _csr(shard, numbers)
+        row_sum = np.diff(np.concatenate([[0], np.cumsum(n, dtype=np.int64)])[starts])
+        nonzero = np.diff(starts).astype(np.int64)
+        ids, part, flags, digest = (shard.column(c)[0].values for c in ("doc_id", "part", "flags", "digest"))
+        mask = flags.to_numpy() | 1 * (row_sum < min_words) | 2 * (100 * nonzero < min_distinct_percent * row_sum)
+        return pa.table([ids, part, digest, pa.array(mask, pa.int32()), pa.array(row_sum), pa.array(nonzero)],
+                        ["doc_id", "part", "digest", "mask", "n_words", "n_distinct"])
 
-    return shards.select("doc_id", "part", "flags", "digest", "starts", "n", "terms").mapInArrow(
-        run, "doc_id bigint, part string, digest binary, mask int, n_words bigint, n_distinct bigint")
+    return _meet(shards, numbers, run, "doc_id bigint, part string, digest binary, mask int, n_words bigint, n_distinct bigint")
 
 
 def count_masks(decided: DataFrame, labels: DataFrame, id_col: str = "doc_id") -> DataFrame:
@@ -185,7 +236,7 @@ def interactions(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
                  min_words: int = MIN_WORDS, min_distinct_percent: int = MIN_DISTINCT_PERCENT, max_capital_percent: int = MAX_CAPITAL_PERCENT) -> DataFrame:
     """The audit of all orders of the five filters over whole texts."""
     shards = keep(local_shards(docs, id_col, text_col, part_col, shard_bytes, max_capital_percent), "zstd")
-    decided = decide(csr_shards(shards, dictionary(shards)), min_words, min_distinct_percent)
+    decided = decide(shards, numbered(shards), min_words, min_distinct_percent)
     return audit(count_masks(decided, labels, id_col))
 
 
