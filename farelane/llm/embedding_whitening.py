@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from farelane.llm.common import col, table
+from farelane.llm.common import col, keep, table
 
 COMPONENTS = 8
 SCALE, OFFSET = 1024, 100_000
@@ -230,6 +230,6 @@ def whiten(df: DataFrame, model: Whitening | None, error: float = 0.0) -> DataFr
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """op13: the first eight whitened values of every vector."""
-    rows = usable(table(spark, sf_dir, "embeddings"))
+    rows = keep(usable(table(spark, sf_dir, "embeddings")), "zstd")  # every pass reads the whole numbers
     model = fit(rows)
     return whiten(rows, model, identity_error(rows, model) if model else 0.0)
