@@ -665,19 +665,43 @@ def _yellow_ev(spark, sf):
     return feat.yellow_features(y, keep=("trip_id",))
 
 
+FARE_PARTS = [e.rpartition(" AS ")[2] for e in ad.FARE_PARTS_EXPRS]
+SNOW_TRAFFIC = [e.rpartition(" AS ")[2] for e in ad.SNOW_TRAFFIC_EXPRS]
 VOTE_FEATURES = ["pickupyear", "pickupmonth", "pickupdayofyear", "pickuphour", "PULocationID", "DOLocationID", "trip_time",
-                 "trip_meters", "week", "hourly_numTrips", "daily_numTrips", "isWeekend",
+                 *FARE_PARTS, "trip_meters", "week", "hourly_numTrips", "daily_numTrips", "isWeekend",
                  "isOvernight", "isRushhour", "d_base_fare_per_mile", "d_base_fare_per_min", "h_base_fare_per_mile",
                  "h_base_fare_per_min", "hourly_mean_speed", "tmax_f", "tmin_f", "prcp_mm", "TMAXExtremity", "TMINExtremity",
-                 *ad.TRANSIT_MODES, "pt_taxi_ratio"]
+                 *ad.TRANSIT_MODES, *SNOW_TRAFFIC, "pt_taxi_ratio"]
+# the label stands in the list of votes too; it is no feature, so it has none
+VOTE_DOMAIN = [*VOTE_FEATURES, feat.LABEL]
 
 
-def q_feature_votes(spark, sf):
-    c = _li_cal(spark, sf).withColumn("trip_meters", rates.trip_meters())
+def _vote_rows(spark, sf):
+    """Trips with their fare parts, context, snow and traffic."""
+    c = cal.with_calendar(ad.trips_li(spark, sf, fare_parts=True)).withColumn("trip_meters", rates.trip_meters())
     t = _li_context(spark, sf, c)
-    j = ctx.attach_context(c, t.select("pickupdate", "pickuphour", *[x for x in VOTE_FEATURES if x not in c.columns]))
-    sel = lm.select_features(j, VOTE_FEATURES, feat.LABEL, n_buckets=24, n_trees=100, depth=5)
-    return _out(lm.feature_votes(sel, VOTE_FEATURES))
+    c = join_small(c, ad.snow_and_traffic(spark, sf), "pickupdate")
+    return ctx.attach_context(c, t.select("pickupdate", "pickuphour", *[x for x in VOTE_FEATURES if x not in c.columns]))
+
+
+def q_feature_votes(spark, sf):
+    sel = lm.select_features(_vote_rows(spark, sf), VOTE_FEATURES, feat.LABEL, n_buckets=24, n_trees=100, depth=5)
+    return _out(lm.feature_votes(sel, VOTE_DOMAIN))
+
+
+# a forest small enough for SQL to grow it too
+SMALL_FOREST = {"n_buckets": 3, "n_trees": 3, "depth": 3}
+
+
+def q_feature_votes_small(spark, sf):
+    sel = lm.select_features(_vote_rows(spark, sf), VOTE_FEATURES, feat.LABEL, **SMALL_FOREST)
+    return _out(lm.feature_votes(sel, VOTE_DOMAIN))
+
+
+def q_forest_importances(spark, sf):
+    tr, _ = _ev_split(spark, sf, "hour")
+    f = lm.forest_importances(tr, feat.LOCAL_FEATURES, feat.LABEL, n_buckets=2, n_trees=6, depth=4)
+    return _out(f.select("bucket", "feature", F.round("importance", 6).alias("importance"), "selected"), None)
 
 
 # --- weekly series and forecasts -------------------------------------------
@@ -1104,25 +1128,42 @@ _LR_COEF = (f"bm AS (SELECT {_bucket_sql(16)} AS bucket, avg(trip_meters) AS m1,
             f"(v11 * c2y - c12 * c1y) / (v11 * v22 - c12 * c12) AS b2 FROM bm), "
             f"coef AS (SELECT bucket, my - b1 * m1 - b2 * m2 AS b0, b1, b2 FROM bc)")
 
-def _tree_sql(features: list[str], depth: int, buckets: str, bins: int = 32, where: str = "TRUE") -> str:
-    """CTEs that grow trees level by level over ``tr``: cut points ``e``, nodes ``n{level}`` of rows, splits ``s{level}``, node table ``nodes``."""
+def _bag_sql(trees: int) -> str:
+    """Rows of ``base`` once a tree ``t``, with the copies ``w`` of ``local_models.bootstrap_hashes`` and ``poisson_weights``."""
+    a, digits = lm.TREES_A_HASH, 32 // lm.TREES_A_HASH
+    u = (f"CAST('0x' || substr(md5('bootstrap:' || CAST(t // {a} AS VARCHAR) || ':' || coalesce(CAST(trip_id AS VARCHAR), 'null')), "
+         f"1 + {digits} * (t % {a}), {digits}) AS BIGINT) / 4294967296.0::DOUBLE")
+    copies = " + ".join(f"CAST(u >= {p!r}::DOUBLE AS INTEGER)" for p in lm.POISSON1.tolist())
+    return f"SELECT *, {copies} AS w FROM (SELECT *, {u} AS u FROM base, (SELECT unnest(range({trees})) AS t))"
+
+
+def _tree_sql(features: list[str], depth: int, buckets: str, bins: int = 32, where: str = "TRUE", trees: int = 0) -> str:
+    """CTEs that grow trees level by level over ``tr``: cut points ``e``, nodes ``n{level}`` of rows, splits ``s{level}``, node table ``nodes``.
+
+    With ``trees``, that many bagged trees a bucket, numbered bucket x trees + tree.
+    """
     k = range(len(features))
     shares = "[" + ", ".join(f"{i / bins!r}" for i in range(1, bins)) + "]"
-    out = [f"base AS (SELECT row_number() OVER () AS rid, {buckets} AS bucket, base_passenger_fare AS y, "
+    xs = ", ".join(f"x{i}" for i in k)
+    out = [f"base AS (SELECT row_number() OVER () AS rid, trip_id, {buckets} AS bucket, base_passenger_fare AS y, "
            + ", ".join(f"CAST({c} AS DOUBLE) AS x{i}" for i, c in enumerate(features)) + f" FROM tr WHERE {where})"]
     out.append("e AS (" + " UNION ALL ".join(
         f"SELECT {i} AS f, row_number() OVER (ORDER BY cut) - 1 AS bin, cut FROM "
         f"(SELECT DISTINCT unnest(quantile_disc(x{i}, {shares})) AS cut FROM base)" for i in k) + ")")
-    out.append("n0 AS (SELECT rid, bucket, y, 1 AS node, "
-               + ", ".join(f"(SELECT count(*) FROM e WHERE e.f = {i} AND e.cut < x{i}) AS b{i}" for i in k) + " FROM base)")
+    if trees:
+        out.append(f"bag AS (SELECT rid * {trees} + t AS rid, bucket * {trees} + t AS bucket, w, y, {xs} FROM ({_bag_sql(trees)}))")
+    else:
+        out.append(f"bag AS (SELECT rid, bucket, 1 AS w, y, {xs} FROM base)")
+    out.append("n0 AS (SELECT rid, bucket, w, y, 1 AS node, "
+               + ", ".join(f"(SELECT count(*) FROM e WHERE e.f = {i} AND e.cut < x{i}) AS b{i}" for i in k) + " FROM bag WHERE w > 0)")
     tables = []
     for d in range(depth + 1):
-        total = f"SELECT bucket, node, {d} AS level, count(*) AS n, sum(y) AS s FROM n{d} GROUP BY bucket, node"
+        total = f"SELECT bucket, node, {d} AS level, sum(w) AS n, sum(w * y) AS s FROM n{d} GROUP BY bucket, node"
         if d == depth:
             tables.append(f"SELECT *, NULL AS f, NULL AS bin, NULL AS gain FROM ({total})")
             break
         out.append(f"h{d} AS (" + " UNION ALL ".join(
-            f"SELECT bucket, node, {i} AS f, b{i} AS bin, count(*) AS hn, sum(y) AS hs FROM n{d} GROUP BY bucket, node, b{i}" for i in k) + ")")
+            f"SELECT bucket, node, {i} AS f, b{i} AS bin, CAST(sum(w) AS BIGINT) AS hn, sum(w * y) AS hs FROM n{d} GROUP BY bucket, node, b{i}" for i in k) + ")")
         out.append(f"c{d} AS (SELECT *, sum(hn) OVER o AS nl, sum(hs) OVER o AS sl, sum(hn) OVER p AS n, sum(hs) OVER p AS s FROM h{d} "
                    "WINDOW o AS (PARTITION BY bucket, node, f ORDER BY bin), p AS (PARTITION BY bucket, node, f))")
         out.append(f"g{d} AS (SELECT *, sl * sl / nl + (s - sl) * (s - sl) / (n - nl) - s * s / n AS gain FROM c{d} WHERE nl > 0 AND n - nl > 0)")
@@ -1130,7 +1171,7 @@ def _tree_sql(features: list[str], depth: int, buckets: str, bins: int = 32, whe
         out.append(f"s{d} AS (SELECT bucket, node, f, bin, gain FROM t{d} WHERE top > {lm.MIN_GAIN!r} AND gain >= top - {lm.GAIN_TIE!r} * abs(top) "
                    "QUALIFY row_number() OVER (PARTITION BY bucket, node ORDER BY f, bin) = 1)")
         case = "CASE s.f " + " ".join(f"WHEN {i} THEN b{i}" for i in k) + " END"
-        out.append(f"n{d + 1} AS (SELECT rid, n.bucket, y, 2 * n.node + CASE WHEN {case} > s.bin THEN 1 ELSE 0 END AS node, "
+        out.append(f"n{d + 1} AS (SELECT rid, n.bucket, w, y, 2 * n.node + CASE WHEN {case} > s.bin THEN 1 ELSE 0 END AS node, "
                    + ", ".join(f"b{i}" for i in k) + f" FROM n{d} n JOIN s{d} s ON n.bucket = s.bucket AND n.node = s.node)")
         tables.append(f"SELECT a.*, s.f, s.bin, s.gain FROM ({total}) a LEFT JOIN s{d} s USING (bucket, node)")
     names = "CASE v.f " + " ".join(f"WHEN {i} THEN '{c}'" for i, c in enumerate(features)) + " END"
@@ -1139,6 +1180,17 @@ def _tree_sql(features: list[str], depth: int, buckets: str, bins: int = 32, whe
     return ", ".join(out)
 
 
+def _forest_sql(features: list[str], n_buckets: int, n_trees: int, depth: int) -> str:
+    """``_tree_sql`` and the forests' importances: ``forest`` (bucket, feature, importance, selected)."""
+    return (f"{_tree_sql(features, depth, _bucket_sql(n_buckets), trees=n_trees)}, "
+            "gains AS (SELECT bucket AS tree, f, sum(gain) AS gain FROM nodes WHERE f IS NOT NULL GROUP BY ALL), "
+            f"shares AS (SELECT tree // {n_trees} AS bucket, f, gain / sum(gain) OVER (PARTITION BY tree) AS share FROM gains), "
+            f"means AS (SELECT bucket, f, sum(share) / {n_trees} AS importance FROM shares GROUP BY ALL), "
+            f"domain AS (SELECT * FROM (SELECT DISTINCT bucket FROM means), (VALUES {', '.join(f'({i}, {c!r})' for i, c in enumerate(features))}) AS v(f, feature)), "
+            f"forest AS (SELECT bucket, feature, coalesce(importance, 0) AS importance, coalesce(importance, 0) >= "
+            f"sum(importance) OVER (PARTITION BY bucket) / {len(features)} AS selected FROM domain LEFT JOIN means USING (bucket, f))")
+
+
 def _tree_nodes_sql(cte: str) -> str:
     return (f"{cte} SELECT CAST(bucket AS BIGINT) AS bucket, CAST(node AS BIGINT) AS node, CAST(level AS BIGINT) AS level, CAST(n AS DOUBLE) AS n, "
             "round(value + 1e-9, 6) AS value, feature_name, round(threshold, 6) AS threshold, round(gain + 1e-6, 4) AS gain FROM nodes")
@@ -1157,6 +1209,15 @@ def _tree_predictions_sql(features: list[str], depth: int, buckets: int) -> str:
             "SELECT count(*) AS n, round(sqrt(avg((y - p) * (y - p))), 6) AS rmse FROM m")
 
 
+# trips with fare parts, context, snow and traffic, as ``tr``
+_IN_CONTEXT = ("hourly_numTrips", "daily_numTrips", "isWeekend", "isOvernight", "isRushhour", "d_base_fare_per_mile", "d_base_fare_per_min", "h_base_fare_per_mile",
+               "h_base_fare_per_min", "hourly_mean_speed", "tmax_f", "tmin_f", "prcp_mm", "TMAXExtremity", "TMINExtremity", *ad.TRANSIT_MODES, "pt_taxi_ratio")
+VOTE_ROWS = (LI_CTX.replace(TRIPS_LI, TRIPS_LI.replace(" FROM lineitem", ", " + ", ".join(ad.FARE_PARTS_EXPRS) + " FROM lineitem"))
+             + f", sn AS (SELECT CAST(o_orderdate AS DATE) AS pickupdate, {', '.join(ad.SNOW_TRAFFIC_EXPRS)} FROM orders GROUP BY 1), tr AS (SELECT c.trip_id, c.base_passenger_fare, "
+             + ", ".join("c.trip_miles * 1609.35 AS trip_meters" if x == "trip_meters" else f"x.{x}" if x in _IN_CONTEXT else f"sn.{x}" if x in SNOW_TRAFFIC else f"c.{x}"
+                         for x in VOTE_FEATURES)
+             + " FROM c JOIN sn USING (pickupdate) JOIN ctx x ON c.pickupdate = x.pickupdate AND c.pickuphour = x.pickuphour)")
+
 _NO_GAPS = "trip_id % 7 <> 0 AND trip_id % 11 <> 0"
 _BEATS = ("SELECT '{0}' AS model, (SELECT count(*) FROM tr) AS n_train, (SELECT count(*) FROM te) AS n_test, TRUE AS beats_mean")
 
@@ -1258,6 +1319,11 @@ ORACLE.update({
     "local_tree_models": _tree_nodes_sql(f"{EV_FARE}, {_tree_sql(feat.LOCAL_FEATURES, 5, _bucket_sql(16))}"),
     "local_tree_gaps": _tree_nodes_sql(f"{EV_FARE}, {_tree_sql(feat.LOCAL_FEATURES, 3, _bucket_sql(4), where=_NO_GAPS)}"),
     "local_tree_predictions": _tree_predictions_sql(feat.LOCAL_FEATURES, 5, 16),
+    "forest_importances": f"{EV_FARE}, {_forest_sql(feat.LOCAL_FEATURES, 2, 6, 4)} SELECT CAST(bucket AS BIGINT) AS bucket, feature, "
+                          "round(importance, 6) AS importance, selected FROM forest",
+    "feature_votes_small": f"{VOTE_ROWS}, {_forest_sql(VOTE_FEATURES, SMALL_FOREST['n_buckets'], SMALL_FOREST['n_trees'], SMALL_FOREST['depth'])} "
+                           f"SELECT feature, CAST(coalesce(votes, 0) AS BIGINT) AS votes FROM (SELECT unnest([{', '.join(repr(x) for x in VOTE_DOMAIN)}]) AS feature) "
+                           "LEFT JOIN (SELECT feature, count(*) AS votes FROM forest WHERE selected GROUP BY feature) USING (feature)",
     "local_lr_gaps": f"{EV_FARE}, {_LR_COEF.replace('FROM tr GROUP', f'FROM tr WHERE {_NO_GAPS} GROUP')} SELECT CAST(bucket AS BIGINT) AS bucket, "
                      "'intercept' AS term, round(b0, 6) AS coef FROM coef UNION ALL SELECT bucket, 'trip_meters', round(b1, 6) FROM coef "
                      "UNION ALL SELECT bucket, 'trip_time', round(b2, 6) FROM coef",
@@ -1327,6 +1393,8 @@ QUERIES_C = {
     "local_lr_gaps": q_local_lr_gaps,
     "global_lr_pair": q_global_lr_pair,
     "feature_votes": q_feature_votes,
+    "feature_votes_small": q_feature_votes_small,
+    "forest_importances": q_forest_importances,
     "weekly_lags": q_weekly_lags,
     "forecast_naive": _forecast("seasonal_naive"),
     "forecast_ar": _forecast("ar1_seasonal_diff"),

@@ -5,15 +5,16 @@ Rows with a null or NaN label or feature are left out of every fit (listwise).
 * Linear models: one ``groupBy(bucket)`` of cross-product sums (normal
   equations), solved per bucket on the already-aggregated rows.
 * Regression trees grow level by level, all buckets together. Features are cut
-  at quantiles. A level is one job: each task walks its rows down the splits
-  found so far (one array lookup per level) and adds them to histograms of the
-  nodes it meets; the histograms, not rows, are shuffled and summed per node,
-  and the best split of each node comes back, groups x 2^level rows at most.
-  A split tells its children's totals, so leaves need no pass of their own.
-* Forests weight a row's bootstrap copies inside the task, by a hash of row key
-  and tree; copies are never rows.
-* Scoring ships the splits (groups x 2^(depth+1), a bound set by parameters)
-  and walks rows in Arrow batches.
+  at quantiles, from mergeable summaries. A level is one job: each task walks
+  its rows down the splits found so far (one array lookup per level) and adds
+  them to histograms of the nodes it meets; the histograms, not rows, are
+  shuffled and summed in stages of bounded groups, and the best split of each
+  node comes back, groups x 2^level rows at most. A split tells its children's
+  totals, so leaves need no pass of their own.
+* Forests weight a row's bootstrap copies: a byte per tree beside the row, from
+  an MD5 of row key and tree, so any engine draws the same; copies are never rows.
+* Scoring broadcasts the splits (groups x 2^(depth+1), a bound set by
+  parameters) and walks all trees at once in Arrow batches.
 """
 
 from __future__ import annotations
@@ -23,27 +24,35 @@ import math
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from ..operators.features import with_bucket
 from ..session import local_table, materialize
+from .quantiles import quantile_edges
+from .staged_merge import FAN_IN, merge_in_stages, task_count
 
 MIN_GAIN = 1e-9
 # Of splits whose gains differ by less than this share, the first feature and bin wins: sums in another order change nothing.
 GAIN_TIE = 1e-9
-QUANTILE_ACCURACY = 1_000_000
 # Cells of histograms that a task holds before it hands them on.
 HISTOGRAM_CELLS = 4_000_000
 NODES_A_GROUP = 256
+# Bytes of histograms that are added up in one group.
+GROUP_BYTES = 64 << 20
+# Rows x trees that are walked at once.
+WALK_CELLS = 1 << 20
 
 
 def complete_rows(df: DataFrame, cols: list[str]) -> DataFrame:
-    """Rows without a null or NaN in ``cols``."""
+    """Rows without a null or NaN in ``cols``; only columns of floating types are asked for NaN."""
     keep = F.lit(True)
+    types = dict(df.dtypes)
     for c in cols:
-        keep = keep & F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double"))
+        keep = keep & F.col(c).isNotNull()
+        if types[c] in ("double", "float"):
+            keep = keep & ~F.isnan(c)
     return df.where(keep)
 
 
@@ -118,13 +127,6 @@ def score_lr_ensemble(models: DataFrame, df: DataFrame, out: str = "prediction")
 # regression trees
 # ---------------------------------------------------------------------------
 
-def quantile_edges(df: DataFrame, features: list[str], n_bins: int, accuracy: int = QUANTILE_ACCURACY) -> list[np.ndarray]:
-    """Up to ``n_bins - 1`` rising cut points per feature, values of the data at equal ranks, in one aggregate pass."""
-    shares = F.array(*[F.lit(k / n_bins) for k in range(1, n_bins)])
-    row = df.agg(*[F.percentile_approx(f, shares, accuracy).alias(f"e{i}") for i, f in enumerate(features)]).first()
-    return [np.unique(np.array(row[f"e{i}"] or [], dtype=float)) for i in range(len(features))]
-
-
 class TreeModels:
     """Trees of all groups in arrays by (group, heap node): root 1, children 2n and 2n + 1.
 
@@ -170,44 +172,66 @@ def _walk(bins: np.ndarray, tree: np.ndarray, feature: np.ndarray, split: np.nda
     return node
 
 
-# Fixed rule: Poisson(1) probabilities, summed until a double holds no more of them.
-POISSON1 = np.cumsum([math.exp(-1) / math.factorial(k) for k in range(19)])
+# Fixed rule: Poisson(1) probabilities, summed until a share of 32 bits holds no more of them.
+POISSON1 = np.cumsum([math.exp(-1) / math.factorial(k) for k in range(13)])
+TREES_A_HASH = 4  # 32 of its 128 bits each
+
+
+def bootstrap_hashes(key: str, trees: int) -> Column:
+    """Binary column: 4 bytes per tree, MD5s of ``bootstrap:<number>:<key>`` put together."""
+    text = F.coalesce(F.col(key).cast("string"), F.lit("null"))
+    return F.unhex(F.concat(*[F.md5(F.concat(F.lit(f"bootstrap:{i}:"), text)) for i in range(-(-trees // TREES_A_HASH))]))
+
+
+def poisson_weights(hashes: np.ndarray) -> np.ndarray:
+    """Bootstrap copies, Poisson(1), from unsigned 32-bit hashes."""
+    return np.searchsorted(POISSON1, hashes / 2.0**32, "right").astype(np.uint8)
 
 
-def poisson_weight(key: np.ndarray, tree: int) -> np.ndarray:
-    """Bootstrap copies of each row in a tree: Poisson(1), from a hash of key and tree."""
-    x = key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64((tree + 1) * 0xBF58476D1CE4E5B9 % 2**64)
-    for shift, mult in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
-        x = (x ^ (x >> np.uint64(shift))) * np.uint64(mult)
-    x ^= x >> np.uint64(31)
-    return np.searchsorted(POISSON1, (x >> np.uint64(11)).astype(float) / 2.0**53, "right")
+def _with_weights(rows: DataFrame, trees: int) -> DataFrame:
+    """Hashes in column ``w`` become a byte of copies per tree."""
+    at = rows.columns.index("w")
 
+    def run(batches):
+        for b in batches:
+            hashes = np.frombuffer(b"".join(x.as_buffer() for x in b.column(at)), ">u4").reshape(b.num_rows, -1)[:, :trees]
+            yield b.set_column(at, "w", pa.array([x.tobytes() for x in poisson_weights(hashes)], pa.binary()))
+
+    return rows.mapInArrow(run, rows.schema)
 
-def _level_histograms(models: TreeModels, level: int, trees: int, cells: int):
-    """mapInArrow function over (group index, key, y, x0..): (slot, histogram) of the nodes at ``level``.
 
-    A slot is group index x 2^level + place in the level.
+def _level_histograms(spark: SparkSession, models: TreeModels, level: int, trees: int, cells: int):
+    """mapInArrow function over (group index, weights, y, x0..): (slot, part, histogram) of the nodes at ``level``.
+
+    A slot is group index x 2^level + place in the level, a part the task.
     """
-    feature, split, edges = models.feature, models.bin, models.edges
+    edges = models.edges
     n_features, n_bins = len(edges), max((len(e) for e in edges), default=0) + 1
     width = n_features * n_bins
-    out = pa.schema([("slot", pa.int64()), ("histogram", pa.binary())])
+    out = pa.schema([("slot", pa.int64()), ("part", pa.int64()), ("histogram", pa.binary())])
+    sent = spark.sparkContext.broadcast((models.feature, models.bin))
 
     def run(batches):
+        from pyspark import TaskContext
+
         held: dict[int, np.ndarray] = {}
+        feature, split = sent.value
+        part = TaskContext.get().partitionId()
 
         def hand_on():
             slots = sorted(held)
-            rows = pa.record_batch([pa.array(slots, pa.int64()), pa.array([held[s].tobytes() for s in slots], pa.binary())], schema=out)
+            rows = pa.record_batch([pa.array(slots, pa.int64()), pa.array([part] * len(slots), pa.int64()),
+                                    pa.array([held[s].tobytes() for s in slots], pa.binary())], schema=out)
             held.clear()
             return rows
 
         for b in batches:
-            group, key, y = (b.column(i).to_numpy() for i in range(3))
+            group, y = b.column(0).to_numpy(), b.column(2).to_numpy()
+            weights = np.frombuffer(b"".join(x.as_buffer() for x in b.column(1)), np.uint8).reshape(len(y), -1) if trees else None
             bins = _binned([b.column(3 + i).to_numpy() for i in range(n_features)], edges)
             for t in range(max(trees, 1)):
                 tree = group.astype(np.int64) * max(trees, 1) + t
-                weight = poisson_weight(key, t).astype(float) if trees else np.ones(len(y))
+                weight = weights[:, t].astype(float) if trees else np.ones(len(y))
                 node = _walk(bins, tree, feature, split, level)
                 here = (node >= 1 << level) & (weight > 0)
                 slot, at = np.unique((tree << level | (node - (1 << level)))[here], return_inverse=True)
@@ -220,27 +244,41 @@ def _level_histograms(models: TreeModels, level: int, trees: int, cells: int):
                     total[0, :, f] = np.bincount(cell, w, len(slot) * n_bins).reshape(-1, n_bins)
                     total[1, :, f] = np.bincount(cell, wy, len(slot) * n_bins).reshape(-1, n_bins)
                 for i, s in enumerate(slot.tolist()):
-                    part = total[:, i]
-                    held[s] = held[s] + part if s in held else part.copy()
+                    add = total[:, i]
+                    held[s] = held[s] + add if s in held else add.copy()
                 if len(held) * width * 2 > cells:
                     yield hand_on()
         if held:
             yield hand_on()
 
-    return run
+    return run, sent
+
+
+def _slot_sums(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Slots and their histograms' sums, rows in the given order within a slot."""
+    slots = table.column("slot").to_numpy()
+    order = np.argsort(slots, kind="stable")
+    data, slots = table.column("histogram").to_pylist(), slots[order]
+    first = np.flatnonzero(np.concatenate([[True], slots[1:] != slots[:-1]]))
+    return slots[first], np.add.reduceat(np.stack([np.frombuffer(data[i]) for i in order]), first, axis=0)
+
+
+def _merge_histograms(dealt: int):
+    """Merge function of ``merge_in_stages`` over slots dealt into so many groups."""
+
+    def merge(table: pa.Table) -> pa.Table:
+        slots, h = _slot_sums(table)
+        return pa.table([pa.array(slots), pa.array([x.tobytes() for x in h], pa.binary()), pa.array(slots % dealt)], ["slot", "histogram", "deal"])
+
+    return merge
 
 
 def _best_splits(n_features: int, n_bins: int, min_gain: float):
     """applyInArrow function: sum the histograms of each slot and choose its split."""
 
     def run(table):
-        slots = table.column("slot").to_numpy()
-        data = table.column("histogram").to_pylist()
-        order = sorted(range(len(slots)), key=lambda i: (slots[i], data[i]))  # one order, so one sum
-        slots = slots[order]
-        h = np.stack([np.frombuffer(data[i]) for i in order]).reshape(len(order), 2, n_features, n_bins)
-        first = np.flatnonzero(np.concatenate([[True], slots[1:] != slots[:-1]]))
-        h, slots = np.add.reduceat(h, first, axis=0), slots[first]
+        slots, h = _slot_sums(table.sort_by("part"))
+        h = h.reshape(len(slots), 2, n_features, n_bins)
         left_n, left_s = np.cumsum(h[:, 0], axis=2), np.cumsum(h[:, 1], axis=2)
         n, s = left_n[:, :1, -1:], left_s[:, :1, -1:]
         with np.errstate(divide="ignore", invalid="ignore"):
@@ -267,22 +305,28 @@ def fit_trees(df: DataFrame, features: list[str], label: str, depth: int = 5, n_
     """
     features = list(features)
     spark = df.sparkSession
-    row_key = F.xxhash64(F.col(key)) if key else F.lit(0).cast("bigint")
+    copies = bootstrap_hashes(key, trees) if trees else F.lit(b"")
     rows = complete_rows(df, [label, *features]).where(F.col(group).isNotNull()).select(
-        F.col(group).cast("int").alias("g"), row_key.alias("k"), F.col(label).cast("double").alias("y"),
+        F.col(group).cast("int").alias("g"), copies.alias("w"), F.col(label).cast("double").alias("y"),
         *[F.col(f).cast("double").alias(f"x{i}") for i, f in enumerate(features)])
     xs = [f"x{i}" for i in range(len(features))]
     tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    rows = materialize(rows.repartitionByRange(tasks, "g", F.xxhash64("k", "y", *xs)))
+    rows = rows.repartitionByRange(tasks, "g", F.xxhash64("w", "y", *xs))
+    rows = materialize(_with_weights(rows, trees) if trees else rows)
     edges = quantile_edges(rows, xs, n_bins)
     models = TreeModels(list(range(groups * max(trees, 1))), features, edges, depth, group)
-    width = max((len(e) for e in edges), default=0) + 1
+    width, parts = max((len(e) for e in edges), default=0) + 1, task_count(rows)
+    node_bytes = 16 * len(features) * width * min(parts, FAN_IN)
+    a_group = max(1, min(NODES_A_GROUP, GROUP_BYTES // max(1, node_bytes)))
     schema = "slot bigint, n double, s double, feature bigint, bin bigint, gain double, ln double, ls double"
     for level in range(depth):
         slots = len(models.groups) << level
-        part = F.pmod(F.col("slot"), F.lit(max(1, -(-slots // NODES_A_GROUP), min(tasks, slots))))
-        found = (rows.mapInArrow(_level_histograms(models, level, trees, HISTOGRAM_CELLS), "slot bigint, histogram binary")
-                 .groupBy(part.alias("p")).applyInArrow(_best_splits(len(features), width, min_gain), schema).collect())
+        dealt = max(1, -(-slots // a_group), min(tasks, slots))
+        run, sent = _level_histograms(spark, models, level, trees, HISTOGRAM_CELLS)
+        states = rows.mapInArrow(run, "slot bigint, part bigint, histogram binary").withColumn("deal", F.pmod("slot", F.lit(dealt)))
+        states = merge_in_stages(states, ["deal"], parts, _merge_histograms(dealt))
+        found = states.groupBy("deal").applyInArrow(_best_splits(len(features), width, min_gain), schema).collect()
+        sent.unpersist()
         for r in found:
             g, node = r.slot >> level, (1 << level) + (r.slot & ((1 << level) - 1))
             models.n[g, node], models.s[g, node] = r.n, r.s
@@ -307,21 +351,25 @@ def score_tree_ensemble(models: TreeModels, df: DataFrame, out: str = "predictio
     """Mean over the fitted groups of each tree's value for a row, optionally cut off at ``depth``; null where a feature is missing."""
     depth = models.depth if depth is None else depth
     fitted = np.flatnonzero(models.n[:, 1] > 0)
-    feature, split, value = models.feature[fitted], models.bin[fitted], models.value()[fitted]
-    features, edges = models.features, models.edges
+    features, edges, n_trees = models.features, models.edges, len(fitted)
+    sent = df.sparkSession.sparkContext.broadcast((models.feature[fitted], models.bin[fitted], models.value()[fitted]))
     schema = StructType(list(df.schema.fields) + [StructField(out, DoubleType(), True)])
 
     def run(batches):
+        feature, split, value = sent.value
+        step = max(1, WALK_CELLS // max(1, n_trees))
         for b in batches:
             x = [b.column(b.schema.get_field_index(f)).cast(pa.float64()).to_numpy(zero_copy_only=False) for f in features]
             missing = np.zeros(b.num_rows, bool)
             for c in x:
                 missing |= np.isnan(c)
             bins, total = _binned(x, edges), np.zeros(b.num_rows)
-            for g in range(len(fitted)):
-                tree = np.full(b.num_rows, g)
-                total += value[tree, _walk(bins, tree, feature, split, depth)]
-            mean = pa.array(total / max(len(fitted), 1), mask=missing | (len(fitted) == 0))
+            for at in range(0, b.num_rows, step):
+                some = bins[at:at + step]
+                tree = np.tile(np.arange(n_trees), len(some))
+                node = _walk(np.repeat(some, n_trees, axis=0), tree, feature, split, depth)
+                total[at:at + step] = value[tree, node].reshape(len(some), n_trees).sum(axis=1)
+            mean = pa.array(total / max(n_trees, 1), mask=missing | (n_trees == 0))
             yield pa.RecordBatch.from_arrays([*b.columns, mean], [*b.schema.names, out])
 
     return df.mapInArrow(run, schema)
@@ -331,21 +379,27 @@ def score_tree_ensemble(models: TreeModels, df: DataFrame, out: str = "predictio
 # random forest feature votes
 # ---------------------------------------------------------------------------
 
-def select_features(df: DataFrame, features: list[str], label: str, n_buckets: int = 24,
-                    n_trees: int = 100, depth: int = 5, n_bins: int = 32, key: str = "trip_id") -> DataFrame:
-    """Per bucket, a random forest; keep features whose importance >= the mean.
+def forest_importances(df: DataFrame, features: list[str], label: str, n_buckets: int = 24,
+                       n_trees: int = 100, depth: int = 5, n_bins: int = 32, key: str = "trip_id") -> DataFrame:
+    """(bucket, feature, importance, selected) of a random forest per bucket.
 
     A tree's importances are its splits' error drops by feature, summing to 1;
-    a forest's are their mean. Output (bucket, feature, importance).
+    a forest's are their mean. Selected: at least the mean of the bucket's importances.
     """
     models = fit_trees(with_bucket(df, n_buckets, key), features, label, depth, n_bins, "bucket", n_buckets, trees=n_trees, key=key)
     # arrays of trees x nodes, summed by feature, then shared out inside each tree
     drop = np.stack([np.where(models.feature == f, models.gain, 0).sum(axis=1) for f in range(len(features))], axis=1)
     share = drop / np.maximum(drop.sum(axis=1, keepdims=True), 1e-300)
     forest = share.reshape(n_buckets, n_trees, len(features)).mean(axis=1)
-    rows = [(b, features[f], float(forest[b, f])) for b in range(n_buckets) for f in range(len(features))
-            if forest[b].sum() > 0 and forest[b, f] >= forest[b].mean()]
-    return local_table(df.sparkSession, rows, "bucket int, feature string, importance double")
+    rows = [(b, features[f], float(forest[b, f]), bool(forest[b, f] >= forest[b].mean())) for b in range(n_buckets) for f in range(len(features))
+            if forest[b].sum() > 0]
+    return local_table(df.sparkSession, rows, "bucket int, feature string, importance double, selected boolean")
+
+
+def select_features(df: DataFrame, features: list[str], label: str, n_buckets: int = 24,
+                    n_trees: int = 100, depth: int = 5, n_bins: int = 32, key: str = "trip_id") -> DataFrame:
+    """Per bucket, the features whose forest importance is at least the mean: (bucket, feature, importance)."""
+    return forest_importances(df, features, label, n_buckets, n_trees, depth, n_bins, key).where("selected").drop("selected")
 
 
 def feature_votes(selected: DataFrame, domain: list[str]) -> DataFrame:

@@ -44,6 +44,17 @@ TRIPS_LI_EXPRS = [
     "l_extendedprice AS base_passenger_fare",
 ]
 
+# Stand-ins for the parts of a fare, which the tables do not hold.
+FARE_PARTS_EXPRS = [
+    "CAST(l_linenumber % 4 AS DOUBLE) * 6.5 AS tolls",
+    "CAST(l_partkey % 50 AS DOUBLE) / 20 AS bcf",
+    "l_tax * l_extendedprice AS sales_tax",
+    "CAST(CASE WHEN l_partkey % 3 = 0 THEN 2.75 ELSE 0 END AS DOUBLE) AS congestion_surcharge",
+    "CAST(CASE WHEN s_nationkey % 8 = 1 THEN 2.5 ELSE 0 END AS DOUBLE) AS airport_fee",
+    "l_discount * l_extendedprice AS tips",
+    "l_extendedprice * (1 - l_discount) AS driver_pay",
+]
+
 ZONES_EXPRS = [
     "CAST(n_nationkey AS STRING) AS LocationID",
     "r_name AS Borough",
@@ -64,14 +75,16 @@ def trips_ev(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").selectExpr(*TRIPS_EV_EXPRS)
 
 
-def trips_li(spark: SparkSession, sf_dir: str) -> DataFrame:
+def trips_li(spark: SparkSession, sf_dir: str, fare_parts: bool = False) -> DataFrame:
+    """Multi-year trips, on demand with the parts of their fares."""
+    extra = ["l_tax", "l_discount"] if fare_parts else []
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag",
-        "l_shipdate", "l_quantity", "l_extendedprice")
+        "l_shipdate", "l_quantity", "l_extendedprice", *extra)
     sup = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     # supplier grows with the scale factor: broadcast only under the row bound.
     joined = join_small(li, sup, li.l_suppkey == sup.s_suppkey)
-    return joined.selectExpr(*TRIPS_LI_EXPRS)
+    return joined.selectExpr(*TRIPS_LI_EXPRS, *(FARE_PARTS_EXPRS if fare_parts else []))
 
 
 def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -99,6 +112,20 @@ def weather(spark: SparkSession, sf_dir: str, daily: DataFrame | None = None) ->
     return (daily if daily is not None else daily_dimensions(spark, sf_dir)).select("d", "tmax_f", "tmin_f", "prcp_mm")
 
 
+# Daily stand-ins for snow and for bridge and tunnel traffic, from orders grouped by date.
+SNOW_TRAFFIC_EXPRS = [
+    "CAST(sum(o_orderkey) % 40 AS DOUBLE) AS snow_mm",
+    "CAST(sum(o_orderkey) % 90 AS DOUBLE) AS snwd_mm",
+    "CAST(count(*) * 7 + sum(o_custkey) % 13 AS DOUBLE) AS br_tunnel_traffic",
+]
+
+
+def snow_and_traffic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(pickupdate, snow_mm, snwd_mm, br_tunnel_traffic), one row per order date, written once."""
+    o = table(spark, sf_dir, "orders").select(F.to_date("o_orderdate").alias("pickupdate"), "o_orderkey", "o_custkey")
+    return materialize(o.groupBy("pickupdate").agg(*[F.expr(e.rpartition(" AS ")[0]).alias(e.rpartition(" AS ")[2]) for e in SNOW_TRAFFIC_EXPRS]))
+
+
 # Experiment-log stand-in from orders: (model, cores, pct, runtime, runtime_no_overhead).
 EXPLOG_EXPRS = [
     "CASE WHEN o_orderkey % 2 = 0 THEN 'lr' ELSE 'dt' END AS model",

@@ -1,10 +1,16 @@
 """Level-wise Spark trees equal a brute-force greedy tree on a small fixture."""
 
+import hashlib
+import math
+
 import numpy as np
 from pyspark.sql import functions as F
 
 from farelane.operators import features as feat
 from farelane.plans import local_models as lm
+from farelane.plans import quantiles as qt
+from farelane.plans import staged_merge as sm
+from farelane.session import materialize
 from farelane.sources import adapters as ad
 
 FEATS = ["trip_time", "trip_meters", "hour", "isWeekend"]
@@ -61,27 +67,76 @@ def test_trees_match_bruteforce(spark, sf):
             assert (gf, gb) == (f, bn), (b, node)
 
 
+def _copies(keys, tree):
+    """Poisson(1) copies by the plain rule: 8 of an MD5's hex digits as a share, inverted."""
+    out = []
+    for k in keys:
+        digits = hashlib.md5(f"bootstrap:{tree // 4}:{'null' if k is None else k}".encode()).hexdigest()
+        u, n, upto = int(digits[8 * (tree % 4):8 * (tree % 4) + 8], 16) / 2**32, 0, math.exp(-1)
+        while u >= upto and n < 13:
+            n += 1
+            upto += math.exp(-1) / math.factorial(n)
+        out.append(n)
+    return np.array(out)
+
+
 def test_bagged_trees_equal_trees_on_written_copies(spark, sf):
     """Copies weighted inside the task grow the same trees as copies written as rows."""
     tr, _ = feat.train_test_split(feat.fare_features(ad.trips_ev(spark, sf), "hour"))
     tr = feat.with_bucket(tr.withColumn("y", F.round(feat.LABEL)), 2)
     n_trees, depth, bins = 3, 3, 8
     bagged = lm.fit_trees(tr, FEATS, "y", depth, bins, "bucket", 2, trees=n_trees, key="trip_id")
-    pdf = tr.withColumn("k", F.xxhash64("trip_id")).toPandas()
+    pdf = tr.toPandas()
     for b in range(2):
         part = pdf[pdf.bucket == b]
         X = _bins(part, bagged)
         for t in range(n_trees):
-            w = lm.poisson_weight(part.k.to_numpy(), t)
+            w = _copies(part.trip_id, t)
             want = _brute(np.repeat(X, w, axis=0), np.repeat(part.y.to_numpy(dtype=float), w), depth)
             g = b * n_trees + t
             mine = {node: (bagged.n[g, node], bagged.s[g, node]) for node in np.flatnonzero(bagged.n[g] > 0)}
             assert mine == {node: (n, s) for node, (n, s, _, _) in want.items()}
 
 
-def test_poisson_weights_have_mean_and_variance_one():
-    w = np.concatenate([lm.poisson_weight(np.arange(20000) * 1000, t) for t in range(5)]).astype(float)
+def test_copies_have_mean_and_variance_one(spark):
+    """Copies of the library equal the plain ones, and are Poisson(1) and unrelated from tree to tree."""
+    n, trees = 20_000, 6
+    df = spark.range(0, n * 1000, 1000).select(F.col("id").alias("trip_id"))
+    hashes = df.orderBy("trip_id").select(lm.bootstrap_hashes("trip_id", trees).alias("h")).toPandas().h
+    w = lm.poisson_weights(np.frombuffer(b"".join(hashes), ">u4").reshape(n, -1)[:, :trees]).astype(float)
+    for t in range(trees):
+        assert w[:50, t].tolist() == _copies(range(0, 50_000, 1000), t).tolist()
     assert abs(w.mean() - 1) < 0.02 and abs(w.var() - 1) < 0.04 and w.max() >= 6
+    assert np.abs(np.corrcoef(w.T) - np.eye(trees)).max() < 0.03
+
+
+def test_missing_keys_draw_copies_too(spark):
+    df = spark.createDataFrame([(None, float(i), float(i > 5)) for i in range(12)], "trip_id long, x double, y double").withColumn("bucket", F.lit(0))
+    models = lm.fit_trees(df, ["x"], "y", 1, 4, trees=2, key="trip_id")
+    assert models.n[:, 1].tolist() == [12.0 * _copies([None], t)[0] for t in range(2)]
+
+
+def test_histograms_merge_in_stages(spark, sf, monkeypatch):
+    """Many tasks and a small fan-in: several stages, the same tree; no group holds more than the fan-in's states."""
+    tr, _ = feat.train_test_split(feat.fare_features(ad.trips_ev(spark, sf), "hour"))
+    rows = tr.withColumn("bucket", F.lit(0)).withColumn("y", F.round(feat.LABEL))
+    want = lm.fit_trees(rows, FEATS, "y", 3, 16)
+    seen = []
+    real = sm.merge_in_stages
+
+    def counted(states, keys, parts, merge):
+        seen.append(parts)
+        out = real(states, keys, parts, merge, 2)
+        assert out.groupBy(*keys).agg(F.countDistinct("part").alias("n")).agg(F.max("n")).first()[0] <= 2
+        return out
+
+    monkeypatch.setattr(lm, "merge_in_stages", counted)
+    monkeypatch.setattr(qt, "merge_in_stages", counted)
+    monkeypatch.setattr(lm, "materialize", lambda df: materialize(df.repartition(40)))
+    got = lm.fit_trees(rows, FEATS, "y", 3, 16)
+    assert len(seen) == 4 and min(seen) > 4
+    for a in ("n", "s", "feature", "bin"):
+        assert (getattr(got, a) == getattr(want, a)).all(), a
 
 
 def test_rows_with_null_or_nan_are_left_out(spark):
