@@ -606,10 +606,33 @@ def q_local_lr_predictions(spark, sf):
     return _out(gm.rmse(lm.score_lr_ensemble(models, te)), 6)
 
 
-def _global(kind):
-    def q(spark, sf):
-        return _out(gm.global_rmse(_ev_fare(spark, sf), feat.GLOBAL_FEATURES, kind).select("model", "n_train", "n_test", "beats_mean"))
-    return q
+def q_global_lr_rmse(spark, sf):
+    r = gm.global_rmse(_ev_fare(spark, sf), feat.GLOBAL_FEATURES, "lr")
+    return _out(r, 6)
+
+
+def q_global_dt_rmse(spark, sf):
+    return _out(gm.global_rmse(_ev_fare(spark, sf), feat.GLOBAL_FEATURES, "dt"), 6)
+
+
+def q_global_gbt_rmse(spark, sf):
+    """Twenty trees are fitted and scored; SQL follows the first two, so their errors stand here."""
+    r = gm.global_rmse(_ev_fare(spark, sf), feat.GLOBAL_FEATURES, "gbt", stages=(1, 2))
+    return _out(r.select("model", "n_train", "n_test", "mean_rmse", "rmse_1", "rmse_2", "beats_mean"), 6)
+
+
+def q_global_tree_nodes(spark, sf):
+    """The global tree's nodes: rows, mean, split and error drop of each."""
+    n = gm.global_nodes(_ev_fare(spark, sf), feat.GLOBAL_FEATURES, "dt").frame(spark)
+    return _out(n.select("node", "level", "n", F.round("value", 6).alias("value"), "feature_name", F.round("threshold", 6).alias("threshold"),
+                         F.round("gain", 2).alias("gain")), None)
+
+
+def q_global_gbt_stages(spark, sf):
+    """Nodes of the first two boosted trees: the second is grown on what the first leaves over."""
+    n = gm.global_nodes(_ev_fare(spark, sf), feat.GLOBAL_FEATURES, "gbt").frame(spark).where("tree < 2")
+    return _out(n.select(F.col("tree").alias("stage"), "weight", "node", "n", F.round(F.col("s") + 1e-9, 4).alias("residual_sum"), "feature_name",
+                         F.round("threshold", 6).alias("threshold")), None)
 
 
 def q_global_lr_pair(spark, sf):
@@ -1137,10 +1160,22 @@ def _bag_sql(trees: int) -> str:
     return f"SELECT *, {copies} AS w FROM (SELECT *, {u} AS u FROM base, (SELECT unnest(range({trees})) AS t))"
 
 
-def _tree_sql(features: list[str], depth: int, buckets: str, bins: int = 32, where: str = "TRUE", trees: int = 0) -> str:
+def _ml_cuts_sql(x: str, bins: int) -> str:
+    """Spark ML's candidate thresholds of a column of ``base`` with few equal values, from all of up to 10,000 rows.
+
+    Midpoints of neighbouring values: all of them, or for each of ``bins - 1`` equal steps the one whose rank lies nearest.
+    """
+    v = f"(SELECT x, lead(x) OVER w AS nx, upto, lead(upto) OVER w AS nupto, count(*) OVER () AS k, max(upto) OVER () AS total FROM " \
+        f"(SELECT {x} AS x, sum(count(*)) OVER (ORDER BY {x}) AS upto FROM base GROUP BY {x}) WINDOW w AS (ORDER BY x))"
+    return (f"SELECT (x + nx) / 2 AS cut FROM {v} WHERE nx IS NOT NULL AND k <= {bins} UNION "
+            f"SELECT min((x + nx) / 2) AS cut FROM {v}, (SELECT unnest(range(1, {bins})) AS step) "
+            f"WHERE nx IS NOT NULL AND k > {bins} AND upto + nupto > 2 * step * (total / {bins}) GROUP BY step")
+
+
+def _tree_sql(features: list[str], depth: int, buckets: str, bins: int = 32, where: str = "TRUE", trees: int = 0, ml: bool = False) -> str:
     """CTEs that grow trees level by level over ``tr``: cut points ``e``, nodes ``n{level}`` of rows, splits ``s{level}``, node table ``nodes``.
 
-    With ``trees``, that many bagged trees a bucket, numbered bucket x trees + tree.
+    With ``trees``, that many bagged trees a bucket, numbered bucket x trees + tree. With ``ml``, Spark ML's candidate thresholds.
     """
     k = range(len(features))
     shares = "[" + ", ".join(f"{i / bins!r}" for i in range(1, bins)) + "]"
@@ -1149,7 +1184,7 @@ def _tree_sql(features: list[str], depth: int, buckets: str, bins: int = 32, whe
            + ", ".join(f"CAST({c} AS DOUBLE) AS x{i}" for i, c in enumerate(features)) + f" FROM tr WHERE {where})"]
     out.append("e AS (" + " UNION ALL ".join(
         f"SELECT {i} AS f, row_number() OVER (ORDER BY cut) - 1 AS bin, cut FROM "
-        f"(SELECT DISTINCT unnest(quantile_disc(x{i}, {shares})) AS cut FROM base)" for i in k) + ")")
+        + (f"({_ml_cuts_sql(f'x{i}', bins)})" if ml else f"(SELECT DISTINCT unnest(quantile_disc(x{i}, {shares})) AS cut FROM base)") for i in k) + ")")
     if trees:
         out.append(f"bag AS (SELECT rid * {trees} + t AS rid, bucket * {trees} + t AS bucket, w, y, {xs} FROM ({_bag_sql(trees)}))")
     else:
@@ -1196,19 +1231,57 @@ def _tree_nodes_sql(cte: str) -> str:
             "round(value + 1e-9, 6) AS value, feature_name, round(threshold, 6) AS threshold, round(gain + 1e-6, 4) AS gain FROM nodes")
 
 
-def _tree_predictions_sql(features: list[str], depth: int, buckets: int) -> str:
-    """RMSE of the mean over buckets of each test row's leaf."""
-    out = [_tree_sql(features, depth, _bucket_sql(buckets)),
-           "q0 AS (SELECT te.rid, r.bucket, 1 AS node, base_passenger_fare AS y, " + ", ".join(f"CAST({c} AS DOUBLE) AS x{i}" for i, c in enumerate(features))
-           + " FROM (SELECT *, row_number() OVER () AS rid FROM te) te, (SELECT DISTINCT bucket FROM base) r)"]
+def _walk_sql(features: list[str], depth: int, rows: str) -> str:
+    """CTEs q0 .. q{depth}: the node that each of ``rows`` (rid, bucket, y, features) reaches in ``nodes``."""
+    xs = ", ".join(f"x{i}" for i in range(len(features)))
+    out = [f"q0 AS (SELECT rid, bucket, 1 AS node, base_passenger_fare AS y, " + ", ".join(f"CAST({c} AS DOUBLE) AS x{i}" for i, c in enumerate(features)) + f" FROM {rows})"]
     for d in range(depth):
         value = "CASE s.f " + " ".join(f"WHEN {i} THEN x{i}" for i in range(len(features))) + " END"
         out.append(f"q{d + 1} AS (SELECT rid, q.bucket, CASE WHEN s.f IS NULL THEN q.node ELSE 2 * q.node + CASE WHEN {value} > s.threshold THEN 1 ELSE 0 END END "
-                   f"AS node, y, " + ", ".join(f"x{i}" for i in range(len(features))) + f" FROM q{d} q JOIN nodes s ON q.bucket = s.bucket AND q.node = s.node)")
-    return (f"{EV_FARE}, {', '.join(out)}, m AS (SELECT rid, any_value(y) AS y, avg(value) AS p FROM q{depth} q JOIN nodes USING (bucket, node) GROUP BY rid) "
+                   f"AS node, y, {xs} FROM q{d} q JOIN nodes s ON q.bucket = s.bucket AND q.node = s.node)")
+    return ", ".join(out)
+
+
+def _tree_predictions_sql(features: list[str], depth: int, buckets: int) -> str:
+    """RMSE of the mean over buckets of each test row's leaf."""
+    rows = "(SELECT *, row_number() OVER () AS rid FROM te) te, (SELECT DISTINCT bucket FROM base) r"
+    return (f"{EV_FARE}, {_tree_sql(features, depth, _bucket_sql(buckets))}, {_walk_sql(features, depth, rows)}, "
+            f"m AS (SELECT rid, any_value(y) AS y, avg(value) AS p FROM q{depth} q JOIN nodes USING (bucket, node) GROUP BY rid) "
             "SELECT count(*) AS n, round(sqrt(avg((y - p) * (y - p))), 6) AS rmse FROM m")
 
 
+def _global_tree_sql(target: str = "tr") -> str:
+    """The global tree over the training rows of ``target``: a SELECT of ``nodes`` with Spark ML's thresholds."""
+    return _tree_sql(feat.GLOBAL_FEATURES, 5, "0", ml=True).replace("FROM tr ", f"FROM {target} ")
+
+
+# all rows with the value of the first tree, then the rows that it leaves to the second, and the value of that
+_ALL_ROWS = "(SELECT *, trip_id AS rid, 0 AS bucket FROM ff)"
+_STAGE_1 = f"st1 AS (WITH {_global_tree_sql()} SELECT * FROM nodes), v1 AS (WITH nodes AS (SELECT * FROM st1), {_walk_sql(feat.GLOBAL_FEATURES, 5, _ALL_ROWS)} " \
+           "SELECT rid AS trip_id, value AS f1 FROM q5 JOIN nodes USING (bucket, node))"
+_STAGE_2 = (f"{_STAGE_1}, tr2 AS (SELECT tr.* REPLACE (2 * (base_passenger_fare - f1) AS base_passenger_fare) FROM tr JOIN v1 USING (trip_id)), "
+            f"st2 AS (WITH {_global_tree_sql('tr2')} SELECT * FROM nodes), v2 AS (WITH nodes AS (SELECT * FROM st2), "
+            f"{_walk_sql(feat.GLOBAL_FEATURES, 5, _ALL_ROWS)} SELECT rid AS trip_id, value AS f2 FROM q5 JOIN nodes USING (bucket, node))")
+
+
+def _global_sizes_sql(kind: str) -> str:
+    return (f"'{kind}' AS model, (SELECT count(*) FROM tr) AS n_train, count(*) AS n_test, "
+            "round(sqrt(avg(pow(base_passenger_fare - (SELECT avg(base_passenger_fare) FROM tr), 2))), 6) AS mean_rmse")
+
+
+def _global_lr_sql(features: list[str]) -> str:
+    """RMSE of least squares on all features: columns are made orthogonal one by one over the training rows, the label follows each."""
+    k, y = len(features), len(features)
+    cols = [*features, "base_passenger_fare"]
+    out = ["o0 AS (SELECT trip_id, t, " + ", ".join(f"c{i} - avg(c{i}) FILTER (WHERE t) OVER () AS c{i}" for i in range(k + 1)) + " FROM (SELECT trip_id, "
+           f"{SPLIT_SQL} < 0.7 AS t, " + ", ".join(f"CAST({c} AS DOUBLE) AS c{i}" for i, c in enumerate(cols)) + " FROM ff))"]
+    for i in range(k):
+        rest = ", ".join(f"c{j}" if j <= i else f"c{j} - c{i} * coalesce(sum(c{i} * c{j}) FILTER (WHERE t) OVER () / nullif(sum(c{i} * c{i}) FILTER (WHERE t) OVER (), 0), 0) "
+                         f"AS c{j}" for j in range(k + 1))
+        out.append(f"o{i + 1} AS (SELECT trip_id, t, {rest} FROM o{i})")
+    return ", ".join(out) + f", residual AS (SELECT trip_id, c{y} AS e FROM o{k} WHERE NOT t)"
+
+
 # trips with fare parts, context, snow and traffic, as ``tr``
 _IN_CONTEXT = ("hourly_numTrips", "daily_numTrips", "isWeekend", "isOvernight", "isRushhour", "d_base_fare_per_mile", "d_base_fare_per_min", "h_base_fare_per_mile",
                "h_base_fare_per_min", "hourly_mean_speed", "tmax_f", "tmin_f", "prcp_mm", "TMAXExtremity", "TMINExtremity", *ad.TRANSIT_MODES, "pt_taxi_ratio")
@@ -1219,8 +1292,6 @@ VOTE_ROWS = (LI_CTX.replace(TRIPS_LI, TRIPS_LI.replace(" FROM lineitem", ", " +
              + " FROM c JOIN sn USING (pickupdate) JOIN ctx x ON c.pickupdate = x.pickupdate AND c.pickuphour = x.pickuphour)")
 
 _NO_GAPS = "trip_id % 7 <> 0 AND trip_id % 11 <> 0"
-_BEATS = ("SELECT '{0}' AS model, (SELECT count(*) FROM tr) AS n_train, (SELECT count(*) FROM te) AS n_test, TRUE AS beats_mean")
-
 LI_LAGS = (f"WITH {TRIPS_LI}, wc AS (SELECT PULocationID AS series, CAST(date_trunc('week', pickup_datetime) AS DATE) "
            f"AS week, count(*) AS n FROM trips_li GROUP BY ALL), "
            f"span AS (SELECT series, min(week) AS w0, max(week) AS w1 FROM wc GROUP BY series), "
@@ -1327,7 +1398,18 @@ ORACLE.update({
     "local_lr_gaps": f"{EV_FARE}, {_LR_COEF.replace('FROM tr GROUP', f'FROM tr WHERE {_NO_GAPS} GROUP')} SELECT CAST(bucket AS BIGINT) AS bucket, "
                      "'intercept' AS term, round(b0, 6) AS coef FROM coef UNION ALL SELECT bucket, 'trip_meters', round(b1, 6) FROM coef "
                      "UNION ALL SELECT bucket, 'trip_time', round(b2, 6) FROM coef",
-    **{f"global_{k}_rmse": f"{EV_FARE} {_BEATS.format(k)}" for k in ("lr", "dt", "gbt")},
+    "global_lr_rmse": f"{EV_FARE}, {_global_lr_sql(feat.GLOBAL_FEATURES)}, r AS (SELECT {_global_sizes_sql('lr')}, round(sqrt(avg(e * e)), 6) AS rmse "
+                      "FROM te JOIN residual USING (trip_id)) SELECT *, rmse < mean_rmse AS beats_mean FROM r",
+    "global_dt_rmse": f"{EV_FARE}, {_STAGE_1}, r AS (SELECT {_global_sizes_sql('dt')}, round(sqrt(avg(pow(base_passenger_fare - f1, 2))), 6) AS rmse "
+                      "FROM te JOIN v1 USING (trip_id)) SELECT *, rmse < mean_rmse AS beats_mean FROM r",
+    "global_gbt_rmse": f"{EV_FARE}, {_STAGE_2}, r AS (SELECT {_global_sizes_sql('gbt')}, round(sqrt(avg(pow(base_passenger_fare - f1, 2))), 6) AS rmse_1, "
+                       "round(sqrt(avg(pow(base_passenger_fare - f1 - 0.1 * f2, 2))), 6) AS rmse_2 FROM te JOIN v1 USING (trip_id) JOIN v2 USING (trip_id)) "
+                       "SELECT *, rmse_2 < mean_rmse AS beats_mean FROM r",
+    "global_tree_nodes": f"{EV_FARE}, {_STAGE_1} SELECT CAST(node AS BIGINT) AS node, CAST(level AS BIGINT) AS level, CAST(n AS DOUBLE) AS n, round(value, 6) AS value, "
+                         "feature_name, round(threshold, 6) AS threshold, round(gain, 2) AS gain FROM st1",
+    "global_gbt_stages": f"{EV_FARE}, {_STAGE_2} " + " UNION ALL ".join(
+        f"SELECT CAST({i} AS BIGINT) AS stage, {w}::DOUBLE AS weight, CAST(node AS BIGINT) AS node, CAST(n AS DOUBLE) AS n, round(s + 1e-9, 4) AS residual_sum, feature_name, "
+        f"round(threshold, 6) AS threshold FROM st{i + 1}" for i, w in ((0, 1.0), (1, 0.1))),
     "global_lr_pair": f"{EV_FARE}, {_LR_COEF.replace(_bucket_sql(16), '0')} SELECT count(*) AS n, round(sqrt(avg(pow(base_passenger_fare - "
                       "(b0 + trip_meters * b1 + trip_time * b2), 2))), 6) AS rmse FROM te, coef",
     "weekly_lags": f"{LI_LAGS} SELECT * FROM lg",
@@ -1383,9 +1465,11 @@ QUERIES_C = {
     "rmse": q_rmse,
     "local_lr_models": q_local_lr_models,
     "local_lr_predictions": q_local_lr_predictions,
-    "global_lr_rmse": _global("lr"),
-    "global_dt_rmse": _global("dt"),
-    "global_gbt_rmse": _global("gbt"),
+    "global_lr_rmse": q_global_lr_rmse,
+    "global_dt_rmse": q_global_dt_rmse,
+    "global_gbt_rmse": q_global_gbt_rmse,
+    "global_tree_nodes": q_global_tree_nodes,
+    "global_gbt_stages": q_global_gbt_stages,
     "local_tree_models": q_local_tree_models,
     "local_tree_predictions": q_local_tree_predictions,
     "tree_root_split": q_tree_root_split,

@@ -347,12 +347,16 @@ def fit_local_trees(train: DataFrame, features: list[str], label: str, n_buckets
     return fit_trees(with_bucket(train, n_buckets, key), features, label, depth, n_bins, "bucket", n_buckets)
 
 
-def score_tree_ensemble(models: TreeModels, df: DataFrame, out: str = "prediction", depth: int | None = None) -> DataFrame:
-    """Mean over the fitted groups of each tree's value for a row, optionally cut off at ``depth``; null where a feature is missing."""
+def score_tree_ensemble(models: TreeModels, df: DataFrame, out: str = "prediction", depth: int | None = None, weights: np.ndarray | None = None) -> DataFrame:
+    """Mean over the fitted groups of each tree's value for a row, optionally cut off at ``depth``; null where a feature is missing.
+
+    With ``weights``, one per group, their weighted sum in place of the mean.
+    """
     depth = models.depth if depth is None else depth
     fitted = np.flatnonzero(models.n[:, 1] > 0)
     features, edges, n_trees = models.features, models.edges, len(fitted)
-    sent = df.sparkSession.sparkContext.broadcast((models.feature[fitted], models.bin[fitted], models.value()[fitted]))
+    value = models.value()[fitted] * (1 / max(n_trees, 1) if weights is None else weights[fitted, None])
+    sent = df.sparkSession.sparkContext.broadcast((models.feature[fitted], models.bin[fitted], value))
     schema = StructType(list(df.schema.fields) + [StructField(out, DoubleType(), True)])
 
     def run(batches):
@@ -369,8 +373,8 @@ def score_tree_ensemble(models: TreeModels, df: DataFrame, out: str = "predictio
                 tree = np.tile(np.arange(n_trees), len(some))
                 node = _walk(np.repeat(some, n_trees, axis=0), tree, feature, split, depth)
                 total[at:at + step] = value[tree, node].reshape(len(some), n_trees).sum(axis=1)
-            mean = pa.array(total / max(n_trees, 1), mask=missing | (n_trees == 0))
-            yield pa.RecordBatch.from_arrays([*b.columns, mean], [*b.schema.names, out])
+            total = pa.array(total, mask=missing | (n_trees == 0))
+            yield pa.RecordBatch.from_arrays([*b.columns, total], [*b.schema.names, out])
 
     return df.mapInArrow(run, schema)
 

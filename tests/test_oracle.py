@@ -6,16 +6,20 @@ import __spark_entry__ as E
 from tests.oracle_check import compare, duck
 
 KEYS = sorted(E.oracle_sql())
+SF_LARGER = "/root/testdata/sf0.01"
+# Nodes of a handful of rows tie exactly between features, and which one Spark ML then takes is rounding: these need the larger tables.
+LARGER = {"global_dt_rmse", "global_tree_nodes", "global_gbt_rmse", "global_gbt_stages"}
 
 
 @pytest.fixture(scope="module")
 def con(sf):
-    return duck(sf)
+    return {d: duck(d) for d in (sf, SF_LARGER)}
 
 
 @pytest.mark.parametrize("key", KEYS)
 def test_query_matches_oracle(spark, con, sf, key):
-    r = compare(spark, con, key, sf)
+    sf = SF_LARGER if key in LARGER else sf
+    r = compare(spark, con[sf], key, sf)
     assert r["status"] == "ok", r
 
 

@@ -23,7 +23,7 @@ print("RESULT" + json.dumps(out))
 
 def test_model_queries_run_in_a_plain_session():
     keys = ["local_tree_models", "local_tree_predictions", "tree_root_split", "local_tree_gaps", "local_lr_gaps", "feature_votes",
-            "global_gbt_rmse", "correlation_matrix_wide", "context_features", "train_test_split"]
+            "global_lr_rmse", "feature_votes_small", "correlation_matrix_wide", "context_features", "train_test_split"]
     env = os.environ | {"PYTHONPATH": os.pathsep.join([ROOT, *filter(None, sys.path)])}  # whatever this process can import
     p = subprocess.run([sys.executable, "-c", CODE, SF_SMALL, ",".join(keys)], cwd=ROOT, env=env, capture_output=True, text=True, timeout=600)
     assert "RESULT" in p.stdout, p.stderr[-2000:]
