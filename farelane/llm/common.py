@@ -47,3 +47,26 @@ def once(c: Column) -> Column:
     column that a lambda reads would then be computed again for each element.
     """
     return F.when(F.monotonically_increasing_id() >= 0, c)
+
+
+def running(values: str, op: str) -> str:
+    """SQL: the running results of ``op`` (``+`` or ``greatest``) over a BIGINT array, in blocks of about the root of its length.
+
+    Appending to an array copies it; blocks keep what is copied short, so n values cost little more than n steps.
+    """
+    def join(a: str, b: str) -> str:
+        return f"{a} + {b}" if op == "+" else f"{op}({a}, {b})"
+
+    grow = f"(a, v) -> IF(size(a) = 0, array(v), array_append(a, {join('a[size(a) - 1]', 'v')}))"
+    none = "CAST(array() AS ARRAY<BIGINT>)"
+    blocks = "transform(sequence(0, (size(r_all) - 1) div r_w), r_b -> slice(r_all, r_b * r_w + 1, r_w))"
+    local = f"transform({blocks}, r_x -> aggregate(r_x, {none}, {grow}))"
+    upto = f"aggregate(r_local, {none}, (a, x) -> IF(size(a) = 0, array(x[size(x) - 1]), array_append(a, {join('a[size(a) - 1]', 'x[size(x) - 1]')})))"
+    whole = f"flatten(transform(r_local, (x, i) -> IF(i = 0, x, transform(x, v -> {join('r_upto[greatest(i - 1, 0)]', 'v')}))))"
+    named = let(local, "r_local", let(upto, "r_upto", whole))
+    return let(values, "r_all", f"IF(size(r_all) = 0, r_all, {let('CAST(ceil(sqrt(size(r_all))) AS INT)', 'r_w', named)})")
+
+
+def let(value: str, name: str, body: str) -> str:
+    """SQL: ``body`` with ``value``, computed once, under a name."""
+    return f"transform(array({value}), {name} -> {body})[0]"

@@ -83,15 +83,18 @@ def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min
         "hashes": F.expr(hashes), "n_words": F.size("words").cast("bigint"),
         "word_chars": F.length(F.array_join("words", "")).cast("bigint"),
         "n_symbols": F.regexp_count("text", F.lit(r"[#*$%&|<>]")).cast("bigint"),
-        "full_lines": F.expr(f"filter(lines, l -> l RLIKE r'{WORD_PATTERN}')")})
+        # each line is judged once: does it hold a word, and does it then fail
+        "judged": F.expr(f"transform(lines, l -> IF(l RLIKE r'{WORD_PATTERN}', struct(l AS l, true AS word, ({_line_fails(symbol_share)}) AS bad), "
+                         "struct(l AS l, false AS word, false AS bad)))")})
+    df = df.withColumn("full_lines", F.expr("transform(filter(judged, x -> x.word), x -> x.l)"))
     df = df.withColumns({
         "n_repeat_words": F.expr(repeated),
         "n_dup_lines": (F.size("full_lines") - F.size(F.array_distinct("full_lines"))).cast("bigint"),
-        "failed": F.expr(f"filter(full_lines, l -> {_line_fails(symbol_share)})")})
+        "failed": F.expr("transform(filter(judged, x -> x.bad), x -> x.l)")})
     df = df.withColumns({
         "base_failed": (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > max_repeat_percent * F.col("n_words")),
         "lost_chars": F.expr(f"aggregate(failed, 0L, (a, l) -> a + {letters})"),
-        "clean_text": F.expr("IF(size(failed) = 0, text, array_join(filter(lines, l -> NOT array_contains(failed, l)), '\n'))")})
+        "clean_text": F.expr("IF(size(failed) = 0, text, array_join(transform(filter(judged, x -> NOT x.bad), x -> x.l), '\n'))")})
     return df.select("doc_id", *kept_row, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
                      F.size("full_lines").cast("bigint").alias("n_lines"), F.size("failed").cast("bigint").alias("n_failed_lines"),
                      "lost_chars", "clean_text",

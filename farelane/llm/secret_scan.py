@@ -26,7 +26,7 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from farelane.llm.common import col, pieces_for, table, whole_text
+from farelane.llm.common import col, let, pieces_for, running, table, whole_text
 
 # The patterns, what each must reach, and their order. \x22 and \x27 are the quotes.
 KINDS = ("assign", "access", "hex", "markov")
@@ -48,24 +48,29 @@ UNIFORM_RANDOM, UNIFORM_ORDINARY = 0.5, 0.02
 MIN_TOTAL, MIN_EACH = 10.0, 0.4
 
 
-NO_SPANS = "CAST(array() AS ARRAY<STRUCT<s: INT, k: INT, e: INT>>)"
+NO_SPANS = "CAST(array() AS ARRAY<STRUCT<s: BIGINT, k: INT, e: BIGINT, sb: BIGINT, eb: BIGINT>>)"
 
 
-def _found(pattern: str, kind: int, keep: str = "true") -> str:
-    """SQL: array of (s, k, e) of the pattern's matches in ``text``; ``keep`` may use the match's number ``i`` (``text`` is whole)."""
-    matches, pieces = f"regexp_extract_all(text, r'{pattern}', 0)", f"split(text, r'{pattern}', -1)"
-    step = ("(a, i) -> struct(a.at + length(p[i]) + length(m[i]) AS at, "
-            f"IF({keep}, array_append(a.out, struct(a.at + length(p[i]) AS s, {kind} AS k, a.at + length(p[i]) + length(m[i]) AS e)), a.out) AS out)")
-    none = NO_SPANS
-    body = f"aggregate(sequence(0, size(m) - 1), struct(0 AS at, {none} AS out), {step}, a -> a.out)"
-    # transform over arrays of one element names the matches and the pieces between them; texts without a match stop early
-    return f"transform(array({matches}), m -> IF(size(m) = 0, {none}, transform(array({pieces}), p -> {body})[0]))[0]"
+def _found(pattern: str, kind: int, keep: str | None = None) -> str:
+    """SQL: spans (s, k, e) in code points and (sb, eb) in bytes of the pattern's matches in ``text``.
+
+    Ends are running sums of the lengths of matches and of the pieces between
+    them, so a text costs in proportion to its length. ``keep`` is an array of
+    booleans, one per match, that may read the matches ``m``.
+    """
+    ends = lambda length: running(f"transform(m, (x, i) -> CAST({length}(x) + {length}(p[i]) AS BIGINT))", "+")
+    spans = (f"transform(m, (x, i) -> struct(c[i] - length(x) AS s, {kind} AS k, c[i] AS e, b[i] - octet_length(x) AS sb, b[i] AS eb))")
+    if keep:
+        spans = let(keep, "good", f"filter({spans}, (x, i) -> good[i])")
+    spans = let(f"split(text, r'{pattern}', -1)", "p", let(ends("length"), "c", let(ends("octet_length"), "b", spans)))
+    # texts without a match stop early
+    return let(f"regexp_extract_all(text, r'{pattern}', 0)", "m", f"IF(size(m) = 0, {NO_SPANS}, {spans})")
 
 
 def base_spans() -> dict[str, Column]:
     """Span arrays of the three fixed patterns over column ``text``."""
-    values = f"regexp_extract_all(text, r'{ASSIGN}', 2)"
-    return {"assign": F.expr(_found(ASSIGN, 0, f"length({values}[i]) >= {MIN_VALUE}")), "access": F.expr(f"IF(contains(text, 'AKIA'), {_found(ACCESS, 1)}, {NO_SPANS})"), "hex": F.expr(_found(HEX, 2))}
+    long = f"transform(regexp_extract_all(text, r'{ASSIGN}', 2), v -> length(v) >= {MIN_VALUE})"
+    return {"assign": F.expr(_found(ASSIGN, 0, long)), "access": F.expr(f"IF(contains(text, 'AKIA'), {_found(ACCESS, 1)}, {NO_SPANS})"), "hex": F.expr(_found(HEX, 2))}
 
 
 def _pairs(runs: str) -> str:
@@ -102,15 +107,14 @@ def _markov_spans(model: dict[int, float]) -> Column:
     """Spans of long runs whose ratio says random."""
     table_ = ",".join(f"{model.get(k, 0.0):.6g}" for k in range(16384))
     ratios = f"CAST(split('{table_}', ',') AS ARRAY<DOUBLE>)"  # a constant, folded once
-    codes = "transform(split(m[i], ''), c -> least(ascii(c), 127))"
-    total = (f"aggregate({codes}, struct(-1 AS last, 0D AS sum), (b, c) -> struct(c AS last, "
-             f"b.sum + IF(b.last < 0, 0D, {ratios}[greatest(128 * b.last + c, 0)]) AS sum), b -> b.sum)")
-    keep = f"transform(array({total}), t -> t > {MIN_TOTAL} AND t > {MIN_EACH} * (length(m[i]) - 1))[0]"
-    return F.expr(_found(RUN, 3, keep))
+    codes = "transform(split(x, ''), y -> least(ascii(y), 127))"
+    total = (f"aggregate({codes}, struct(-1 AS last, 0D AS sum), (a, y) -> struct(y AS last, "
+             f"a.sum + IF(a.last < 0, 0D, {ratios}[greatest(128 * a.last + y, 0)]) AS sum), a -> a.sum)")
+    return F.expr(_found(RUN, 3, f"transform(m, x -> {let(total, 't', f't > {MIN_TOTAL} AND t > {MIN_EACH} * (length(x) - 1)')})"))
 
 
 def scan(docs: DataFrame, model: dict[int, float], id_col: str = "doc_id", text_col: str = "text", carry: Column | None = None) -> DataFrame:
-    """(doc_id, text, base, all): spans as arrays of (s, k, e), by start then kind; ``carry`` becomes column ``row``.
+    """(doc_id, text, n_assign, n_access, n_hex, spans, base): spans as arrays of (s, k, e, sb, eb), by start then kind; ``carry`` becomes column ``row``.
 
     A markov span that lies within one of the patterns is left out; one that
     reaches beyond it stays, so that ``redact`` covers the whole run.
@@ -118,10 +122,12 @@ def scan(docs: DataFrame, model: dict[int, float], id_col: str = "doc_id", text_
     extra, kept = ([], []) if carry is None else ([carry.alias("row")], ["row"])
     df = docs.select(col(id_col).alias("doc_id"), whole_text(text_col).alias("text"), *extra)
     df = df.withColumns(base_spans() | {"markov": _markov_spans(model)})
-    df = df.withColumn("base", F.array_sort(F.concat("assign", "access", "hex")))
-    df = df.withColumn("markov", F.expr("filter(markov, c -> NOT exists(base, b -> b.s <= c.s AND c.e <= b.e))"))
-    return df.select("doc_id", *kept, "text", "base", F.size("assign").cast("bigint").alias("n_assign"), F.size("access").cast("bigint").alias("n_access"),
-                     F.size("hex").cast("bigint").alias("n_hex"), F.array_sort(F.concat("base", "markov")).alias("spans"))
+    counts = [F.size(k).cast("bigint").alias(f"n_{k}") for k in KINDS[:3]]
+    df = df.select("doc_id", *kept, "text", *counts, F.array_sort(F.concat(*KINDS)).alias("found"))
+    # the furthest end of a pattern's span that starts no later: a markov span that ends no further lies within it
+    inside = running("transform(found, x -> IF(x.k < 3, x.e, 0L))", "greatest")
+    df = df.withColumn("spans", F.expr(f"IF(size(found) = 0, found, {let(inside, 'r', 'filter(found, (x, i) -> x.k < 3 OR r[i] < x.e)')})"))
+    return df.withColumn("base", F.expr("filter(spans, x -> x.k < 3)")).drop("found")
 
 
 def _listed(name: str) -> Column:
@@ -132,9 +138,13 @@ def _listed(name: str) -> Column:
 def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mark: str = "[SECRET]", train_docs: int = TRAIN_DOCS) -> DataFrame:
     """``docs`` with every span replaced by ``mark`` (overlapping spans by one), all columns kept; ``n_chars`` follows."""
     found = scan(docs, train(docs, id_col, text_col, train_docs), id_col, text_col, carry=F.struct(*[col(c) for c in docs.columns]))
-    step = (f"(a, x) -> IF(x.s >= a.at, struct(x.e AS at, concat(a.out, substring(text, a.at + 1, x.s - a.at), '{mark}') AS out), "
-            "struct(greatest(a.at, x.e) AS at, a.out AS out))")
-    clean = F.expr(f"IF(size(spans) = 0, text, aggregate(spans, struct(0 AS at, '' AS out), {step}, a -> concat(a.out, substring(text, a.at + 1))))")
+    # bytes are cut, as a place among them is found without reading those before; spans that overlap share one mark
+    first = "filter(sequence(0, size(spans) - 1), i -> IF(i = 0, true, spans[i].sb >= r[greatest(i - 1, 0)]))"
+    before = lambda i: f"IF({i} = 0, 0L, r[greatest({i} - 1, 0)])"
+    cut = lambda start, length: f"CAST(substring(raw, CAST({start} + 1 AS INT){length}) AS STRING)"
+    gaps = f"transform({first}, i -> {cut(before('i'), f', CAST(spans[i].sb - {before('i')} AS INT)')})"
+    whole = f"array_join(array_append({gaps}, {cut('r[size(r) - 1]', '')}), '{mark}')"
+    clean = F.expr(f"IF(size(spans) = 0, text, {let('CAST(text AS BINARY)', 'raw', let(running('transform(spans, x -> x.eb)', 'greatest'), 'r', whole))})")
     found = found.withColumn("clean", clean)
     hit = F.size("spans") > 0
     new = {text_col: F.when(hit, F.col("clean")).otherwise(F.col("row").getField(text_col))}

@@ -1,10 +1,13 @@
 """Operator 7 against plain Python."""
 
 import re
+import time
+from itertools import accumulate
 
 from tests.llm.helpers import SCHEMA, clashing, empty, odd_documents
 
 from farelane.llm import line_quality as Q
+from farelane.llm.common import running
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -56,3 +59,25 @@ def test_very_long_text(spark):
 def test_no_python_in_the_plan(spark):
     plan = Q.keep_good(odd_documents(spark))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
+
+
+def test_many_failing_lines_in_one_text_cost_in_proportion(spark):
+    took = {}
+    for n in (1000, 16_000, 64_000):
+        text = "\n".join(f"fine line {i} is here and stays\n|» · | » | · | {i} |\nHome" for i in range(n))
+        df = spark.createDataFrame([(1, text, "en", "a", 0)], SCHEMA)
+        start = time.time()
+        r = Q.quality(df, max_lost=1.0).first()
+        took[n] = time.time() - start
+        assert (r.n_lines, r.n_failed_lines) == (3 * n, 2 * n) and r.clean_text == "\n".join(f"fine line {i} is here and stays" for i in range(n))
+    assert took[64_000] < 10 * max(took[16_000], 0.5)
+
+
+def test_running_results(spark):
+    import random
+
+    rng = random.Random(1)
+    rows = [[], [5]] + [[rng.randint(-9, 9) for _ in range(n)] for n in (2, 3, 4, 9, 10, 99, 1000, 5000)]
+    df = spark.createDataFrame([(i, r) for i, r in enumerate(rows)], "i int, a array<bigint>")
+    for r in df.selectExpr("i", f"{running('a', '+')} AS s", f"{running('a', 'greatest')} AS g").collect():
+        assert r.s == list(accumulate(rows[r.i])) and r.g == list(accumulate(rows[r.i], max))

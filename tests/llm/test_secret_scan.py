@@ -3,7 +3,9 @@
 import random
 import re
 import string
+import time
 
+from pyspark.sql import functions as F
 from tests.llm.helpers import SCHEMA, clashing, empty, odd_documents, words
 
 from farelane.llm import secret_scan as S
@@ -83,3 +85,59 @@ def test_a_run_that_a_pattern_covers_in_part_is_marked_whole(spark):
     finally:
         S.train = spans
     assert rest not in texts[1] and rest[-8:] not in texts[1] and texts[2] == "see [SECRET] there"
+
+
+def _markov(text, model):
+    """Runs by the plain rule: long, random by the sum of their pairs' ratios, not within a pattern's span."""
+    base = [tuple(map(int, x.split(":")[1:])) for x in _base(text).split(",") if x]
+    out = []
+    for m in re.finditer(r"[A-Za-z0-9+/_=-]{20,}", text):
+        total = sum(model.get(128 * ord(a) + ord(b), 0.0) for a, b in zip(m[0], m[0][1:]))
+        if total > S.MIN_TOTAL and total > S.MIN_EACH * (len(m[0]) - 1) and not any(s <= m.start() and m.end() <= e for s, e in base):
+            out.append((m.start(), 3, m.end()))
+    return out
+
+
+def _plain_redact(text, spans):
+    out, at = "", 0
+    for s, _, e in sorted(spans):
+        if s >= at:
+            out, at = out + text[at:s] + "[SECRET]", e
+        at = max(at, e)
+    return out + text[at:]
+
+
+def test_markov_spans_and_redaction_equal_plain_python(spark, monkeypatch):
+    rng = random.Random(11)
+    model = {128 * a + b: rng.uniform(-1.5, 2.5) for a in range(33, 123) for b in range(33, 123)}
+    model = {k: float(f"{v:.6g}") for k, v in model.items()}
+    texts = [t for _, t, *_ in _texts(4)]
+    texts += [" é".join("".join(rng.choice("Zk3Qp9x_-/=") for _ in range(rng.randint(5, 45))) for _ in range(rng.randint(0, 60))) for _ in range(80)]
+    texts += ["AKIA" + "Q" * 16 + "/" + "Zk3Qp9x" * 5 + " " + "0123456789abcdef" * 3 + "Zk3Qp9x" * 4, "é漢" * 30 + " token=abcdefghijkl " * 3]
+    df = spark.createDataFrame([(i, t, "en", "a", 0) for i, t in enumerate(texts)], SCHEMA)
+    monkeypatch.setattr(S, "train", lambda *_: model)
+    got = {r.doc_id: [(x.s, x.k, x.e) for x in r.spans] for r in S.scan(df, model).select("doc_id", "spans").collect()}
+    clean = {r.doc_id: r.text for r in S.redact(df).collect()}
+    n_markov = 0
+    for i, t in enumerate(texts):
+        base = [(int(x.split(":")[1]), S.KINDS.index(x.split(":")[0]), int(x.split(":")[2])) for x in _base(t).split(",") if x]
+        markov = _markov(t, model)
+        n_markov += len(markov)
+        assert got[i] == sorted(base + markov), t
+        assert clean[i] == _plain_redact(t, got[i])
+    assert n_markov > 100
+
+
+def test_many_matches_in_one_text_cost_in_proportion(spark, monkeypatch):
+    monkeypatch.setattr(S, "train", lambda *_: {})
+    took = {}
+    for n in (1000, 16_000, 64_000):
+        text = "token=abcdef1234 0123456789abcdef01234567 é " * n
+        df = spark.createDataFrame([(1, text, "en", "a", 0)], SCHEMA)
+        start = time.time()
+        r = S.scan(df, {}).select("n_assign", "n_hex", F.size("spans").alias("n"), F.element_at("spans", -1).alias("x")).first()
+        clean = S.redact(df).first().text
+        took[n] = time.time() - start
+        assert (r.n_assign, r.n_hex, r.n, r.x.e) == (n, n, 2 * n, len(text) - 3)
+        assert clean == "[SECRET] [SECRET] é " * n
+    assert took[64_000] < 10 * max(took[16_000], 0.5)  # four times the work; sixteen times, were it quadratic
