@@ -32,7 +32,6 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -69,9 +68,9 @@ def bits(share: float) -> int:
     return 1 << int(np.ceil(np.log2(BITS_A_GRAM / share)))
 
 
-@cache
 def _letters() -> np.ndarray:
-    return np.array([chr(c).isalpha() for c in range(0x110000)])
+    """Whether each code point is a letter; computed once a task."""
+    return np.char.isalpha(np.arange(0x110000, dtype=np.uint32).view("<U1"))
 
 
 def _pieces(texts: Iterable[str | None]) -> Iterator[tuple[list[int], list[str]]]:
@@ -96,11 +95,11 @@ def _pieces(texts: Iterable[str | None]) -> Iterator[tuple[list[int], list[str]]
         yield rows, held
 
 
-def _grams(texts: list[str], orders: tuple[int, ...]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _grams(texts: list[str], orders: tuple[int, ...], letters: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(place in ``texts``, n-gram) arrays, an order at a time; n-grams as 64-bit hashes."""
     texts = [" " + t.lower() for t in texts]  # the space before a text is its own; that after it is the next one's
     code = np.frombuffer(("".join(texts) + " ").encode("utf-32-le", "surrogatepass"), np.uint32)
-    code = np.where(_letters()[code], code, SPACE).astype(np.uint64)
+    code = np.where(letters[code], code, SPACE).astype(np.uint64)
     space = code == SPACE
     stays = np.ones(len(code), bool)
     stays[:-1] = ~(space[:-1] & space[1:])  # the last of a run of spaces stays
@@ -142,7 +141,7 @@ def count_grams(labelled: DataFrame, orders: tuple[int, ...] = ORDERS) -> DataFr
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, list] = {}
-        size = 0
+        size, letters = 0, _letters()
 
         def merge() -> int:
             for lang in held:
@@ -159,7 +158,7 @@ def count_grams(labelled: DataFrame, orders: tuple[int, ...] = ORDERS) -> DataFr
             for i, lang in enumerate(langs.dictionary.to_pylist()):
                 rows = np.flatnonzero(langs.indices.to_numpy() == i).tolist()
                 for _, texts in _pieces(b.column(1)[r].as_py() for r in rows):
-                    for _, gram in _grams(texts, orders):
+                    for _, gram in _grams(texts, orders, letters):
                         parts = np.unique(gram, return_counts=True)
                         held.setdefault(lang, []).append(parts)
                         size += len(parts[0])
@@ -209,12 +208,13 @@ def predict(docs: DataFrame, filters: Filters, orders: tuple[int, ...] = ORDERS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         masks, wrong = sent.value
+        letters = _letters()
         kind = masks.dtype.type
         for b in batches:
             hits, n = np.zeros((len(langs), b.num_rows)), np.zeros(b.num_rows)
             for rows, texts in _pieces(v.as_py() for v in b.column(2)):
                 rows = np.array(rows)
-                for owner, gram in _grams(texts, orders):
+                for owner, gram in _grams(texts, orders, letters):
                     found = None
                     for at in _places(gram, len(masks)):
                         found = masks[at] if found is None else found & masks[at]

@@ -9,11 +9,12 @@ double precision.
 
 The number of parts probed is set while fitting: the fewest that reach
 ``recall_target`` on sample vectors held out from the fit. The sample is at
-most about ``sample_rows`` vectors, taken by a hash of the id, so model and
-sample have a fixed bound; they alone are broadcast.
+most twice ``sample_rows`` distinct vectors (about ``sample_rows`` as a rule),
+taken by a hash of id and vector, so model and sample have a fixed bound,
+repeated ids or not; the model's arrays alone are broadcast.
 
-Rows of a part and queries routed to it are dealt into blocks, and each pair
-of blocks is one group of bounded size, so neither a part that a third of all
+Rows of a part and queries routed to it are dealt into blocks, as many as that
+part needs, and each pair of blocks is one group of bounded size, so neither a part that a third of all
 rows falls into nor a large query set meets in one task. Each group returns
 its k best per query.
 
@@ -126,8 +127,19 @@ class Router:
     def parts(self) -> int:
         return len(self.b2)
 
+    @property
+    def arrays(self) -> tuple[np.ndarray, ...]:
+        """What tasks are sent: plain arrays, which need no class of this package there."""
+        return self.w1, self.b1, self.w2, self.b2
+
     def scores(self, x: np.ndarray) -> np.ndarray:
-        return np.maximum(x @ self.w1 + self.b1, 0) @ self.w2 + self.b2
+        return part_scores(self.arrays, x)
+
+
+def part_scores(arrays: tuple[np.ndarray, ...], x: np.ndarray) -> np.ndarray:
+    """How probable each part is for unit vectors, higher for more probable."""
+    w1, b1, w2, b2 = arrays
+    return np.maximum(x @ w1 + b1, 0) @ w2 + b2
 
 
 def train_router(x: np.ndarray, near: np.ndarray, part: np.ndarray, parts: int, hidden: int = HIDDEN, epochs: int = EPOCHS, seed: int = SEED) -> Router:
@@ -223,14 +235,16 @@ def search(vectors: DataFrame, is_query: Column, k: int = K, sample_rows: int =
     spark = vectors.sparkSession
     vectors = materialize(vectors)
     n = vectors.count()
+    # by id and content, equal vectors once, and never more than the bound, whatever is repeated
     one_in = pieces_for(n, sample_rows)
-    sample = vectors.where(F.pmod(F.xxhash64("vec_id"), F.lit(one_in)) == 0).select("v").toArrow().column("v")
+    some = vectors.where(F.pmod(F.xxhash64("vec_id", "v"), F.lit(one_in)) == 0).select("v").distinct()
+    sample = some.orderBy(F.xxhash64("v"), "v").limit(2 * sample_rows).toArrow().column("v")
     router = fit(_matrix(sample), k, recall_target)
-    sent = spark.sparkContext.broadcast(router)
+    sent, probes = spark.sparkContext.broadcast(router.arrays), router.probes
 
     def home(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            part = sent.value.scores(_unit(_matrix(b.column(1)))).argmax(axis=1) if b.num_rows else np.zeros(0)
+            part = part_scores(sent.value, _unit(_matrix(b.column(1)))).argmax(axis=1) if b.num_rows else np.zeros(0)
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(part, pa.int32())], ["vec_id", "v", "part"])
 
     indexed = materialize(vectors.select("vec_id", "v").mapInArrow(home, "vec_id bigint, v array<double>, part int"))
@@ -242,20 +256,24 @@ def search(vectors: DataFrame, is_query: Column, k: int = K, sample_rows: int =
         for b in batches:
             if not b.num_rows:
                 continue
-            order = np.argsort(-sent.value.scores(_unit(_matrix(b.column(1)))), axis=1, kind="stable")
+            order = np.argsort(-part_scores(sent.value, _unit(_matrix(b.column(1)))), axis=1, kind="stable")
             seen = np.cumsum(sizes[order], axis=1)
-            need = np.maximum(sent.value.probes, (seen <= k).sum(axis=1) + 1)  # enough parts for k rows beside its own
+            need = np.maximum(probes, (seen <= k).sum(axis=1) + 1)  # enough parts for k rows beside its own
             probed = np.arange(order.shape[1])[None, :] < need[:, None]
             row, at = np.nonzero(probed)
             take = pa.array(row)
             yield pa.RecordBatch.from_arrays([b.column(0).take(take), b.column(1).take(take), pa.array(order[row, at], pa.int32())], ["vec_id", "v", "part"])
 
-    queries = indexed.where(is_query).select("vec_id", "v").mapInArrow(routes, "vec_id bigint, v array<double>, part int")
-    # the largest part sets how many blocks rows are dealt into; queries likewise
-    rows_in = pieces_for(float(sizes.max(initial=0)), blocks.get("block_rows", BLOCK_ROWS))
-    queries_in = pieces_for(indexed.where(is_query).count(), blocks.get("block_queries", BLOCK_QUERIES))
-    deal = lambda n, seed: F.pmod(F.xxhash64("vec_id", F.lit(seed)), F.lit(n)).cast("int")
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    queries = materialize(indexed.where(is_query).select("vec_id", "v").mapInArrow(routes, "vec_id bigint, v array<double>, part int"))
+    asked = np.zeros(router.parts, np.int64)
+    for r in queries.groupBy("part").count().collect():
+        asked[r.part] = r["count"]
+    # each part has blocks of its own number: a row meets the blocks of queries routed to its part, and no others
+    per_part = lambda counts, each: F.array(*[F.lit(pieces_for(float(c), each)) for c in counts])[F.col("part")]
+    rows_in = per_part(sizes, blocks.get("block_rows", BLOCK_ROWS))
+    queries_in = per_part(asked, blocks.get("block_queries", BLOCK_QUERIES))
+    deal = lambda n, seed: F.pmod(F.xxhash64("vec_id", "v", F.lit(seed)), n).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
     left = indexed.select("vec_id", "v", "part", deal(rows_in, 1).alias("rb"), every(queries_in).alias("qb"))
     right = queries.select("vec_id", "v", "part", every(rows_in).alias("rb"), deal(queries_in, 2).alias("qb"))
     found = left.groupBy("part", "rb", "qb").cogroup(right.groupBy("part", "rb", "qb")).applyInArrow(

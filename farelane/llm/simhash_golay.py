@@ -10,11 +10,14 @@ since those have a common neighbour.
 With two differing bits at most, one of three segments has none (pigeonhole),
 and the segment after it has at most two. A key is therefore a segment's exact
 bits with one codeword of the next segment: up to 18 keys, of which any two
-fingerprints that must be linked share one. Fingerprints that share no key
-with another leave here. The join of the others is verified without listing
-pairs: each gives its 64 one-bit neighbours and itself, and those that meet in
-one word are at most two bits apart, while any two that close do meet. In each
-meeting all hang on the smallest, so a group of k costs k rows, not k squared.
+fingerprints that must be linked share one. Fingerprints are joined on their
+keys, and each pair that the join makes is verified by its bit distance.
+
+A key that more than ``MAX_GROUP`` fingerprints share would make too many
+pairs. Its members link without pairs: each gives its 64 one-bit neighbours and
+itself, and those that meet in one word (65 at most can) are two bits apart at
+most, while any two that close do meet. In each meeting all hang on the
+smallest. So no group is paired out, and no link is lost.
 
 Work is done on distinct fingerprints: copies, however many, are one.
 
@@ -29,7 +32,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from functools import cache, partial
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -43,6 +46,8 @@ from farelane.session import materialize
 
 SHINGLE = 3
 MAX_BITS = 2
+#: Most fingerprints of a key that are paired; larger groups meet in neighbouring words.
+MAX_GROUP = 64
 SEED = 42
 #: Bytes of a text that are split into words at a time.
 BLOCK = 1 << 20
@@ -99,9 +104,8 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return rows.mapInArrow(run, "doc_id bigint, text_hash bigint, fp bigint")
 
 
-@cache
 def golay_table() -> np.ndarray:
-    """The number (0 to 4095) of the codeword that each 23-bit word decodes to."""
+    """The number (0 to 4095) of the codeword that each 23-bit word decodes to; computed once a task."""
     words = np.arange(4096, dtype=np.int64) << 11
     rest = words.copy()
     for bit in range(22, 10, -1):  # remainder by the generator
@@ -115,9 +119,8 @@ def golay_table() -> np.ndarray:
     return out
 
 
-def fuzzy_keys(fp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(row, key) of unsigned 64-bit fingerprints, each key of a row once."""
-    code = golay_table()
+def fuzzy_keys(fp: np.ndarray, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(row, key) of unsigned 64-bit fingerprints, each key of a row once; ``code`` is the table of codewords."""
     parts = [((fp >> np.uint64(o)) & np.uint64((1 << n) - 1)).astype(np.int64) for o, n in SEGMENTS]
     rows, keys = [], []
     for k, exact in enumerate(parts):
@@ -131,23 +134,29 @@ def fuzzy_keys(fp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(rows), np.concatenate(keys)
 
 
-def link(fps: DataFrame) -> DataFrame:
+def link(fps: DataFrame, max_group: int = MAX_GROUP) -> DataFrame:
     """(node, root) of distinct fingerprints (fp) that lie within two bits of others, linked over any number of steps."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        code = golay_table()
         for b in batches:
             for at in range(0, b.num_rows, 20_000):
                 fp = b.column(0).slice(at, 20_000).to_numpy()
-                rows, keys = fuzzy_keys(fp.view(np.uint64))
+                rows, keys = fuzzy_keys(fp.view(np.uint64), code)
                 yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(fp[rows])], ["key", "fp"])
 
-    keyed = fps.select("fp").mapInArrow(run, "key bigint, fp bigint")
-    same = Window.partitionBy("key")
-    met = keyed.select("fp", (F.min("fp").over(same) < F.max("fp").over(same)).alias("met")).where("met").select("fp").distinct()
-    near = materialize(met).select("fp", F.explode(F.sequence(F.lit(0), F.lit(64))).alias("bit"))
+    keyed = materialize(fps.select("fp").mapInArrow(run, "key bigint, fp bigint"))
+    shared = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    # fingerprints whose key another shares: few of all, written once
+    met = materialize(keyed.join(shared, "key"))
+    close = lambda a, b: F.bit_count(F.col(a).bitwiseXOR(F.col(b))) <= MAX_BITS
+    some = met.where(F.col("n") <= max_group)
+    pairs = some.select("key", F.col("fp").alias("a")).join(some.select("key", F.col("fp").alias("b")), "key").where((F.col("a") > F.col("b")) & close("a", "b"))
+    many = met.where(F.col("n") > max_group).select("fp").distinct()
+    near = many.select("fp", F.explode(F.sequence(F.lit(0), F.lit(64))).alias("bit"))
     near = near.select("fp", F.expr("IF(bit = 64, fp, fp ^ shiftleft(1L, bit))").alias("meeting"))
-    verified = near.select(F.col("fp").alias("a"), F.min("fp").over(Window.partitionBy("meeting")).alias("b")).where("a <> b")
-    return components(verified.where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= MAX_BITS))
+    hung = near.select(F.col("fp").alias("a"), F.min("fp").over(Window.partitionBy("meeting")).alias("b")).where((F.col("a") != F.col("b")) & close("a", "b"))
+    return components(pairs.select("a", "b").unionByName(hung))
 
 
 def near_duplicates(prints: DataFrame) -> DataFrame:

@@ -111,11 +111,15 @@ def test_many_languages_and_crowded_filters(spark, monkeypatch):
 
 @pytest.mark.parametrize("text,want", [("", []), ("A", [" a "]), ("ab", [" ab", "ab "]), ("a-b", [" a ", " b "]), ("9 9", [])])
 def test_grams_of_small_texts(text, want):
-    got = [g for owner, gram in L._grams([text], (3,)) for g in gram.tolist()]
+    got = [g for owner, gram in L._grams([text], (3,), L._letters()) for g in gram.tolist()]
     assert len(got) == len(want) == len(set(got)) and plain_grams(text, (3,)) == want
 
 
 def test_grams_keep_their_text():
     texts = ["one two", "", "  three!! ", "four", "?"]
-    got = Counter(o for owner, _ in L._grams(texts, L.ORDERS) for o in owner.tolist())
+    got = Counter(o for owner, _ in L._grams(texts, L.ORDERS, L._letters()) for o in owner.tolist())
     assert got == {i: len(plain_grams(t)) for i, t in enumerate(texts) if re.search("[a-z]", t)}
+
+
+def test_letters():
+    assert L._letters().tolist() == [chr(c).isalpha() for c in range(0x110000)]

@@ -66,3 +66,32 @@ def test_parts_are_balanced_and_cut_few_edges():
     near = L.neighbour_graph(x, 10)
     part = L.balanced_parts(near, 8)
     assert np.bincount(part).max() <= 107 and (part[near] == part[:, None]).mean() > 0.8
+
+
+def test_recall_beyond_the_sample(spark, monkeypatch):
+    """30,000 rows, of which the model saw about 8,192: recall of rows and queries that it never saw."""
+    rng = np.random.default_rng(2)
+    n, d = 30_000, 64
+    centres = rng.normal(size=(300, d))
+    v = (centres[rng.integers(0, 300, n)] + 0.7 * rng.normal(size=(n, d))).astype(np.float32)
+    df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "vec_id long, embedding array<float>").repartition(8)
+    fitted = []
+    fit = L.fit
+    monkeypatch.setattr(L, "fit", lambda sample, *a: fitted.append(len(sample)) or fit(sample, *a))
+    ids, v = np.arange(n), v.astype(float)
+    want = _brute(ids, v, range(0, n, 50))
+    got = _search(df, block_rows=700, block_queries=100)
+    assert L.SAMPLE_ROWS / 2 < fitted[0] <= 2 * L.SAMPLE_ROWS < n and set(got) == set(want)
+    hits = [len({i for i, _ in got[q]} & {i for i, _ in want[q]}) / 5 for q in want]
+    print(f"recall over {n} rows, {fitted[0]} of them in the sample: {np.mean(hits):.3f}")
+    assert np.mean(hits) >= 0.9
+
+
+def test_sample_is_bounded_under_a_hot_id(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    rows = [(7, x.tolist()) for x in rng.normal(size=(3000, 4))] + [(8, [1.0, 2.0, 3.0, 4.0])] * 3000 + [(100, [1.0, 2.0, 3.0, 4.5])]
+    seen = []
+    fit = L.fit
+    monkeypatch.setattr(L, "fit", lambda sample, *a: seen.append(len(sample)) or fit(sample, *a))
+    got = _search(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), sample_rows=200)
+    assert 50 < seen[0] <= 400 and [i for i, _ in got[100]] == [8] * 5

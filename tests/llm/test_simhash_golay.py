@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pytest
 import xxhash
 from tests.llm.helpers import clashing, empty, odd_documents, words
 
@@ -63,14 +64,15 @@ def test_equals_all_pairs(spark):
 def test_keys_meet_whenever_two_bits_differ_at_most():
     rng = np.random.default_rng(3)
     x = rng.integers(0, 2**63, 300, dtype=np.uint64) * np.uint64(2) + rng.integers(0, 2, 300).astype(np.uint64)
+    code = G.golay_table()
     for a in range(0, 65, 3):
         y = x.copy()
         for b in {a, int(rng.integers(0, 64))} - {64}:
             y ^= np.uint64(1 << b)
-        kx, ky = G.fuzzy_keys(x), G.fuzzy_keys(y)
+        kx, ky = G.fuzzy_keys(x, code), G.fuzzy_keys(y, code)
         for i in range(len(x)):
             assert set(kx[1][kx[0] == i].tolist()) & set(ky[1][ky[0] == i].tolist())
-    assert np.bincount(G.golay_table()).tolist() == [2048] * 4096  # the code is perfect
+    assert np.bincount(code).tolist() == [2048] * 4096  # the code is perfect
 
 
 def test_long_texts_in_blocks(monkeypatch):
@@ -106,3 +108,38 @@ def test_near_copies_without_ids_keep_one(spark, monkeypatch):
     monkeypatch.setattr(G, "fingerprints", lambda *_: prints.selectExpr("doc_id", "xxhash64(text) AS text_hash", "fp"))
     kept = sorted(r.text for r in G.keep_one(df).collect())
     assert len(kept) == 2 and kept[0] in "abc" and kept[1] == "d"
+
+
+def _brute_components(fps):
+    root = {f: f for f in fps}
+
+    def find(f):
+        while root[f] != f:
+            f = root[f]
+        return f
+
+    for a in fps:
+        for b in fps:
+            if a < b and bin((a ^ b) & (2**64 - 1)).count("1") <= 2:
+                x, y = sorted((find(a), find(b)))
+                root[y] = x
+    return {f: find(f) for f in fps}
+
+
+@pytest.mark.parametrize("max_group", [1, 2, 5, G.MAX_GROUP])
+def test_links_are_the_same_however_few_are_paired(spark, max_group):
+    """Crowded neighbourhoods, chains and strangers: pairs from the Golay join and meetings in neighbouring words give one result."""
+    rng = np.random.default_rng(7)
+    fps = set()
+    for _ in range(6):
+        centre = int(rng.integers(-2**63, 2**63))
+        for _ in range(40):
+            f = centre
+            for b in rng.choice(64, rng.integers(0, 4), replace=False):
+                f ^= 1 << int(b)
+            fps.add((f + 2**63) % 2**64 - 2**63)
+    fps |= {int(x) for x in rng.integers(-2**63, 2**63, 200)}
+    df = spark.createDataFrame([(f,) for f in sorted(fps)], "fp bigint").repartition(5)
+    want = _brute_components(sorted(fps))
+    got = {r.node: r.root for r in G.link(df, max_group).collect()}
+    assert got == {f: r for f, r in want.items() if sum(x == r for x in want.values()) > 1}
