@@ -557,10 +557,8 @@ def q_assembled_rows(spark, sf):
 
 
 def q_train_test_split(spark, sf):
-    tr, te = feat.train_test_split(_li(spark, sf))
-    side = lambda d, n: d.agg(F.lit(n).alias("side"), F.count("*").alias("n_rows"),
-                              rates.measure_sum("base_passenger_fare", True).alias("fare_sum"))
-    return _out(side(tr, "train").unionByName(side(te, "test")), None)
+    sides = feat.with_side(_li(spark, sf)).groupBy("side")
+    return _out(sides.agg(F.count("*").alias("n_rows"), rates.measure_sum("base_passenger_fare", True).alias("fare_sum")), None)
 
 
 def q_sample_by_key(spark, sf):

@@ -7,8 +7,6 @@ partitioning, retry or cluster size.
 
 from __future__ import annotations
 
-import numpy as np
-import pyarrow as pa
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,6 +15,7 @@ from ..functions.calendar import with_demand_flags
 from ..functions.rates import trip_duration, trip_km, trip_meters
 from ..schemas import TRIP_SCHEMA
 from ..session import local_table, materialize
+from .moments import correlations, keyed_moments, moments, moments_with_constants
 
 GLOBAL_FEATURES = ["trip_time", "day", "isWeekend", "isOvernight", "isRushhour", "trip_meters"]
 LOCAL_FEATURES = ["trip_time", "trip_meters", "hour", "isWeekend", "isOvernight", "isRushhour"]
@@ -63,6 +62,11 @@ def train_test_split(df: DataFrame, key: str = "trip_id", train_fraction: float
     return df.where(share < train_fraction), df.where(share >= train_fraction)
 
 
+def with_side(df: DataFrame, key: str = "trip_id", train_fraction: float = 0.7, name: str = "side") -> DataFrame:
+    """The sides of ``train_test_split`` as a column, ``train`` or ``test``: one pass serves both."""
+    return df.withColumn(name, F.when(key_share(key, "split") < train_fraction, "train").otherwise("test"))
+
+
 def sample_by_key(df: DataFrame, fraction: float, key: str = "trip_id") -> DataFrame:
     """Reproducible Bernoulli-like sample: rows whose key's share falls under the fraction."""
     return df.where(key_share(key, "sample") < fraction)
@@ -121,71 +125,33 @@ def adapt(df: DataFrame, spec) -> DataFrame:
     return df.select(*[F.col(o).try_cast(t).alias(n) for o, n, t in spec])
 
 
-def _pooled(parts: DataFrame, cols: list[str]) -> DataFrame:
-    """(col_a, col_b, r) from moments of parts of the rows: n, means m, and w, the co-moments within a part of pairs i <= j in order.
-
-    All rows' co-moments are those within the parts plus those of the parts'
-    means, weighted. What reaches the driver is k means and k * k co-moments.
-    """
-    k = len(cols)
-    pairs = [(i, j) for i in range(k) for j in range(i, k)]
-    mean = {r.pos: r.a for r in parts.select("n", F.posexplode("m")).groupBy("pos").agg((F.sum(F.col("n") * F.col("col")) / F.sum("n")).alias("a")).collect()}
-    centred = parts.withColumn("m", F.zip_with("m", F.array(*[F.lit(float(mean.get(i, 0.0))) for i in range(k)]), lambda x, c: x - c))
-    first, second = (f"array({', '.join(str(p[x]) for p in pairs)})" for x in (0, 1))
-    products = F.expr(f"transform(w, (x, p) -> x + n * m[{first}[p]] * m[{second}[p]])")
-    total = {r.pos: r.c for r in centred.select(F.posexplode(products)).groupBy("pos").agg(F.sum("col").alias("c")).collect()}
-    c = {(i, j): total.get(at, 0.0) for at, (i, j) in enumerate(pairs)}
-
-    def r(i: int, j: int):
-        if not (c[i, i] > 0 and c[j, j] > 0):
-            return None  # a constant column
-        return 1.0 if i == j else c[min(i, j), max(i, j)] / (c[i, i] ** 0.5 * c[j, j] ** 0.5)
-
-    return local_table(parts.sparkSession, [(a, b, r(i, j)) for i, a in enumerate(cols) for j, b in enumerate(cols)], "col_a string, col_b string, r double")
-
-
 def correlation_long(df: DataFrame, cols: list[str], complete: bool = True) -> DataFrame:
     """Pearson correlation of every pair of ``cols`` as (col_a, col_b, r), in one pass.
 
     Rows with a null or NaN in any column are left out first (listwise). Each
     task folds its rows into one set of moments, batch by batch.
     """
-    k = len(cols)
-    upper = np.triu_indices(k)
-
-    def fold(batches):
-        n, mean, within = 0, np.zeros(k), np.zeros((k, k))
-        for b in batches:
-            x = np.stack([c.to_numpy(zero_copy_only=False) for c in b.columns], axis=1)
-            if not len(x):
-                continue
-            m = x.mean(axis=0)
-            d = x - m
-            gap = m - mean
-            within += d.T @ d + np.outer(gap, gap) * (n * len(x) / (n + len(x)))
-            n, mean = n + len(x), mean + gap * (len(x) / (n + len(x)))
-        if n:
-            yield pa.RecordBatch.from_pydict({"n": [n], "m": [mean.tolist()], "w": [within[upper].tolist()]})
-
     src = complete_features(df.select(*cols), cols) if complete else df.select(*cols)
-    rows = src.select(*[F.col(c).cast("double").alias(c) for c in cols])
-    return _pooled(materialize(rows.mapInArrow(fold, "n bigint, m array<double>, w array<double>")), cols)
+    return local_table(df.sparkSession, correlations(moments(src, cols), cols), "col_a string, col_b string, r double")
 
 
 def correlation_with_context(trips: DataFrame, context: DataFrame, trip_cols: list[str], context_cols: list[str],
                              keys=("pickupdate", "pickuphour")) -> DataFrame:
     """``correlation_long`` over trips with their N:1 context, without joining trips to it.
 
-    One pass folds the trips of each key into moments; context columns are
-    constant within a key, so their part of a key's moments is their value.
+    One pass folds the trips of each key into arrays of moments inside the
+    tasks; context columns are constant within a key, so what a task has of a
+    key joins its context and all of it folds into one set of moments.
     """
-    keys, k, both = list(keys), len(trip_cols), [*trip_cols, *context_cols]
-    pairs = [(i, j) for i in range(len(both)) for j in range(i, len(both))]
+    keys = list(keys)
     rows = complete_features(trips.select(*{*keys, *trip_cols}), trip_cols)
-    moments = rows.groupBy(*keys).agg(F.count("*").alias("n"), *[F.avg(c).alias(f"m{i}") for i, c in enumerate(trip_cols)],
-                                      *[(F.covar_pop(trip_cols[i], trip_cols[j]) * F.count("*")).alias(f"w{i}_{j}") for i, j in pairs if j < k])
     side = complete_features(context.select(*keys, *context_cols), context_cols)
-    side = side.select(*keys, *[F.col(c).cast("double").alias(f"m{k + i}") for i, c in enumerate(context_cols)])
-    parts = moments.join(side, keys).select("n", F.array(*[f"m{i}" for i in range(len(both))]).alias("m"),
-                                            F.array(*[F.col(f"w{i}_{j}") if j < k else F.lit(0.0) for i, j in pairs]).alias("w"))
-    return _pooled(materialize(parts), both)
+    side = materialize(side)
+    # the keys' names are kept apart from columns that are correlated too
+    side = side.select(*[F.col(c).alias(f"key_{i}") for i, c in enumerate(keys)], *[F.col(c).alias(f"c{i}") for i, c in enumerate(context_cols)])
+    rows = rows.select(*[F.col(c).alias(f"key_{i}") for i, c in enumerate(keys)], *[F.col(c).alias(f"x{i}") for i, c in enumerate(trip_cols)])
+    names = [f"key_{i}" for i in range(len(keys))]
+    parts = materialize(keyed_moments(rows, names, [f"x{i}" for i in range(len(trip_cols))]).join(side, names))
+    state = moments_with_constants(parts, len(trip_cols), [f"c{i}" for i in range(len(context_cols))])
+    both = [*trip_cols, *context_cols]
+    return local_table(trips.sparkSession, correlations(state, both), "col_a string, col_b string, r double")
