@@ -742,6 +742,11 @@ def _forecast(model):
     return q
 
 
+def q_forecast_arma(spark, sf):
+    """All orders of a seasonal ARMA, and which has the lowest AIC."""
+    return _out(fc.forecast_arma(_li_lags(spark, sf)), 4)
+
+
 # --- experiment metrics -----------------------------------------------------
 
 def q_metrics_mean_runtime(spark, sf):
@@ -1323,6 +1328,45 @@ FORECAST = (f"{LI_LAGS}, s1 AS (SELECT *, CASE WHEN max(t) OVER (PARTITION BY se
             f"GROUP BY series) SELECT bo.series, bo.model, CAST(bo.season AS BIGINT) AS season, bo.n_obs, round(bo.rss, 4) AS rss, round(bo.aic, 4) AS aic, "
             f"round(bo.yhat_next, 4) AS yhat_next, bo.model = best.best_model AS best FROM bo JOIN best USING (series)")
 
+def _arma_sql() -> str:
+    """Twin of ``forecast.forecast_arma``: columns are made orthogonal one by one within a series, over its training weeks; the week to come follows."""
+    k, top = fc.LONG_AR, fc.MAX_ORDER
+
+    def steps(name: str, source: str, cols: list[str], keep: str) -> list[str]:
+        """CTEs {name}0 .. whose column y is what the columns leave of it; ``fit`` marks the rows of the fit."""
+        every = [*cols, "y"]
+        out = [f"{name}0 AS (SELECT {keep}, fit, " + ", ".join(f"{c} - avg({c}) FILTER (WHERE fit) OVER (PARTITION BY series) AS {c}" for c in every) + f" FROM {source})"]
+        for i, c in enumerate(cols):
+            b = lambda x: f"sum({c} * {x}) FILTER (WHERE fit) OVER (PARTITION BY series) / nullif(sum({c} * {c}) FILTER (WHERE fit) OVER (PARTITION BY series), 0)"  # noqa: E731,B023
+            out.append(f"{name}{i + 1} AS (SELECT {keep}, fit, " + ", ".join(x if x in every[:i + 1] else f"{x} - {c} * coalesce({b(x)}, 0) AS {x}" for x in every)
+                       + f" FROM {name}{i})")
+        return out
+
+    longs, used = [f"d{i}" for i in range(1, k + 1)], [f"d{i}" for i in range(1, top + 1)] + [f"e{i}" for i in range(1, top + 1)]
+    win = "OVER (PARTITION BY series ORDER BY t)"
+    sql = [LI_LAGS, "w0 AS (SELECT series, t, n FROM lg UNION ALL SELECT series, max(t) + 1, NULL FROM lg GROUP BY series)",
+           f"w1 AS (SELECT *, CASE WHEN max(t) OVER (PARTITION BY series) > {fc.MIN_ARMA_WEEKS} THEN {fc.SEASON} ELSE 1 END AS season FROM w0)",
+           f"w2 AS (SELECT *, CASE WHEN season = {fc.SEASON} THEN lag(n, {fc.SEASON}) {win} ELSE lag(n, 1) {win} END AS y_s FROM w1)",
+           "w3 AS (SELECT *, CAST(n - y_s AS DOUBLE) AS d FROM w2)",
+           "w4 AS (SELECT *, " + ", ".join(f"lag(d, {i}) {win} AS d{i}" for i in range(1, k + 1)) + " FROM w3)",
+           f"w5 AS (SELECT *, d AS y, d IS NOT NULL AND d{k} IS NOT NULL AS fit FROM w4)", *steps("a", "w5", longs, "series, t"),
+           "w6 AS (SELECT w4.*, CASE WHEN a.fit THEN a.y END AS e FROM w4 JOIN a%d a ON a.series = w4.series AND a.t = w4.t)" % k,
+           "w7 AS (SELECT *, " + ", ".join(f"lag(e, {i}) {win} AS e{i}" for i in range(1, top + 1)) + " FROM w6)",
+           f"w8 AS (SELECT series, t, n, season, y_s, {', '.join(used)}, coalesce(d, 0) AS y, d IS NOT NULL AS fit FROM w7 WHERE e{top} IS NOT NULL)"]
+    models = []
+    for p in range(top + 1):
+        for q in range(top + 1):
+            cols, name = [*used[:p], *used[top:top + q]], f"m{p}{q}_"
+            sql += steps(name, "w8", cols, "series, n, season, y_s")
+            # the week to come has y = 0: what is left of it, from the mean on, is the forecast with its sign turned
+            models.append(f"SELECT series, any_value(season) AS season, {p} AS p, {q} AS q, count(*) FILTER (WHERE fit) AS n_obs, sum(y * y) FILTER (WHERE fit) AS rss, "
+                          f"any_value(y_s - y) FILTER (WHERE NOT fit) AS yhat FROM {name}{len(cols)} GROUP BY series")
+    sql += [f"models AS ({' UNION ALL '.join(models)})",
+            "scored AS (SELECT *, CASE WHEN rss > 0 AND n_obs > p + q + 1 THEN n_obs * ln(rss / n_obs) + 2 * (p + q + 1) END AS aic FROM models)"]
+    return (", ".join(sql) + " SELECT series, CAST(season AS BIGINT) AS season, CAST(p AS BIGINT) AS p, CAST(q AS BIGINT) AS q, n_obs, round(rss, 4) AS rss, round(aic, 4) AS aic, "
+            "round(yhat, 4) AS yhat_next, row_number() OVER (PARTITION BY series ORDER BY aic IS NULL, aic, p + q, p) = 1 AS best FROM scored")
+
+
 EXPLOG = "explog AS (SELECT " + ", ".join(ad.EXPLOG_EXPRS) + " FROM orders)"
 
 
@@ -1412,6 +1456,7 @@ ORACLE.update({
                       "(b0 + trip_meters * b1 + trip_time * b2), 2))), 6) AS rmse FROM te, coef",
     "weekly_lags": f"{LI_LAGS} SELECT * FROM lg",
     "forecast_naive": f"SELECT * FROM ({FORECAST}) WHERE model = 'seasonal_naive'",
+    "forecast_arma": _arma_sql(),
     "forecast_ar": f"SELECT * FROM ({FORECAST}) WHERE model = 'ar1_seasonal_diff'",
     "metrics_mean_runtime": f"WITH {EXPLOG}, {_means_sql('pct')} SELECT model, CAST(pct AS BIGINT) AS pct, "
                             f"{_MEANS_COLS} FROM m",
@@ -1480,6 +1525,7 @@ QUERIES_C = {
     "weekly_lags": q_weekly_lags,
     "forecast_naive": _forecast("seasonal_naive"),
     "forecast_ar": _forecast("ar1_seasonal_diff"),
+    "forecast_arma": q_forecast_arma,
     "metrics_mean_runtime": q_metrics_mean_runtime,
     "metrics_size_up": q_metrics_size_up,
     "metrics_speed_up": q_metrics_speed_up,

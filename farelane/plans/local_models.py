@@ -104,7 +104,7 @@ def fit_local_lr(train: DataFrame, features: list[str], label: str, n_buckets: i
     """Model table (bucket, term, coef): ordinary least squares per bucket."""
     df = with_bucket(train, n_buckets, key, group) if n_buckets else train
     mom = lr_moments(df, features, label, group)
-    schema = f"{group} int, term string, coef double"
+    schema = f"{group} {dict(mom.dtypes)[group]}, term string, coef double"
     return mom.mapInPandas(_solve_lr(list(features), group), schema)
 
 
