@@ -6,15 +6,15 @@ steps (bucket totals, then rows inside a bucket), and a source is cut at
 exactly its budget. A budget above the source's size repeats whole epochs and
 cuts the last one.
 
-A key is the MD5 of seed and document id, so it is uniform: equal key ranges
-hold equal shares of a source. The bucket count follows the document count,
+A key is the MD5 of seed, document id and text, so it is uniform, with
+repeated or missing ids too: equal key ranges hold equal shares of a source. The bucket count follows the document count,
 which splits a source that holds a third of all rows over as many tasks as any
 other rows; one task never sorts a whole source. Only per-source rows (one for
 each distinct source) meet in one window, which ranks them by code point.
 
 Defined results: null text has size 0; null source is a source of its own,
-last in order; null document ids share one key and are cut in order of size;
-repeated rows are separate documents; an empty table gives no rows; sources of
+last in order; documents without id, or with one id, are told apart by their
+texts; repeated rows share a key and are separate documents; an empty table gives no rows; sources of
 size 0 get target 0. Extra columns are ignored.
 """
 
@@ -57,14 +57,14 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, max_epochs: int = MAX_EPOC
 
 
 def sized_documents(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text") -> DataFrame:
-    """(doc_id, source, size) with size the number of words."""
-    return docs.select(col(id_col).alias("doc_id"), col(source_col).cast("string").alias("source"),
+    """(doc_id, source, text_hash, size) with size the number of words."""
+    return docs.select(col(id_col).alias("doc_id"), col(source_col).cast("string").alias("source"), F.md5(whole_text(text_col)).alias("text_hash"),
                        F.regexp_count(whole_text(text_col), F.lit(WORD_PATTERN)).cast("bigint").alias("size"))
 
 
 def mix_sources(sized: DataFrame, weights=WEIGHTS, max_epochs: int = MAX_EPOCHS, seed: str = SEED,
                 rows_a_bucket: int = ROWS_A_BUCKET) -> DataFrame:
-    """Take each source to its target: ``sized`` has doc_id, source, size and may carry a ``row`` column.
+    """Take each source to its target: ``sized`` has doc_id, source, text_hash, size and may carry a ``row`` column.
 
     Adds source_size, target and taken (words taken, repeats counted); a
     source's taken words sum to its target in whole words. ``sized`` is read
@@ -72,7 +72,7 @@ def mix_sources(sized: DataFrame, weights=WEIGHTS, max_epochs: int = MAX_EPOCHS,
     bucket that a source is cut in are moved; other buckets are taken or left
     whole where they lie.
     """
-    key = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))))
+    key = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.lit(":"), F.col("text_hash")))
     buckets = pieces_for(sized.count(), rows_a_bucket)
     bucket = F.floor(F.conv(F.substring("mix_key", 1, 8), 16, 10).cast("double") * buckets / float(1 << 32)).cast("bigint")
     named = F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit("null"))
@@ -109,7 +109,7 @@ def mixed_documents(docs: DataFrame, weights=WEIGHTS, max_epochs: int = MAX_EPOC
     and stay once.
     """
     # the row travels as one struct, so that no column of the input can clash
-    sized = docs.select(col(id_col).alias("doc_id"), col(source_col).cast("string").alias("source"),
+    sized = docs.select(col(id_col).alias("doc_id"), col(source_col).cast("string").alias("source"), once(F.md5(whole_text(text_col))).alias("text_hash"),
                         once(F.regexp_count(whole_text(text_col), F.lit(WORD_PATTERN)).cast("bigint")).alias("size"),
                         F.struct(*[col(c) for c in docs.columns]).alias("row"))
     mixed = mix_sources(sized, weights, max_epochs, seed).where("taken > 0 OR size = 0")
@@ -136,7 +136,7 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLE = f"""
 WITH d AS (
   SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '{WORD_PATTERN}')) AS BIGINT) AS size,
-         md5(concat('{SEED}:', coalesce(CAST(doc_id AS VARCHAR), 'null'))) AS mix_key
+         md5(concat('{SEED}:', coalesce(CAST(doc_id AS VARCHAR), 'null'), ':', md5(coalesce(text, '')))) AS mix_key
   FROM documents),
 s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
 r AS (SELECT *, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS rnk FROM s),

@@ -3,6 +3,7 @@
 import re
 from collections import defaultdict
 
+from pyspark.sql import functions as F
 from tests.llm.helpers import SCHEMA, clashing, empty, odd_documents, rows_of
 
 from farelane.llm import source_mix as M
@@ -52,6 +53,18 @@ def test_reruns_agree_and_hot_source(spark):
     _check(spark.createDataFrame(rows, SCHEMA), spark.createDataFrame(rows, SCHEMA).collect(), rows_a_bucket=64)
 
 
+def test_one_id_spreads_over_buckets_and_reruns_agree(spark):
+    """Documents that share an id, or have none, are cut alike in every run and fall into all buckets."""
+    rows = [(None if i % 2 else 7, f"text {i} " + "w " * (i % 5), "en", "hot" if i % 3 else "b", 0) for i in range(1200)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    a, b = (rows_of(M.mix_sources(M.sized_documents(d), rows_a_bucket=64)) for d in (df, df.orderBy(F.rand(3)).repartition(11)))
+    assert a == b
+    assert rows_of(M.mixed_documents(df)) == rows_of(M.mixed_documents(df.orderBy(F.rand(4)).repartition(7)))
+    key = F.substring(F.md5(F.concat(F.lit("mix-1:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.lit(":"), F.md5("text"))), 1, 1)
+    assert df.select(key).distinct().count() == 16
+    _check(df, df.collect(), rows_a_bucket=64)
+
+
 def test_empty_tables_and_sources_without_words(spark):
     assert M.mix_sources(M.sized_documents(empty(spark))).count() == 0
     rows = M.mix_sources(M.sized_documents(spark.createDataFrame([(1, None, "en", "a", 0), (2, "", "en", None, 0)], SCHEMA))).collect()
