@@ -59,7 +59,7 @@ STAGES = [
     ("window_packs", window_packs),
 ]
 
-#: Markov models, tokenizers and components are beyond SQL; tests hold the run against a brute-force version.
+#: Markov models, tokenizers and components are beyond SQL; tests hold each stage, on its own input, against plain Python.
 ORACLE_SQL = None
 
 
