@@ -6,7 +6,7 @@ hot key (one hour, one company) is pre-aggregated per task before the shuffle.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.labels import COMPANY_LABELS, WEEKDAY_NAMES, month_name
@@ -16,15 +16,19 @@ HOUR_KEYS = ["pickupdate", "pickupyear", "pickupmonth", "pickuphour"]
 DAY_KEYS = ["pickupdate", "pickupyear", "pickupmonth", "pickupdayofyear"]
 
 
+def trip_measures(prefix: str, speed: Column, exact: bool = False) -> list[Column]:
+    """Trips, total miles, time and fare, and mean speed of a group."""
+    return [F.count("*").alias(f"{prefix}_numTrips"), measure_sum("trip_miles", exact).alias(f"{prefix}_total_miles"),
+            F.sum("trip_time").alias(f"{prefix}_total_time"), measure_sum("base_passenger_fare", exact).alias(f"{prefix}_total_base_fare"),
+            F.avg(speed).alias(f"{prefix}_mean_speed")]
+
+
+def _speed(df: DataFrame) -> Column:
+    return F.col("speed") if "speed" in df.columns else speed_mph()
+
+
 def _grain_stats(df: DataFrame, keys: list[str], prefix: str, exact: bool = False) -> DataFrame:
-    speed = F.col("speed") if "speed" in df.columns else speed_mph()
-    return df.groupBy(*keys).agg(
-        F.count("*").alias(f"{prefix}_numTrips"),
-        measure_sum("trip_miles", exact).alias(f"{prefix}_total_miles"),
-        F.sum("trip_time").alias(f"{prefix}_total_time"),
-        measure_sum("base_passenger_fare", exact).alias(f"{prefix}_total_base_fare"),
-        F.avg(speed).alias(f"{prefix}_mean_speed"),
-    )
+    return df.groupBy(*keys).agg(*trip_measures(prefix, _speed(df), exact))
 
 
 def hourly_stats(trips_cal: DataFrame, exact: bool = False) -> DataFrame:
@@ -39,15 +43,8 @@ def daily_stats(trips_cal: DataFrame, exact: bool = False) -> DataFrame:
 
 def hourly_stats_rollable(trips_cal: DataFrame, exact: bool = False) -> DataFrame:
     """Hourly stats plus the speed sum and count a daily roll-up needs."""
-    speed = F.col("speed") if "speed" in trips_cal.columns else speed_mph()
-    return trips_cal.groupBy(*HOUR_KEYS).agg(
-        F.count("*").alias("hourly_numTrips"),
-        measure_sum("trip_miles", exact).alias("hourly_total_miles"),
-        F.sum("trip_time").alias("hourly_total_time"),
-        measure_sum("base_passenger_fare", exact).alias("hourly_total_base_fare"),
-        F.avg(speed).alias("hourly_mean_speed"),
-        F.sum(speed).alias("_speed_sum"),
-        F.count(speed).alias("_speed_n"))
+    speed = _speed(trips_cal)
+    return trips_cal.groupBy(*HOUR_KEYS).agg(*trip_measures("hourly", speed, exact), F.sum(speed).alias("_speed_sum"), F.count(speed).alias("_speed_n"))
 
 
 def daily_stats_from_hourly(hourly: DataFrame) -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..functions.rates import speed_mph
+from ..operators.demand import trip_measures
 
 
 def read_trip_stream(spark: SparkSession, path: str, schema: StructType,
@@ -29,11 +30,7 @@ def hourly_stats_stream(trips: DataFrame, ts: str = "pickup_datetime", watermark
     return (trips.withColumn("_ts", F.col(ts).cast("timestamp"))
             .withWatermark("_ts", watermark)
             .groupBy(F.window("_ts", "1 hour").alias("hour_window"))
-            .agg(F.count("*").alias("hourly_numTrips"),
-                 F.sum("trip_miles").alias("hourly_total_miles"),
-                 F.sum("trip_time").alias("hourly_total_time"),
-                 F.sum("base_passenger_fare").alias("hourly_total_base_fare"),
-                 F.avg(speed_mph()).alias("hourly_mean_speed"))
+            .agg(*trip_measures("hourly", speed_mph()))
             .select(F.col("hour_window.start").alias("hour_start"), "hourly_numTrips", "hourly_total_miles",
                     "hourly_total_time", "hourly_total_base_fare", "hourly_mean_speed"))
 
