@@ -24,6 +24,5 @@ ORACLE = {
     "op5_content_addressed_warc": warc_archive.ORACLE,
     "op6_source_mix": source_mix.ORACLE,
     "op7_line_quality": line_quality.ORACLE,
-    "op11_language_filters": language_filters.query,
     "op12_filter_interactions": filter_audit.ORACLE,
 }
