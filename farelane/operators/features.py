@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..functions.calendar import with_demand_flags
 from ..functions.rates import trip_duration, trip_km, trip_meters
 from ..schemas import TRIP_SCHEMA
-from ..session import local_table, materialize
+from ..session import local_table, materialize, scratch_scope
 from .moments import correlations, keyed_moments, moments, moments_with_constants
 
 GLOBAL_FEATURES = ["trip_time", "day", "isWeekend", "isOvernight", "isRushhour", "trip_meters"]
@@ -146,12 +146,16 @@ def correlation_with_context(trips: DataFrame, context: DataFrame, trip_cols: li
     keys = list(keys)
     rows = complete_features(trips.select(*{*keys, *trip_cols}), trip_cols)
     side = complete_features(context.select(*keys, *context_cols), context_cols)
+    with scratch_scope(trips.sparkSession):
+        state = _state_with_context(rows, side, keys, trip_cols, context_cols)
+    return local_table(trips.sparkSession, correlations(state, [*trip_cols, *context_cols]), "col_a string, col_b string, r double")
+
+
+def _state_with_context(rows: DataFrame, side: DataFrame, keys: list[str], trip_cols: list[str], context_cols: list[str]):
     side = materialize(side)
     # the keys' names are kept apart from columns that are correlated too
     side = side.select(*[F.col(c).alias(f"key_{i}") for i, c in enumerate(keys)], *[F.col(c).alias(f"c{i}") for i, c in enumerate(context_cols)])
     rows = rows.select(*[F.col(c).alias(f"key_{i}") for i, c in enumerate(keys)], *[F.col(c).alias(f"x{i}") for i, c in enumerate(trip_cols)])
     names = [f"key_{i}" for i in range(len(keys))]
     parts = materialize(keyed_moments(rows, names, [f"x{i}" for i in range(len(trip_cols))]).join(side, names))
-    state = moments_with_constants(parts, len(trip_cols), [f"c{i}" for i in range(len(context_cols))])
-    both = [*trip_cols, *context_cols]
-    return local_table(trips.sparkSession, correlations(state, both), "col_a string, col_b string, r double")
+    return moments_with_constants(parts, len(trip_cols), [f"c{i}" for i in range(len(context_cols))])

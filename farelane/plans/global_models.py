@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.features import LABEL, train_test_split
-from ..session import local_table, materialize
+from ..session import local_table, materialize, scratch_scope
 from .model_tables import NodeTable, node_table
 
 
@@ -52,8 +52,9 @@ def _kept(rows: DataFrame, features: list[str], label: str, key: str) -> DataFra
 
 def global_nodes(rows: DataFrame, features: list[str], kind: str = "dt", label: str = LABEL, depth: int = 5, key: str = "trip_id") -> NodeTable:
     """The nodes of the model fitted on the training rows."""
-    train, _ = train_test_split(_kept(rows, features, label, key), key)
-    return node_table(fit_global(train, features, kind, label, depth).stages[-1], features)
+    with scratch_scope(rows.sparkSession):
+        train, _ = train_test_split(_kept(rows, features, label, key), key)
+        return node_table(fit_global(train, features, kind, label, depth).stages[-1], features)
 
 
 def global_rmse(rows: DataFrame, features: list[str], kind: str = "gbt", label: str = LABEL, depth: int = 5,
@@ -65,22 +66,23 @@ def global_rmse(rows: DataFrame, features: list[str], kind: str = "gbt", label:
     alone, for each k of ``stages``.
     """
     spark = rows.sparkSession
-    train, test = train_test_split(_kept(rows, features, label, key), key)
-    model = fit_global(train, features, kind, label, depth)
-    base = train.agg(F.count("*").alias("n"), F.avg(label).alias("m")).first()
-    if kind == "lr":
-        scored = score(model, test)
-    else:
-        nodes = node_table(model.stages[-1], features)
-        scored = nodes.score(test)
-        for k in stages:
-            scored = nodes.score(scored, f"prediction_{k}", k)
-    error = lambda c: F.sqrt(F.avg((F.col(label) - c) ** 2))
-    r = scored.agg(F.count("*").alias("n"), error(F.col("prediction")).alias("rmse"), error(F.lit(base.m)).alias("mean_rmse"),
-                   *[error(F.col(f"prediction_{k}")).alias(f"rmse_{k}") for k in stages]).first()
-    row = (kind, int(base.n), int(r.n), r.rmse, r.mean_rmse, bool(r.rmse is not None and r.rmse < r.mean_rmse), *[r[f"rmse_{k}"] for k in stages])
-    return local_table(spark, [row], "model string, n_train bigint, n_test bigint, rmse double, mean_rmse double, beats_mean boolean"
-                       + "".join(f", rmse_{k} double" for k in stages))
+    with scratch_scope(spark):
+        train, test = train_test_split(_kept(rows, features, label, key), key)
+        model = fit_global(train, features, kind, label, depth)
+        base = train.agg(F.count("*").alias("n"), F.avg(label).alias("m")).first()
+        if kind == "lr":
+            scored = score(model, test)
+        else:
+            nodes = node_table(model.stages[-1], features)
+            scored = nodes.score(test)
+            for k in stages:
+                scored = nodes.score(scored, f"prediction_{k}", k)
+        error = lambda c: F.sqrt(F.avg((F.col(label) - c) ** 2))
+        r = scored.agg(F.count("*").alias("n"), error(F.col("prediction")).alias("rmse"), error(F.lit(base.m)).alias("mean_rmse"),
+                       *[error(F.col(f"prediction_{k}")).alias(f"rmse_{k}") for k in stages]).first()
+        row = (kind, int(base.n), int(r.n), r.rmse, r.mean_rmse, bool(r.rmse is not None and r.rmse < r.mean_rmse), *[r[f"rmse_{k}"] for k in stages])
+        return local_table(spark, [row], "model string, n_train bigint, n_test bigint, rmse double, mean_rmse double, beats_mean boolean"
+                           + "".join(f", rmse_{k} double" for k in stages))
 
 
 def ols_single(df: DataFrame, x: str, y: str = LABEL) -> DataFrame:

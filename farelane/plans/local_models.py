@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from ..operators.features import with_bucket
-from ..session import local_table, materialize
+from ..session import local_table, materialize, scratch_scope
 from .quantiles import quantile_edges
 from .staged_merge import FAN_IN, merge_in_stages, task_count
 
@@ -301,9 +301,14 @@ def fit_trees(df: DataFrame, features: list[str], label: str, depth: int = 5, n_
     Splits maximise the drop of the squared error, sL^2/nL + sR^2/nR - S^2/N;
     ties go to the lower feature, then bin. Rows are written once, ranged by
     group and a hash so that a task meets few groups and a hot group is split
-    over several tasks; every level reads that copy.
+    over several tasks; every level reads that copy, which is deleted at the end.
     """
-    features = list(features)
+    with scratch_scope(df.sparkSession):
+        return _fit_trees(df, list(features), label, depth, n_bins, group, groups, min_gain, trees, key)
+
+
+def _fit_trees(df: DataFrame, features: list[str], label: str, depth: int, n_bins: int, group: str, groups: int, min_gain: float, trees: int,
+               key: str | None) -> TreeModels:
     spark = df.sparkSession
     copies = bootstrap_hashes(key, trees) if trees else F.lit(b"")
     rows = complete_rows(df, [label, *features]).where(F.col(group).isNotNull()).select(

@@ -15,6 +15,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -122,17 +123,36 @@ def materialize(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def release(spark: SparkSession) -> int:
-    """Delete the scratch tables this driver has written; call it when no frame that reads them is needed any more."""
-    paths = _SCRATCH.pop(spark.sparkContext.applicationId, [])
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
+def _delete(spark: SparkSession, paths: list[str]) -> int:
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     for p in paths:
         path = jvm.org.apache.hadoop.fs.Path(p)
         path.getFileSystem(conf).delete(path, True)
     return len(paths)
 
 
+def release(spark: SparkSession) -> int:
+    """Delete the scratch tables this driver has written; call it when no frame that reads them is needed any more."""
+    return _delete(spark, _SCRATCH.pop(spark.sparkContext.applicationId, []))
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession):
+    """Own the scratch tables written inside: they are deleted at the end, also on failure.
+
+    For steps whose results are on the driver, or written, when they end; a
+    frame that still reads such a table must not leave the scope.
+    """
+    paths = _SCRATCH.setdefault(spark.sparkContext.applicationId, [])
+    before = len(paths)
+    try:
+        yield
+    finally:
+        mine = paths[before:]
+        del paths[before:]
+        _delete(spark, mine)
+
+
 def bounded_rows(df: DataFrame, max_rows: int) -> int | None:
     """Row count of ``df`` if it is at most ``max_rows``, else ``None``.
 
