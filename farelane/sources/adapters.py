@@ -52,7 +52,7 @@ FARE_PARTS_EXPRS = [
     "CAST(CASE WHEN l_partkey % 3 = 0 THEN 2.75 ELSE 0 END AS DOUBLE) AS congestion_surcharge",
     "CAST(CASE WHEN s_nationkey % 8 = 1 THEN 2.5 ELSE 0 END AS DOUBLE) AS airport_fee",
     "l_discount * l_extendedprice AS tips",
-    "l_extendedprice * (1 - l_discount) AS driver_pay",
+    "CAST(l_quantity * 10 + l_partkey % 90 AS DOUBLE) AS driver_pay",
 ]
 
 ZONES_EXPRS = [
