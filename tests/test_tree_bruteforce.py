@@ -2,6 +2,9 @@
 
 import hashlib
 import math
+import os
+from contextlib import nullcontext
+from urllib.parse import urlparse
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -187,3 +190,53 @@ def test_holidays_follow_the_year_of_each_date(spark):
     assert {r.d for r in df.where(cal.is_holiday("d")).collect()} == want & days and years.count() > 40
     flags = cal.with_demand_flags(spark.sql("SELECT DATE'1996-12-25' AS pickupdate, 9 AS pickuphour")).first()
     assert (flags.isWeekend, flags.isRushhour) == (1, 0)
+
+
+def test_histograms_leave_a_task_once_whatever_the_batches(spark, monkeypatch):
+    """A forest's states grow with nodes and tasks, not with Arrow batches, and rows travel as packed bins and copies."""
+    n_trees, depth = 100, 5
+    xs = [F.pmod(F.xxhash64("trip_id", F.lit(i)), F.lit(1000)).cast("double").alias(f"x{i}") for i in range(40)]
+    df = spark.range(4000).withColumnRenamed("id", "trip_id").select("trip_id", F.lit(0).alias("bucket"), *xs)
+    df = df.withColumn("y", F.col("x0") * F.col("x1") + F.col("x2"))
+    twice, tables = [], []
+
+    def counted(states, keys, parts, merge):
+        if "slot" in states.columns:
+            twice.append(states.groupBy("slot", "part").count().where("count > 1").count())
+        return sm.merge_in_stages(states, keys, parts, merge)
+
+    def kept(rows):
+        tables.append(materialize(rows))
+        return tables[-1]
+
+    monkeypatch.setattr(lm, "merge_in_stages", counted)
+    monkeypatch.setattr(lm, "materialize", kept)
+    monkeypatch.setattr(lm, "scratch_scope", lambda spark: nullcontext())
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "50")
+    try:
+        models = lm.fit_trees(df, [f"x{i}" for i in range(40)], "y", depth, 32, "bucket", 1, trees=n_trees, key="trip_id")
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert models.n[:, 1].sum() > 0 and twice == [0] * depth
+    # 40 bins of 5 bits, 100 copies of about 2 bits and a label
+    assert sum(os.path.getsize(urlparse(f).path) for f in tables[0].inputFiles()) < 4000 * 100
+
+
+def test_a_hot_group_is_dealt_over_tasks(spark, monkeypatch):
+    """Every row counts once, and the blocks of a group that holds half the rows lie in several files."""
+    monkeypatch.setattr(lm, "ROWS_A_BLOCK", 500)
+    spread = []
+
+    def kept(rows):
+        out = materialize(rows)
+        spread.append(out.where("g = 7").groupBy(F.input_file_name()).agg(F.sum("n").alias("n")).collect())
+        return out
+
+    monkeypatch.setattr(lm, "materialize", kept)
+    df = spark.range(20_000).select(F.col("id").alias("trip_id"), F.when(F.col("id") % 2 == 0, 7).otherwise(F.col("id") % 50).cast("int").alias("bucket"),
+                                    (F.col("id") % 97).cast("double").alias("x"), (F.col("id") % 13).cast("double").alias("y"))
+    models = lm.fit_trees(df, ["x"], "y", 2, 8, "bucket", 50)
+    assert len(spread[0]) > 1 and sum(r.n for r in spread[0]) == 10_400 and max(r.n for r in spread[0]) < 8000
+    sizes = {r.bucket: float(r["count"]) for r in df.groupBy("bucket").count().collect()}
+    assert {g: n for g, n in enumerate(models.n[:, 1].tolist()) if n} == sizes
