@@ -176,3 +176,22 @@ def test_sample_of_profiles_is_bounded_under_a_hot_id(spark, monkeypatch):
     monkeypatch.setattr(C, "nearest", lambda x, c: seen.append(len(x)) or nearest(x, c))
     C.fit_classes(docs, sample_docs=100)
     assert 20 < seen[0] <= 200
+
+
+def test_classes_are_learned_from_every_training_text(spark):
+    """Centres are the means of all training texts nearest to them, repeats included, and reruns agree."""
+    import numpy as np
+    import pyarrow as pa
+
+    kinds = ("abcdefg", "hijklmno", "0123456789")
+    rows = [(i, " ".join(kinds[2 if i % 1000 == 7 else i % 2][(i * k) % 7:][:1 + (i + k) % 5] for k in range(1, 30))) for i in range(6000)]
+    df = spark.createDataFrame(rows + rows[:500], "doc_id long, text string").repartition(5)
+    docs = C.folded(df)
+    centres = C.fit_classes(docs, classes=3)
+    x = C.byte_profiles(pa.array([r.text for r in docs.where("NOT held_out").collect()]))
+    of = C.nearest(x, centres)
+    assert np.bincount(of, minlength=3).min() > 0 and len(centres) == 3
+    assert np.allclose(centres, [x[of == k].mean(axis=0) for k in range(3)], atol=1e-5)
+    assert np.allclose(centres, C.fit_classes(C.folded(df.repartition(3)), classes=3), atol=1e-5)
+    assert C.fit_classes(docs.where("held_out")).tolist() == np.zeros((1, 256)).tolist()
+    assert len(C.fit_classes(docs.limit(0).union(spark.createDataFrame([(1, False, "same")] * 9, docs.schema)))) == 1
