@@ -35,8 +35,11 @@ def document_lengths(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     path = tokenizer or word_tokens.tokenizer_path()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(word_tokens.token_counts(b.column(1), path), pa.int64())], ["doc_id", "n_tokens"])
+        try:
+            for b in batches:
+                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(word_tokens.token_counts(b.column(1), path), pa.int64())], ["doc_id", "n_tokens"])
+        finally:
+            word_tokens.forget()
 
     rows = docs.select(col(id_col).cast("bigint").alias("doc_id"), col(text_col).cast("string").alias("text"))
     return rows.mapInArrow(run, "doc_id bigint, n_tokens bigint")
@@ -47,9 +50,12 @@ def length_counts(docs: DataFrame, text_col: str = "text", tokenizer: str | None
     path = tokenizer or word_tokens.tokenizer_path()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            n, c = np.unique(word_tokens.token_counts(b.column(0), path), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(n, pa.int64()), pa.array(c, pa.int64())], ["n_tokens", "docs"])
+        try:
+            for b in batches:
+                n, c = np.unique(word_tokens.token_counts(b.column(0), path), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(n, pa.int64()), pa.array(c, pa.int64())], ["n_tokens", "docs"])
+        finally:
+            word_tokens.forget()
 
     parts = docs.select(col(text_col).cast("string").alias("text")).mapInArrow(run, "n_tokens bigint, docs bigint")
     return parts.groupBy("n_tokens").agg(F.sum("docs").alias("docs"))

@@ -50,18 +50,21 @@ def document_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         place = 0
-        for b in batches:
-            out = []
-            for i, ids in word_tokens.token_ids(b.column(1), path, end_id):
-                data = memoryview(ids.astype("<u4")).cast("B")
-                full = len(ids) - len(ids) % capacity
-                for at in [*range(0, full, capacity), *range(full, len(ids), tail)]:
-                    n = min(capacity if at < full else tail, len(ids) - at)
-                    out.append((i, at, n, zlib.crc32(data[4 * at:4 * (at + n)]), len(ids), place))
-                    place += 1
-            rows = np.asarray(out, np.int64).reshape(-1, 6)
-            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(rows[:, 0]))] + [pa.array(rows[:, k]) for k in range(1, 6)],
-                                             ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "place"])
+        try:
+            for b in batches:
+                out = []
+                for i, ids in word_tokens.token_ids(b.column(1), path, end_id):
+                    data = memoryview(ids.astype("<u4")).cast("B")
+                    full = len(ids) - len(ids) % capacity
+                    for at in [*range(0, full, capacity), *range(full, len(ids), tail)]:
+                        n = min(capacity if at < full else tail, len(ids) - at)
+                        out.append((i, at, n, zlib.crc32(data[4 * at:4 * (at + n)]), len(ids), place))
+                        place += 1
+                rows = np.asarray(out, np.int64).reshape(-1, 6)
+                yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(rows[:, 0]))] + [pa.array(rows[:, k]) for k in range(1, 6)],
+                                                 ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "place"])
+        finally:
+            word_tokens.forget()
 
     rows = docs.select(col(id_col).cast("bigint").alias("doc_id"), col(text_col).cast("string").alias("text"))
     return rows.mapInArrow(run, PIECES)

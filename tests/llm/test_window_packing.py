@@ -4,6 +4,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 from tests.llm.helpers import clashing, empty, odd_documents
 
 from farelane.llm import window_packing as P
@@ -61,3 +62,21 @@ def test_empty_table_and_groups(spark):
     rows = P.pack(pieces, windows_a_group=2, pieces_a_group=16).collect()
     _check(rows)
     assert len({r.sequence_id >> 32 for r in rows}) > 3 and len(rows) == pieces.count()
+
+
+def test_a_task_leaves_no_memory_of_words_behind(monkeypatch):
+    """Texts are split a bounded number of bytes at a time with the same ids, and what was remembered goes at the task's end."""
+    path = W.tokenizer_path()
+    texts = pa.array([f"word{i} other{i * 7}, and the rest of it." for i in range(300)] + [None, "", "x " * 500])
+    want = [ids.tolist() for _, ids in W.token_ids(texts, path, 2)]
+    met = []
+    real = W.words_of
+    monkeypatch.setattr(W, "words_of", lambda t: met.append(sum(len(x or "") for x in t.to_pylist())) or real(t))
+    monkeypatch.setattr(W, "TEXT_BYTES", 400)
+    got = list(W.token_ids(texts, path, 2))
+    assert [i for i, _ in got] == list(range(303)) and [ids.tolist() for _, ids in got] == want
+    assert W.token_counts(texts, path).tolist() == [len(x) - 1 for x in want]
+    assert max(met[:-1]) <= 1000 and len(met) > 20
+    assert W._KNOWN
+    W.forget()
+    assert not W._KNOWN and W.KNOWN_PIECES <= 250_000
