@@ -240,3 +240,54 @@ def test_a_hot_group_is_dealt_over_tasks(spark, monkeypatch):
     assert len(spread[0]) > 1 and sum(r.n for r in spread[0]) == 10_400 and max(r.n for r in spread[0]) < 8000
     sizes = {r.bucket: float(r["count"]) for r in df.groupBy("bucket").count().collect()}
     assert {g: n for g, n in enumerate(models.n[:, 1].tolist()) if n} == sizes
+
+
+def _trips_and_context(spark):
+    """Rows of 40 hours, some without a group, label, feature or context; a context with gaps and an hour that comes twice."""
+    rows = spark.range(6000).selectExpr(
+        "id AS trip_id", "IF(id % 53 = 0, null, id % 41) AS hour", "IF(id % 59 = 0, null, id % 2) AS bucket", "double(id * 37 % 101) AS a",
+        "IF(id % 61 = 0, null, id * 13 % 17) AS b", "IF(id % 67 = 0, double('NaN'), double(id * 37 % 101 + (id % 41) * (id % 41))) AS y")
+    hours = spark.range(40).selectExpr("id AS hour", "IF(id = 7, null, double(id * id)) AS temp", "IF(id = 9, double('NaN'), double(id % 6)) AS rain",
+                                       "id % 2 = 0 AS even")
+    return rows, hours.unionByName(hours.where("hour = 11")).withColumn("even", F.col("even").cast("int"))
+
+
+def test_context_at_its_own_grain_gives_the_same_trees(spark):
+    rows, context = _trips_and_context(spark)
+    features = ["temp", "a", "even", "b", "rain"]
+    for trees in (0, 3):
+        want = lm.fit_trees(rows.join(context, "hour"), features, "y", 3, 8, "bucket", 2, trees=trees, key="trip_id")
+        got = lm.fit_trees(rows, features, "y", 3, 8, "bucket", 2, trees=trees, key="trip_id", context=context, keys=("hour",))
+        assert want.n[:, 1].min() > 1000 and (want.feature >= 0).sum() > 6
+        assert [e.tolist() for e in got.edges] == [e.tolist() for e in want.edges]
+        for name in ("feature", "bin", "n"):
+            assert (getattr(got, name) == getattr(want, name)).all(), name
+        assert np.allclose(got.s, want.s) and np.allclose(got.gain, want.gain)
+
+
+def test_places_are_counted_in_parts(spark, monkeypatch):
+    rows, context = _trips_and_context(spark)
+    side = context.where("temp IS NOT NULL AND NOT isnan(rain)").dropDuplicates(["hour"]).selectExpr("hour AS place", "temp", "rain")
+    df = rows.where("hour IS NOT NULL AND hour < 40 AND hour NOT IN (7, 9)")
+    want, _ = qt.edges_and_shares(df.join(side.withColumnRenamed("place", "hour"), "hour"), ["a", "temp", "rain"], 16, "bucket")
+    monkeypatch.setitem(qt.edges_and_shares.__globals__, "PLACES_AT_ONCE", 100)
+    got, (values, sizes) = qt.edges_and_shares(df.withColumn("place", F.col("hour")), ["a"], 16, "bucket", side=side)
+    assert [e.tolist() for e in got] == [e.tolist() for e in want] and len(got[1]) > 10
+    held = {r.bucket: r.n for r in df.where("bucket IS NOT NULL").groupBy("bucket").agg(F.count("*").alias("n")).collect()}
+    assert dict(zip(values.tolist(), sizes.tolist())) == held
+
+
+def test_votes_send_no_context_column_with_a_trip(spark, sf, monkeypatch):
+    import __spark_entry__ as entry
+
+    seen = []
+
+    def recorded(df, columns, *more, **named):
+        seen.append(([entry.VOTE_FEATURES[int(c[1:])] for c in columns], df.columns))
+        return qt.edges_and_shares(df, columns, *more, **named)
+
+    monkeypatch.setattr(lm, "edges_and_shares", recorded)
+    votes = entry.queries()["feature_votes_small"](spark, sf).count()
+    assert votes == len(entry.VOTE_DOMAIN)
+    assert seen[0][0] == ["PULocationID", "DOLocationID", "trip_time", *entry.FARE_PARTS, "trip_meters"]
+    assert len(seen) == 1 and len(seen[0][1]) == len(seen[0][0]) + 4  # group, hashes, label and place
