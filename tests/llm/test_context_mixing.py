@@ -195,3 +195,31 @@ def test_classes_are_learned_from_every_training_text(spark):
     assert np.allclose(centres, C.fit_classes(C.folded(df.repartition(3)), classes=3), atol=1e-5)
     assert C.fit_classes(docs.where("held_out")).tolist() == np.zeros((1, 256)).tolist()
     assert len(C.fit_classes(docs.limit(0).union(spark.createDataFrame([(1, False, "same")] * 9, docs.schema)))) == 1
+
+
+def test_bits_are_counted_in_little_memory():
+    """Counts equal a plain loop, and no copy of all bits of a batch is made: with one, two tasks passed an executor's limit."""
+    import random
+    import tracemalloc
+
+    import numpy as np
+    import pyarrow as pa
+
+    rng = random.Random(6)
+    entries = [f"{rng.randrange(8)}" + rng.choice(["\n", "", "é"] + ["".join(rng.choice("abcdé") for _ in range(rng.randint(1, 30)))] * 9) for _ in range(20_000)]
+    n = np.array([rng.randrange(5) for _ in entries])
+    s = C.symbols(pa.array(["skipped", *entries]).slice(1))
+    data = [(e[1:] if e[1:] == "\n" else e[1:] + " ").encode() for e in entries]
+    assert bytes(s.value.astype(np.uint8)) == b"".join(data) and np.bincount(s.word).tolist() == [len(d) for d in data]
+    tables = [np.zeros((2, 1 << bits)) for _, _, bits in C.PREDICTORS]
+    tracemalloc.start()
+    C.count_bits(tables, s, n)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 40 * len(s.value)  # a copy of all bits alone is 64
+    for p in (0, 4):
+        want = Counter()
+        for bit in range(8):
+            for slot, one, w in zip(s.slots(p, s.nodes(bit)).tolist(), s.bit(bit).tolist(), n[s.word].tolist(), strict=True):
+                want[int(one), slot] += w
+        assert {(a, b): tables[p][a, b] for a, b in zip(*map(np.ndarray.tolist, np.nonzero(tables[p])), strict=True)} == {k: v for k, v in want.items() if v}
