@@ -80,3 +80,24 @@ def test_a_task_leaves_no_memory_of_words_behind(monkeypatch):
     assert W._KNOWN
     W.forget()
     assert not W._KNOWN and W.KNOWN_PIECES <= 250_000
+
+
+def test_a_word_is_encoded_once_whatever_its_case_and_marks():
+    """Ids are those of whole texts, and the tokenizer, which takes most of the time, meets a word's letters once."""
+    import random
+
+    path = W.tokenizer_path()
+    whole = W._tokenizer(path)[0]
+    rng = random.Random(8)
+    alphabet = list("abEFKßéÉİıΣσςǅﬁªºⅷ漢か.,!'*$<|>42٣") + ["H̱", "i̇", "é", "'s", "n't", "\x01", "\xa0", "<|endoftext|>"]
+    ends = ["", ".", ",", "...", "!!", "***", ")%,", "'", "'s", "&&&.", "§"]
+    texts = [" ".join("".join(rng.choices(alphabet, k=rng.randint(1, 6))) + rng.choice(ends) for _ in range(rng.randint(0, 6))) for _ in range(3000)]
+    texts += ["Aİ, bİ.", None, ""]
+    want = [whole.encode(x or "", add_special_tokens=False).ids + [2] for x in texts]
+    W.forget()
+    for a in (pa.array(texts), pa.array(["first", *texts]).slice(1)):  # the second time all pieces are known
+        assert [ids.tolist() for _, ids in W.token_ids(a, path, 2)] == want
+    W.forget()
+    list(W.token_ids(pa.array(["Word word WORD, word. Word*** word!? (word) Étá étá, ÉTÁ***"]), path, 2))
+    assert set(W._KNOWN[path][0].to_pylist()) == {"word", "étá", "(word", ",", ".", "***", "!?", ")"}
+    W.forget()
